@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass, field
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 
 # Texts that a feed uses for "no value".
@@ -36,9 +36,11 @@ class Entity:
     name: str
     key: str
     columns: tuple[str, ...]
+    # Values parsed once, under names the projection and the rules then use.
+    parse: Callable[[], dict[str, Column]]
     project: Callable[[], list[Column]]
     rules: tuple[Rule, ...]
-    delta_project: Callable[[], list[Column]]
+    delta_parse: Callable[[], dict[str, Column]]
     delta_rules: tuple[Rule, ...]
 
     @property
@@ -95,8 +97,22 @@ class Fact:
     compare: tuple[str, ...]
     initial_compare: tuple[str, ...]
     initial_update: tuple[str, ...]
-    columns: T.StructType = field(default_factory=T.StructType)
 
     @property
     def table(self) -> str:
         return f"fact_{self.name}"
+
+
+@dataclass(frozen=True)
+class Model:
+    """A whole flow: feeds, dimensions, one fact table, and their table schemas."""
+
+    entities: tuple[Entity, ...]
+    dimensions: tuple[Dimension, ...]
+    fact: Fact
+    schemas: Mapping[str, T.StructType]
+    steps: Mapping[str, object]
+    marts: Mapping[str, Callable[..., DataFrame]]
+
+    def entity(self, name: str) -> Entity:
+        return next(e for e in self.entities if e.name == name)

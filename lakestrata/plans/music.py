@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakestrata.config import Dimension, Entity, Fact, Lookup
+from lakestrata.config import Dimension, Entity, Fact, Lookup, Model
 from lakestrata.functions.scalar import (
     leftover_seconds,
     try_date,
@@ -15,36 +15,30 @@ from lakestrata.functions.scalar import (
     whole_minutes,
 )
 from lakestrata.operators.audit import Step
+from lakestrata.plans.marts import artist_summary, songs_enriched
 
 
 def _missing(column):
     return lambda: F.col(column).isNull()
 
 
-def _no_number(column):
-    return lambda: try_number(column).isNull()
-
-
-def _no_date(column):
-    return lambda: try_date_auto(column).isNull()
-
-
-def _no_timestamp(column):
-    return lambda: try_timestamp_auto(column).isNull()
+def _parse_songs():
+    return {
+        "_millis": try_number("song_duration"),
+        "_added": try_timestamp_auto("song_added"),
+    }
 
 
 def _songs():
-    added = try_timestamp_auto("song_added")
-    millis = try_number("song_duration")
     return [
         F.trim("song_id").alias("song_id"),
         F.trim("song_name").alias("song_name"),
-        millis.alias("song_duration_ms"),
-        whole_minutes(millis).alias("duration_minutes"),
-        leftover_seconds(millis).alias("duration_seconds"),
+        F.col("_millis").alias("song_duration_ms"),
+        whole_minutes("_millis").alias("duration_minutes"),
+        leftover_seconds("_millis").alias("duration_seconds"),
         F.trim("song_url").alias("song_url"),
-        added.alias("song_added_timestamp"),
-        F.to_date(added).alias("song_added_date"),
+        F.col("_added").alias("song_added_timestamp"),
+        F.to_date("_added").alias("song_added_date"),
         F.trim("album_id").alias("album_id"),
         F.trim("artist_id").alias("artist_id"),
     ]
@@ -54,14 +48,28 @@ def _artists():
     return [F.trim(c).alias(c) for c in ("artist_id", "artist_name", "external_url")]
 
 
-def _albums(released):
+def _parse_albums():
+    """The value takes one format, the rule any known one: a row can be valid
+    without a date."""
+    return {
+        "_released": try_date("album_release_date", "yyyy-MM-dd"),
+        "_any_date": try_date_auto("album_release_date"),
+    }
+
+
+def _parse_albums_delta():
+    found = try_date_auto("album_release_date")
+    return {"_released": found, "_any_date": found}
+
+
+def _albums():
     return [
         F.trim("album_id").alias("album_id"),
         F.trim("album_name").alias("album_name"),
-        released.alias("album_release_date"),
+        F.col("_released").alias("album_release_date"),
         try_number("album_total_tracks").alias("album_total_tracks"),
         F.trim("album_url").alias("album_url"),
-        F.year(released).alias("release_year"),
+        F.year("_released").alias("release_year"),
     ]
 
 
@@ -79,18 +87,19 @@ SONGS = Entity(
         "album_id",
         "artist_id",
     ),
+    parse=_parse_songs,
     project=_songs,
     rules=(
         ("MISSING_SONG_ID", _missing("song_id")),
-        ("INVALID_DURATION", _no_number("song_duration")),
-        ("INVALID_DATE", _no_timestamp("song_added")),
+        ("INVALID_DURATION", _missing("_millis")),
+        ("INVALID_DATE", _missing("_added")),
         ("MISSING_ALBUM_ID", _missing("album_id")),
         ("MISSING_ARTIST_ID", _missing("artist_id")),
     ),
-    delta_project=_songs,
+    delta_parse=_parse_songs,
     delta_rules=(
         ("MISSING_SONG_ID", _missing("song_id")),
-        ("INVALID_DURATION", _no_number("song_duration")),
+        ("INVALID_DURATION", _missing("_millis")),
     ),
 )
 
@@ -98,12 +107,13 @@ ARTISTS = Entity(
     name="artists",
     key="artist_id",
     columns=("artist_id", "artist_name", "external_url"),
+    parse=dict,
     project=_artists,
     rules=(
         ("MISSING_ARTIST_ID", _missing("artist_id")),
         ("MISSING_NAME", _missing("artist_name")),
     ),
-    delta_project=_artists,
+    delta_parse=dict,
     delta_rules=(
         ("MISSING_ARTIST_ID", _missing("artist_id")),
         ("MISSING_ARTIST_NAME", _missing("artist_name")),
@@ -120,17 +130,16 @@ ALBUMS = Entity(
         "album_total_tracks",
         "album_url",
     ),
-    # The value takes one format, the rule any known one: a row can be valid
-    # without a date.
-    project=lambda: _albums(try_date("album_release_date", "yyyy-MM-dd")),
+    parse=_parse_albums,
+    project=_albums,
     rules=(
         ("MISSING_ALBUM_ID", _missing("album_id")),
-        ("INVALID_DATE", _no_date("album_release_date")),
+        ("INVALID_DATE", _missing("_any_date")),
     ),
-    delta_project=lambda: _albums(try_date_auto("album_release_date")),
+    delta_parse=_parse_albums_delta,
     delta_rules=(
         ("MISSING_ALBUM_ID", _missing("album_id")),
-        ("INVALID_RELEASE_DATE", _no_date("album_release_date")),
+        ("INVALID_RELEASE_DATE", _missing("_any_date")),
     ),
 )
 
@@ -286,3 +295,12 @@ STEPS = {
     "raw_artists": Step("TASK_REFRESH_PIPE_ARTISTS", "RAW", "PIPE_REFRESH", "RAW_ARTISTS"),
     "raw_albums": Step("TASK_REFRESH_PIPE_ALBUMS", "RAW", "PIPE_REFRESH", "RAW_ALBUMS"),
 }
+
+MODEL = Model(
+    entities=ENTITIES,
+    dimensions=(DIM_ARTISTS, DIM_ALBUMS),
+    fact=FACT_SONGS,
+    schemas=SCHEMAS,
+    steps=STEPS,
+    marts={"songs_enriched": songs_enriched, "artist_summary": artist_summary},
+)

@@ -12,8 +12,10 @@ from lakestrata.functions.quality import quality_flag
 from lakestrata.functions.scalar import ts
 
 
-def _build(raw: DataFrame, columns, rules, run_ts: datetime) -> DataFrame:
-    return raw.select(
+def _build(raw: DataFrame, parsed, columns, rules, run_ts: datetime) -> DataFrame:
+    # Parsing is its own projection: Spark keeps it apart because its results are
+    # used several times, so no text is parsed twice.
+    return raw.withColumns(parsed).select(
         *columns,
         quality_flag(rules).alias("data_quality_flag"),
         F.col("_load_timestamp"),
@@ -23,9 +25,9 @@ def _build(raw: DataFrame, columns, rules, run_ts: datetime) -> DataFrame:
 
 def stage_full(raw: DataFrame, entity: Entity, run_ts: datetime) -> DataFrame:
     """Build staging anew from all raw rows."""
-    return _build(raw, entity.project(), entity.rules, run_ts)
+    return _build(raw, entity.parse(), entity.project(), entity.rules, run_ts)
 
 
 def stage_delta(raw: DataFrame, entity: Entity, run_ts: datetime) -> DataFrame:
     """Type and flag one batch of raw rows for the staging merge."""
-    return _build(raw, entity.delta_project(), entity.delta_rules, run_ts)
+    return _build(raw, entity.delta_parse(), entity.project(), entity.delta_rules, run_ts)

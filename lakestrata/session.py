@@ -46,6 +46,16 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+_work: list[str] = []
+
+
+def release_work(spark: SparkSession) -> None:
+    """Delete this session's working tables; nothing may still read them."""
+    while _work:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_work.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(
     df: DataFrame, partition_by: str | None = None, path: str | None = None
 ) -> DataFrame:
@@ -56,7 +66,9 @@ def materialize(
     die with an executor.  ``path`` puts it where the caller wants to keep it.
     """
     spark = df.sparkSession
-    path = path or f"{shared_dir(spark)}/work/{uuid.uuid4().hex}"
+    if path is None:
+        path = f"{shared_dir(spark)}/work/{uuid.uuid4().hex}"
+        _work.append(path)
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(partition_by)

@@ -95,7 +95,7 @@ class Data:
         """A dimension after its first load."""
         first = scd2.scd2_apply(
             self.empty(spec.table),
-            staged,
+            materialize(staged),
             spec,
             FIRST,
             start_key=0,
@@ -104,7 +104,7 @@ class Data:
             close_missing=False,
             reopen=False,
         )
-        return materialize(first.current)
+        return first.current
 
     def artists(self, text: str = feeds.ARTISTS_V1_KEYED) -> DataFrame:
         return self.dim(DIM_ARTISTS, self.staged(text, ARTISTS))
@@ -117,16 +117,15 @@ class Data:
 
     def next_dim(self, spec, current: DataFrame, staged: DataFrame) -> DataFrame:
         """All versions after the next cycle."""
-        return (
-            scd2.scd2_apply(current, staged, spec, SECOND, order_by=[spec.key])
-            .table(scd2.closed_rows(current))
-        )
+        return scd2.scd2_apply(
+            current, materialize(staged), spec, SECOND, order_by=[spec.key]
+        ).table(scd2.closed_rows(current))
 
     def fact(self, dims: dict[str, DataFrame], text: str = feeds.SONGS_V1_KEYED) -> DataFrame:
         """The fact table after its first load; one song in five was invalidated."""
         first = fact.fact_initial(
             self.empty("fact_songs"),
-            self.staged(text, SONGS),
+            materialize(self.staged(text, SONGS)),
             dims,
             FACT_SONGS,
             FIRST,
@@ -281,8 +280,10 @@ def stage_albums_inc(data: Data) -> DataFrame:
 @query
 def quality_flags(data: Data) -> DataFrame:
     """The first failing rule of each song, out of five."""
-    return data.raw(feeds.songs(), SONGS).select(
-        "song_url", quality_flag(SONGS.rules).alias("data_quality_flag")
+    return (
+        data.raw(feeds.songs(), SONGS)
+        .withColumns(SONGS.parse())
+        .select("song_url", quality_flag(SONGS.rules).alias("data_quality_flag"))
     )
 
 
@@ -616,7 +617,11 @@ def fact_initial(data: Data) -> DataFrame:
     dims = data.dims()
     return fact.fact_initial(
         data.fact(dims),
-        stage_full(data.raw(feeds.SONGS_V2_KEYED, SONGS, feeds.NEXT_TS), SONGS, feeds.NEXT_TS),
+        materialize(
+            stage_full(
+                data.raw(feeds.SONGS_V2_KEYED, SONGS, feeds.NEXT_TS), SONGS, feeds.NEXT_TS
+            )
+        ),
         dims,
         FACT_SONGS,
         SECOND,
@@ -639,7 +644,7 @@ def _fact_cycle(data: Data, new_songs: str) -> DataFrame:
     }
     return fact.fact_apply(
         before,
-        data.delta(new_songs, SONGS),
+        materialize(data.delta(new_songs, SONGS)),
         after,
         FACT_SONGS,
         SECOND,
