@@ -21,7 +21,7 @@ from lakestrata.operators.keyed import (
 from lakestrata.operators.keys import assign_keys, highest
 from lakestrata.operators.merge import INSERT, KEEP, OP, UPDATE, merge
 from lakestrata.operators.scd2 import Clock, current_rows
-from lakestrata.operators.sets import distinct_keys, null_stats
+from lakestrata.operators.sets import join_once, mark_members, null_stats
 from lakestrata.session import materialize
 
 VALIDITY = "_validity"
@@ -57,13 +57,12 @@ def soft_delete(fact: DataFrame, staged: DataFrame, key: str) -> DataFrame:
     """``is_valid`` off for valid rows whose key is NOT IN staging (of any quality)."""
     stats = null_stats(staged, key).scalar()
     n, n_null = stats.getField("n"), stats.getField("n_null")
-    keys = distinct_keys(staged, key, "_k").withColumn("_here", F.lit(True))
     absent = F.col("_here").isNull() & (
         (n == 0) | ((n_null == 0) & F.col(key).isNotNull())
     )
     live = F.col("is_valid")
     return (
-        fact.join(keys, fact[key] == keys["_k"], "left")
+        mark_members(fact, staged, key, "_here")
         .withColumn("is_valid", F.when(live & absent, F.lit(False)).otherwise(live))
         .select(*fact.columns)
     )
@@ -71,10 +70,9 @@ def soft_delete(fact: DataFrame, staged: DataFrame, key: str) -> DataFrame:
 
 def revalidate(fact: DataFrame, staged: DataFrame, key: str) -> DataFrame:
     """``is_valid`` on for invalidated rows whose key is IN valid staging."""
-    keys = distinct_keys(valid_rows(staged), key, "_k").withColumn("_here", F.lit(True))
     back = ~F.col("is_valid") & F.col("_here").isNotNull()
     return (
-        fact.join(keys, fact[key] == keys["_k"], "left")
+        mark_members(fact, valid_rows(staged), key, "_here")
         .withColumn("is_valid", F.when(back, F.lit(True)).otherwise(F.col("is_valid")))
         .select(*fact.columns)
     )
@@ -98,13 +96,22 @@ def fact_changes(
     stats = null_stats(staged, spec.key).scalar()
     n, n_null = stats.getField("n"), stats.getField("n_null")
 
-    old, new = F.col(IN_LEFT).isNotNull(), F.col(IN_RIGHT).isNotNull()
-    valid = new & (F.col("r.data_quality_flag") == VALID)
-    hit = old & valid & changed("l", "r", spec.compare)
-    absent = old & ~new & ((n == 0) | ((n_null == 0) & F.col(f"l.{spec.key}").isNotNull()))
-    joined = outer_on_key(split.left, split.right, spec.key).where(old | valid)
-    off = F.col("l.is_valid") & absent
-    on = ~F.col("l.is_valid") & valid
+    here, there = F.col(IN_LEFT).isNotNull(), F.col(IN_RIGHT).isNotNull()
+    good = there & (F.col("r.data_quality_flag") == VALID)
+    absent = here & ~there & ((n == 0) | ((n_null == 0) & F.col(f"l.{spec.key}").isNotNull()))
+    # Tests get a projection of their own, or each column would carry a copy of them.
+    joined = (
+        outer_on_key(split.left, split.right, spec.key)
+        .where(here | good)
+        .select(
+            "*",
+            here.alias("_old"),
+            (here & good & changed("l", "r", spec.compare)).alias("_hit"),
+            (F.col("l.is_valid") & absent).alias("_off"),
+            (~F.col("l.is_valid") & good).alias("_on"),
+        )
+    )
+    old, hit, off, on = (F.col(c) for c in ("_old", "_hit", "_off", "_on"))
 
     columns = []
     for f in fact.schema.fields:
@@ -145,7 +152,7 @@ def _literal_changes(
     )
     off = F.col("is_valid") & F.col("_any_valid").isNull() & (n_null == 0)
     on = ~F.col("is_valid") & F.coalesce(F.col("_any_valid"), F.lit(False))
-    marked = merged.join(here, merged[spec.key] == here["_k"], "left").withColumn(
+    marked = join_once(merged, here, spec.key, "_k").withColumn(
         VALIDITY, F.when(off, INVALIDATED).when(on, REVALIDATED)
     )
     flag = (

@@ -77,10 +77,15 @@ def split_on_duplicates(
 
 
 def null_salt(key: str) -> Column:
-    """0 for rows with a key; rows without one get their input partition's number."""
-    return F.when(
-        F.col(key).isNull(), F.pmod(F.spark_partition_id(), F.lit(NULL_SPREAD))
-    ).otherwise(F.lit(0))
+    """0 for rows with a key; rows without one get their input partition's number.
+
+    The 0 is computed, so the optimizer cannot drop the salt where it proves that
+    there is a key: ``join_once`` needs the shuffle that comes with it.
+    """
+    partition = F.spark_partition_id()
+    return F.when(F.col(key).isNull(), F.pmod(partition, F.lit(NULL_SPREAD))).otherwise(
+        F.pmod(partition, F.lit(1))
+    )
 
 
 def outer_on_key(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

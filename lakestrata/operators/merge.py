@@ -17,7 +17,7 @@ from lakestrata.operators.keyed import (
     outer_on_key,
     split_on_duplicates,
 )
-from lakestrata.operators.sets import distinct_keys, null_stats
+from lakestrata.operators.sets import mark_members, null_stats, semi_in, without_members
 
 OP = "_op"
 INSERT, UPDATE, DELETE, KEEP = "insert", "update", "delete", "keep"
@@ -32,23 +32,15 @@ def duplicate_updates(
     Copies are collapsed into counts first, so a hot key costs one row per
     distinct version of it.
     """
-    dups = duplicate_keys(source, key).select(key)
+    counts = duplicate_keys(source, key)
     if compare is None:
-        counts = duplicate_keys(source, key)
-        return (
-            counts.join(distinct_keys(target, key), key, "left_semi")
-            .select(key, F.col("n").alias("source_rows"))
-        )
+        return semi_in(counts, target, key).select(key, F.col("n").alias("source_rows"))
     versions = (
-        source.join(dups, key, "left_semi")
+        semi_in(source, counts, key)
         .groupBy(key, *compare)
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    held = (
-        target.select(key, *compare)
-        .join(versions.select(key).distinct(), key, "left_semi")
-        .distinct()
-    )
+    held = semi_in(target.select(key, *compare), counts, key).distinct()
     per_target = (
         held.alias("t")
         .join(versions.alias("s"), F.col(f"t.{key}") == F.col(f"s.{key}"))
@@ -126,14 +118,12 @@ def merge(
     # A matched key now has one updating source row at most, so left join; a new
     # key's rows are plain inserts.  Both joins are of kinds AQE can split.
     candidates = single_versions(s, key, compare) if compare else s
-    updating = t.alias("l").join(
+    updating = mark_members(t, s, key, "_in_source").alias("l").join(
         candidates.select("*", F.lit(True).alias("_here")).alias("r"),
         (F.col(f"l.{key}") == F.col(f"r.{key}"))
         & (changed("l", "r", compare) if compare else F.lit(True)),
         "left",
     )
-    present = distinct_keys(s, key, "_src").withColumn("_in_source", F.lit(True))
-    updating = updating.join(present, F.col(f"l.{key}") == F.col("_src"), "left")
     hit = F.col(IN_RIGHT).isNotNull()
     gone = F.col("_in_source").isNull() & guard
     kept = updating.select(
@@ -145,7 +135,7 @@ def merge(
         ],
         F.when(hit, UPDATE).when(gone, DELETE).otherwise(KEEP).alias(OP),
     )
-    fresh = s.join(distinct_keys(t, key), key, "left_anti").select(
+    fresh = without_members(s, t, key).select(
         *[
             (F.col(c) if c in s.columns else defaults.get(c, F.lit(None)))
             .cast(types[c])
@@ -176,8 +166,15 @@ def _resolve(
     defaults: Mapping[str, Column],
     guard: Column,
 ) -> DataFrame:
-    old, new = F.col(IN_LEFT).isNotNull(), F.col(IN_RIGHT).isNotNull()
-    hit = old & new & (changed("l", "r", compare) if compare else F.lit(True))
+    here, there = F.col(IN_LEFT).isNotNull(), F.col(IN_RIGHT).isNotNull()
+    # Tests get a projection of their own, or each column would carry a copy of them.
+    joined = joined.select(
+        "*",
+        here.alias("_old"),
+        (here & there & (changed("l", "r", compare) if compare else F.lit(True))).alias("_hit"),
+        (here & ~there & guard & F.col(f"l.{key}").isNotNull()).alias("_gone"),
+    )
+    old, hit, gone = F.col("_old"), F.col("_hit"), F.col("_gone")
     out = []
     for c, kind in types.items():
         fresh = F.col(f"r.{c}") if c in source_columns else defaults.get(c, F.lit(None))
@@ -185,7 +182,6 @@ def _resolve(
         if c in update:
             value = value.when(hit, _value(update[c]))
         out.append(value.otherwise(F.col(f"l.{c}")).cast(kind).alias(c))
-    gone = old & ~new & guard & F.col(f"l.{key}").isNotNull()
     op = (
         F.when(~old, INSERT).when(hit, UPDATE).when(gone, DELETE).otherwise(KEEP).alias(OP)
     )

@@ -20,7 +20,12 @@ from lakestrata.operators.keyed import (
 )
 from lakestrata.operators.keys import assign_keys, highest
 from lakestrata.operators.merge import OP, raise_on_duplicate_updates, single_versions
-from lakestrata.operators.sets import anti_not_in, distinct_keys, null_stats
+from lakestrata.operators.sets import (
+    anti_not_in,
+    mark_members,
+    null_stats,
+    without_members,
+)
 from lakestrata.session import materialize
 
 KEEP, CLOSE, INSERT, REOPEN = "keep", "close", "insert", "reopen"
@@ -88,21 +93,27 @@ def scd2_changes(
     if not reopen:
         may_reopen = F.lit(False)
 
-    old, new = F.col(IN_LEFT).isNotNull(), F.col(IN_RIGHT).isNotNull()
-    valid = new & (F.col("r.data_quality_flag") == VALID)
-    differs = old & valid & changed("l", "r", compare)
-    gone = old & ~new & F.col(f"l.{spec.key}").isNotNull() & ~blocked
-    joined = outer_on_key(split.left, split.right, spec.key)
+    here, there = F.col(IN_LEFT).isNotNull(), F.col(IN_RIGHT).isNotNull()
+    good = there & (F.col("r.data_quality_flag") == VALID)
+    differs = here & good & changed("l", "r", compare)
+    gone = here & ~there & F.col(f"l.{spec.key}").isNotNull() & ~blocked
+    # Tests get a projection of their own, or each column would carry a copy of them.
+    joined = outer_on_key(split.left, split.right, spec.key).select(
+        "*",
+        here.alias("_old"),
+        (differs | gone).alias("_closing"),
+        ((good & ~here) | (differs & may_reopen)).alias("_starts"),
+    )
+    old, closing, starts = F.col("_old"), F.col("_closing"), F.col("_starts")
 
     kept = F.struct(
-        *[_close(c, differs | gone, clock) for c in current.columns],
-        F.when(differs | gone, CLOSE).otherwise(KEEP).alias(OP),
+        *[_close(c, closing, clock) for c in current.columns],
+        F.when(closing, CLOSE).otherwise(KEEP).alias(OP),
     )
     version = F.struct(
         *_new_version(current, spec, clock, "r."),
         F.when(old, REOPEN).otherwise(INSERT).alias(OP),
     )
-    starts = (valid & ~old) | (differs & may_reopen)
     rows = F.array_compact(F.array(F.when(old, kept), F.when(starts, version)))
     out = joined.select(F.inline(rows))
     if split.dup_left is None:
@@ -172,22 +183,19 @@ def _literal_changes(
     same = F.col(f"l.{key}") == F.col(f"r.{key}")
     for c in compare:
         same = same & F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))
-    present = distinct_keys(staged, key, "_src").withColumn("_present", F.lit(True))
     closing = F.col(IN_RIGHT).isNotNull() | (F.col("_present").isNull() & ~blocked)
     kept = (
-        current.alias("l")
+        mark_members(current, staged, key, "_present")
+        .alias("l")
         .join(outdated.alias("r"), same, "left")
-        .join(present, F.col(f"l.{key}") == F.col("_src"), "left")
         .select(
             *[_close(c, closing, clock) for c in current.columns],
             F.when(closing, CLOSE).otherwise(KEEP).alias(OP),
         )
     )
-    still = distinct_keys(kept.where(F.col(OP) == KEEP), key, "_key")
-    known = distinct_keys(current, key, "_known").withColumn("_old", F.lit(True))
+    closed_out = without_members(valid, kept.where(F.col(OP) == KEEP), key)
     fresh = (
-        valid.join(still, F.col(key) == F.col("_key"), "left_anti")
-        .join(known, F.col(key) == F.col("_known"), "left")
+        mark_members(closed_out, current, key, "_old")
         .where(F.col("_old").isNull() | may_reopen)
         .select(
             *_new_version(current, spec, clock, ""),

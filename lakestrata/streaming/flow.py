@@ -197,7 +197,6 @@ class Flow:
             spec,
             clock,
             start_key=top,
-            order_by=[spec.key],
             path=path,
             **options,
         )
@@ -232,7 +231,6 @@ class Flow:
             spec,
             clock,
             start_key=top,
-            order_by=[spec.key],
             path=path,
             **options,
         )

@@ -88,6 +88,13 @@ class Data:
     def delta(self, text: str, entity: Entity) -> DataFrame:
         return stage_delta(self.raw(text, entity, feeds.NEXT_TS), entity, feeds.NEXT_TS)
 
+    def stored(self, text: str, entity: Entity) -> DataFrame:
+        """Staging as the stored table it is to later steps, which read it repeatedly."""
+        return materialize(self.staged(text, entity))
+
+    def stored_delta(self, text: str, entity: Entity) -> DataFrame:
+        return materialize(self.delta(text, entity))
+
     def empty(self, table: str) -> DataFrame:
         return self.spark.createDataFrame([], SCHEMAS[table])
 
@@ -125,7 +132,7 @@ class Data:
         """The fact table after its first load; one song in five was invalidated."""
         first = fact.fact_initial(
             self.empty("fact_songs"),
-            materialize(self.staged(text, SONGS)),
+            self.stored(text, SONGS),
             dims,
             FACT_SONGS,
             FIRST,
@@ -347,7 +354,7 @@ def semi_in(data: Data) -> DataFrame:
 
 def _not_in(data: Data, new: str) -> DataFrame:
     songs = data.staged(feeds.SONGS_V1, SONGS)
-    return sets.anti_not_in(songs, data.delta(new, SONGS), "song_id").select(
+    return sets.anti_not_in(songs, data.stored_delta(new, SONGS), "song_id").select(
         "song_id", "song_name"
     )
 
@@ -373,7 +380,7 @@ def anti_not_in_empty(data: Data) -> DataFrame:
 
 def _guarded(data: Data, new: str) -> DataFrame:
     songs = data.staged(feeds.SONGS_V1, SONGS)
-    return sets.guarded_delete(songs, data.delta(new, SONGS), "song_id").select(
+    return sets.guarded_delete(songs, data.stored_delta(new, SONGS), "song_id").select(
         "song_id", "song_name", "data_quality_flag"
     )
 
@@ -406,7 +413,7 @@ def merge_upsert(data: Data) -> DataFrame:
 @query
 def merge_songs(data: Data) -> DataFrame:
     changes = merge.merge(
-        data.staged(feeds.SONGS_V1, SONGS), data.delta(feeds.SONGS_V2, SONGS), "song_id"
+        data.stored(feeds.SONGS_V1, SONGS), data.stored_delta(feeds.SONGS_V2, SONGS), "song_id"
     )
     return merge.state(changes)
 
@@ -414,8 +421,8 @@ def merge_songs(data: Data) -> DataFrame:
 @query
 def merge_artists(data: Data) -> DataFrame:
     changes = merge.merge(
-        data.staged(feeds.ARTISTS_V1, ARTISTS),
-        data.delta(feeds.ARTISTS_V2, ARTISTS),
+        data.stored(feeds.ARTISTS_V1, ARTISTS),
+        data.stored_delta(feeds.ARTISTS_V2, ARTISTS),
         "artist_id",
     )
     return merge.state(changes)
@@ -424,7 +431,7 @@ def merge_artists(data: Data) -> DataFrame:
 @query
 def merge_albums(data: Data) -> DataFrame:
     changes = merge.merge(
-        data.staged(feeds.ALBUMS_V1, ALBUMS), data.delta(feeds.ALBUMS_V2, ALBUMS), "album_id"
+        data.stored(feeds.ALBUMS_V1, ALBUMS), data.stored_delta(feeds.ALBUMS_V2, ALBUMS), "album_id"
     )
     return merge.state(changes)
 
@@ -433,8 +440,8 @@ def merge_albums(data: Data) -> DataFrame:
 def merge_snapshot(data: Data) -> DataFrame:
     """Merge and guarded delete in one join."""
     changes = merge.merge(
-        data.staged(feeds.SONGS_V1_KEYED, SONGS),
-        data.delta(feeds.SONGS_V2_KEYED, SONGS),
+        data.stored(feeds.SONGS_V1_KEYED, SONGS),
+        data.stored_delta(feeds.SONGS_V2_KEYED, SONGS),
         "song_id",
         delete_missing=True,
     )
@@ -445,7 +452,7 @@ def merge_snapshot(data: Data) -> DataFrame:
 def merge_null_keys(data: Data) -> DataFrame:
     """Rows without a key after merging a snapshot: old ones stay, new ones come in."""
     changes = merge.merge(
-        data.staged(feeds.SONGS_V1, SONGS), data.delta(feeds.SONGS_V2, SONGS), "song_id"
+        data.stored(feeds.SONGS_V1, SONGS), data.stored_delta(feeds.SONGS_V2, SONGS), "song_id"
     )
     return merge.state(changes).where(F.col("song_id").isNull()).select(
         "song_url", "song_name", "_load_timestamp"
@@ -455,8 +462,8 @@ def merge_null_keys(data: Data) -> DataFrame:
 @query
 def merge_counts(data: Data) -> DataFrame:
     changes = merge.merge(
-        data.staged(feeds.SONGS_V1_KEYED, SONGS),
-        data.delta(feeds.SONGS_V2_KEYED, SONGS),
+        data.stored(feeds.SONGS_V1_KEYED, SONGS),
+        data.stored_delta(feeds.SONGS_V2_KEYED, SONGS),
         "song_id",
         delete_missing=True,
     )
@@ -477,7 +484,7 @@ def merge_duplicates(data: Data) -> DataFrame:
 def merge_fact(data: Data) -> DataFrame:
     dims = data.dims()
     source = fact.lookup_keys(
-        data.delta(feeds.SONGS_V2_KEYED, SONGS).where("data_quality_flag = 'VALID'"),
+        data.stored_delta(feeds.SONGS_V2_KEYED, SONGS).where("data_quality_flag = 'VALID'"),
         dims,
         FACT_SONGS.lookups,
     ).select("song_id", *FACT_SONGS.attributes)
@@ -580,7 +587,7 @@ def scd2_albums_null_keys(data: Data) -> DataFrame:
 def scd2_actions(data: Data) -> DataFrame:
     return scd2.scd2_actions(
         scd2.current_rows(data.albums()),
-        data.delta(feeds.ALBUMS_V2_KEYED, ALBUMS),
+        data.stored_delta(feeds.ALBUMS_V2_KEYED, ALBUMS),
         "album_id",
         DIM_ALBUMS.attributes,
     )
@@ -644,7 +651,7 @@ def _fact_cycle(data: Data, new_songs: str) -> DataFrame:
     }
     return fact.fact_apply(
         before,
-        materialize(data.delta(new_songs, SONGS)),
+        data.stored_delta(new_songs, SONGS),
         after,
         FACT_SONGS,
         SECOND,
@@ -666,14 +673,14 @@ def fact_cycle_null_keys(data: Data) -> DataFrame:
 @query
 def soft_delete(data: Data) -> DataFrame:
     songs = data.fact(data.dims())
-    staged = data.delta(feeds.SONGS_V2_KEYED, SONGS)
+    staged = data.stored_delta(feeds.SONGS_V2_KEYED, SONGS)
     return fact.soft_delete(songs, staged, "song_id").select("song_sk", "song_id", "is_valid")
 
 
 @query
 def revalidate(data: Data) -> DataFrame:
     songs = data.fact(data.dims())
-    staged = data.delta(feeds.SONGS_V2_KEYED, SONGS)
+    staged = data.stored_delta(feeds.SONGS_V2_KEYED, SONGS)
     return fact.revalidate(songs, staged, "song_id").select("song_sk", "song_id", "is_valid")
 
 
@@ -738,14 +745,14 @@ def audit_log(data: Data) -> DataFrame:
     }
     changes = {
         table: merge.merge(
-            data.staged(old, entity), data.delta(new, entity), entity.key, delete_missing=True
+            data.stored(old, entity), data.stored_delta(new, entity), entity.key, delete_missing=True
         )
         for table, (old, new, entity) in staging.items()
     }
     dims = data.dims()
     results = {
         spec.table: scd2.scd2_apply(
-            dims[spec.table], data.delta(text, entity), spec, SECOND, order_by=[spec.key]
+            dims[spec.table], data.stored_delta(text, entity), spec, SECOND, order_by=[spec.key]
         )
         for spec, text, entity in (
             (DIM_ARTISTS, feeds.ARTISTS_V2_KEYED, ARTISTS),
@@ -755,7 +762,7 @@ def audit_log(data: Data) -> DataFrame:
     changes |= {table: r.changes for table, r in results.items()}
     changes["fact_songs"] = fact.fact_changes(
         data.fact(dims),
-        data.delta(feeds.SONGS_V2_KEYED, SONGS),
+        data.stored_delta(feeds.SONGS_V2_KEYED, SONGS),
         {table: r.current for table, r in results.items()},
         FACT_SONGS,
         SECOND,

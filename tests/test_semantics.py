@@ -423,3 +423,103 @@ def test_rules_see_untrimmed_text(spark):
     song = raw_row(spark, SONGS, song_id="  ", song_added="2024-01-01 00:00:00")
     row = stage_full(song, SONGS, OLD).first()
     assert (row["song_id"], row["data_quality_flag"]) == ("", "VALID")
+
+
+# -- skew ---------------------------------------------------------------------------------
+
+
+@pytest.fixture
+def small_partitions(spark):
+    """Thresholds so low that a hot key of a test table counts as skew."""
+    wanted = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10000",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def partition_sizes(df):
+    return sorted(r["n"] for r in df.groupBy(F.spark_partition_id().alias("p")).agg(
+        F.count(F.lit(1)).alias("n")).collect())
+
+
+def executed(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+HOT = "case when id % 3 = 0 then 'hot' else cast(id as string) end k"
+
+
+@pytest.mark.parametrize("how", ["semi", "anti", "guard", "mark"])
+def test_hot_left_key_is_split(spark, small_partitions, how):
+    left = spark.range(0, 30_000, 1, 8).selectExpr(HOT, "sha2(cast(id as string), 256) v")
+    right = spark.range(0, 30_000, 2, 4).selectExpr(
+        "case when id % 3 = 0 then 'hot' else cast(id as string) end k"
+    )
+    df = {
+        "semi": sets.semi_in,
+        "anti": lambda a, b, k: sets.anti_not_in(a, b.where("k <> 'hot'"), k),
+        "guard": sets.guarded_delete,
+        "mark": lambda a, b, k: sets.mark_members(a, b, k, "m"),
+    }[how](left, right, "k")
+    assert "skew=true" in executed(df)
+    ids = range(30_000)
+    hit = sum(1 for i in ids if i % 3 == 0 or i % 2 == 0)
+    n = {"semi": hit, "anti": 30_000 - hit + 10_000, "guard": hit, "mark": 30_000}[how]
+    assert df.count() == n
+
+
+def test_rows_without_a_key_are_spread(spark, small_partitions):
+    """A third of both sides has no key: no task of the join gets them all."""
+    rows = "case when id % 3 = 0 then null else cast(id as string) end k"
+    t = spark.range(0, 30_000, 1, 64).selectExpr(rows, "id v")
+    s = spark.range(1, 30_001, 1, 64).selectExpr(rows, "id + 1 v")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = merge.merge(t, s, "k")
+        sizes = partition_sizes(out)
+        assert sum(sizes) == out.count() == 30_000 - 10_000 + 20_000
+        assert max(sizes) < 8_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_merge_with_a_hot_new_key_and_a_hot_old_key(spark):
+    """A third of the source is one new key, a third of the target is one old key."""
+    t = spark.range(9_000).selectExpr(
+        "case when id % 3 = 0 then 'old' else cast(id as string) end k", "'x' a"
+    )
+    s = spark.range(9_000).selectExpr(
+        "case when id % 3 = 0 then 'new' else concat('s', id) end k", "'y' a"
+    ).unionByName(spark.createDataFrame([("old", "y"), ("1", "y")], "k string, a string"))
+    counts = {r["_op"]: r["n"] for r in merge.change_counts(merge.merge(t, s, "k")).collect()}
+    assert counts == {"insert": 9_000, "update": 3_001, "keep": 5_999}
+    counts = {
+        r["_op"]: r["n"]
+        for r in merge.change_counts(merge.merge(t, s, "k", compare=["a"])).collect()
+    }
+    assert counts == {"insert": 9_000, "update": 3_001, "keep": 5_999}
+
+
+def test_scd2_two_staged_rows_one_of_them_new(spark):
+    """Closed by the one that differs, then both come in: two current rows."""
+    dim = spark.createDataFrame(
+        [(1, "k", "x", None, date(2024, 1, 1), None, True, OLD, OLD)], DIM
+    )
+    staged = spark.createDataFrame(
+        [("k", "x", None, "VALID"), ("k", "y", None, "VALID")], STAGED
+    )
+    after = scd2.scd2_apply(dim, staged, SPEC, CLOCK).table(scd2.closed_rows(dim))
+    got = sorted((r["a"], r["is_current"]) for r in after.collect())
+    assert got == [("x", False), ("x", True), ("y", True)]
+    assert checks.duplicates(scd2.current_rows(after), "k").count() == 1
