@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lakestrata.operators.sets import join_once
+
 
 def row_counts(
     tables: Mapping[str, DataFrame], name: str = "table_name", count: str = "row_count"
@@ -40,17 +42,37 @@ def orphans(fact: DataFrame, dim: DataFrame, surrogate: str) -> DataFrame:
 def overlaps(dim: DataFrame, key: str, surrogate: str) -> DataFrame:
     """Versions valid on a day on which the next version of the key is valid too.
 
+    The next version is the one with the next start date, then surrogate key.
     Versions with an empty range (two changes in a day) cannot overlap anything.
-    The window holds the versions of one key, one per change at most.
+    The window runs over the distinct start days of a key, not over its versions,
+    so a key with very many versions is no heavier than its calendar.
     """
-    order = Window.partitionBy(key).orderBy("eff_start_date", surrogate)
     real = F.col("eff_end_date").isNull() | (F.col("eff_start_date") <= F.col("eff_end_date"))
-    following = dim.where(F.col(key).isNotNull() & real).select(
+    versions = dim.where(F.col(key).isNotNull() & real).select(
+        key,
+        surrogate,
+        "eff_start_date",
+        "eff_end_date",
+        F.struct(key, "eff_start_date").alias("_start"),
+    )
+    by_day = Window.partitionBy(key).orderBy("eff_start_date")
+    starts = (
+        versions.groupBy(key, "eff_start_date")
+        .agg(F.max(surrogate).alias("_last"))
+        .select(
+            F.struct(key, "eff_start_date").alias("_day"),
+            "_last",
+            F.lead("eff_start_date").over(by_day).alias("_next"),
+        )
+    )
+    following = join_once(versions, starts, "_start", "_day").select(
         key,
         surrogate,
         "eff_start_date",
         "eff_end_date",
-        F.lead("eff_start_date").over(order).alias("next_start_date"),
+        F.when(F.col(surrogate) < F.col("_last"), F.col("eff_start_date"))
+        .otherwise(F.col("_next"))
+        .alias("next_start_date"),
     )
     return following.where(
         F.col("next_start_date").isNotNull()

@@ -18,7 +18,7 @@ from lakestrata.operators.keyed import (
     outer_on_key,
     split_on_duplicates,
 )
-from lakestrata.operators.keys import assign_keys, highest
+from lakestrata.operators.keys import COPY, assign_keys, highest, with_place
 from lakestrata.operators.merge import INSERT, KEEP, OP, UPDATE, merge
 from lakestrata.operators.scd2 import Clock, current_rows
 from lakestrata.operators.sets import join_once, mark_members, null_stats
@@ -179,9 +179,11 @@ def key_new_rows(
     path: str | None = None,
 ) -> FactResult:
     """Write the changes once, then number only the inserted rows."""
+    if order_by:
+        changes = with_place(changes)
     changes = materialize(changes, partition_by=OP, path=path)
     fresh = changes.where(F.col(OP) == INSERT).select(
-        *[c for c in columns if c != spec.surrogate]
+        *[c for c in changes.columns if c in (*columns, COPY) and c != spec.surrogate]
     )
     keyed = assign_keys(fresh, spec.surrogate, start_key, order_by).select(*columns)
     rest = changes.where(F.col(OP) != INSERT).select(*columns)

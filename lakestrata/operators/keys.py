@@ -11,6 +11,7 @@ from lakestrata.session import materialize
 
 # monotonically_increasing_id() keeps the partition above bit 33, the row below.
 ROW_BITS = 33
+COPY = "_copy"
 
 
 def highest(df: DataFrame, key: str) -> int:
@@ -45,17 +46,24 @@ def number_rows(df: DataFrame, name: str, start: int = 0) -> DataFrame:
     )
 
 
+def with_place(df: DataFrame) -> DataFrame:
+    """Add ``_copy``, a number of its own for each row, for writing with the rows."""
+    return df.withColumn(COPY, F.monotonically_increasing_id())
+
+
 def assign_keys(
     df: DataFrame, name: str, start: int = 0, order_by: Sequence[str] | None = None
 ) -> DataFrame:
     """Give every row a new surrogate key above ``start``.
 
-    Without ``order_by`` rows are numbered where they are.  With it, keys follow
-    that order: rows are range-partitioned on it and then on all other columns, so
-    many rows with one natural key still spread over several ranges.
+    Without ``order_by`` rows are numbered where they are, with no shuffle.  With it,
+    keys follow that order: rows are range-partitioned on it and on ``_copy``, a
+    written number per row, so even many equal rows spread over several ranges.  A
+    table that was written ``with_place`` brings it along; else it is added here.
     """
     if order_by:
-        ties = [c for c in df.columns if c not in order_by]
-        order = [*order_by, *ties]
+        if COPY not in df.columns:
+            df = materialize(with_place(df))
+        order = [*order_by, COPY]
         df = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    return number_rows(df, name, start)
+    return number_rows(df.drop(COPY), name, start)

@@ -18,7 +18,7 @@ from lakestrata.operators.keyed import (
     outer_on_key,
     split_on_duplicates,
 )
-from lakestrata.operators.keys import assign_keys, highest
+from lakestrata.operators.keys import assign_keys, highest, with_place
 from lakestrata.operators.merge import OP, raise_on_duplicate_updates, single_versions
 from lakestrata.operators.sets import (
     anti_not_in,
@@ -235,9 +235,10 @@ def scd2_apply(
     """
     if start_key is None:
         start_key = highest(current, spec.surrogate)
-    changes = materialize(
-        scd2_changes(current, staged, spec, clock, **options), partition_by=OP, path=path
-    )
+    changes = scd2_changes(current, staged, spec, clock, **options)
+    if order_by:
+        changes = with_place(changes)
+    changes = materialize(changes, partition_by=OP, path=path)
     fresh = changes.where(F.col(OP).isin(INSERT, REOPEN)).drop(OP, spec.surrogate)
     keyed = assign_keys(fresh, spec.surrogate, start_key, order_by)
     columns = current.columns

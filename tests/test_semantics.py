@@ -329,6 +329,44 @@ def test_keys_are_dense_and_ordered_with_a_hot_key(spark):
     assert Counter((r["k"], r["v"]) for r in plain) == Counter((r["k"], r["v"]) for r in got)
 
 
+def test_equal_rows_spread_over_ranges(spark, small_partitions):
+    """A third of the rows are copies of one row; no single range takes them all."""
+    df = spark.range(0, 30_000, 1, 8).selectExpr(HOT)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = keys.assign_keys(df, "sk", 0, ["k"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got.select("sk").distinct().count() == 30_000
+    hot = got.where("k = 'hot'")
+    span = hot.agg(F.min("sk"), F.max("sk"), F.count("sk")).first()
+    assert span[1] - span[0] + 1 == span[2] == 10_000
+    assert hot.select(F.input_file_name().alias("f")).distinct().count() > 1
+
+
+def test_overlaps_match_a_plain_window(spark):
+    from pyspark.sql.window import Window
+
+    rng = random.Random(3)
+    rows = []
+    for i in range(400):
+        start = date(2024, 1, rng.randrange(1, 28))
+        end = None if rng.random() < 0.2 else date(2024, 1, rng.randrange(1, 31))
+        rows.append((i, f"k{rng.randrange(40)}" if i % 3 else "hot", start, end))
+    dim = spark.createDataFrame(
+        rows, "sk bigint, k string, eff_start_date date, eff_end_date date"
+    )
+    w = Window.partitionBy("k").orderBy("eff_start_date", "sk")
+    real = dim.where("eff_end_date is null or eff_start_date <= eff_end_date")
+    want = real.withColumn("nxt", F.lead("eff_start_date").over(w)).where(
+        "nxt is not null and (eff_end_date is null or eff_end_date >= nxt)"
+    )
+    got = checks.overlaps(dim, "k", "sk")
+    assert {(r["sk"], r["next_start_date"]) for r in got.collect()} == {
+        (r["sk"], r["nxt"]) for r in want.collect()
+    }
+
+
 def test_keep_latest_leaves_history_alone(spark):
     dim = spark.createDataFrame(
         [(1, "a", False), (2, "a", True), (3, "a", True), (4, None, True), (5, None, True)],
