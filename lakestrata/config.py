@@ -42,6 +42,8 @@ class Entity:
     rules: tuple[Rule, ...]
     delta_parse: Callable[[], dict[str, Column]]
     delta_rules: tuple[Rule, ...]
+    # Longest text each column should hold; reported on, not enforced.
+    limits: Mapping[str, int]
 
     @property
     def raw_table(self) -> str:

@@ -83,6 +83,16 @@ def overlaps(dim: DataFrame, key: str, surrogate: str) -> DataFrame:
     )
 
 
+def text_limits(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:
+    """Rows per column whose text is longer than its limit, in one pass."""
+    over = df.agg(*[F.count_if(F.length(c) > n).alias(c) for c, n in limits.items()])
+    found = over.unpivot([], list(limits), "column_name", "rows_over")
+    longest = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])
+    return found.select(
+        "column_name", longest[F.col("column_name")].alias("max_length"), "rows_over"
+    )
+
+
 def describe(df: DataFrame) -> DataFrame:
     """Column, type and nullability of a table."""
     rows = [(f.name, f.dataType.simpleString(), f.nullable) for f in df.schema.fields]

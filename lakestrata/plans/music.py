@@ -101,6 +101,15 @@ SONGS = Entity(
         ("MISSING_SONG_ID", _missing("song_id")),
         ("INVALID_DURATION", _missing("_millis")),
     ),
+    limits={
+        "song_id": 100,
+        "song_name": 500,
+        "song_duration": 20,
+        "song_url": 1000,
+        "song_added": 100,
+        "album_id": 100,
+        "artist_id": 100,
+    },
 )
 
 ARTISTS = Entity(
@@ -118,6 +127,7 @@ ARTISTS = Entity(
         ("MISSING_ARTIST_ID", _missing("artist_id")),
         ("MISSING_ARTIST_NAME", _missing("artist_name")),
     ),
+    limits={"artist_id": 100, "artist_name": 500, "external_url": 1000},
 )
 
 ALBUMS = Entity(
@@ -141,6 +151,13 @@ ALBUMS = Entity(
         ("MISSING_ALBUM_ID", _missing("album_id")),
         ("INVALID_RELEASE_DATE", _missing("_any_date")),
     ),
+    limits={
+        "album_id": 100,
+        "album_name": 500,
+        "album_release_date": 50,
+        "album_total_tracks": 10,
+        "album_url": 1000,
+    },
 )
 
 ENTITIES = (SONGS, ARTISTS, ALBUMS)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,14 +52,21 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-_work: list[str] = []
+_open: list[list[str]] = []
 
 
-def release_work(spark: SparkSession) -> None:
-    """Delete this session's working tables; nothing may still read them."""
-    while _work:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_work.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+@contextmanager
+def working_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete the working tables made inside, once nothing can read them any more."""
+    made: list[str] = []
+    _open.append(made)
+    try:
+        yield
+    finally:
+        _open.remove(made)
+        for name in made:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(
@@ -73,7 +82,8 @@ def materialize(
     temporary = path is None
     if temporary:
         path = f"{shared_dir(spark)}/work/{uuid.uuid4().hex}"
-        _work.append(path)
+        if _open:
+            _open[-1].append(path)
     writer = df.write.mode("errorifexists")
     if temporary:
         writer = writer.option("compression", "snappy")

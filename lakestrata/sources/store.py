@@ -161,10 +161,11 @@ class Store:
                 if part.getPath().getName() not in used:
                     fs.delete(part.getPath(), True)
 
-    def register_views(self, prefix: str = "") -> None:
+    def register_views(self) -> None:
         """A temporary view per published table."""
         for table in self.manifest()["tables"]:
-            self.read(table).createOrReplaceTempView(prefix + table)
+            if table in self.schemas:
+                self.read(table).createOrReplaceTempView(table)
 
     def refreshed(self, table: str) -> datetime | None:
         found = self.meta(f"refreshed:{table}")

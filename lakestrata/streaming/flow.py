@@ -19,7 +19,7 @@ from lakestrata.functions.scalar import run_id
 from lakestrata.operators import audit, fact, merge, scd2
 from lakestrata.plans.marts import is_stale
 from lakestrata.plans.staging import stage_delta, stage_full
-from lakestrata.session import materialize, release_work
+from lakestrata.session import materialize, working_tables
 from lakestrata.sources import files, landing
 from lakestrata.sources.store import Store
 
@@ -267,6 +267,17 @@ class Flow:
             )
         self.load_fact(clock, initial=True)
 
+    def register_views(self) -> None:
+        """Temporary views of all tables: raw with load status, dimensions with all
+        their versions, marts, logs, and the summary of runs."""
+        self.store.register_views()
+        for entity in self.model.entities:
+            self.raw(entity).createOrReplaceTempView(entity.raw_table)
+        for spec in self.model.dimensions:
+            self.dimension(spec).createOrReplaceTempView(spec.table)
+        summary = audit.audit_summary(self.store.read(AUDIT))
+        summary.createOrReplaceTempView("etl_pipeline_summary")
+
     # -- marts and cycle ---------------------------------------------------------------
 
     def refresh_marts(self, now: datetime, lag: timedelta = timedelta(hours=1)) -> list[str]:
@@ -289,6 +300,13 @@ class Flow:
 
         A failing step is recorded and raised, and leaves every table as it was.
         """
+        with working_tables(self.spark):
+            outcome = self._run_steps(run_ts, run_date)
+            self.refresh_marts(run_ts)
+        self.tidy()
+        return outcome
+
+    def _run_steps(self, run_ts: datetime, run_date: date | None) -> dict[str, str]:
         clock = scd2.Clock(run_date or run_ts.date(), run_ts)
         run = run_id(run_ts)
         outcome = {}
@@ -321,8 +339,6 @@ class Flow:
             return True
 
         self._step(self.model.fact.table, facts, run, outcome)
-        self.refresh_marts(run_ts)
-        self.tidy()
         return outcome
 
     def tidy(self) -> None:
@@ -330,7 +346,6 @@ class Flow:
         for table in (AUDIT, HISTORY, *[f"{d.table}_history" for d in self.model.dimensions]):
             self.store.compact(table)
         self.store.vacuum()
-        release_work(self.spark)
 
     # -- shared ------------------------------------------------------------------------
 

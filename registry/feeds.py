@@ -143,3 +143,5 @@ CUSTOMER_VERSIONS = f"""
   union all
   select c_custkey, c_custkey*10+3, concat(c_name,' v3'), d3, cast(null as date)
   from {_CUSTOMER}"""
+
+TIGHT_LIMITS = {"song_id": 12, "song_name": 8, "song_duration": 5, "song_url": 1000}

@@ -482,6 +482,12 @@ ORACLE = {
     "check_orphans": ctes(**FACT)
     + """select song_id, artist_sk from f1 where artist_sk is not null
       and artist_sk not in (select artist_sk from a1 where artist_sk%10<>0)""",
+    "check_text_limits": " union all ".join(
+        f"""select '{c}' column_name, {n}::bigint max_length,
+          count(*) filter (where length({c})>{n}) rows_over
+        from ({_raw(SONGS, feeds.songs())}) r"""
+        for c, n in feeds.TIGHT_LIMITS.items()
+    ),
     "check_scd2_overlap": f"""select * from (
         select c_custkey, version_sk, eff_start_date, eff_end_date,
           lead(eff_start_date) over (partition by c_custkey

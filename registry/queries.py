@@ -815,6 +815,12 @@ def check_orphans(data: Data) -> DataFrame:
     return checks.orphans(data.fact(dims), known, "artist_sk").select("song_id", "artist_sk")
 
 
+@query
+def check_text_limits(data: Data) -> DataFrame:
+    """Song texts over limits tight enough for these feeds to break them."""
+    return checks.text_limits(data.raw(feeds.songs(), SONGS), feeds.TIGHT_LIMITS)
+
+
 @query
 def check_scd2_overlap(data: Data) -> DataFrame:
     versions = data.sql(feeds.CUSTOMER_VERSIONS).withColumn(

@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from lakestrata import session
 from lakestrata.operators import checks, scd2
 from lakestrata.operators.audit import audit_summary
 from lakestrata.plans.music import ALBUMS, ARTISTS, MODEL, SONGS
@@ -49,7 +50,8 @@ def rows(df, *columns):
     return sorted(tuple(r) for r in df.select(*columns).collect())
 
 
-def test_cycles(spark, folder):
+def test_cycles(spark, folder, monkeypatch):
+    monkeypatch.setattr(session, "shared_dir", lambda spark: folder)
     first_files(folder)
     flow = make(spark, folder)
     assert set(flow.run_cycle(T0).values()) == {"SUCCESS"}
@@ -137,6 +139,18 @@ def test_cycles(spark, folder):
     ]
     assert log.select("audit_id").distinct().count() == log.count()
 
+    # A user's SQL over the views.
+    flow.register_views()
+    assert [tuple(r) for r in spark.sql(
+        """select song_name, artist_name, song_duration_formatted from songs_enriched
+           order by song_duration_ms desc limit 10"""
+    ).collect()] == [("Uno", "Anna", "1:60")]
+    assert spark.sql("select count(*) from dim_artists where not is_current").first()[0] == 1
+    assert spark.sql("select max(load_status) from raw_songs").first()[0] == "LOADED"
+    assert spark.sql("select overall_status from etl_pipeline_summary").count() == 3
+    # Working tables go with the cycle that made them.
+    assert not os.path.exists(f"{folder}/work") or not os.listdir(f"{folder}/work")
+
 
 def test_failure_keeps_state_and_retry_heals(spark, folder, monkeypatch):
     first_files(folder)
@@ -212,7 +226,7 @@ def test_bulk_load_and_build(spark, folder):
         for _ in range(2):  # loading again replaces
             flow.bulk_load(entity, inbox(folder, entity.name), T0)
     flow.build(T0, T0.date())
-    flow.store.register_views()
+    flow.register_views()
     assert spark.sql("select count(*) from stg_songs").first()[0] == 3
     assert rows(flow.store.read("fact_songs"), "song_id", "is_valid", "_source_file") == [
         ("s1", True, None),
