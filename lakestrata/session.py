@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,27 +44,40 @@ def local_session(cpus: int | str = "*", app: str = "lakestrata") -> SparkSessio
     return spark
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see; a private one only where the cluster names none."""
-    found = spark.conf.get(CHECKPOINT_DIR, None)
+def shared_dir(spark: SparkSession, folder: str | None = None) -> str:
+    """The folder all executors see: ``folder``, else the checkpoint folder of the context
+    or of ``spark.checkpoint.dir``.  A private folder is made in local mode only, where
+    driver and executors are one process.
+    """
+    found = (
+        folder
+        or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get(CHECKPOINT_DIR, None)
+        or _private.get(spark.sparkContext.applicationId)
+    )
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError(
+                f"set {CHECKPOINT_DIR} to a folder that driver and executors share"
+            )
         found = tempfile.mkdtemp(prefix="lakestrata-")
-        spark.conf.set(CHECKPOINT_DIR, found)
+        _private[spark.sparkContext.applicationId] = found
     return found.rstrip("/")
 
 
-_open: list[list[str]] = []
+_private: dict[str, str] = {}  # by application, local mode only
+_open: ContextVar[tuple[list[str], ...]] = ContextVar("open working tables", default=())
 
 
 @contextmanager
 def working_tables(spark: SparkSession) -> Iterator[None]:
     """Delete the working tables made inside, once nothing can read them any more."""
     made: list[str] = []
-    _open.append(made)
+    token = _open.set((*_open.get(), made))
     try:
         yield
     finally:
-        _open.remove(made)
+        _open.reset(token)
         for name in made:
             path = spark._jvm.org.apache.hadoop.fs.Path(name)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
@@ -82,8 +96,8 @@ def materialize(
     temporary = path is None
     if temporary:
         path = f"{shared_dir(spark)}/work/{uuid.uuid4().hex}"
-        if _open:
-            _open[-1].append(path)
+        if _open.get():
+            _open.get()[-1].append(path)
     writer = df.write.mode("errorifexists")
     if temporary:
         writer = writer.option("compression", "snappy")

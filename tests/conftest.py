@@ -13,8 +13,6 @@ from lakestrata.session import local_session  # noqa: E402
 def spark():
     session = local_session(8, "tests")
     session.conf.set("spark.sql.shuffle.partitions", "3")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="lakestrata-"))
     return session
 
 
