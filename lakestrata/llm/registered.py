@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakestrata.llm import tokens
+from lakestrata.llm import licenses, pii, tokens
 from lakestrata.llm.common import table
 
 
@@ -14,13 +14,23 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(table(spark, sf_dir, "documents")))
+
+
 def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     coding = tokens.Coding(tokenizer_path("word_bpe_49k.json"), vocab=49_408, end_id=2)
     return tokens.write_and_read(table(spark, sf_dir, "documents"), coding)
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op4_pii": op4_pii,
     "op6_token_output": op6_token_output,
+    "op8_licenses": op8_licenses,
 }
 
 ORACLE: dict[str, str] = {}
