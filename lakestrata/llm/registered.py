@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakestrata.llm import licenses, pii, tokens
+from lakestrata.llm import licenses, mixing, pii, tokens
 from lakestrata.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(table(spark, sf_dir, "documents")))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     coding = tokens.Coding(tokenizer_path("word_bpe_49k.json"), vocab=49_408, end_id=2)
     return tokens.write_and_read(table(spark, sf_dir, "documents"), coding)
@@ -29,6 +33,7 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_pii": op4_pii,
+    "op5_mixing": op5_mixing,
     "op6_token_output": op6_token_output,
     "op8_licenses": op8_licenses,
 }
