@@ -19,6 +19,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from lakestrata.session import materialize, shared_dir
 
 BLOCK_IDS = 131_072
 PARTITION_IDS = 16_000_000
-MEMO_ENTRIES = 700_000
+MEMO_ENTRIES = 1_000_000
 
 
 class WordIds:
@@ -55,18 +56,34 @@ class WordIds:
 
     def _forget(self) -> None:
         self.place: dict[bytes, int] = {}
-        self.ids: list[np.ndarray] = []
-        self.flat = np.zeros(0, np.uint32)
-        self.starts = self.lengths = np.zeros(0, np.int64)
-
-    def _encode(self, words: list[bytes]) -> list[np.ndarray]:
-        """Each word's own ids: one call for many words, told apart by their offsets."""
+        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.starts = np.zeros(1 << 16, np.int64)
+        self.lengths = np.zeros(1 << 16, np.int64)
+
+    def _remember(self, words: list[bytes], ids: np.ndarray, lengths: np.ndarray) -> None:
+        """The ids of these words, one after the other."""
+        n, used = len(self.place), self.used + len(ids)
+        if n + len(words) > len(self.starts):
+            size = 2 * (n + len(words))
+            self.starts, self.lengths = (
+                np.resize(x, size) for x in (self.starts, self.lengths)
+            )
+        if used > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * used)
+        self.place.update(zip(words, range(n, n + len(words)), strict=True))
+        self.flat[self.used : used] = ids
+        self.lengths[n : n + len(words)] = lengths
+        self.starts[n : n + len(words)] = self.used + np.cumsum(lengths) - lengths
+        self.used = used
+
+    def _encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The words' ids and their numbers: one call for many words, told apart by offsets."""
         texts = [w.decode() for w in words]
         ends = np.cumsum([len(t) + 1 for t in texts])
         said = self.library.encode(" ".join(texts), add_special_tokens=False)
         at = np.fromiter((a for a, _ in said.offsets), np.int64, len(said.ids))
-        cut = np.searchsorted(at, ends[:-1])
-        return np.split(np.array(said.ids, np.uint32), cut)
+        cut = np.concatenate([[0], np.searchsorted(at, ends[:-1]), [len(at)]])
+        return np.array(said.ids, np.uint32), np.diff(cut)
 
     def _learn(self, words: set[bytes]) -> None:
         """A letter or digit followed by one stop or comma at the end splits there."""
@@ -78,17 +95,22 @@ class WordIds:
         new = {w for w in words if w not in ended}
         for stem, stop in ended.values():
             new.update(x for x in (stem, stop) if x not in self.place)
-        listed = sorted(new)
+        listed = list(new)
         for a, b in chunks(listed, 1 << 16):
-            for word, ids in zip(listed[a:b], self._encode(listed[a:b]), strict=True):
-                self.place[word] = len(self.ids)
-                self.ids.append(ids)
-        for word, pair in ended.items():
-            self.place[word] = len(self.ids)
-            self.ids.append(np.concatenate([self.ids[self.place[x]] for x in pair]))
-        self.flat = np.concatenate([self.flat, *self.ids[len(self.starts) :]])
-        self.lengths = np.fromiter(map(len, self.ids), np.int64, len(self.ids))
-        self.starts = np.cumsum(self.lengths) - self.lengths
+            self._remember(listed[a:b], *self._encode(listed[a:b]))
+        if ended:
+            pairs = np.array([[self.place[x] for x in pair] for pair in ended.values()])
+            lengths = self.lengths[pairs]
+            self._remember(list(ended), self._gather(pairs.ravel()), lengths.sum(axis=1))
+
+    def _gather(self, found: np.ndarray) -> np.ndarray:
+        """The ids of the words at these places, one after the other."""
+        lengths = self.lengths[found]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.flat[
+            np.arange(total) + np.repeat(self.starts[found] - (ends - lengths), lengths)
+        ]
 
     def _words(self, text: bytes) -> list[bytes]:
         """A-Z are lowered first, as the library would, where no combining mark (bytes CC,
@@ -105,7 +127,7 @@ class WordIds:
         split = [self._words(t) for t in texts]
         new = {w for words in split for w in words if w not in self.place}
         if new:
-            if len(self.place) + len(new) > MEMO_ENTRIES and self.place:
+            if len(self.place) + 2 * len(new) > MEMO_ENTRIES and self.place:
                 self._forget()
                 new = {w for words in split for w in words}
             self._learn(new)
@@ -113,11 +135,7 @@ class WordIds:
         found = np.fromiter(
             (self.place[w] for words in split for w in words), np.int64, sum(n_words)
         )
-        lengths = self.lengths[found]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        source = np.arange(total) + np.repeat(self.starts[found] - (ends - lengths), lengths)
-        flat = self.flat[source]
+        flat, ends = self._gather(found), np.cumsum(self.lengths[found])
         bounds = np.concatenate([[0], ends])[np.cumsum([0, *n_words])]
         tail = np.zeros(0, np.uint32) if end is None else np.array([end], np.uint32)
         return [
@@ -126,6 +144,12 @@ class WordIds:
         ]
 
 
+@lru_cache(maxsize=1)
+def word_ids(path: str) -> WordIds:
+    """One per Python worker, which runs many tasks."""
+    return WordIds(path)
+
+
 @dataclass(frozen=True)
 class Coding:
     """tokenizer: path of the tokenizer's file, which every executor has; vocab: ids are below."""
@@ -147,7 +171,7 @@ def token_ids(docs: DataFrame, coding: Coding) -> DataFrame:
     """(doc_id, tie, n_tokens, ids): ids as 32-bit integers, compressed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(coding.tokenizer)
+        words = word_ids(coding.tokenizer)
         for batch in batches:
             texts = texts_of(batch)
             for a, b in chunks(texts):
