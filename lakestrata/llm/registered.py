@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakestrata.llm import licenses, mixing, pii, tokens
+from lakestrata.llm import licenses, mixing, neardup, pii, tokens
 from lakestrata.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.write_and_read(table(spark, sf_dir, "documents"), coding)
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
+
+
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -35,6 +39,7 @@ QUERIES = {
     "op4_pii": op4_pii,
     "op5_mixing": op5_mixing,
     "op6_token_output": op6_token_output,
+    "op7_near_duplicates": op7_near_duplicates,
     "op8_licenses": op8_licenses,
 }
 
