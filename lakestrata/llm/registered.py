@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakestrata.llm import licenses, mixing, neardup, pii, tokens
+from lakestrata.llm import langid, licenses, mixing, neardup, pii, tokens
 from lakestrata.llm.common import table
 
 
@@ -35,12 +35,17 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op4_pii": op4_pii,
     "op5_mixing": op5_mixing,
     "op6_token_output": op6_token_output,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_licenses": op8_licenses,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE: dict[str, str] = {}
