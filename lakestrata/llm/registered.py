@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakestrata.llm import langid, licenses, mixing, neardup, pii, tokens
+from lakestrata.llm import langid, licenses, mixing, neardup, pii, quality, tokens
 from lakestrata.llm.common import table
 
 
@@ -35,6 +35,10 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,7 @@ QUERIES = {
     "op6_token_output": op6_token_output,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_licenses": op8_licenses,
+    "op9_quality": op9_quality,
     "op10_language_id": op10_language_id,
 }
 
