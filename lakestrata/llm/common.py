@@ -72,8 +72,8 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     n = max(1, len(words) - size + 1)
     out = np.zeros(n, np.uint64)
     for k in range(min(size, len(words))):
-        out = mix64(out + words[k : k + n] + np.uint64(k + 1))
-    return out
+        out = out * np.uint64(0x9E3779B97F4A7C15) + words[k : k + n]
+    return mix64(out + np.uint64(min(size, len(words))))
 
 
 def signed(x: np.ndarray) -> np.ndarray:

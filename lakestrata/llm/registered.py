@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakestrata.llm import langid, licenses, mixing, neardup, pii, quality, tokens
+from lakestrata.llm import decontaminate, langid, licenses, mixing, neardup, pii, quality, tokens
 from lakestrata.llm.common import table
 
 
@@ -14,6 +14,12 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), "doc_id"
+    )
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(table(spark, sf_dir, "documents")))
 
@@ -44,6 +50,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_decontamination": op3_decontamination,
     "op4_pii": op4_pii,
     "op5_mixing": op5_mixing,
     "op6_token_output": op6_token_output,
