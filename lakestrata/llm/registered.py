@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakestrata.llm import decontaminate, langid, licenses, mixing, neardup, pii, quality, tokens
+from lakestrata.llm import decontaminate, html, langid, licenses, mixing, neardup, pii, quality, tokens
 from lakestrata.llm.common import table
 
 
@@ -14,6 +14,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), "doc_id"
@@ -50,6 +54,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_html": op2_html,
     "op3_decontamination": op3_decontamination,
     "op4_pii": op4_pii,
     "op5_mixing": op5_mixing,
