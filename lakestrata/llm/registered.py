@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakestrata.llm import decontaminate, html, langid, licenses, mixing, neardup, pii, quality, tokens
+from lakestrata.llm import decontaminate, html, langid, licenses, mixing, neardup, neighbours, pii, quality, tokens
 from lakestrata.llm.common import table
 
 
@@ -14,6 +14,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", k=5)
+
+
 def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
@@ -54,6 +58,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_neighbours": op1_neighbours,
     "op2_html": op2_html,
     "op3_decontamination": op3_decontamination,
     "op4_pii": op4_pii,
