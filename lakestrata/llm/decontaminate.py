@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakestrata.llm.common import WordHashes, chunks, shingle_hashes, texts_of
 
@@ -209,19 +210,27 @@ def leaks(
         raise ValueError(f"the benchmark has {n_words} words; give it in parts of {max_words}")
     items = [(r["item_id"], r["text"].encode()) for r in held.orderBy("item_id", "text").collect()]
     shared = docs.sparkSession.sparkContext.broadcast(items)  # bounded just now
-    kept = docs.select(*carried, F.col("text").cast("string").alias("__text"))
+    names = list(carried)
+    kept = docs.select(*names, *([] if "text" in names else ["text"]))
+    kept = kept.withColumn("text", F.col("text").cast("string"))
     more = (
-        "leaked boolean"
+        [("leaked", T.BooleanType())]
         if all_rows
-        else "item_id bigint, first_word bigint, n_words bigint, similarity double"
+        else [
+            ("item_id", T.LongType()),
+            ("first_word", T.LongType()),
+            ("n_words", T.LongType()),
+            ("similarity", T.DoubleType()),
+        ]
+    )
+    schema = T.StructType(
+        [*[kept.schema[c] for c in names], *[T.StructField(c, kind) for c, kind in more]]
     )
-    schema = f"{kept.schema[:-1].simpleString()[len('struct<') : -1]}, {more}"
-    names = [c.strip().split(" ")[0] for c in more.split(",")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(shared.value, size, percent, radius, step)
         for batch in batches:
-            texts = texts_of(batch, "__text")
+            texts = texts_of(batch)
             got = [
                 (i, *rest)
                 for a, b in chunks(texts, 1 << 19)
@@ -231,13 +240,13 @@ def leaks(
             if all_rows:
                 leaked = np.zeros(len(texts), bool)
                 leaked[[g[0] for g in got]] = True
-                columns = [*batch.columns[:-1], pa.array(leaked)]
+                columns = [*batch.columns[: len(names)], pa.array(leaked)]
             else:
                 rows = pa.array([g[0] for g in got], pa.int64())
-                columns = [c.take(rows) for c in batch.columns[:-1]]
+                columns = [c.take(rows) for c in batch.columns[: len(names)]]
                 columns += [pa.array([g[k] for g in got], pa.int64()) for k in (1, 2, 3)]
                 columns.append(pa.array([g[4] for g in got], pa.float64()))
-            yield pa.RecordBatch.from_arrays(columns, names=[*carried, *names])
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return kept.mapInArrow(run, schema)
 

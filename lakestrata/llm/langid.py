@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakestrata.llm.common import chunks, mix64, texts_of
 
@@ -243,14 +244,21 @@ def learn(docs: DataFrame, per_language: int = 600, languages: int = 200) -> Mod
 def predict(docs: DataFrame, model: Model, *carried: str) -> DataFrame:
     """The columns ``carried``, then lang_pred and score, for every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS rows, whatever the data
-    kept = docs.select(*carried, F.col("text").cast("string").alias("__text"))
-    schema = kept.schema[:-1].simpleString()[len("struct<") : -1]
     names = list(carried)
+    kept = docs.select(*names, *([] if "text" in names else ["text"]))
+    kept = kept.withColumn("text", F.col("text").cast("string"))
+    schema = T.StructType(
+        [
+            *[kept.schema[c] for c in names],
+            T.StructField("lang_pred", T.StringType()),
+            T.StructField("score", T.DoubleType()),
+        ]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordMargins(shared.value)
         for batch in batches:
-            texts = texts_of(batch, "__text")
+            texts = texts_of(batch)
             for a, b in chunks(texts):
                 said: list[tuple[str, float]] = []
                 margins = words.margins(texts[a:b])
@@ -267,7 +275,7 @@ def predict(docs: DataFrame, model: Model, *carried: str) -> DataFrame:
                     names=[*names, "lang_pred", "score"],
                 )
 
-    return kept.mapInArrow(run, f"{schema}, lang_pred string, score double")
+    return kept.mapInArrow(run, schema)
 
 
 def identify(docs: DataFrame) -> DataFrame:

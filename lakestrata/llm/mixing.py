@@ -232,8 +232,9 @@ def mix(
     cap: float = 2.0,
     whole_rows: bool = False,
 ) -> DataFrame:
-    """The doc_id (with ``whole_rows``, all columns as the struct ``row``) of ``docs`` with size, source_size, target, rate, copies (whole copies, the
-    one on the threshold rounded) and taken (words, exact to its source's target)."""
+    """Per row of ``docs`` its doc_id, size, source_size, target, rate, copies (whole copies, the
+    one on the threshold rounded) and taken (words, exact to its source's target).  With
+    ``whole_rows``, all columns as the struct ``row`` and copies instead."""
     held = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     rows = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
@@ -249,6 +250,11 @@ def mix(
         bounds.select(F.col("of").alias("s"), "bound", "left"),
         F.col("of").eqNullSafe(F.col("s")),
     )
+    if whole_rows:
+        below = F.col("rank") < F.col("bound")
+        rounded = (F.col("rank") == F.col("bound")) & (F.col("left") * 2 >= F.col("size"))
+        extra = (F.col("size") > 0) & (below | rounded)
+        return ranked.select("row", (F.col("whole") + extra.cast("bigint")).alias("copies"))
     # Rows of one rank and source: nearly always one, or repeats of one row.
     edge = Window.partitionBy("of").orderBy("doc_id", "size").rowsBetween(
         Window.unboundedPreceding, -1
@@ -275,7 +281,7 @@ def mix(
         (F.col("whole") + extra.cast("bigint")).alias("copies"),
         (F.col("whole") * F.col("size") + F.col("more")).cast("bigint").alias("taken"),
     ]
-    return both.select(*out, *(["row"] if whole_rows else []))
+    return both.select(*out)
 
 
 def take(mixed: DataFrame) -> DataFrame:

@@ -4,14 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from lakestrata.llm import decontaminate, html, langid, licenses, mixing, neardup, neighbours, pii, quality, tokens
-from lakestrata.llm.common import table
-
-
-def tokenizer_path(name: str) -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
+from lakestrata.llm.common import table, tokenizer_path
 
 
 def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +63,7 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_quality": op9_quality,
     "op10_language_id": op10_language_id,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {}
