@@ -13,9 +13,12 @@ AUTO_DATE_PATTERNS = ("yyyy-MM-dd", "MM/dd/yyyy", "dd-MMM-yyyy")
 AUTO_TIMESTAMP_PATTERNS = (
     "yyyy-MM-dd HH:mm:ss[.SSSSSSSSS]",
     "yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS]",
-    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS]X",
+    "yyyy-MM-dd HH:mm",
+    "yyyy-MM-dd'T'HH:mm",
     "yyyy-MM-dd",
 )
+# A zone behind a time of day; the column has no zone, so the clock time counts.
+ZONE = r"(:\d{2}(?:\.\d+)?) ?(?:Z|[+-]\d{2}(?::?\d{2})?)$"
 NUMBER = "decimal(38,0)"
 
 
@@ -48,8 +51,7 @@ def try_date_auto(
 def _wall_clock(value: Column, pattern: str) -> Column:
     """Parse as UTC, then drop the zone, so the session's zone cannot shift a time
     (a local time in a daylight-saving gap would move by an hour)."""
-    if not pattern.endswith("X"):
-        value, pattern = F.concat(value, F.lit(" Z")), pattern + " X"
+    value, pattern = F.concat(value, F.lit(" Z")), pattern + " X"
     micros = F.unix_micros(F.try_to_timestamp(value, F.lit(pattern)))
     seconds = (micros / F.lit(1_000_000).cast("decimal(10,0)")).cast("decimal(18,6)")
     return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
@@ -58,7 +60,7 @@ def _wall_clock(value: Column, pattern: str) -> Column:
 def try_timestamp_auto(
     value: Column | str, patterns: Sequence[str] = AUTO_TIMESTAMP_PATTERNS
 ) -> Column:
-    value = as_column(value)
+    value = F.regexp_replace(as_column(value), ZONE, "$1")
     return F.coalesce(*[_wall_clock(value, p) for p in patterns])
 
 

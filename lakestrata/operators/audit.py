@@ -33,7 +33,6 @@ AUDIT_SCHEMA = T.StructType(
         T.StructField("created_at", T.TimestampNTZType()),
     ]
 )
-ERROR_LIMIT = 5000
 
 
 @dataclass(frozen=True)
@@ -72,7 +71,7 @@ def audit_row(
         updated,
         deleted,
         status,
-        error[:ERROR_LIMIT] if error else None,
+        error or None,
         start,
         end,
         seconds,

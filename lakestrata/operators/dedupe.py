@@ -7,17 +7,19 @@ from pyspark.sql import functions as F
 
 
 def keep_latest(df: DataFrame, key: str, surrogate: str) -> DataFrame:
-    """Rows holding the largest ``surrogate`` of their key.
+    """Rows holding the largest ``surrogate`` of their key, and rows without a surrogate.
 
     The maximum per key is combined on the map side, so a key with many copies
     costs one row per task, where a ranking window would sort them all in one.
     Rows without a key form one group, as in a GROUP BY.
     """
     top = df.groupBy(key).agg(F.max(surrogate).alias("_top")).select("_top")
-    return df.join(top, df[surrogate] == top["_top"], "left_semi")
+    held = df.join(top, df[surrogate] == top["_top"], "left_semi")
+    return held.unionByName(df.where(F.col(surrogate).isNull()))
 
 
 def keep_latest_current(dim: DataFrame, key: str, surrogate: str) -> DataFrame:
-    """The same among current rows only; closed versions are untouched."""
+    """The same among current rows only; closed versions, and rows of which it is
+    not known whether they are current, are untouched."""
     current = keep_latest(dim.where(F.col("is_current")), key, surrogate)
-    return dim.where(~F.col("is_current")).unionByName(current)
+    return dim.where(~F.coalesce("is_current", F.lit(False))).unionByName(current)

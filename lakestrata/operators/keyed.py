@@ -18,8 +18,6 @@ from pyspark.sql import functions as F
 
 from lakestrata.session import materialize
 
-NULL_SPREAD = 1024
-
 
 class DuplicateKeyError(ValueError):
     """Several source rows would change one target row."""
@@ -83,7 +81,7 @@ def null_salt(key: str) -> Column:
     there is a key: ``join_once`` needs the shuffle that comes with it.
     """
     partition = F.spark_partition_id()
-    return F.when(F.col(key).isNull(), F.pmod(partition, F.lit(NULL_SPREAD))).otherwise(
+    return F.when(F.col(key).isNull(), partition).otherwise(
         F.pmod(partition, F.lit(1))
     )
 

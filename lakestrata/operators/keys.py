@@ -36,11 +36,11 @@ def number_rows(df: DataFrame, name: str, start: int = 0) -> DataFrame:
     for row in sorted(sizes, key=lambda r: r["_part"]):
         offsets.append((row["_part"], total))
         total += row["n"]
-    # One row per partition of the input: the size of the broadcast is bounded by that.
+    # One row per partition of the input; Spark chooses the join by its size.
     table = df.sparkSession.createDataFrame(offsets, "_part int, _offset bigint")
     return (
         placed.withColumn("_part", part)
-        .join(F.broadcast(table), "_part")
+        .join(table, "_part")
         .withColumn(name, F.col("_offset") + within + 1)
         .drop("_place", "_part", "_offset")
     )

@@ -53,7 +53,8 @@ def current_rows(dim: DataFrame) -> DataFrame:
 
 
 def closed_rows(dim: DataFrame) -> DataFrame:
-    return dim.where(~F.col("is_current"))
+    """All but the current rows: also those of which it is not known."""
+    return dim.where(~F.coalesce("is_current", F.lit(False)))
 
 
 def scd2_actions(current: DataFrame, staged: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:

@@ -54,9 +54,17 @@ def land(rows: DataFrame, entity: Entity, run_ts: datetime) -> Landed:
     return Landed(raw, rejects)
 
 
-def load_history(table: str, raw: DataFrame, rejects: DataFrame) -> DataFrame:
+def load_history(
+    table: str,
+    raw: DataFrame,
+    rejects: DataFrame,
+    listed: DataFrame | None = None,
+    run_ts: datetime | None = None,
+) -> DataFrame:
     """Per file and load: status, rows kept, rows rejected, the first rejected row.
 
+    ``listed`` (path) names all files of a load, so that those without rows are told too.
+
     Rows are combined before they are shuffled; row texts are touched only among
     the rejects.
     """
@@ -67,12 +75,17 @@ def load_history(table: str, raw: DataFrame, rejects: DataFrame) -> DataFrame:
         F.min_by("bad_row", "_file_row_number").alias("first_error"),
     )
     zero = F.lit(0).cast("bigint")
-    return kept.join(bad, by, "full_outer").select(
+    both = kept.join(bad, by, "full_outer")
+    if listed is not None:
+        name = F.element_at(F.split("path", "/"), -1)
+        names = listed.select(name.alias("_source_file"), ts(run_ts).alias("_load_timestamp"))
+        both = names.distinct().join(both, by, "full_outer")
+    return both.select(
         F.lit(table).alias("table_name"),
         F.col("_source_file").alias("source_file"),
         F.col("_load_timestamp").alias("load_time"),
         F.when(F.col("error_count").isNull(), "LOADED")
-        .when(F.col("row_count").isNull(), "LOAD_FAILED")
+        .when(F.coalesce("row_count", zero) == 0, "LOAD_FAILED")
         .otherwise("PARTIALLY_LOADED")
         .alias("status"),
         F.coalesce("row_count", zero).alias("row_count"),

@@ -10,9 +10,10 @@ with MERGE in its place.
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Mapping, Sequence
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -138,28 +139,39 @@ class Store:
                 self.publish(replace={table: [*rest, target]})
                 return
 
-    def vacuum(self, keep: int = 100) -> None:
-        """Delete table folders the last ``keep`` manifests do not name, and older
-        manifests.  Readers of the newest states are not disturbed."""
+    def vacuum(self, older_than: timedelta = timedelta(days=7)) -> None:
+        """Delete table folders that no state published in the last ``older_than`` names
+        and that were made before that, and the older manifests.  A reader that began
+        within that time keeps its files.  Not called by any cycle: when to run it is
+        the operator's decision."""
         fs, folder = self._fs(), f"{self.root}/_manifest"
         if not self.exists(folder):
             return
-        names = sorted(
-            s.getPath().getName()
+        limit = (time.time() - older_than.total_seconds()) * 1000
+        manifests = sorted(
+            (s.getPath().getName(), s.getModificationTime())
             for s in fs.listStatus(self._path(folder))
             if s.getPath().getName().endswith(".json")
         )
+        # A state holds until the next is published: the last one before the limit counts too.
+        recent = [i for i, (_, made) in enumerate(manifests) if made >= limit]
+        first = max(0, (recent[0] if recent else len(manifests)) - 1)
+        home = f"{self.root}/tables/"
         used = set()
-        for name in names[-keep:]:
+        for name, _ in manifests[first:]:
             for paths in self._load(f"{folder}/{name}")["tables"].values():
-                used.update(p.split("/tables/", 1)[1].split("/")[1] for p in paths)
-        for name in names[:-keep]:
-            fs.delete(self._path(f"{folder}/{name}"), False)
-        tables = self._path(f"{self.root}/tables")
+                for path in paths:
+                    if not path.startswith(home):
+                        raise ValueError(f"{path} is not below {home}; nothing is deleted")
+                    used.add("/".join(path.removeprefix(home).split("/")[:2]))
+        tables = self._path(home)
         for table in fs.listStatus(tables) if fs.exists(tables) else []:
             for part in fs.listStatus(table.getPath()):
-                if part.getPath().getName() not in used:
+                name = f"{table.getPath().getName()}/{part.getPath().getName()}"
+                if name not in used and part.getModificationTime() < limit:
                     fs.delete(part.getPath(), True)
+        for name, _ in manifests[:first]:
+            fs.delete(self._path(f"{folder}/{name}"), False)
 
     def register_views(self) -> None:
         """A temporary view per published table."""

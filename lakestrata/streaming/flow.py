@@ -8,6 +8,7 @@ which is the gate that keeps idle cycles free.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextvars import copy_context
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,9 +37,11 @@ HISTORY_SCHEMA = T.StructType(
         T.StructField("first_error", T.StringType()),
     ]
 )
-# Files are forgotten this long after the newest one seen; until then a name is
-# taken once only.
-FILE_MEMORY = "14d"
+# The streams' limit for the age of a file, relative to the newest: Spark never reads older
+# ones, and copies keep their old times, so it is beyond any age.  A name is taken once.
+ANY_AGE = "36500d"
+# Bulk-loaded rows are batch -1; before anything reached staging, no batch has.
+BULK, NOTHING = -1, -2
 
 
 class Flow:
@@ -79,7 +82,7 @@ class Flow:
         if not self.store.exists(self.raw_dir(entity)):
             return self.spark.createDataFrame([], self.raw_schema(entity))
         rows = self.spark.read.schema(self.raw_schema(entity)).parquet(self.raw_dir(entity))
-        done = self.store.meta(f"consumed:{entity.name}", -1)
+        done = self.store.meta(f"consumed:{entity.name}", NOTHING)
         return landing.with_load_status(rows, done)
 
     def rejects(self, entity: Entity) -> DataFrame:
@@ -91,7 +94,7 @@ class Flow:
             self.spark,
             f"{self.inbox}/{entity.name}",
             entity,
-            maxFileAge=FILE_MEMORY,
+            maxFileAge=ANY_AGE,
         )
 
         def batch(rows: DataFrame, batch_id: int) -> bool:
@@ -124,12 +127,32 @@ class Flow:
         return self._drain(stream, f"land_{entity.name}", batch)
 
     def bulk_load(self, entity: Entity, path: str, run_ts: datetime) -> None:
-        """Replace raw with all rows of ``path``, loaded before or not."""
+        """Replace raw with all rows of ``path``, loaded before or not.  They are new until
+        ``build`` takes them to staging; the load is in history and audit."""
+        start, step = self.now(), self.model.steps[entity.raw_table]
         landed = landing.land(files.read_feed(self.spark, path, entity), entity, run_ts)
-        landed.raw.withColumn("batch_id", F.lit(-1).cast("bigint")).write.partitionBy(
+        bad_path = f"{self.root}/rejects/{entity.name}"
+        landed.raw.withColumn("batch_id", F.lit(BULK).cast("bigint")).write.partitionBy(
             "batch_id"
         ).mode("overwrite").parquet(self.raw_dir(entity))
-        landed.rejects.write.mode("overwrite").parquet(f"{self.root}/rejects/{entity.name}")
+        landed.rejects.write.mode("overwrite").parquet(bad_path)
+        history = landing.load_history(
+            step.target,
+            self.spark.read.schema(self.raw_schema(entity)).parquet(self.raw_dir(entity)),
+            self.spark.read.parquet(bad_path),
+            files.list_files(self.spark, path).select("path"),
+            run_ts,
+        )
+        written = self.store.write(HISTORY, history)
+        counts = self.spark.read.parquet(written).agg(F.sum("row_count").alias("n")).first()
+        self._publish(
+            step,
+            start,
+            run_id(run_ts),
+            (counts["n"] or 0, 0, 0),
+            append={HISTORY: [written]},
+            meta={f"consumed:{entity.name}": NOTHING},
+        )
 
     # -- staging ---------------------------------------------------------------------
 
@@ -142,6 +165,7 @@ class Flow:
         # Bulk-loaded rows (batch -1) reach staging through ``build``, not the stream.
         stream = (
             self.spark.readStream.schema(self.raw_schema(entity))
+            .option("maxFileAge", ANY_AGE)
             .parquet(self.raw_dir(entity))
             .where(F.col("batch_id") >= 0)
         )
@@ -256,7 +280,11 @@ class Flow:
         for entity in self.model.entities:
             full = stage_full(self.raw(entity), entity, run_ts)
             table = entity.staging_table
-            self.store.publish(replace={table: [self.store.write(table, full)]})
+            taken = self.raw(entity).agg(F.max("batch_id").alias("top")).first()["top"]
+            self.store.publish(
+                replace={table: [self.store.write(table, full)]},
+                meta={f"consumed:{entity.name}": NOTHING if taken is None else taken},
+            )
         for spec in self.model.dimensions:
             self.load_dimension(
                 spec,
@@ -342,10 +370,9 @@ class Flow:
         return outcome
 
     def tidy(self) -> None:
-        """Fold small folders of appended tables, drop folders no state refers to."""
+        """Fold small folders of appended tables.  Old folders stay until ``store.vacuum``."""
         for table in (AUDIT, HISTORY, *[f"{d.table}_history" for d in self.model.dimensions]):
             self.store.compact(table)
-        self.store.vacuum()
 
     # -- shared ------------------------------------------------------------------------
 
@@ -375,9 +402,10 @@ class Flow:
         The checkpoint moves on only after ``batch`` returns, so a failed batch comes
         again with the same id and rows."""
         called = []
+        context = copy_context()  # batches come on another thread; their working tables are ours
 
         def handle(rows: DataFrame, batch_id: int) -> None:
-            called.append(batch(rows, batch_id))
+            called.append(context.run(batch, rows, batch_id))
 
         query = (
             stream.writeStream.foreachBatch(handle)

@@ -13,10 +13,17 @@ NEXT_TS = datetime(2024, 2, 2)
 NEXT_DATE = date(2024, 2, 2)
 
 
-def songs(where: str = "true", renamed: bool = False) -> str:
-    name = "when h=47 then 'renamed' " if renamed else ""
+# Two snapshots of each feed, both made of the whole table.  The second renames some
+# entries, lacks some keys of the first and has new ones in their place.
+
+
+def songs(version: int = 1, null_keys: bool = True) -> str:
+    no_key = "when h=13 then null " if null_keys else ""
+    name, key = "", "k"
+    if version == 2:
+        name, key = "when h=47 then 'renamed' ", "case when h in (7,53) then concat(k,'-n') else k end"
     return f"""
-  select case when h=13 then null when h%10=0 then concat('  ',k,' ') else k end song_id,
+  select case {no_key}when h%10=0 then concat('  ',{key},' ') else {key} end song_id,
          case when h=19 then null {name}else concat(' Song ',l_partkey) end song_name,
          case when h=17 then 'N/A' when h=23 then 'abc' when h=29 then '1000.5'
               when h=43 then '119700'
@@ -31,42 +38,40 @@ def songs(where: str = "true", renamed: bool = False) -> str:
                l_partkey, l_suppkey,
                (l_orderkey*31+l_partkey*7+l_linenumber)%100 h,
                max(l_extendedprice) px, max(l_shipdate) d
-        from lineitem group by l_orderkey,l_linenumber,l_partkey,l_suppkey) b
-  where {where}"""
+        from lineitem group by l_orderkey,l_linenumber,l_partkey,l_suppkey) b"""
 
 
-SONGS_V1 = songs("h<>53")
-SONGS_V2 = songs("h<>7", renamed=True)
-SONGS_V1_KEYED = songs("h<>53 and h<>13")
-SONGS_V2_KEYED = songs("h<>7 and h<>13", renamed=True)
+SONGS_V1, SONGS_V2 = songs(1), songs(2)
+SONGS_V1_KEYED, SONGS_V2_KEYED = songs(1, False), songs(2, False)
 
 
-def artists(version: int = 1, where: str = "true") -> str:
-    name = "case when s_suppkey%7=0 then concat(s_name,' v2') else s_name end"
-    if version == 1:
-        name = "s_name"
+def artists(version: int = 1, null_keys: bool = True) -> str:
+    no_key = "when s_suppkey%20=3 then null " if null_keys else ""
+    name, new = "s_name", "false"
+    if version == 2:
+        name = "case when s_suppkey%7=0 then concat(s_name,' v2') else s_name end"
+        new = "s_suppkey%11=0"
     return f"""
-  select case when s_suppkey%20=3 then null else concat('AR',s_suppkey) end artist_id,
+  select case {no_key}when {new} then concat('AR',s_suppkey,'-n')
+              else concat('AR',s_suppkey) end artist_id,
          case when s_suppkey%20=4 then null else {name} end artist_name,
          concat('http://ar/',s_suppkey,' ') external_url
-  from supplier where {where}"""
+  from supplier"""
 
 
-ARTISTS_V1 = artists(1, "s_suppkey%13<>0")
-ARTISTS_V2 = artists(2, "s_suppkey%11<>0")
-ARTISTS_V1_KEYED = artists(1, "s_suppkey%13<>0 and s_suppkey%20<>3")
-ARTISTS_V2_KEYED = artists(2, "s_suppkey%11<>0 and s_suppkey%20<>3")
+ARTISTS_V1, ARTISTS_V2 = artists(1), artists(2)
+ARTISTS_V1_KEYED, ARTISTS_V2_KEYED = artists(1, False), artists(2, False)
 
 
 def albums(version: int = 1, null_keys: bool = True) -> str:
-    no_key = "p_partkey%50=3" if null_keys else "false"
-    if version == 1:
-        name, bad, na, where = "concat(' ',p_name,' ')", 6, 7, "p_partkey%13<>0"
-    else:
+    no_key = "when p_partkey%50=3 then null " if null_keys else ""
+    name, bad, na, new = "concat(' ',p_name,' ')", 6, 7, "false"
+    if version == 2:
         name = "case when p_partkey%7=0 then concat(p_name,' v2') else p_name end"
-        bad, na, where = 9, 8, "p_partkey%11<>0"
+        bad, na, new = 9, 8, "p_partkey%11=0"
     return f"""
-  select case when {no_key} then null else concat('AL',p_partkey) end album_id,
+  select case {no_key}when {new} then concat('AL',p_partkey,'-n')
+              else concat('AL',p_partkey) end album_id,
          {name} album_name,
          case when p_partkey%40=5 then '07/14/2026' when p_partkey%40={bad} then '2020-13-01'
               else concat(cast(1980+p_partkey%45 as varchar(4)),'-',
@@ -75,13 +80,11 @@ def albums(version: int = 1, null_keys: bool = True) -> str:
          case when p_partkey%60={na} then 'N/A' else cast(p_size as varchar(10)) end
            album_total_tracks,
          concat('http://al/',p_partkey) album_url
-  from part where {where}"""
+  from part"""
 
 
-ALBUMS_V1 = albums(1)
-ALBUMS_V2 = albums(2)
-ALBUMS_V1_KEYED = albums(1, null_keys=False)
-ALBUMS_V2_KEYED = albums(2, null_keys=False)
+ALBUMS_V1, ALBUMS_V2 = albums(1), albums(2)
+ALBUMS_V1_KEYED, ALBUMS_V2_KEYED = albums(1, False), albums(2, False)
 
 # An audit log out of the event table: a run per day, a step per event.
 AUDIT = """

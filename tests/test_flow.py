@@ -7,10 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakestrata import session
-from lakestrata.operators import checks, scd2
+from lakestrata.functions.scalar import try_timestamp_auto
+from lakestrata.operators import checks, dedupe, scd2
 from lakestrata.operators.audit import audit_summary
 from lakestrata.plans.music import ALBUMS, ARTISTS, MODEL, SONGS
 from lakestrata.sources import files, landing
+from lakestrata.sources.store import Store
 from lakestrata.streaming.flow import AUDIT, HISTORY, Flow
 
 T0 = datetime(2024, 2, 1, 10)
@@ -287,6 +289,78 @@ def test_append_folders_fold(spark, folder, monkeypatch):
         store.compact("t")
     assert store.read("t").count() == 21
     assert len(store.manifest()["tables"]["t"]) == 3
-    store.vacuum(keep=1)
+    store.vacuum()  # all of it is younger than the retention
+    assert len(os.listdir(f"{folder}/root/tables/t")) > 3
+    store.vacuum(timedelta(0))
     assert store.read("t").count() == 21
     assert len(os.listdir(f"{folder}/root/tables/t")) == 3
+
+
+def test_vacuum_keeps_what_is_published_below_a_folder_named_tables(spark, folder):
+    first = spark.range(3).selectExpr("id")
+    store = Store(spark, f"{folder}/tables/music", {"t": first.schema})
+    store.publish(replace={"t": [store.write("t", first)]})
+    reader = store.read("t")
+    for _ in range(3):
+        store.publish(replace={"t": [store.write("t", first)]})
+    store.vacuum()
+    assert reader.count() == 3
+    store.vacuum(timedelta(0))
+    assert store.read("t").count() == 3
+    assert len(os.listdir(f"{folder}/tables/music/tables/t")) == 1
+
+
+def test_old_files_are_landed(spark, folder):
+    path = inbox(folder, "artists")
+    put(path, "new.csv", ["a1,Ann,http://a1"])
+    flow = make(spark, folder)
+    assert flow.land(ARTISTS, T0)
+    put(path, "old.csv", ["a2,Bob,http://a2"])
+    long_ago = os.path.getmtime(f"{path}/new.csv") - 20 * 86400
+    os.utime(f"{path}/old.csv", (long_ago, long_ago))
+    assert flow.land(ARTISTS, T0)
+    assert rows(flow.raw(ARTISTS), "artist_id", "load_status") == [("a1", "NEW"), ("a2", "NEW")]
+    put(path, "new.csv", ["a3,Cy,http://a3"])  # the same name again
+    assert not flow.land(ARTISTS, T0)
+
+
+def test_bulk_loads_are_recorded(spark, folder):
+    path = inbox(folder, "artists")
+    put(path, "a.csv", ["a1,Ann,http://a1", "bad"])
+    put(path, "empty.csv", [])
+    flow = make(spark, folder)
+    flow.bulk_load(ARTISTS, path, T0)
+    assert rows(flow.store.read(HISTORY), "source_file", "status", "row_count", "error_count") == [
+        ("a.csv", "PARTIALLY_LOADED", 1, 1),
+        ("empty.csv", "LOADED", 0, 0),
+    ]
+    assert rows(flow.store.read(AUDIT), "status", "rows_inserted") == [("SUCCESS", 1)]
+    assert rows(flow.raw(ARTISTS), "load_status") == [("NEW",)]
+    flow.build(T0, T0.date())
+    assert rows(flow.raw(ARTISTS), "load_status") == [("LOADED",)]
+
+
+def test_unknown_current_rows_stay(spark):
+    dim = spark.createDataFrame(
+        [(1, "a", True), (2, "a", True), (3, "a", None), (4, "a", False), (None, "b", True)],
+        "sk bigint, id string, is_current boolean",
+    )
+    kept = dedupe.keep_latest_current(dim, "id", "sk")
+    assert {r["sk"] for r in kept.collect()} == {2, 3, 4, None}
+    assert {r["sk"] for r in scd2.closed_rows(dim).collect()} == {3, 4}
+
+
+def test_times_with_a_zone_keep_the_clock(spark):
+    texts = [
+        "2024-01-01T10:00:00+02:00",
+        "2024-01-01T10:00:00+0200",
+        "2024-01-01 10:00:00 +0200",
+        "2024-01-01 10:00:00.5Z",
+        "2024-01-01 10:00",
+        "2024-01-01",
+        "01-01",
+    ]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    found = [r[0] for r in df.orderBy("i").select(try_timestamp_auto("t")).collect()]
+    ten = datetime(2024, 1, 1, 10)
+    assert found == [ten, ten, ten, ten.replace(microsecond=500_000), ten, datetime(2024, 1, 1), None]
