@@ -120,29 +120,43 @@ class Scanner:
         self, items: list[tuple[int, bytes]], size: int, percent: int, radius: int, step: int = 4
     ) -> None:
         self.hashes = WordHashes()
-        self.size, self.percent = size, percent
-        by_length: dict[int, list[tuple[int, np.ndarray, np.ndarray]]] = {}
+        self.percent = percent
+        by_length: dict[tuple[int, int], list[tuple[int, np.ndarray, np.ndarray]]] = {}
         for item, text in items:
             words = self.hashes.of(words_of(text))
             if len(words):
                 own = shingle_hashes(words, size)
                 n = len(words) - len(words) % step if len(words) >= 2 * size else len(words)
-                by_length.setdefault(max(1, n - size + 1), []).append((item, own, np.sort(own)))
-        self.indexes = [Index(listed, n, radius) for n, listed in sorted(by_length.items())]
+                key = min(size, len(words)), max(1, n - size + 1)
+                by_length.setdefault(key, []).append((item, own, np.sort(own)))
+        # By words of a shingle: an item of fewer words than a shingle has shorter ones.
+        self.indexes: dict[int, list[Index]] = {}
+        for (of, n), listed in sorted(by_length.items()):
+            self.indexes.setdefault(of, []).append(Index(listed, n, radius))
 
     def leaks(self, texts: list[bytes]) -> list[tuple[int, int, int, int, float]]:
         """(text, item, first word, words, similarity) of the best window of each text and item."""
-        shingles, n_words = [], np.zeros(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            words = self.hashes.of(words_of(text))
-            shingles.append(shingle_hashes(words, self.size))
-            n_words[i] = len(words)
+        words = [self.hashes.of(words_of(text)) for text in texts]
+        found: dict[tuple[int, int], tuple[float, int, int]] = {}
+        for size, indexes in self.indexes.items():
+            self._scan(words, size, indexes, found)
+        return [
+            (text, item, -at, n, alike) for (text, item), (alike, at, n) in sorted(found.items())
+        ]
+
+    def _scan(
+        self,
+        words: list[np.ndarray],
+        size: int,
+        indexes: list[Index],
+        found: dict[tuple[int, int], tuple[float, int, int]],
+    ) -> None:
+        shingles = [shingle_hashes(w, size) for w in words]
         n_shingles = np.array([len(s) for s in shingles], np.int64)
         ends = np.cumsum(n_shingles)
         heads = ends - n_shingles
         flat = np.concatenate(shingles) if len(shingles) else np.zeros(0, np.uint64)
-        owner = np.repeat(np.arange(len(texts)), n_shingles)
-        found: dict[tuple[int, int], tuple[float, int, int]] = {}
+        owner = np.repeat(np.arange(len(words)), n_shingles)
 
         def compare(text: int, at: int, item: tuple[int, np.ndarray, np.ndarray]) -> None:
             name, own, sorted_own = item
@@ -152,18 +166,18 @@ class Scanner:
                 return  # what they share cannot be enough
             alike = weighted_similarity(window, own)
             if alike * 100 >= self.percent - 1e-9:
-                n = min(len(window) + self.size - 1, int(n_words[text]) - at)
+                n = min(len(window) + size - 1, len(words[text]) - at)
                 best = (alike, -at, n)
                 if best > found.get((text, name), (0.0, 0, 0)):
                     found[text, name] = best
 
-        widest = max((i.shingles for i in self.indexes), default=0)
+        widest = max(i.shingles for i in indexes)
         for start in range(0, len(flat), WINDOW_ROWS):
             stop = min(len(flat), start + WINDOW_ROWS)
             rows = signs(flat[start : min(len(flat), stop + widest)], width_for(widest))
             sums = np.zeros((len(rows) + 1, 64), rows.dtype)
             np.add.accumulate(rows, axis=0, out=sums[1:])
-            for index in self.indexes:
+            for index in indexes:
                 count = min(stop, len(flat) - index.shingles + 1) - start
                 if count <= 0:
                     continue
@@ -173,19 +187,16 @@ class Scanner:
                     text = int(owner[i])
                     if i + index.shingles <= ends[text]:  # else it spans two texts
                         compare(text, i - int(heads[text]), index.items[j])
-        least = min((i.shingles for i in self.indexes), default=0)
+        least = min(i.shingles for i in indexes)
         for text in np.flatnonzero((n_shingles > 0) & (n_shingles < widest)).tolist():
             own = n_shingles[text]
             if own * 100 < self.percent * least:
                 continue
             whole = packed(signs(shingles[text], np.int32).sum(axis=0)[None, :])
-            for index in self.indexes:
+            for index in indexes:
                 if own < index.shingles and own * 100 >= self.percent * index.shingles:
                     for j in index.candidates(whole)[1].tolist():
                         compare(text, 0, index.items[j])
-        return [
-            (text, item, -at, n, alike) for (text, item), (alike, at, n) in sorted(found.items())
-        ]
 
 
 def leaks(
