@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from lakestrata.llm import decontaminate, html, langid, licenses, mixing, neardup, neighbours, pii, quality, tokens
+from lakestrata.llm import (
+    decontaminate,
+    html,
+    langid,
+    licenses,
+    mixing,
+    neardup,
+    neighbours,
+    pii,
+    quality,
+    tokens,
+)
 from lakestrata.llm.common import table, tokenizer_path
 
 
@@ -66,4 +77,33 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE: dict[str, str] = {}
+# The other results rest on learned models, on hashes of this library or on iterations; tests
+# hold those against brute force, round trips or held-out rows.
+ORACLE: dict[str, str] = {
+    "op7_near_duplicates": r"""
+  with recursive words as (
+    select doc_id, regexp_extract_all(
+             translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x20\x09-\x0D]+') w
+    from documents),
+  shingles as (
+    select distinct doc_id, unnest(case when len(w) = 1 then w
+      else [w[i] || ' ' || w[i + 1] for i in range(1, len(w))] end) s
+    from words where len(w) > 0),
+  sizes as (select doc_id, count(*) n from shingles group by doc_id),
+  common as (
+    select a.doc_id u, b.doc_id v, count(*) c
+    from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by all),
+  links as (
+    select u, v from common join sizes x on x.doc_id = u join sizes y on y.doc_id = v
+    where 100 * c >= 80 * (x.n + y.n - c)),
+  ways as (select u, v from links union all select v, u from links),
+  reach(a, b) as (
+    select doc_id, doc_id from documents
+    union
+    select a, v from reach join ways on b = u)
+  select d.doc_id, coalesce(max(n), 0)::bigint n_shingles, min(b) component_id,
+         d.doc_id = min(b) kept
+  from documents d join reach on a = d.doc_id left join sizes s on s.doc_id = d.doc_id
+  group by d.doc_id""",
+}
