@@ -2,16 +2,17 @@
 
 import pytest
 
-import __spark_entry__ as contract
 from check_oracle import compare
+from registry.oracle import ORACLE
+from registry.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
 
 def test_every_query_has_a_twin():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, name):
     assert compare(spark, SF, name) is None
