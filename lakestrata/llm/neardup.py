@@ -9,8 +9,10 @@ intersection * 100 >= percent * union, and links are joined to components.
 Buckets are never expanded to all pairs.  First each class is compared with the smallest
 class of its buckets, then with the smallest of each bucket that is in another component.
 What then still shares a bucket but not a component is compared completely, except that the
-members of the component that holds most of a bucket need no comparison with each other.
-So the outcome is that of comparing all candidates, at a cost that follows the rows.
+members of the component that holds most of a bucket need no comparison with each other, and
+pairs ruled out by their bitmaps are not even listed: a set's 1024 bits mark the hashes it
+has, and each bit that one set has alone stands for a shingle the other lacks, so the bits
+bound the intersection from above.  The outcome is that of comparing all candidates.
 
 Missing a pair of similarity 0.8 takes no common band among 32 of 5 values:
 (1 - 0.8**5)**32, 3 in a million.
@@ -35,6 +37,7 @@ from lakestrata.llm.graph import components
 from lakestrata.session import materialize
 
 BANDS, ROWS = 32, 5
+BITS = 1024
 
 
 def word_set(words: np.ndarray, size: int) -> np.ndarray:
@@ -89,7 +92,17 @@ def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return signed(keys)
 
 
-SIGNED = "doc_id bigint, a bigint, b bigint, n_shingles bigint, bands array<bigint>"
+def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
+    """A row of BITS / 64 longs per set: which remainders its hashes have."""
+    marks = np.zeros((len(sets), BITS), bool)
+    for row, s in zip(marks, sets, strict=True):
+        row[(s % np.uint64(BITS)).astype(np.int64)] = True
+    return np.packbits(marks, axis=1).view(np.int64)
+
+
+SIGNED = (
+    "doc_id bigint, a bigint, b bigint, n_shingles bigint, bands array<bigint>, bits array<bigint>"
+)
 
 
 def sign(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -117,6 +130,7 @@ def sign(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROWS) -> Da
                         "b": pa.array(halves[:, 1]),
                         "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
                         "bands": pa.array(listed, pa.list_(pa.int64())),
+                        "bits": pa.array(list(bitmaps(sets)), pa.list_(pa.int64())),
                     }
                 )
 
@@ -164,6 +178,20 @@ def _sized(pairs: DataFrame, percent: int) -> DataFrame:
     ).select("u", "v")
 
 
+def _possible(percent: int) -> str:
+    """SQL: whether pairs of set sizes nu, nv and bitmaps u0.., v0.. may be similar enough.
+    (Bitmaps are columns, not arrays, to keep the generated code small enough to compile.)"""
+    alone = [
+        " + ".join(f"bit_count({a}{k} & ~{b}{k})" for k in range(BITS // 64))
+        for a, b in (("u", "v"), ("v", "u"))
+    ]
+    most = f"least(nu - ({alone[0]}), nv - ({alone[1]}))"
+    return (
+        f"least(nu, nv) * 100 >= greatest(nu, nv) * {percent}"
+        f" and {most} * {100 + percent} >= (nu + nv) * {percent}"
+    )
+
+
 def _with_roots(members: DataFrame, links: DataFrame) -> DataFrame:
     """Members (key, node, n) with the root of their component so far."""
     return members.join(components(links), "node", "left").select(
@@ -215,14 +243,18 @@ def link_classes(docs: DataFrame, classes: DataFrame, size: int, percent: int) -
         .where("roots > 1")
         .select("key", "main")
     )
-    mixed = materialize(rooted.join(largest, "key"))
-    left = mixed.selectExpr("key", "node as u", "n as nu", "root as ru", "main")
-    right = mixed.where("root <> main").selectExpr("key", "node as v", "n as nv", "root as rv")
+    maps = classes.select("node", *[F.col("bits")[k].alias(f"b{k}") for k in range(BITS // 64)])
+    mixed = materialize(rooted.join(largest, "key").join(maps, "node"))
+    named = {s: [f"b{k} as {s}{k}" for k in range(BITS // 64)] for s in "uv"}
+    left = mixed.selectExpr("key", "node as u", "n as nu", "root as ru", "main", *named["u"])
+    right = mixed.where("root <> main").selectExpr(
+        "key", "node as v", "n as nv", "root as rv", *named["v"]
+    )
     # A pair outside the largest component is met from both sides; one is enough.
     crossing = (
         left.join(right, "key")
         .where("ru <> rv and (ru = main or u > v)")
-        .where("least(nu, nv) * 100 >= greatest(nu, nv) * " + str(percent))
+        .where(_possible(percent))
         .selectExpr("greatest(u, v) as u", "least(u, v) as v")
         .distinct()
     )
@@ -243,7 +275,7 @@ def near_duplicates(
     named = filled.groupBy("a", "b").agg(F.min("doc_id").alias("node"))
     classes = materialize(
         named.join(
-            filled.select(F.col("doc_id").alias("node"), "a", "b", "n_shingles", "bands"),
+            filled.select(F.col("doc_id").alias("node"), "a", "b", "n_shingles", "bands", "bits"),
             ["a", "b", "node"],
         ).dropDuplicates(["a", "b", "node"])
     )
@@ -256,7 +288,7 @@ def near_duplicates(
     )
     known = F.col("doc_id").isNotNull()
     alone = F.when(F.col("n_shingles") == 0, F.col("doc_id"))
-    found = signed_docs.drop("bands").join(rooted, ["a", "b"], "left")
+    found = signed_docs.drop("bands", "bits").join(rooted, ["a", "b"], "left")
     component = F.when(known, F.coalesce(alone, "root"))
     return found.select(
         "doc_id",
