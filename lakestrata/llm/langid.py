@@ -10,8 +10,8 @@ wins count, then the margins.
 All of it is linear in the n-grams' shares, so what a word adds to every margin is computed
 once per word and remembered; a text costs a look-up per word.
 
-The model is fitted on at most ``per_language`` documents of each of at most ``languages``
-languages, picked by the hash of their text; prediction reads whole texts of all rows.
+The model is fitted on a bounded sample picked by the hash of the text, equal shares of at
+most 200 languages; prediction reads whole texts of all rows.
 
 Defined cases: a null text or one without a letter is "und" with score 0; without
 anything to learn from every text is "und"; null doc_id counts as held out by no rule and is
@@ -74,31 +74,32 @@ def gram_places(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def features(text: bytes) -> np.ndarray:
     """Shares of the text's n-grams."""
     words = text.translate(CLEAN).split()
-    out = np.zeros(BUCKETS)
-    if words:
-        places, _ = gram_places(words)
-        out += np.bincount(places, minlength=BUCKETS)
-        out /= len(places)
-    return out
+    if not words:
+        return np.zeros(BUCKETS, np.float32)
+    places, _ = gram_places(words)
+    return (np.bincount(places, minlength=BUCKETS) / len(places)).astype(np.float32)
 
 
 def svm(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4, steps: int = 150) -> np.ndarray:
     """Weights, bias last, of a linear machine with squared hinge loss; y is 1 or -1.  Both
     sides weigh alike.  Accelerated gradient steps from a Lipschitz bound."""
-    x = np.hstack([x, np.ones((len(x), 1))])
+    y = y.astype(np.float32)
     share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
-    probe = np.ones(x.shape[1])
+    share = share.astype(np.float32)
+    margins = lambda w: x @ w[:-1] + w[-1]
+    back = lambda r: np.append(r @ x, r.sum())
+    probe = np.ones(x.shape[1] + 1, np.float32)
     for _ in range(20):
-        probe = x.T @ (share * (x @ probe))
+        probe = back(share * margins(probe))
         top = np.linalg.norm(probe)
         probe /= max(top, 1e-12)
     rate = 1 / (2.2 * top + penalty)
-    w = last = np.zeros(x.shape[1])
+    w = last = np.zeros(x.shape[1] + 1, np.float32)
     for t in range(steps):
-        ahead = w + t / (t + 3) * (w - last)
-        loss = np.maximum(0, 1 - y * (x @ ahead))
-        grad = penalty * ahead - 2 * (x.T @ (share * loss * y))
-        last, w = w, ahead - rate * grad
+        ahead = (w + t / (t + 3) * (w - last)).astype(np.float32)
+        loss = np.maximum(0, 1 - y * margins(ahead))
+        grad = penalty * ahead - 2 * back(share * loss * y)
+        last, w = w, (ahead - rate * grad).astype(np.float32)
     return w
 
 
@@ -130,9 +131,11 @@ def families_of(means: np.ndarray) -> list[list[int]]:
 def fit(texts: list[bytes], langs: list[str]) -> Model:
     languages = sorted(set(langs))
     y = np.array([languages.index(x) for x in langs], np.int64)
-    x = np.array([features(t) for t in texts]).reshape(len(texts), BUCKETS)
-    scale = 1 / np.sqrt(x.mean(axis=0) + 1e-5) if len(x) else np.ones(BUCKETS)
-    x = x * scale
+    x = np.zeros((len(texts), BUCKETS), np.float32)
+    for row, text in zip(x, texts, strict=True):
+        row[:] = features(text)
+    scale = 1 / np.sqrt(x.mean(axis=0) + 1e-5) if len(x) else np.ones(BUCKETS, np.float32)
+    x *= scale
     means = np.array([x[y == i].mean(axis=0) for i in range(len(languages))])
     families = families_of(means) if languages else []
     columns, pairs = [], []
@@ -214,8 +217,9 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def learn(docs: DataFrame, per_language: int = 600, languages: int = 200) -> Model:
-    """Fit on a bounded sample of the documents that have a language and aren't held out."""
+def learn(docs: DataFrame, sample: int = 2400, languages: int = 200) -> Model:
+    """Fit on about ``sample`` (at most twice as many) of the documents that have a language
+    and aren't held out, as many of each of the ``languages`` most frequent languages."""
     known = docs.where(
         "doc_id is not null and lang is not null and text rlike '[A-Za-z\\\\x{80}-\\\\x{10ffff}]'"
     ).where(~held_out())
@@ -224,6 +228,7 @@ def learn(docs: DataFrame, per_language: int = 600, languages: int = 200) -> Mod
     )
     if not counts:
         return fit([], [])
+    per_language = max(1, sample // len(counts))
     share = F.coalesce(
         *[
             F.when(F.col("lang") == r["lang"], F.lit(min(1.0, per_language / r["count"])))
@@ -235,7 +240,7 @@ def learn(docs: DataFrame, per_language: int = 600, languages: int = 200) -> Mod
         known.where(hashed < share)
         .select("lang", F.col("text").cast("binary").alias("text"), F.xxhash64("text").alias("h"))
         .orderBy("h", "lang")
-        .limit(2 * per_language * len(counts))
+        .limit(2 * sample)
         .collect()
     )
     return fit([bytes(r["text"]) for r in rows], [r["lang"] for r in rows])
