@@ -45,12 +45,14 @@ def local_session(cpus: int | str = "*", app: str = "lakestrata") -> SparkSessio
 
 
 def shared_dir(spark: SparkSession, folder: str | None = None) -> str:
-    """The folder all executors see: ``folder``, else the checkpoint folder of the context
-    or of ``spark.checkpoint.dir``.  A private folder is made in local mode only, where
+    """The folder all executors see: ``folder``, else that of the enclosing
+    ``working_tables``, else the checkpoint folder of the context or of
+    ``spark.checkpoint.dir``.  A private folder is made in local mode only, where
     driver and executors are one process.
     """
     found = (
         folder
+        or _folder.get()
         or spark.sparkContext.getCheckpointDir()
         or spark.conf.get(CHECKPOINT_DIR, None)
         or _private.get(spark.sparkContext.applicationId)
@@ -66,17 +68,21 @@ def shared_dir(spark: SparkSession, folder: str | None = None) -> str:
 
 
 _private: dict[str, str] = {}  # by application, local mode only
+_folder: ContextVar[str | None] = ContextVar("folder of working tables", default=None)
 _open: ContextVar[tuple[list[str], ...]] = ContextVar("open working tables", default=())
 
 
 @contextmanager
-def working_tables(spark: SparkSession) -> Iterator[None]:
-    """Delete the working tables made inside, once nothing can read them any more."""
+def working_tables(spark: SparkSession, folder: str | None = None) -> Iterator[None]:
+    """Delete the working tables made inside, once nothing can read them any more; with
+    ``folder``, they are made below it."""
     made: list[str] = []
     token = _open.set((*_open.get(), made))
+    place = _folder.set(folder or _folder.get())
     try:
         yield
     finally:
+        _folder.reset(place)
         _open.reset(token)
         for name in made:
             path = spark._jvm.org.apache.hadoop.fs.Path(name)

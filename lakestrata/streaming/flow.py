@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from contextvars import copy_context
 from datetime import date, datetime, timedelta
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +45,18 @@ ANY_AGE = "36500d"
 BULK, NOTHING = -1, -2
 
 
+def _tidied(step: Callable) -> Callable:
+    """A step that leaves nothing in ``_work`` below the flow's root, where its working
+    tables are made."""
+
+    @wraps(step)
+    def run(self, *args, **options):
+        with working_tables(self.spark, f"{self.root}/_work"):
+            return step(self, *args, **options)
+
+    return run
+
+
 class Flow:
     """One model's tables under ``root``, fed from ``inbox/<entity>`` folders."""
 
@@ -88,6 +101,7 @@ class Flow:
     def rejects(self, entity: Entity) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/rejects/{entity.name}")
 
+    @_tidied
     def land(self, entity: Entity, run_ts: datetime, run: str | None = None) -> bool:
         """Take in files not seen before; False if there were none."""
         stream = files.stream_feed(
@@ -126,6 +140,7 @@ class Flow:
 
         return self._drain(stream, f"land_{entity.name}", batch)
 
+    @_tidied
     def bulk_load(self, entity: Entity, path: str, run_ts: datetime) -> None:
         """Replace raw with all rows of ``path``, loaded before or not.  They are new until
         ``build`` takes them to staging; the load is in history and audit."""
@@ -156,6 +171,7 @@ class Flow:
 
     # -- staging ---------------------------------------------------------------------
 
+    @_tidied
     def stage(self, entity: Entity, run_ts: datetime, run: str | None = None) -> bool:
         """Merge raw rows not seen before into staging and drop what the new snapshot
         lacks; False if nothing was new."""
@@ -207,6 +223,7 @@ class Flow:
         """All versions: the current ones and the closed ones."""
         return self.store.read(f"{spec.table}_history").unionByName(self.store.read(spec.table))
 
+    @_tidied
     def load_dimension(
         self, spec: Dimension, clock: scd2.Clock, run: str | None = None, **options
     ) -> None:
@@ -240,6 +257,7 @@ class Flow:
             },
         )
 
+    @_tidied
     def load_fact(self, clock: scd2.Clock, run: str | None = None, initial: bool = False) -> None:
         """A cycle of the fact table, or its first load."""
         spec = self.model.fact
@@ -274,6 +292,7 @@ class Flow:
         names = [f"stg_{self.model.fact.name}", *[d.table for d in self.model.dimensions]]
         return [self.store.version(n) for n in names]
 
+    @_tidied
     def build(self, run_ts: datetime, run_date: date) -> None:
         """First load: staging from all raw rows, then dimensions, then the fact table."""
         clock = scd2.Clock(run_date, run_ts)
@@ -308,6 +327,7 @@ class Flow:
 
     # -- marts and cycle ---------------------------------------------------------------
 
+    @_tidied
     def refresh_marts(self, now: datetime, lag: timedelta = timedelta(hours=1)) -> list[str]:
         """Recompute the marts older than ``lag``."""
         done = []
@@ -323,14 +343,14 @@ class Flow:
                 done.append(name)
         return done
 
+    @_tidied
     def run_cycle(self, run_ts: datetime, run_date: date | None = None) -> dict[str, str]:
         """One pass over all steps, in order; what became of each.
 
         A failing step is recorded and raised, and leaves every table as it was.
         """
-        with working_tables(self.spark):
-            outcome = self._run_steps(run_ts, run_date)
-            self.refresh_marts(run_ts)
+        outcome = self._run_steps(run_ts, run_date)
+        self.refresh_marts(run_ts)
         self.tidy()
         return outcome
 

@@ -6,7 +6,6 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from lakestrata import session
 from lakestrata.functions.scalar import try_timestamp_auto
 from lakestrata.operators import checks, dedupe, scd2
 from lakestrata.operators.audit import audit_summary
@@ -52,8 +51,7 @@ def rows(df, *columns):
     return sorted(tuple(r) for r in df.select(*columns).collect())
 
 
-def test_cycles(spark, folder, monkeypatch):
-    monkeypatch.setattr(session, "shared_dir", lambda spark: folder)
+def test_cycles(spark, folder):
     first_files(folder)
     flow = make(spark, folder)
     assert set(flow.run_cycle(T0).values()) == {"SUCCESS"}
@@ -151,7 +149,7 @@ def test_cycles(spark, folder, monkeypatch):
     assert spark.sql("select max(load_status) from raw_songs").first()[0] == "LOADED"
     assert spark.sql("select overall_status from etl_pipeline_summary").count() == 3
     # Working tables go with the cycle that made them.
-    assert not os.path.exists(f"{folder}/work") or not os.listdir(f"{folder}/work")
+    assert not os.listdir(f"{folder}/root/_work/work")
 
 
 def test_failure_keeps_state_and_retry_heals(spark, folder, monkeypatch):
