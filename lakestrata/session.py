@@ -58,7 +58,8 @@ def shared_dir(spark: SparkSession, folder: str | None = None) -> str:
         or _private.get(spark.sparkContext.applicationId)
     )
     if not found:
-        if not spark.sparkContext.master.startswith("local["):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError(
                 f"set {CHECKPOINT_DIR} to a folder that driver and executors share"
             )
