@@ -20,6 +20,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +33,27 @@ from lakestrata.llm import rans
 from lakestrata.llm.common import chunks, texts_of
 from lakestrata.session import materialize, shared_dir
 
-BLOCK_IDS = 131_072
+BLOCK_IDS = 262_144
+LANES = 1024
 PARTITION_IDS = 16_000_000
 MEMO_ENTRIES = 1_000_000
 
 
+class Places(dict):
+    """word -> its number; a new word gets the next one and is noted."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.count = 0
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        at = self[word] = self.count
+        self.count += 1
+        self.new.append(word)
+        return at
+
+
 class WordIds:
     """Ids of whole texts, looked up by word.
 
@@ -55,56 +72,73 @@ class WordIds:
         self._forget()
 
     def _forget(self) -> None:
-        self.place: dict[bytes, int] = {}
+        self.place = Places()
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
         self.starts = np.zeros(1 << 16, np.int64)
         self.lengths = np.zeros(1 << 16, np.int64)
 
-    def _remember(self, words: list[bytes], ids: np.ndarray, lengths: np.ndarray) -> None:
-        """The ids of these words, one after the other."""
-        n, used = len(self.place), self.used + len(ids)
-        if n + len(words) > len(self.starts):
-            size = 2 * (n + len(words))
-            self.starts, self.lengths = (
-                np.resize(x, size) for x in (self.starts, self.lengths)
-            )
+    def _remember(self, places: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
+        """The ids of the words of these numbers, one after the other."""
+        used = self.used + len(ids)
         if used > len(self.flat):
             self.flat = np.resize(self.flat, 2 * used)
-        self.place.update(zip(words, range(n, n + len(words)), strict=True))
         self.flat[self.used : used] = ids
-        self.lengths[n : n + len(words)] = lengths
-        self.starts[n : n + len(words)] = self.used + np.cumsum(lengths) - lengths
+        self.lengths[places] = lengths
+        self.starts[places] = self.used + np.cumsum(lengths) - lengths
         self.used = used
 
-    def _encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The words' ids and their numbers: one call for many words, told apart by offsets."""
+    def _encode(self, words: list[bytes], plain: bool) -> tuple[np.ndarray, np.ndarray]:
+        """The words' ids and how many each has, by one call for many words.  Words of
+        letters a-z are one piece each for the library, others are told apart by offsets."""
         texts = [w.decode() for w in words]
-        ends = np.cumsum([len(t) + 1 for t in texts])
         said = self.library.encode(" ".join(texts), add_special_tokens=False)
-        at = np.fromiter((a for a, _ in said.offsets), np.int64, len(said.ids))
-        cut = np.concatenate([[0], np.searchsorted(at, ends[:-1]), [len(at)]])
-        return np.array(said.ids, np.uint32), np.diff(cut)
-
-    def _learn(self, words: set[bytes]) -> None:
-        """A letter or digit followed by one stop or comma at the end splits there."""
-        ended = {
-            w: (w[:-1], w[-1:])
-            for w in words
-            if w[-1:] in (b".", b",") and w[-2:-1].isalnum()
-        }
-        new = {w for w in words if w not in ended}
-        for stem, stop in ended.values():
-            new.update(x for x in (stem, stop) if x not in self.place)
-        listed = list(new)
-        for a, b in chunks(listed, 1 << 16):
-            self._remember(listed[a:b], *self._encode(listed[a:b]))
+        ids = np.array(said.ids, np.uint32)
+        if plain:
+            piece = np.array(said.word_ids, np.int64)
+            cut = np.flatnonzero(np.diff(piece)) + 1
+            if len(cut) == len(words) - 1:
+                return ids, np.diff(np.concatenate([[0], cut, [len(ids)]]))
+        at = np.fromiter((a for a, _ in said.offsets), np.int64, len(ids))
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        return ids, np.diff(np.concatenate([[0], np.searchsorted(at, ends[:-1]), [len(ids)]]))
+
+    def _learn(self) -> list[bytes]:
+        """Find the ids of the new words.  A letter or digit followed by one stop or comma at
+        the end splits there; such words are returned, and need not be remembered."""
+        place = self.place
+        first, n_new = place.count - len(place.new), len(place.new)
+        ended, pairs = [], []
+        for word in place.new[:n_new]:
+            if word[-1:] in (b".", b",") and word[-2:-1].isalnum():
+                ended.append(word)
+                pairs.append((place[word[:-1]], place[word[-1:]]))  # may be new as well
+        if place.count > len(self.starts):
+            self.starts, self.lengths = (
+                np.resize(x, 2 * place.count) for x in (self.starts, self.lengths)
+            )
+        split = set(ended)
+        plain: tuple[list[int], list[bytes]] = ([], [])
+        other: tuple[list[int], list[bytes]] = ([], [])
+        for at, word in enumerate(place.new, first):
+            if word not in split:
+                kind = plain if word.isalpha() and word.islower() else other
+                kind[0].append(at)
+                kind[1].append(word)
+        for places, words in (plain, other):
+            for a, b in chunks(words, 1 << 16):
+                self._remember(np.array(places[a:b]), *self._encode(words[a:b], words is plain[1]))
         if ended:
-            pairs = np.array([[self.place[x] for x in pair] for pair in ended.values()])
-            lengths = self.lengths[pairs]
-            self._remember(list(ended), self._gather(pairs.ravel()), lengths.sum(axis=1))
+            both = np.array(pairs)
+            self._remember(
+                np.array([place[w] for w in ended]),
+                self._gather(both.ravel()),
+                self.lengths[both].sum(axis=1),
+            )
+        place.new = []
+        return ended
 
     def _gather(self, found: np.ndarray) -> np.ndarray:
-        """The ids of the words at these places, one after the other."""
+        """The ids of the words of these numbers, one after the other."""
         lengths = self.lengths[found]
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
@@ -124,19 +158,18 @@ class WordIds:
             said = self.library.encode_batch([t.decode() for t in texts], add_special_tokens=False)
             last = [] if end is None else [end]
             return [np.array([*e.ids, *last], np.uint32) for e in said]
+        if len(self.place) > MEMO_ENTRIES or self.place.count > 4 * MEMO_ENTRIES:
+            self._forget()
         split = [self._words(t) for t in texts]
-        new = {w for words in split for w in words if w not in self.place}
-        if new:
-            if len(self.place) + 2 * len(new) > MEMO_ENTRIES and self.place:
-                self._forget()
-                new = {w for words in split for w in words}
-            self._learn(new)
-        n_words = [len(words) for words in split]
+        n_words = np.cumsum([0, *map(len, split)])
         found = np.fromiter(
-            (self.place[w] for words in split for w in words), np.int64, sum(n_words)
+            map(self.place.__getitem__, chain.from_iterable(split)), np.int64, n_words[-1]
         )
+        passing = self._learn() if self.place.new else []
         flat, ends = self._gather(found), np.cumsum(self.lengths[found])
-        bounds = np.concatenate([[0], ends])[np.cumsum([0, *n_words])]
+        for word in passing:
+            del self.place[word]
+        bounds = np.concatenate([[0], ends])[n_words]
         tail = np.zeros(0, np.uint32) if end is None else np.array([end], np.uint32)
         return [
             np.concatenate([flat[a:b], tail])
@@ -194,16 +227,16 @@ def token_ids(docs: DataFrame, coding: Coding) -> DataFrame:
 
 
 def pack(ids: np.ndarray) -> bytes:
-    """Ids packed by zstd, behind their number."""
-    raw = ids.astype("<u4").tobytes()
-    planes = np.frombuffer(raw, np.uint8).reshape(-1, 4).T.tobytes()
-    return len(raw).to_bytes(8, "little") + pa.compress(planes, "zstd", asbytes=True)
+    """Ids packed by zstd, behind their number and width."""
+    width = 2 if not len(ids) or ids.max() < 1 << 16 else 4
+    raw = ids.astype(f"<u{width}").tobytes()
+    head = len(raw).to_bytes(7, "little") + bytes([width])
+    return head + pa.compress(raw, "zstd", asbytes=True)
 
 
 def unpack(data: bytes) -> np.ndarray:
-    size = int.from_bytes(data[:8], "little")
-    planes = pa.decompress(data[8:], size, "zstd", asbytes=True)
-    return np.frombuffer(planes, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
+    raw = pa.decompress(data[8:], int.from_bytes(data[:7], "little"), "zstd", asbytes=True)
+    return np.frombuffer(raw, f"<u{data[7]}").astype(np.uint32)
 
 
 def _counts(ids: DataFrame, vocab: int) -> np.ndarray:
@@ -212,8 +245,10 @@ def _counts(ids: DataFrame, vocab: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(vocab, np.int64)
         for batch in batches:
-            for data in batch.column("ids").to_pylist():
-                held += np.bincount(unpack(data), minlength=vocab)
+            packed = batch.column("ids").to_pylist()
+            for a, b in chunks(packed):
+                ids = np.concatenate([unpack(x) for x in packed[a:b]])
+                held += np.bincount(ids, minlength=vocab)
         found = np.flatnonzero(held)
         yield pa.record_batch({"token": pa.array(found), "n": pa.array(held[found])})
 
@@ -232,7 +267,7 @@ def _encode_blocks(table: rans.Table):
         size = 0
 
         def block() -> pa.RecordBatch:
-            made = rans.encode(np.concatenate(held), table)
+            made = rans.encode(np.concatenate(held), table, LANES)
             row = {
                 "part": part,
                 "part_start": before,
