@@ -3,9 +3,10 @@
 Two sources of labels.  Base: places where a licence's name stands word by word.  Method: a
 positional index of rare words.  The words of the licence notices below, without the commonest
 English ones, are looked up in every text; the corpus's own document frequencies weigh them.
-The highest-weighing words of a text are looked up in the index of the notices, and every
-pair of places votes for a relative position.  A notice is found where one relative position
-gathers enough of its weight and one of its mandatory phrases stands in the text.
+Every place of such a word in a text and each of its places in a notice vote for a relative
+position with the word's weight.  A notice is found where one relative position gathers enough of
+the notice's weight and one of its mandatory phrases stands in the text; all positions count,
+so notices next to each other do not hide one another.
 
 Words are runs of non-ASCII characters, letters and digits, A-Z lowered.
 
@@ -155,7 +156,8 @@ def look_up(docs: DataFrame) -> DataFrame:
 
 
 def _weights(found: DataFrame) -> dict[str, float]:
-    """Inverse document frequency over the whole table; a row per word of the index."""
+    """Inverse document frequency over the whole table, in steps of 2**-32 so that sums of
+    some dozens are exact in any order; a row per word of the index."""
     total = found.count()
     rows = (
         found.select(F.explode(F.expr("array_distinct(transform(hits, x -> x.w))")).alias("w"))
@@ -164,58 +166,41 @@ def _weights(found: DataFrame) -> dict[str, float]:
         .collect()
     )
     counted = {r["w"]: r["count"] for r in rows}
-    return {w: math.log((1 + total) / (1 + counted.get(w, 0))) + 1 for w in vocabulary()}
+    idf = {w: math.log((1 + total) / (1 + counted.get(w, 0))) + 1 for w in vocabulary()}
+    return {w: round(x * 2**32) / 2**32 for w, x in idf.items()}
 
 
-def _aligned(found: DataFrame, rarest: int, least: float) -> DataFrame:
+def _aligned(found: DataFrame, least: float) -> DataFrame:
     """(key, labels, coverage): the notices whose words stand at one relative position."""
     weights = _weights(found)
     spark = found.sparkSession
-    of_word = "map(" + ", ".join(f"'{w}', {x!r}D" for w, x in weights.items()) + ")"
-    postings = spark.createDataFrame(_postings(), "notice int, w string, place int")
-    texts = found.where("size(hits) > 1 and size(phrases) > 0").dropDuplicates(["key"])
-    top = texts.selectExpr(
-        "key",
-        "hits",
-        f"""transform(slice(array_sort(transform(array_distinct(transform(hits, x -> x.w)),
-            w -> (-element_at({of_word}, w) as minus, w as w))), 1, {rarest}), x -> x.w) as top""",
-    ).selectExpr("key", "inline(filter(hits, x -> array_contains(top, x.w)))")
-    votes = (
-        top.join(F.broadcast(postings), "w")  # the index: a few hundred rows, fixed above
-        .groupBy("key", "notice", (F.col("p") - F.col("place")).alias("shift"))
-        .agg(F.sum(F.expr(f"element_at({of_word}, w)")).alias("vote"))
-        .groupBy("key", "notice")
-        .agg(F.max_by("shift", F.struct("vote", -F.col("shift"))).alias("shift"))
+    mass = [0.0] * len(NOTICES)
+    for notice, word, _ in _postings():
+        mass[notice] += weights[word]
+    postings = spark.createDataFrame(
+        [
+            (i, word, place, NOTICES[i].label, weights[word], mass[i])
+            for i, word, place in _postings()
+        ],
+        "notice int, w string, place int, label string, weight double, mass double",
     )
-    all_words: dict[int, list[tuple[str, int]]] = {}
-    for notice, word, place in _postings():
-        all_words.setdefault(notice, []).append((word, place))
-    rows = [
-        (
-            i,
-            NOTICES[i].label,
-            list(NOTICES[i].phrases),
-            listed,
-            sum(weights[w] for w, _ in listed),
+    # Notices without a phrase in the text are out before their words are looked up.
+    may = "filter(array({}), x -> x is not null)".format(
+        ", ".join(
+            f"case when arrays_overlap(phrases, {_sql_strings(list(n.phrases))}) then {i} end"
+            for i, n in enumerate(NOTICES)
         )
-        for i, listed in all_words.items()
-    ]
-    notices = spark.createDataFrame(
-        rows,
-        "notice int, label string, needs array<string>, "
-        "listed array<struct<w:string,place:int>>, mass double",
     )
+    texts = found.where("size(hits) > 1 and size(phrases) > 0").dropDuplicates(["key"])
     checked = (
-        votes.join(F.broadcast(notices), "notice")
-        .join(texts.select("key", "hits", "phrases"), "key")
-        .where(F.arrays_overlap("phrases", "needs"))
-        .selectExpr(
-            "key",
-            "label",
-            f"""aggregate(array_intersect(
-                transform(listed, x -> (x.w as w, x.place + shift as p)),
-                transform(hits, x -> (x.w as w, x.p as p))),
-                0D, (a, x) -> a + element_at({of_word}, x.w)) / mass as coverage""",
+        texts.selectExpr("key", "hits", f"{may} as may")
+        .selectExpr("key", "may", "inline(hits)")
+        .join(F.broadcast(postings), "w")  # the index: a few hundred rows, fixed above
+        .where("array_contains(may, notice)")
+        .groupBy("key", "notice", (F.col("p") - F.col("place")).alias("shift"))
+        .agg(
+            F.first("label").alias("label"),
+            (F.sum("weight") / F.first("mass")).alias("coverage"),
         )
     )
     return (
@@ -238,13 +223,13 @@ def _places(phrase: str) -> Column:
     )
 
 
-def scan(docs: DataFrame, rarest: int = 8, least: float = 0.5) -> DataFrame:
+def scan(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score per row.
 
     score: the weight share of the best notice found, or 1 - 1/2**n_base if more.
     """
     found = materialize(look_up(docs))
-    aligned = _aligned(found, rarest, least)
+    aligned = _aligned(found, least)
     placed = found.select(
         "doc_id",
         "key",

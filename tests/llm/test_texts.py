@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+from itertools import permutations
 
 import pytest
 
@@ -169,6 +170,22 @@ def test_licences(spark):
     assert licenses.scan(docs.limit(0)).count() == 0
 
 
+def test_licences_that_stand_in_one_text(spark):
+    one_of_each = [n for i, n in enumerate(licenses.NOTICES) if i != 3]
+    groups = [*permutations(one_of_each, 2), *permutations(one_of_each, 3), one_of_each, one_of_each[::-1]]
+    texts = [" ".join(n.text for n in group) for group in groups]
+    # Half a notice after copies of its rarest words, and two copies of which one is cut.
+    mit = licenses.NOTICES[0].text.split()
+    texts.append("sublicense merge publish deal " * 50 + " ".join(mit[: 3 * len(mit) // 4]))
+    texts.append(" ".join(mit[-20:]) + " x " + " ".join(mit))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in licenses.scan(docs).collect()}
+    for i, group in enumerate(groups):
+        assert set(got[i]["labels"].split(",")) >= {n.label for n in group}
+        assert got[i]["score"] == 1
+    assert [got[i]["labels"] for i in (len(texts) - 2, len(texts) - 1)] == ["mit", "mit"]
+
+
 # -- quality and language -----------------------------------------------------------------
 
 
