@@ -7,9 +7,22 @@ says so) or most of it is links; it is content if it is long, has few links and
 stop words; otherwise it is undecided.  Second pass: undecided blocks take the
 label of the nearest decided ones, content on equal distance.
 
-Where a page has an <article> or <main>, the rest is boilerplate, and in it few stop words
-are no verdict.  Parts that are no article have no vote, and where nothing is decided,
-undecided blocks are content.
+A name says so if it is or ends in a mark ("comments", "user-comments"), or only words of
+layout follow the mark ("share-buttons"); not if it tells a state or a topic ("no-sidebar",
+"category-social").  Forms and names are no verdict against the page as a whole:
+
+* a form counts for nothing if it holds an <article> or <main>, or most of the page's text in
+  long blocks of few links while no <article> lies outside;
+* a name of several words counts for nothing on or around <main>, or where two of these hold: it
+  is around an <article> without such a name, it holds most of that text, no <article> lies outside;
+* a name that is a mark counts for nothing on or around <main>, or where it is on or around
+  an <article> and holds most of that text.
+
+Where a page has a <main> with a long block of few links, or <article> and <main> hold half of
+the text in such blocks, the rest is boilerplate; in them few stop words are no
+verdict.  Where less than half of that text has enough stop words, the page is in none of their
+languages, and long blocks of few links are content.  Parts that are no article have no vote, and
+where nothing is decided, undecided blocks are content.
 
 Inside a block, white space becomes one space; <br> counts as white space.  Blocks are joined by
 an empty line.  Character references are decoded.
@@ -22,6 +35,7 @@ other columns are not carried; an empty table gives no rows.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html import unescape
@@ -43,7 +57,7 @@ DROPPED = frozenset(
     "svg template textarea title video".split()
 )
 RAW = frozenset("script style textarea title".split())
-NO_ARTICLE = frozenset("aside dialog footer form menu nav".split())
+NO_ARTICLE = frozenset("aside dialog footer menu nav".split())
 # Words in a class, id or role that mark parts other than the article.
 MARKS = frozenset(
     "ad ads advert adverts advertisement alert banner breadcrumb breadcrumbs comment comments "
@@ -52,6 +66,18 @@ MARKS = frozenset(
     "promo promoted related replies reply search share sharing sidebar signup social sponsor "
     "sponsored subscribe subscription toolbar widget".split()
 )
+# Words behind a mark that leave it one, and words with which a name of several
+# words is no mark.
+LAYOUT = frozenset(
+    "area areas articles bar block body bottom box btn button buttons card cards column container "
+    "content contents controls form group holder icon icons inner input items label left line link "
+    "links list main message outer overlay panel placeholder posts primary respond right row "
+    "secondary section slot stories text thread title tools top unit wrap wrapper".split()
+)
+STATES = frozenset(
+    "cat category closed disabled enabled format free has have hide hides is no non not off on open "
+    "show shows tag tax topic type with without".split()
+)
 # Frequent words of English, German, French and Spanish.
 STOP_WORDS = frozenset(
     "a an and are as at be by for from has have in is it of on or that the this to was were which "
@@ -84,6 +110,7 @@ class Rules:
     long: int = 80  # characters of a block that can decide by itself
     links: float = 0.4  # share of link text above which a block is boilerplate
     stops: float = 0.2  # share of stop words from which a long block is content
+    most: float = 0.5  # share of the long blocks' text above which a part is most of the page
 
 
 @dataclass
@@ -92,24 +119,52 @@ class Block:
     link: int  # characters within links
     barred: bool  # in a part that is no article
     article: bool
+    main: bool
+    part: Part | None  # the innermost form or named part around it
 
 
-def is_marked(rest: str) -> bool:
-    """Whether an element's attributes say that it is no part of the article."""
-    if "=" not in rest and "hidden" not in rest:
-        return False
+@dataclass
+class Part:
+    """An element that is no article unless the page as a whole says otherwise."""
+
+    kind: str  # "form", "mark" or "name": a name that is a mark, or one of several words
+    up: Part | None
+    article: bool = False  # is an <article>
+    main: bool = False  # is or holds a <main>
+    holds: bool = False  # holds an <article> that is not named itself
+    size: int = 0  # of the text in long blocks of few links
+    direct: bool = False  # has a block of an article in no further part
+    beside: bool = False  # such a block is in what holds this part
+    barred: bool = False
+
+
+def mark_of(rest: str) -> str:
+    """What an element's class, id and role say: "mark" if one of their names is a mark, "name"
+    if one of several words has one, else ""."""
+    if "=" not in rest:
+        return ""
+    found = ""
     for named in NAMES.findall(rest):
-        if any(p.lower() in MARKS for p in PARTS.findall(named)):
-            return True
-    return bool(HIDDEN.search(rest))
+        for name in named.strip("\"'").split():
+            parts = [p.lower() for p in PARTS.findall(name)]
+            last = max((i for i, p in enumerate(parts) if p in MARKS), default=-1)
+            if last < 0 or (len(parts) > 1 and not STATES.isdisjoint(parts)):
+                continue
+            if len(parts) == 1:
+                return "mark"
+            if LAYOUT.issuperset(parts[last + 1 :]):
+                found = "name"
+    return found
 
 
-def blocks_of(html: str) -> list[Block]:
+def blocks_of(html: str, rules: Rules = Rules()) -> list[Block]:
     """The page's blocks that have text, in order."""
     out: list[Block] = []
     held: list[str] = []
     in_link = link = 0
-    stack: list[tuple[str, bool, bool]] = []  # element, barred, in article
+    made: list[Part] = []
+    outside = ("", False, False, False, None)  # element, barred, in article, in main, part
+    stack: list[tuple[str, bool, bool, bool, Part | None]] = []
     own_bar = False  # of the present block alone
     at = 0
 
@@ -117,8 +172,8 @@ def blocks_of(html: str) -> list[Block]:
         nonlocal link, held
         text = " ".join("".join(held).split())
         if text:
-            _, barred, article = stack[-1] if stack else ("", False, False)
-            out.append(Block(text, link, barred or own_bar, article))
+            _, barred, article, main, part = stack[-1] if stack else outside
+            out.append(Block(text, link, barred or own_bar, article, main, part))
         held, link = [], 0
 
     def add(piece: str) -> None:
@@ -154,21 +209,72 @@ def blocks_of(html: str) -> list[Block]:
         end_block()
         own_bar = False
         if tag not in CONTAINERS:
-            own_bar = not closing and is_marked(rest)
+            own_bar = not closing and bool(mark_of(rest) or HIDDEN.search(rest))
         elif closing:
-            if any(name == tag for name, _, _ in stack):
+            if any(x[0] == tag for x in stack):
                 while stack.pop()[0] != tag:
                     pass
         else:
-            _, barred, article = stack[-1] if stack else ("", False, False)
-            article = article or tag in ("article", "main")
+            _, barred, article, main, part = stack[-1] if stack else outside
+            article, main = article or tag in ("article", "main"), main or tag == "main"
             barred = barred or tag in NO_ARTICLE or (tag == "header" and not article)
-            barred = barred or (tag != "body" and is_marked(rest))
-            stack.append((tag, barred, article))
+            barred = barred or (tag != "body" and bool(HIDDEN.search(rest)))
+            mark = mark_of(rest) if tag != "body" else ""
+            if part and not barred:
+                part.main = part.main or tag == "main"
+                part.holds = part.holds or (tag in ("article", "main") and not mark)
+            if tag == "form":
+                part = Part("form", part)
+                made.append(part)
+            if mark:
+                part = Part(mark, part, tag == "article", tag == "main" and not barred)
+                made.append(part)
+            stack.append((tag, barred, article, main, part))
     end_block()
+    bar_parts(out, made, rules)
     return out
 
 
+def is_long(block: Block, rules: Rules) -> bool:
+    """Long and of few links."""
+    return len(block.text) >= rules.long and block.link <= rules.links * len(block.text)
+
+
+def bar_parts(blocks: list[Block], parts: list[Part], rules: Rules) -> None:
+    """Bar the blocks of forms and named parts that the page as a whole does not clear; a part
+    comes behind those around it."""
+    if not parts:
+        return
+    free = [b for b in blocks if not b.barred]
+    total, direct = 0, False
+    for b in free:
+        size = len(b.text) if is_long(b, rules) else 0
+        total += size
+        if b.part:
+            b.part.size += size
+            b.part.direct = b.part.direct or b.article
+        else:
+            direct = direct or b.article
+    for part in reversed(parts):
+        if part.up:
+            part.up.size += part.size
+            part.up.main = part.up.main or part.main
+            part.up.holds = part.up.holds or part.holds
+    for part in parts:
+        # Articles that are barred, if at all, by what bars this part too.
+        part.beside = (part.up.beside or part.up.direct) if part.up else direct
+        alone, most = not part.beside, part.size > rules.most * total
+        if part.kind == "form":
+            clear = part.main or part.holds or (most and alone)
+        elif part.kind == "name":
+            clear = part.main or alone + most + (part.holds or (part.article and most)) > 1
+        else:
+            clear = part.main or (most and (part.holds or part.article))
+        part.barred = not clear or (part.up is not None and part.up.barred)
+    for b in free:
+        b.barred = b.part is not None and b.part.barred
+
+
 def _after(html: str, tag: str, at: int) -> int:
     """The place behind the element's end: of <head> also <body>, if its end is missing."""
     if tag in RAW:
@@ -190,25 +296,39 @@ def _after(html: str, tag: str, at: int) -> int:
     return at if tag == "head" else len(html)
 
 
-def label(block: Block, rules: Rules) -> int:
+def stop_share(text: str) -> float:
+    words = [w.lower() for w in WORDS.findall(text)]
+    return sum(w in STOP_WORDS for w in words) / max(1, len(words))
+
+
+def labels_of(blocks: list[Block], rules: Rules) -> list[int]:
     """1 content, 0 boilerplate, -1 undecided."""
-    if block.barred or block.link > rules.links * len(block.text):
-        return 0
-    if len(block.text) < rules.long:
-        return -1
-    words = [w.lower() for w in WORDS.findall(block.text)]
-    stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-    if stops >= rules.stops:
-        return 1
-    return -1 if block.article or stops >= rules.stops / 2 else 0
+    free = [not b.barred and b.link <= rules.links * len(b.text) for b in blocks]
+    stops = {i: stop_share(b.text) for i, b in enumerate(blocks) if free[i] and is_long(b, rules)}
+    told = sum(len(blocks[i].text) for i, share in stops.items() if share >= rules.stops)
+    listed = 2 * told >= sum(len(blocks[i].text) for i in stops)  # a language of the stop words
+    out = []
+    for i, block in enumerate(blocks):
+        if not free[i]:
+            out.append(0)
+        elif i not in stops:
+            out.append(-1)
+        elif stops[i] >= rules.stops or not listed:
+            out.append(1)
+        else:
+            out.append(-1 if block.article or stops[i] >= rules.stops / 2 else 0)
+    return out
 
 
 def main_text(html: str, rules: Rules = Rules()) -> str:
-    blocks = blocks_of(html)
-    labels = [label(b, rules) for b in blocks]
+    blocks = blocks_of(html, rules)
+    labels = labels_of(blocks, rules)
     kept = [i for i, b in enumerate(blocks) if not b.barred]
-    if any(blocks[i].article for i in kept):
-        kept = [i for i in kept if blocks[i].article]
+    text = [blocks[i] for i in kept if is_long(blocks[i], rules)]
+    within = sum(len(b.text) for b in text if b.article)
+    if any(b.main for b in text) or 2 * within >= sum(len(b.text) for b in text):
+        if any(blocks[i].article for i in kept):
+            kept = [i for i in kept if blocks[i].article]
     # Distance to the nearest content and boilerplate before and behind, in two sweeps.
     far = len(blocks) + 1
     near = {i: [far, far] for i in kept}

@@ -36,6 +36,39 @@ def test_main_text(page, text):
     assert html.main_text(page) == text
 
 
+ITALIAN = (
+    "Ogni mattina i pescatori tornavano verso riva quando sorgeva sole, portando reti piene "
+    "che vendevano subito presso mercati vicini."
+)
+CARD = "<article><p>Read more news</p></article>"
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<form id=aspnetForm><nav>n</nav><article><p>{LONG}</p></article></form>", LONG),
+        (f"<form><div><p>{LONG}</p><p>{LONG}</p></div></form><footer>f</footer>", f"{LONG}\n\n{LONG}"),
+        (f"<main class='site-main has-sidebar'><p>{LONG}</p></main>", LONG),
+        (f"<main class='search'><p>{LONG}</p></main>", LONG),
+        (f"<div class='no-sidebar'><p>{LONG}</p></div>", LONG),
+        (f"<div class='layout-sidebar-left'><p>{LONG}</p></div>", LONG),
+        (f"<article class='post category-social'><p>{LONG}</p></article>", LONG),
+        (f"<article class='social'><p>{LONG}</p></article>", LONG),
+        (f"<article><p>{LONG}</p><div class='related-work comments-open ad-free'><p>{LONG}</p></div></article>", f"{LONG}\n\n{LONG}"),
+        (f"<div><p>{LONG}</p></div>{CARD}", f"{LONG}\n\nRead more news"),
+        (f"<p><a href='/'>One</a></p><p>{ITALIAN}</p><p>{ITALIAN}</p><p><a href='/'>Two</a></p>", f"{ITALIAN}\n\n{ITALIAN}"),
+        # What is no article still goes.
+        (f"<article><p>{LONG}</p></article><div class='comments'><article class='comment'><p>{LONG}</p></article></div>", LONG),
+        (f"<div><p>{LONG}</p></div><div class='comments-area'><article class='comment-body'>{LONG}</article></div>", LONG),
+        (f"<article><p>{LONG}</p></article><div class='share-buttons'>{LONG}</div><form>{LONG}</form>", LONG),
+        (f"<article><p>{LONG}</p></article><p>{LONG}</p>", LONG),
+        (f"<p>{LONG}</p><p>{'Shoes Bags Hats ' * 6}</p><p>{LONG}</p>", f"{LONG}\n\n{LONG}"),
+    ],
+)
+def test_whole_articles_stay(page, text):
+    assert html.main_text(page) == text
+
+
 def test_extract_rows(spark):
     pages = spark.createDataFrame(
         [(1, "u", "<p>é𝄞 x</p>", "t"), (2, None, None, "t"), (None, "v", "<p>y", "t")],
