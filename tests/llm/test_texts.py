@@ -268,3 +268,35 @@ def test_families_group_what_is_alike():
 
     means = np.array([[1, 0.9, 0, 0], [0, 0, 1, 0.8], [0.9, 1, 0, 0], [0, 0, 0.9, 1.0]])
     assert sorted(langid.families_of(means)) == [[0, 2], [1, 3]]
+
+
+def test_languages_of_copies_and_many_languages(spark):
+    # Each language has few texts, most rows of it copies of one; one group of copies is huge.
+    words = {"en": "the cat and dog", "de": "der Hund und Katze", "fr": "le chien et chat", "es": "el perro y gato"}
+    rows = [
+        (f"{said} {lang} {k}" * 3, lang)
+        for lang, said in words.items()
+        for k in (["copy"] * 2000 if lang != "en" else ["a", "b", "c"])
+    ]
+    rows += [("the cat and dog " + "x" * (k % 7) + str(k), "en") for k in range(3000)]
+    rows += [("one text of very many copies", "en")] * 6000
+    docs = spark.createDataFrame(
+        [(i, *row) for i, row in enumerate(rows)], "doc_id bigint, text string, lang string"
+    )
+    assert langid.learn(docs).languages == ["de", "en", "es", "fr"]
+    many = [(3 * i + j, f"{chr(0x100 + i) * 3} w{chr(0x100 + i)}", f"l{i:03}") for i in range(230) for j in range(3)]
+    many = spark.createDataFrame(many, "doc_id bigint, text string, lang string")
+    held = langid.held_out()
+    least = many.where(~held).select("lang").distinct().count()
+    assert len(langid.learn(many, sample=400, least=1).languages) == least > 200
+
+
+def test_margins_without_memory_of_words(monkeypatch):
+    import numpy as np
+
+    texts = [b"the cat and the dog", b"der hund und die katze", b"le chien et le chat", b"12"]
+    model = langid.fit(texts[:3], ["en", "de", "fr"])
+    kept = langid.WordMargins(model).margins(texts)
+    monkeypatch.setattr(langid, "MEMO_MARGINS", 0)
+    direct = langid.WordMargins(model).margins(texts)
+    assert np.allclose(kept[:3], direct[:3], atol=1e-4)
