@@ -11,7 +11,8 @@ documents.
 * tokens: token ids are written to compressed blocks; a row of digests per document.
 
 Defined cases: a null or empty text has no language and goes at the first stage; rows of one
-doc_id count as one document and one of them stays; a row without doc_id is no copy of any;
+doc_id and equal text count as one document, those of different texts as several, of which only
+near copies go; a row without doc_id is no copy of any;
 repeated rows of the mix are encoded as often as they occur; an empty table stays empty.
 """
 
@@ -39,22 +40,37 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = docs.select(*COLUMNS)
+    rows = docs.select(*COLUMNS).withColumn("digest", F.xxhash64("text"))
+    # One text of a doc_id goes by the doc_id, nearly always the only one; each further
+    # text by a hash from 2**62 on, so that smaller names stay the first choice.
+    several = (
+        rows.where("doc_id is not null")
+        .groupBy("doc_id")
+        .agg(F.min("digest").alias("own"), F.max("digest").alias("other"))
+        .where("own <> other")
+        .drop("other")
+    )
+    further = F.expr("(xxhash64(doc_id, digest) & 4611686018427387903L) | 4611686018427387904L")
+    named = rows.join(several, "doc_id", "left").withColumn(
+        "name", F.when(F.col("digest") != F.col("own"), further).otherwise(F.col("doc_id"))
+    )
     stay = (
-        neardup.near_duplicates(rows, size=5, percent=80)
+        neardup.near_duplicates(
+            named.select(F.col("name").alias("doc_id"), "text"), size=5, percent=80
+        )
         .where("kept and doc_id is not null")
-        .select("doc_id")
+        .select(F.col("doc_id").alias("name"))
         .distinct()
     )
-    # Rows of one doc_id: nearly always one.
-    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text", "source", "lang"), "text")
+    # Rows of one name: nearly always one.
+    one = Window.partitionBy("name").orderBy(F.xxhash64("text", "source", "lang"), "text")
     first = (
-        rows.join(stay, "doc_id", "left_semi")
+        named.join(stay, "name", "left_semi")
         .withColumn("nth", F.row_number().over(one))
         .where("nth = 1")
         .select(*COLUMNS)
     )
-    return first.unionByName(rows.where("doc_id is null"))
+    return first.unionByName(rows.where("doc_id is null").select(*COLUMNS))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

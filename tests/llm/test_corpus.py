@@ -190,3 +190,20 @@ def test_stages_of_nothing(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF).count() == 0
+
+
+def test_different_texts_of_one_doc_id(spark):
+    words = [f"w{k}" for k in range(400)]
+    near = " ".join(words[:100])
+    rows = [(1, near)] + [(7, " ".join(words[k : k + 60])) for k in range(100, 400, 60)]
+    rows += [(7, near + " more"), (7, rows[1][1]), (8, rows[2][1] + " more"), (9, "only one"), (None, near)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr(
+        "*", "'en' as lang", "'s' as source", "cast(length(text) as bigint) as n_chars"
+    )
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
+    # Of the two near copies (7 and 8) one stays.
+    pair = [(7, rows[2][1]), (8, rows[2][1] + " more")]
+    assert len(set(pair) & set(got)) == 1
+    want = [(1, near), (9, "only one"), (None, near)] + [rows[k] for k in (1, 3, 4, 5)]
+    assert sorted(map(str, set(got) - set(pair))) == sorted(map(str, want))
+    assert len(got) == len(want) + 1
