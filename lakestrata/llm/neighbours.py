@@ -33,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakestrata.session import materialize
+
 
 POPCOUNT = np.bitwise_count(np.arange(256, dtype=np.uint8)[:, None] ^ np.arange(256, dtype=np.uint8))
 FOUND = "query_id bigint, vec_id bigint, score double"
@@ -185,13 +187,13 @@ def search(
     if not fitted_on:  # a table so small that the hash picks none
         fitted_on = rows.limit(sample).select("v").toArrow().combine_chunks().to_batches()
     coder = fit(_matrix(fitted_on[0]), bits, recall, k)
-    queries = rows.where(is_query)
+    queries = materialize(rows.where(is_query).distinct())  # equal rows ask once
     parts = max(1, -(-queries.count() // query_block))
     block_of = F.pmod(F.xxhash64("vec_id", "v"), F.lit(parts))
 
     found: DataFrame | None = None
     for part in range(parts):
-        # A part is query_block queries on average: a bound on what is sent at once.
+        # A part is query_block different queries on average: a bound on what is sent at once.
         held = queries.where(block_of == part).orderBy("vec_id").toArrow()
         if not held.num_rows:
             continue

@@ -63,6 +63,22 @@ def test_neighbours_match_brute_force(spark):
     assert len(found) == 60 and hits >= 0.9 * 60
 
 
+def test_copies_of_a_query_ask_once(spark, monkeypatch):
+    gen = np.random.default_rng(5)
+    x = gen.normal(size=(300, 16))
+    rows = [(i, v.tolist(), "s", "q") for i, v in enumerate(x)]
+    plain = neighbours.search(vectors_frame(spark, rows), "vec_id % 50 = 0").collect()
+    sent, whole = [], neighbours._search_all
+    monkeypatch.setattr(
+        neighbours, "_search_all", lambda r, s, *a: (sent.append(len(s.value[1])), whole(r, s, *a))[1]
+    )
+    copied = vectors_frame(spark, rows + [rows[50]] * 150)
+    again = neighbours.search(copied, "vec_id % 50 = 0", query_block=50).collect()
+    assert sum(sent) == 6
+    assert {r["query_id"] for r in again} == {r["query_id"] for r in plain}
+    assert len(again) == len(plain) == len({(r["query_id"], r["vec_id"]) for r in again})
+
+
 def test_neighbours_of_few_rows(spark):
     rows = [(0, [1.0, 0.0], "", ""), (1, [0.0, 1.0], "", ""), (50, [1.0, 1.0], "", "")]
     found = neighbours.search(vectors_frame(spark, rows), "vec_id % 50 = 0").collect()
