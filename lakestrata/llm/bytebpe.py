@@ -1,18 +1,19 @@
 """Byte-level BPE by one shuffle of distinct words, and back.
 
-Encoding: texts are cut by the tokenizer's pattern into words (pre-tokens), and every word goes out
-with its positions, a row per word of a block of documents.  A shuffle brings equal words
-together, each distinct word is encoded once, its ids are joined back to the rows, and a
-shuffle by block puts them at their positions.  Decoding joins ids with the table of the tokens'
-bytes, which is as large as the vocabulary and is broadcast.
+Encoding: texts are cut by the tokenizer's pattern into words (pre-tokens).  Blocks of documents
+send out their distinct words, a row each, and keep the positions as a list of word numbers.  A
+shuffle brings equal words together, each distinct word is encoded once, its ids go back to
+the blocks that hold it, and a block's ids are put at their positions.  Decoding joins ids with the
+table of the tokens' bytes, which is as large as the vocabulary and is broadcast.
 
-Hot words: a word has at most one row per block.  Words of up to HOT_BYTES that hold at least one in
-HOT of all rows (all such words, if there are no more than HOT) are joined by broadcast, which
-is at most HOT rows of bounded size; any other word holds fewer rows, or is long, so that no
-task of the shuffled join is hot.  Rows written once (the words with their positions) feed both
-joins.
+No word is hot: a block sends a word once, however often it occurs, so the rows of one word are
+at most as many as the blocks, and of all rows at most one in the distinct words of a block.
+Equal words meet sorted and are read as a stream.  Three things are shuffled, each once: the
+blocks' distinct words, their ids, and the lists of word numbers.
 
-A block is some BLOCK_BYTES of text, or one longer text, and is put together in one task.
+A block is some BLOCK_BYTES of text, or one longer text, and is put together in one task.  The
+documents are read twice and must come in the same partitions and order, as a written table
+does; others are written first (``written=False``), and a difference would be an error.
 
 Defined cases: a null or empty text has no ids; every row counts, also repeated ones and those
 without doc_id; an empty table gives no rows; other columns are not carried.
@@ -21,9 +22,11 @@ without doc_id; an empty table gives no rows; other columns are not carried.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+import re
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,15 +39,17 @@ from pyspark.sql import functions as F
 from lakestrata.llm.common import chunks, texts_of
 from lakestrata.session import materialize
 
-BLOCK_BYTES = 8 << 20
-HOT = 50_000
-HOT_BYTES = 64
+BLOCK_BYTES = 16 << 20
+SEND = 1 << 20  # ids that wait in a task to be sent together
+# A word's place: task (20 bits), block in the task (15 bits), number in the block.
+NUMBER_BITS, BLOCK_BITS = 28, 15
 
-WORDS = "block bigint, word string, places binary, doc_ids array<bigint>, doc_words array<bigint>"
+WORDS = "word string, at bigint"
+PARTS = "block bigint, docs binary, numbers binary, sizes binary, ids binary"
 ENCODED = "doc_id bigint, ids array<int>"
 
 # A space between two others that are not white space always begins a new word.
-CUT = regex.compile(r" (?<=\S )(?=\S)")
+CUT = re.compile(r" (?<=\S )(?=\S)")
 
 
 @dataclass(frozen=True)
@@ -65,44 +70,73 @@ class Ranks:
 # -- words and their positions ---------------------------------------------------------------
 
 
-class Pieces(dict):
-    """A piece of a text between cuts -> its number; words are numbered as they come up."""
+def pieces_of(texts: Iterable[str]) -> list[list[str]]:
+    """Texts cut at spaces that begin a word; what lies between is cut on its own."""
+    cut = [t.split(" ") for t in texts]
+    unsure = {
+        w for w in set(chain.from_iterable(cut)) if not w or w[0].isspace() or w[-1].isspace()
+    }
+    if unsure:
+        cut = [
+            p if unsure.isdisjoint(p) or len(p) == 1 else CUT.split(" ".join(p)) for p in cut
+        ]
+    return cut
+
+
+class Numbers:
+    """The distinct words of a block, numbered as they come up."""
 
     def __init__(self, pattern: regex.Pattern) -> None:
-        super().__init__()
         self.pattern = pattern
         self.words: dict[str, int] = {}
+        self.heads: dict[str, int] = {}  # first piece of a text -> its number
+        self.rests: dict[str, int] = {}  # any other piece, behind its space
         self.flat: list[int] = []
         self.ends = [0]
 
-    def __missing__(self, piece: str) -> int:
+    def _words(self, piece: str, start: str) -> list[str]:
+        if piece.isalpha():
+            return [start + piece]
+        if piece[-1:] in (".", ",") and piece[:-1].isalpha():
+            return [start + piece[:-1], piece[-1]]
+        return self.pattern.findall(start + piece)
+
+    def _learn(self, known: dict[str, int], pieces: Iterable[str], start: str) -> None:
         words = self.words
-        for word in self.pattern.findall(piece):
-            self.flat.append(words.setdefault(word, len(words)))
-        self.ends.append(len(self.flat))
-        at = self[piece] = len(self.ends) - 2
-        return at
-
-    def of(self, text: str) -> np.ndarray:
-        """Numbers of the text's pieces; all but the first begin with a space."""
-        if not text:
-            return np.zeros(0, np.int64)
-        first, *rest = CUT.split(text)
-        out = np.fromiter(map(self.__getitem__, [first, *(" " + r for r in rest)]), np.int64)
-        return out
-
-    def gather(self, pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(numbers of the words of these pieces, how many each has)"""
+        for piece in pieces:
+            if piece not in known:
+                for word in self._words(piece, start):
+                    self.flat.append(words.setdefault(word, len(words)))
+                known[piece] = len(self.ends) - 1
+                self.ends.append(len(self.flat))
+
+    def add(self, cut: list[list[str]]) -> None:
+        self._learn(self.heads, (p[0] for p in cut), "")
+        self._learn(self.rests, dict.fromkeys(chain.from_iterable(p[1:] for p in cut)), " ")
+
+    def sequence(self, cut: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of the texts' words, how many each text has)"""
+        n = np.array([len(p) for p in cut])
+        rest = chain.from_iterable(p[1:] for p in cut)
+        at = np.zeros(len(n), np.int64)
+        at[1:] = np.cumsum(n)[:-1]
+        pieces = np.empty(int(n.sum()), np.int64)
+        first = np.zeros(len(pieces), bool)
+        first[at] = True
+        pieces[first] = [self.heads[p[0]] for p in cut]
+        pieces[~first] = np.fromiter(
+            map(self.rests.__getitem__, rest), np.int64, len(pieces) - len(n)
+        )
         bounds, flat = np.array(self.ends), np.array(self.flat, np.int32)
         lengths = np.diff(bounds)[pieces]
         ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        at = np.arange(total) + np.repeat(bounds[pieces] - (ends - lengths), lengths)
-        return flat[at], lengths
+        place = np.arange(int(ends[-1])) + np.repeat(bounds[pieces] - (ends - lengths), lengths)
+        return flat[place], np.add.reduceat(lengths, at)
 
 
-def pack(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers below 2**35 as bytes of 7 bits, the last of each marked; (bytes, size of each)."""
+def pack(numbers: np.ndarray) -> bytes:
+    """Numbers below 2**35 as bytes of 7 bits, the last of each marked, compressed."""
+    numbers = numbers.astype(np.int64)
     sizes = np.ones(len(numbers), np.int64)
     for k in range(1, 5):
         sizes += numbers >= 1 << (7 * k)
@@ -112,171 +146,206 @@ def pack(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         has = sizes > k
         out[(ends - sizes)[has] + k] = (numbers[has] >> (7 * k)) & 127
     out[ends - 1] |= 128
-    return out, sizes
+    return len(out).to_bytes(8, "little") + pa.compress(out.tobytes(), "zstd", asbytes=True)
 
 
-def unpack(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(numbers, place of the last byte of each)"""
+def unpack(data: bytes) -> np.ndarray:
+    size = int.from_bytes(data[:8], "little")
+    raw = np.frombuffer(pa.decompress(data[8:], size, "zstd", asbytes=True), np.uint8)
     last = np.flatnonzero(raw & 128)
-    first = np.concatenate([[0], last[:-1] + 1]) if len(last) else last
-    shift = np.arange(len(raw)) - np.repeat(first, last - first + 1)
-    parts = (raw & 127).astype(np.int64) << (7 * shift)
-    return (np.add.reduceat(parts, first) if len(first) else parts), last
+    if not len(last):
+        return np.zeros(0, np.int64)
+    first = np.concatenate([[0], last[:-1] + 1])
+    out = np.zeros(len(last), np.int64)
+    for k in range(5):
+        has = last - first >= k
+        out[has] |= (raw[first[has] + k] & 127).astype(np.int64) << (7 * k)
+    return out
+
+
+def in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, list[bytes]]]:
+    """(block, doc_ids, texts): the same for the same rows, so blocks can be made twice."""
+    block = TaskContext.get().partitionId() << BLOCK_BITS
+    ids: list[int | None] = []
+    texts: list[bytes] = []
+    size = 0
+    for batch in batches:
+        whole, own = texts_of(batch), batch.column("doc_id").to_pylist()
+        for a, b in chunks(whole):
+            more = sum(map(len, whole[a:b]))
+            if texts and size + more > BLOCK_BYTES:
+                yield block, ids, texts
+                block, ids, texts, size = block + 1, [], [], 0
+            ids += own[a:b]
+            texts += whole[a:b]
+            size += more
+    if texts:
+        yield block, ids, texts
+
+
+def _numbered(pattern: regex.Pattern, texts: list[bytes]) -> Numbers:
+    numbers = Numbers(pattern)
+    for a, b in chunks(texts):
+        numbers.add(pieces_of(t.decode() for t in texts[a:b]))
+    return numbers
+
+
+def _send_words(pattern: str):
+    """A row per distinct word of a block."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cut = regex.compile(pattern)
+        for block, _, texts in in_blocks(batches):
+            words = list(_numbered(cut, texts).words)
+            at = (block << NUMBER_BITS) + np.arange(len(words))
+            for a, b in chunks([w.encode() for w in words]):
+                yield pa.record_batch({"word": pa.array(words[a:b]), "at": pa.array(at[a:b])})
 
-def binaries(data: np.ndarray, ends: np.ndarray) -> pa.Array:
-    """One binary value up to each end."""
-    offsets = np.concatenate([[0], ends]).astype(np.int64)
-    value = pa.Array.from_buffers(
-        pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(data.tobytes())]
-    )
-    return value.cast(pa.binary())
-
-
-def block_rows(
-    block: int, pattern: regex.Pattern, doc_ids: list[int | None], texts: list[bytes]
-) -> pa.RecordBatch:
-    """A row per distinct word with the steps between its positions, and one for the documents."""
-    pieces = Pieces(pattern)
-    found = [pieces.of(t.decode()) for t in texts]
-    words, per_piece = pieces.gather(np.concatenate(found))
-    bounds = np.cumsum([0, *map(len, found)])
-    held = np.concatenate([[0], np.cumsum(per_piece)])[bounds]
-    order = np.argsort(words, kind="stable")
-    counts = np.bincount(words, minlength=len(pieces.words)) if len(words) else np.zeros(0, np.int64)
-    ends = np.cumsum(counts)
-    steps = np.diff(order, prepend=0)
-    steps[(ends - counts)] = order[(ends - counts)]
-    data, sizes = pack(steps)
-    byte_ends = np.cumsum(sizes)[ends - 1] if len(ends) else ends
-    n = len(counts)
-    places = pa.concat_arrays([binaries(data, byte_ends), pa.nulls(1, pa.binary())])
-    none = [None] * n
-    return pa.record_batch(
-        {
-            "block": pa.array(np.full(n + 1, block)),
-            "word": pa.array([*pieces.words, None], pa.string()),
-            "places": places,
-            "doc_ids": pa.array([*none, doc_ids], pa.list_(pa.int64())),
-            "doc_words": pa.array([*none, np.diff(held).tolist()], pa.list_(pa.int64())),
-        }
-    )
+    return run
 
 
-def words_with_places(docs: DataFrame, pattern: str) -> DataFrame:
-    """A row per block and distinct word; a block's documents stand in a row without word."""
+def _keep_places(pattern: str):
+    """A block's documents and, as word numbers, their words; a row per block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = regex.compile(pattern)
-        block = TaskContext.get().partitionId() << 33
-        ids: list[int | None] = []
-        texts: list[bytes] = []
-        size = 0
-        for batch in batches:
-            whole, own = texts_of(batch), batch.column("doc_id").to_pylist()
-            for a, b in chunks(whole, BLOCK_BYTES):
-                more = sum(map(len, whole[a:b]))
-                if texts and size + more > BLOCK_BYTES:
-                    yield block_rows(block, cut, ids, texts)
-                    block, ids, texts, size = block + 1, [], [], 0
-                ids, texts, size = ids + own[a:b], texts + whole[a:b], size + more
-        if texts:
-            yield block_rows(block, cut, ids, texts)
-
-    return docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")
-    ).mapInArrow(run, WORDS)
+        for block, doc_ids, texts in in_blocks(batches):
+            numbers = _numbered(cut, texts)
+            found = [
+                numbers.sequence(pieces_of(t.decode() for t in texts[a:b]))
+                for a, b in chunks(texts)
+            ]
+            ids = pa.record_batch({"doc_id": pa.array(doc_ids, pa.int64())})
+            with pa.BufferOutputStream() as out:
+                with pa.ipc.new_stream(out, ids.schema) as stream:
+                    stream.write_batch(ids)
+                docs = out.getvalue().to_pybytes()
+            yield _part(
+                block,
+                docs,
+                pack(np.concatenate([s for s, _ in found])),
+                pack(np.concatenate([n for _, n in found])),
+                None,
+            )
+
+    return run
+
+
+def _part(block: int, docs, numbers, sizes, ids) -> pa.RecordBatch:
+    own = {"docs": docs, "numbers": numbers, "sizes": sizes, "ids": ids}
+    columns = {name: pa.array([value], pa.binary()) for name, value in own.items()}
+    return pa.record_batch({"block": pa.array([block], pa.int64()), **columns})
 
 
 # -- ids of words ---------------------------------------------------------------------------
 
 
 @lru_cache(maxsize=1)
-def _library(name: str, ranks):
+def _library(ranks):
     import tiktoken
 
     known = {token: rank for rank, token in ranks.value.tokens.items()}
     return tiktoken.Encoding(
-        name, pat_str=ranks.value.pattern, mergeable_ranks=known, special_tokens={}
+        "own", pat_str=ranks.value.pattern, mergeable_ranks=known, special_tokens={}
     )
 
 
-def _encode_words(name: str, ranks):
+def _encode_words(ranks):
+    """Sorted words in, each encoded when it comes up; out go the ids, by block."""
+
+    def send(at: list[np.ndarray], ids: list[list[int]], reps: list[int]):
+        place, reps = np.concatenate(at), np.array(reps)
+        sizes = np.array([len(x) for x in ids])
+        flat = np.fromiter(chain.from_iterable(ids), np.int64, int(sizes.sum()))
+        starts = np.cumsum(sizes) - sizes
+        word = np.repeat(np.arange(len(ids)), reps)
+        order = np.argsort(place)
+        place, word = place[order], word[order]
+        block = place >> NUMBER_BITS
+        cuts = np.flatnonzero(np.diff(block, prepend=-1))
+        for a, b in zip(cuts, [*cuts[1:], len(place)], strict=True):
+            own = word[a:b]
+            n = sizes[own]
+            ends = np.cumsum(n)
+            took = flat[np.arange(int(ends[-1])) + np.repeat(starts[own] - (ends - n), n)]
+            numbers = place[a:b] & ((1 << NUMBER_BITS) - 1)
+            steps = np.diff(numbers, prepend=0)
+            yield _part(int(block[a]), None, pack(steps), pack(n), pack(took))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _library(name, ranks).encode_ordinary
+        encode = _library(ranks).encode_ordinary
+        last, at, ids, reps, held = None, [], [], [], 0
         for batch in batches:
-            ids = [encode(w) for w in batch.column("word").to_pylist()]
-            yield pa.record_batch(
-                {
-                    "word": batch.column("word"),
-                    "n": batch.column("n"),
-                    "ids": pa.array(ids, pa.list_(pa.int32())),
-                }
-            )
+            at.append(batch.column("at").to_numpy())
+            held += batch.num_rows
+            for word in batch.column("word").to_pylist():
+                if word == last:
+                    reps[-1] += 1
+                else:
+                    last = word
+                    ids.append(encode(word))
+                    reps.append(1)
+                    held += len(ids[-1])
+            if held >= SEND:
+                yield from send(at, ids, reps)
+                # The last word may go on.
+                at, ids, reps, held = [], [ids[-1]], [0], len(ids[-1])
+        if at:
+            yield from send(at, ids, reps)
 
     return run
 
 
 def _at_places(table: pa.Table) -> pa.Table:
     """A block's words put at their positions: the ids of each of its documents."""
-    word = table["places"].is_valid()
-    docs = table.filter(pa.compute.invert(word))
-    table = table.filter(word)
-    doc_ids, doc_words = docs["doc_ids"][0].as_py(), np.array(docs["doc_words"][0].as_py())
-    raw = np.frombuffer(b"".join(table["places"].to_pylist()), np.uint8)
-    steps, last = unpack(raw)
-    # Per row, the number of its last step; steps add up within a row.
-    byte_ends = np.cumsum(pa.compute.binary_length(table["places"]).to_numpy())
-    ends = np.searchsorted(last, byte_ends - 1, side="right")
-    counts = np.diff(ends, prepend=0)
-    total = np.cumsum(steps)
-    before = np.concatenate([[0], total])[ends - counts]
-    place = total - np.repeat(before, counts)
-    row = np.empty(len(place), np.int64)
-    row[place] = np.repeat(np.arange(len(counts)), counts)
-    ids = table["ids"].combine_chunks()
-    lengths = pa.compute.list_value_length(ids).to_numpy()
-    flat = ids.flatten().to_numpy()
-    starts = np.cumsum(lengths) - lengths
-    sizes = lengths[row]
-    id_ends = np.cumsum(sizes)
-    n = int(id_ends[-1]) if len(id_ends) else 0
-    out = flat[np.arange(n) + np.repeat(starts[row] - (id_ends - sizes), sizes)]
-    offsets = np.concatenate([[0], id_ends])[np.cumsum(np.concatenate([[0], doc_words]))]
-    lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(out, pa.int32()))
-    return pa.table({"doc_id": pa.array(doc_ids, pa.int64()), "ids": lists})
-
-
-def encode(docs: DataFrame, ranks: Ranks, hot: int = HOT) -> DataFrame:
-    """(doc_id, ids) of every row."""
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(ranks)
-    rows = materialize(words_with_places(docs, ranks.pattern))
-    distinct = rows.where("word is not null").groupBy("word").agg(F.count("block").alias("n"))
-    words = materialize(
-        distinct.mapInArrow(_encode_words("own", sent), "word string, n bigint, ids array<int>")
+    is_docs = table["docs"].is_valid()
+    kept = table.filter(is_docs).to_pylist()
+    sent = table.filter(pa.compute.invert(is_docs)).to_pylist()
+    if len(kept) != 1:
+        raise ValueError("a block was made twice: the documents must be a written table")
+    with pa.ipc.open_stream(kept[0]["docs"]) as stream:
+        doc_ids = stream.read_all()["doc_id"].combine_chunks()
+    row, doc_words = unpack(kept[0]["numbers"]), unpack(kept[0]["sizes"])
+    numbers = np.concatenate([np.cumsum(unpack(s["numbers"])) for s in sent] or [row[:0]])
+    sizes = np.concatenate([unpack(s["sizes"]) for s in sent] or [row[:0]])
+    flat = np.concatenate([unpack(s["ids"]).astype(np.int32) for s in sent] or [row[:0]])
+    n_words = int(row.max()) + 1 if len(row) else 0
+    if len(numbers) != n_words or not np.array_equal(np.sort(numbers), np.arange(n_words)):
+        raise ValueError("a block's words differ: the documents must be a written table")
+    starts, lengths = np.empty(n_words, np.int64), np.empty(n_words, np.int64)
+    starts[numbers], lengths[numbers] = np.cumsum(sizes) - sizes, sizes
+    bounds = np.concatenate([[0], np.cumsum(doc_words)])
+    parts, ends = [], [0]
+    # Some million ids at a time, by document.
+    for a, b in _parts(doc_words, 1 << 20):
+        own = row[bounds[a] : bounds[b]]
+        n = lengths[own]
+        stop = np.cumsum(n)
+        total = int(stop[-1]) if len(stop) else 0
+        parts.append(flat[np.arange(total) + np.repeat(starts[own] - (stop - n), n)])
+        upto = np.concatenate([[0], stop])[bounds[a + 1 : b + 1] - bounds[a]]
+        ends += (ends[-1] + upto).tolist()
+    out = np.concatenate(parts) if parts else flat[:0]
+    lists = pa.ListArray.from_arrays(
+        pa.array(ends, pa.int32()), pa.array(out.astype(np.int32, copy=False))
     )
-    different, total = words.agg(F.count("n"), F.sum("n")).first()
-    # No more than ``hot`` words can each hold one in ``hot`` of the rows.
-    least = 1 if different <= hot else -(-total // hot)
-    is_hot = (F.col("n") >= least) & (F.octet_length("word") <= HOT_BYTES)
-    top = words.where(is_hot).select("word", "ids")
-    found = rows.join(F.broadcast(top), "word", "left")  # at most ``hot`` short words
-    known = found.where("ids is not null or word is null").select(
-        "block", "places", "ids", "doc_ids", "doc_words"
+    return pa.table({"doc_id": doc_ids, "ids": lists})
+
+
+def encode(docs: DataFrame, ranks: Ranks, written: bool = True) -> DataFrame:
+    """(doc_id, ids) of every row; ``written``: ``docs`` is read from a table as it is."""
+    sent = docs.sparkSession.sparkContext.broadcast(ranks)
+    rows = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
-    rest = (
-        rows.select("block", "word", "places")
-        .join(words.where(~is_hot).select("word", "ids"), "word")
-        .select(
-            "block",
-            "places",
-            "ids",
-            F.lit(None).cast("array<bigint>").alias("doc_ids"),
-            F.lit(None).cast("array<bigint>").alias("doc_words"),
-        )
+    if not written:
+        rows = materialize(rows)
+    words = rows.mapInArrow(_send_words(ranks.pattern), WORDS)
+    ids = words.repartition("word").sortWithinPartitions("word").mapInArrow(
+        _encode_words(sent), PARTS
     )
-    return known.unionByName(rest).groupBy("block").applyInArrow(_at_places, ENCODED)
+    places = rows.mapInArrow(_keep_places(ranks.pattern), PARTS)
+    return places.unionByName(ids).groupBy("block").applyInArrow(_at_places, ENCODED)
 
 
 # -- bytes of ids ----------------------------------------------------------------------------
