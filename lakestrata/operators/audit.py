@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -141,14 +141,14 @@ def _rows(column: str, *kinds: str):
     return F.count_if(F.col(column).isin(list(kinds)))
 
 
-def step_counts(changes: DataFrame, step: Step) -> DataFrame:
-    """The three counts of a step, as its kind of step reports them.
+def count_columns(columns: Sequence[str], step: Step) -> list[Column]:
+    """The three counts of a step over its changes, as its kind of step reports them.
 
     Staging: merged rows, nothing, deleted rows.  Dimension: new versions of
     changed keys, then closed plus first versions, nothing.  Fact: merged rows,
     re-validated rows, invalidated rows.
     """
-    if "_validity" in changes.columns:
+    if "_validity" in columns:
         counts = {
             "rows_inserted": _rows("_op", "insert", "update"),
             "rows_updated": _rows("_validity", "revalidated"),
@@ -164,7 +164,27 @@ def step_counts(changes: DataFrame, step: Step) -> DataFrame:
             "rows_inserted": _rows("_op", "insert", "update"),
             "rows_deleted": _rows("_op", "delete"),
         }
+    zero = F.sum(F.lit(0).cast("bigint"))
     names = ("rows_inserted", "rows_updated", "rows_deleted")
-    found = changes.agg(*[value.alias(name) for name, value in counts.items()])
-    zero = F.lit(0).cast("bigint")
-    return found.select(*[(F.col(n) if n in counts else zero).alias(n) for n in names])
+    return [F.coalesce(counts.get(n, zero), F.lit(0).cast("bigint")).alias(n) for n in names]
+
+
+def step_counts(changes: DataFrame, step: Step) -> DataFrame:
+    """The three counts of a step, in one row."""
+    return changes.agg(*count_columns(changes.columns, step))
+
+
+class Watched:
+    """The counts of a step, taken while its changes are written: no job of their own."""
+
+    def __init__(self, step: Step) -> None:
+        self.step, self._seen = step, Observation()
+
+    def __call__(self, changes: DataFrame) -> DataFrame:
+        return changes.observe(self._seen, *count_columns(changes.columns, self.step))
+
+    @property
+    def counts(self) -> tuple[int, int, int]:
+        """Known once the changes have been written."""
+        seen = self._seen.get
+        return tuple(seen[n] for n in ("rows_inserted", "rows_updated", "rows_deleted"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -26,6 +26,7 @@ from lakestrata.session import materialize
 
 VALIDITY = "_validity"
 INVALIDATED, REVALIDATED = "invalidated", "revalidated"
+Watch = Callable[[DataFrame], DataFrame]
 
 
 def lookup_keys(
@@ -165,11 +166,21 @@ def _literal_changes(
 
 @dataclass(frozen=True)
 class FactResult:
-    table: DataFrame
+    """``table`` is None where kept rows were not written."""
+
+    table: DataFrame | None
     new_rows: DataFrame
     changes: DataFrame
 
 
+def differing(changes: DataFrame) -> DataFrame:
+    """Changes without the rows that stay as they are."""
+    moved = F.col(OP) != KEEP
+    if VALIDITY in changes.columns:
+        moved = moved | F.col(VALIDITY).isNotNull()
+    return changes.where(moved)
+
+
 def key_new_rows(
     changes: DataFrame,
     spec: Fact,
@@ -177,17 +188,24 @@ def key_new_rows(
     start_key: int,
     order_by: Sequence[str] | None,
     path: str | None = None,
+    kept: bool = True,
+    watch: Watch | None = None,
 ) -> FactResult:
-    """Write the changes once, then number only the inserted rows."""
+    """Write the changes once, then number only the inserted rows.  Without ``kept`` only rows
+    that differ are written; ``watch`` sees the rows as they are written."""
+    if not kept:
+        changes = differing(changes)
     if order_by:
         changes = with_place(changes)
+    if watch:
+        changes = watch(changes)
     changes = materialize(changes, partition_by=OP, path=path)
     fresh = changes.where(F.col(OP) == INSERT).select(
         *[c for c in changes.columns if c in (*columns, COPY) and c != spec.surrogate]
     )
     keyed = assign_keys(fresh, spec.surrogate, start_key, order_by).select(*columns)
     rest = changes.where(F.col(OP) != INSERT).select(*columns)
-    return FactResult(rest.unionByName(keyed), keyed, changes)
+    return FactResult(rest.unionByName(keyed) if kept else None, keyed, changes)
 
 
 def fact_apply(
@@ -199,12 +217,14 @@ def fact_apply(
     start_key: int | None = None,
     order_by: Sequence[str] | None = None,
     path: str | None = None,
+    kept: bool = True,
+    watch: Watch | None = None,
 ) -> FactResult:
     """A cycle of the fact table."""
     if start_key is None:
         start_key = highest(fact, spec.surrogate)
     changes = fact_changes(fact, staged, dims, spec, clock)
-    return key_new_rows(changes, spec, fact.columns, start_key, order_by, path)
+    return key_new_rows(changes, spec, fact.columns, start_key, order_by, path, kept, watch)
 
 
 def fact_initial(
@@ -217,6 +237,8 @@ def fact_initial(
     order_by: Sequence[str] | None = None,
     path: str | None = None,
     load_time_as_source: bool = True,
+    kept: bool = True,
+    watch: Watch | None = None,
 ) -> FactResult:
     """First load: only ``initial_compare`` decides an update.
 
@@ -240,7 +262,7 @@ def fact_initial(
         compare=spec.initial_compare,
         defaults={"is_valid": F.lit(True), "_load_timestamp": clock.now},
     )
-    return key_new_rows(changes, spec, fact.columns, start_key, order_by, path)
+    return key_new_rows(changes, spec, fact.columns, start_key, order_by, path, kept, watch)
 
 
 def validity_counts(changes: DataFrame) -> DataFrame:

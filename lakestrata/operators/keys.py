@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from itertools import accumulate
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.session import materialize
@@ -19,31 +20,29 @@ def highest(df: DataFrame, key: str) -> int:
     return df.agg(F.max(key).alias("top")).first()["top"] or 0
 
 
+def long_array(values: Iterable[int]) -> Column:
+    """A literal array of many longs: one text, folded into one literal when planned."""
+    text = ",".join(map(str, values))
+    if not text:
+        return F.array().cast("array<bigint>")
+    return F.split(F.lit(text), ",").cast("array<bigint>")
+
+
 def number_rows(df: DataFrame, name: str, start: int = 0) -> DataFrame:
     """Append ``name`` = start+1, start+2, ... in partition and row order, no shuffle.
 
     The rows are written once with their place in their partition; only one count
-    per partition reaches the driver.  A rerun task reads the written place, so
+    per partition reaches the driver, and goes back as an array looked up by partition,
+    so that reading the keys is a projection.  A rerun task reads the written place, so
     keys cannot change under retries.
     """
     placed = materialize(df.withColumn("_place", F.monotonically_increasing_id()))
     part = F.shiftright("_place", ROW_BITS).cast("int")
     within = F.col("_place").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
-    sizes = (
-        placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("n")).collect()
-    )
-    offsets, total = [], start
-    for row in sorted(sizes, key=lambda r: r["_part"]):
-        offsets.append((row["_part"], total))
-        total += row["n"]
-    # One row per partition of the input; Spark chooses the join by its size.
-    table = df.sparkSession.createDataFrame(offsets, "_part int, _offset bigint")
-    return (
-        placed.withColumn("_part", part)
-        .join(table, "_part")
-        .withColumn(name, F.col("_offset") + within + 1)
-        .drop("_place", "_part", "_offset")
-    )
+    sizes = dict(placed.groupBy(part).agg(F.count(F.lit(1))).collect())
+    counts = [sizes.get(i, 0) for i in range(max(sizes, default=0) + 1)]
+    before = long_array(accumulate([start, *counts[:-1]]))
+    return placed.withColumn(name, F.get(before, part) + within + 1).drop("_place")
 
 
 def with_place(df: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -210,7 +210,7 @@ def _literal_changes(
 class Scd2Result:
     """The pieces of the next state; closed history is left where it is."""
 
-    current: DataFrame
+    current: DataFrame | None  # None where kept rows were not written
     newly_closed: DataFrame
     new_versions: DataFrame
     changes: DataFrame
@@ -227,25 +227,32 @@ def scd2_apply(
     start_key: int | None = None,
     order_by: Sequence[str] | None = None,
     path: str | None = None,
+    kept: bool = True,
+    watch: Callable[[DataFrame], DataFrame] | None = None,
     **options,
 ) -> Scd2Result:
     """Run a cycle and give new versions their surrogate keys.
 
     The changes are written once, split by kind, so kept, closed and new rows are
-    each read from their own files.
+    each read from their own files.  Without ``kept`` only rows that differ are written;
+    ``watch`` sees the rows as they are written.
     """
     if start_key is None:
         start_key = highest(current, spec.surrogate)
     changes = scd2_changes(current, staged, spec, clock, **options)
+    if not kept:
+        changes = changes.where(F.col(OP) != KEEP)
     if order_by:
         changes = with_place(changes)
+    if watch:
+        changes = watch(changes)
     changes = materialize(changes, partition_by=OP, path=path)
     fresh = changes.where(F.col(OP).isin(INSERT, REOPEN)).drop(OP, spec.surrogate)
     keyed = assign_keys(fresh, spec.surrogate, start_key, order_by)
     columns = current.columns
-    kept = changes.where(F.col(OP) == KEEP).select(*columns)
+    stay = changes.where(F.col(OP) == KEEP).select(*columns)
     return Scd2Result(
-        current=kept.unionByName(keyed.select(*columns)),
+        current=stay.unionByName(keyed.select(*columns)) if kept else None,
         newly_closed=changes.where(F.col(OP) == CLOSE).select(*columns),
         new_versions=keyed.select(*columns),
         changes=changes,

@@ -6,8 +6,9 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakestrata.config import NULL_TOKENS, STATUS_LOADED, STATUS_NEW, Entity
 from lakestrata.functions.scalar import null_tokens, ts
@@ -15,6 +16,44 @@ from lakestrata.operators.merge import with_defaults
 from lakestrata.sources.files import BAD, number_file_rows
 
 
+LEDGER_SCHEMA = T.StructType(
+    [
+        T.StructField("table_name", T.StringType()),
+        T.StructField("path", T.StringType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("modified", T.TimestampType()),
+        T.StructField("batch_id", T.LongType()),
+        T.StructField("loaded_at", T.TimestampNTZType()),
+    ]
+)
+REJECT_SCHEMA = T.StructType(
+    [
+        T.StructField("_source_file", T.StringType()),
+        T.StructField("_file_row_number", T.LongType()),
+        T.StructField("_load_timestamp", T.TimestampNTZType()),
+        T.StructField("bad_row", T.StringType()),
+    ]
+)
+# What becomes of rows with too few or too many fields.
+KEEP, REJECT = "keep", "reject"
+
+
+def new_files(
+    listed: DataFrame, ledger: DataFrame, table: str, since: datetime
+) -> DataFrame:
+    """Listed files whose path was not loaded into ``table`` since then, however old they are."""
+    known = ledger.where((F.col("table_name") == table) & (F.col("loaded_at") >= ts(since)))
+    return listed.join(known.select("path"), "path", "left_anti")
+
+
+def ledger_rows(
+    spark: SparkSession, listed: Iterable[Row], table: str, batch: int, run_ts: datetime
+) -> DataFrame:
+    """What the ledger keeps of a batch's files."""
+    rows = [(table, r["path"], r["length"], r["modified"], batch, run_ts) for r in listed]
+    return spark.createDataFrame(rows, LEDGER_SCHEMA)
+
+
 def clean_text(df: DataFrame, columns: Iterable[str], tokens=NULL_TOKENS) -> DataFrame:
     """NULL for the feed's "no value" texts, in one projection."""
     columns = set(columns)
@@ -38,14 +77,41 @@ class Landed:
     rejects: DataFrame
 
 
-def land(rows: DataFrame, entity: Entity, run_ts: datetime) -> Landed:
+def _n_fields(row: Column) -> Column:
+    """Fields of a row's text, NULL if its quotes do not pair up."""
+    bare = F.regexp_replace(row, '"[^"]*+"', "")
+    return F.when(~F.contains(bare, F.lit('"')), F.size(F.split(bare, ",")))
+
+
+def is_rejected(entity: Entity, short_rows: str = REJECT, long_rows: str = REJECT) -> Column:
+    """Whether a row the parser objected to stays out.  Kept short rows end in NULLs, kept
+    long rows lose what is beyond the last column; rows with broken quotes never stay."""
+    if not {short_rows, long_rows} <= {KEEP, REJECT}:
+        raise ValueError(f"short_rows={short_rows!r}, long_rows={long_rows!r}")
+    n, width = _n_fields(F.col(BAD)), len(entity.columns)
+    stays = F.lit(False)
+    if short_rows == KEEP:
+        stays = stays | (n < width)
+    if long_rows == KEEP:
+        stays = stays | (n > width)
+    return F.col(BAD).isNotNull() & ~F.coalesce(stays, F.lit(False))
+
+
+def land(
+    rows: DataFrame,
+    entity: Entity,
+    run_ts: datetime,
+    short_rows: str = REJECT,
+    long_rows: str = REJECT,
+) -> Landed:
     """Number a feed's rows, then part good from bad: good ones become raw rows."""
+    bad = is_rejected(entity, short_rows, long_rows)
     numbered = number_file_rows(rows)
-    good = clean_text(numbered.where(F.col(BAD).isNull()).drop(BAD), entity.columns)
+    good = clean_text(numbered.where(~bad).drop(BAD), entity.columns)
     raw = with_defaults(good, raw_defaults(run_ts)).select(
         *entity.columns, "_load_timestamp", "_source_file", "_file_row_number", "load_status"
     )
-    rejects = numbered.where(F.col(BAD).isNotNull()).select(
+    rejects = numbered.where(bad).select(
         "_source_file",
         "_file_row_number",
         ts(run_ts).alias("_load_timestamp"),

@@ -14,6 +14,7 @@ import time
 import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta
+from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -24,6 +25,7 @@ FOLD = 64
 class Store:
     def __init__(self, spark: SparkSession, root: str, schemas: Mapping[str, T.StructType]):
         self.spark, self.root, self.schemas = spark, root.rstrip("/"), dict(schemas)
+        self.lock = RLock()
 
     # -- files ---------------------------------------------------------------------
 
@@ -37,6 +39,10 @@ class Store:
     def exists(self, path: str) -> bool:
         return self._fs().exists(self._path(path))
 
+    def folders(self, path: str) -> list[str]:
+        """Names of what lies in a folder."""
+        return [s.getPath().getName() for s in self._fs().listStatus(self._path(path))]
+
     def new_path(self, table: str) -> str:
         """A fresh folder for a version, or part, of a table."""
         return f"{self.root}/tables/{table}/{uuid.uuid4().hex}"
@@ -52,8 +58,7 @@ class Store:
         """The newest published state."""
         folder = f"{self.root}/_manifest"
         if self.exists(folder):
-            names = [s.getPath().getName() for s in self._fs().listStatus(self._path(folder))]
-            done = sorted(n for n in names if n.endswith(".json") and not n.startswith("."))
+            done = sorted(n for n in self.folders(folder) if n.endswith(".json") and not n.startswith("."))
             if done:
                 return self._load(f"{folder}/{done[-1]}")
         return {"seq": 0, "tables": {}, "versions": {}, "meta": {}}
@@ -75,8 +80,13 @@ class Store:
         """Make new folders the contents of tables, all at once.
 
         ``replace`` and ``append`` name folders already written; those that do not
-        exist (a kind of change with no rows) are left out.
+        exist (a kind of change with no rows) are left out.  Steps of one process may publish
+        side by side, one after the other.
         """
+        with self.lock:
+            return self._publish(replace, append, meta)
+
+    def _publish(self, replace, append, meta) -> int:
         state = self.manifest()
         seq = state["seq"] + 1
         for table, paths in (replace or {}).items():

@@ -1,29 +1,35 @@
 """The incremental flow: files to raw, raw to staging, staging to warehouse, marts.
 
-Both streams use file sources and ``availableNow``: a call handles what is new and
-ends, and an outside scheduler decides when to call.  No new files means no batch,
-which is the gate that keeps idle cycles free.
+What a step has taken is part of the published state, next to the tables it changed: a
+ledger of files, a queue of landed snapshots not yet staged, versions of a step's inputs.  A step
+looks there first, which keeps idle cycles free, and all it does becomes visible at once.  An
+outside scheduler decides when to call a cycle, or ``follow`` does.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from contextvars import copy_context
 from datetime import date, datetime, timedelta
 from functools import wraps
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakestrata.config import LINEAGE, Dimension, Entity, Model
-from lakestrata.functions.scalar import run_id
+from lakestrata.config import LINEAGE, Dimension, Entity, Fact, Model
+from lakestrata.functions.scalar import run_id, ts
 from lakestrata.operators import audit, fact, merge, scd2
+from lakestrata.operators.dedupe import latest_rows
 from lakestrata.plans.marts import is_stale
 from lakestrata.plans.staging import stage_delta, stage_full
 from lakestrata.session import materialize, working_tables
 from lakestrata.sources import files, landing
-from lakestrata.sources.store import Store
+from lakestrata.sources.buckets import Buckets
+from lakestrata.sources.store import FOLD, Store
 
 AUDIT = "etl_audit_log"
 HISTORY = "load_history"
@@ -38,9 +44,9 @@ HISTORY_SCHEMA = T.StructType(
         T.StructField("first_error", T.StringType()),
     ]
 )
-# The streams' limit for the age of a file, relative to the newest: Spark never reads older
-# ones, and copies keep their old times, so it is beyond any age.  A name is taken once.
-ANY_AGE = "36500d"
+LEDGER = "ingest_ledger"
+# Fixed value: how long a file's name is refused after it was loaded.
+REMEMBER = timedelta(days=14)
 # Bulk-loaded rows are batch -1; before anything reached staging, no batch has.
 BULK, NOTHING = -1, -2
 
@@ -58,7 +64,17 @@ def _tidied(step: Callable) -> Callable:
 
 
 class Flow:
-    """One model's tables under ``root``, fed from ``inbox/<entity>`` folders."""
+    """One model's tables under ``root``, fed from ``inbox/<entity>`` folders.
+
+    An entry of an inbox folder, a file or a folder of part files moved there whole, is one
+    snapshot.  Snapshots land and are staged one at a time, in the order of their last change.
+
+    ``remember``: a file's path is refused that long after it was loaded, then it is new again.
+    ``dedupe="latest"``: of several rows of a key in one snapshot the last one, by file and row
+    number, counts; without it they raise ``DuplicateKeyError``.
+    ``buckets``: into how many parts by key the current rows of dimensions and the fact table
+    are cut; a cycle rewrites those parts that rows change in.
+    """
 
     def __init__(
         self,
@@ -67,18 +83,35 @@ class Flow:
         inbox: str,
         model: Model,
         now: Callable[[], datetime] = datetime.now,
+        remember: timedelta = REMEMBER,
+        dedupe: str | None = None,
+        buckets: int = 64,
+        short_rows: str = landing.REJECT,
+        long_rows: str = landing.REJECT,
     ):
+        if dedupe not in (None, "latest"):
+            raise ValueError(f"dedupe={dedupe!r}")
         self.spark, self.root, self.inbox = spark, root.rstrip("/"), inbox.rstrip("/")
         self.model, self.now = model, now
-        schemas = {AUDIT: audit.AUDIT_SCHEMA, HISTORY: HISTORY_SCHEMA, **model.schemas}
+        self.remember, self.dedupe, self.n_buckets = remember, dedupe, buckets
+        self.shapes = {"short_rows": short_rows, "long_rows": long_rows}
+        schemas = {
+            AUDIT: audit.AUDIT_SCHEMA,
+            HISTORY: HISTORY_SCHEMA,
+            LEDGER: landing.LEDGER_SCHEMA,
+            **model.schemas,
+        }
+        for entity in model.entities:
+            schemas[entity.raw_table] = self.raw_schema(entity)
+            schemas[self.reject_table(entity)] = landing.REJECT_SCHEMA
         for spec in model.dimensions:
             schemas[f"{spec.table}_history"] = model.schemas[spec.table]
         self.store = Store(spark, root, schemas)
 
-    # -- raw -----------------------------------------------------------------------
+    def buckets(self, spec: Dimension | Fact) -> Buckets:
+        return Buckets(self.store, spec.table, spec.key, spec.surrogate, self.n_buckets)
 
-    def raw_dir(self, entity: Entity) -> str:
-        return f"{self.root}/raw/{entity.name}"
+    # -- raw -----------------------------------------------------------------------
 
     def raw_schema(self, entity: Entity) -> T.StructType:
         return T.StructType(
@@ -90,82 +123,102 @@ class Flow:
             ]
         )
 
+    def reject_table(self, entity: Entity) -> str:
+        return f"rejects_{entity.name}"
+
     def raw(self, entity: Entity) -> DataFrame:
-        """Raw rows with the load status the ledger gives them."""
-        if not self.store.exists(self.raw_dir(entity)):
-            return self.spark.createDataFrame([], self.raw_schema(entity))
-        rows = self.spark.read.schema(self.raw_schema(entity)).parquet(self.raw_dir(entity))
+        """Raw rows with the load status the queue gives them."""
         done = self.store.meta(f"consumed:{entity.name}", NOTHING)
-        return landing.with_load_status(rows, done)
+        return landing.with_load_status(self.store.read(entity.raw_table), done)
 
     def rejects(self, entity: Entity) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/rejects/{entity.name}")
+        return self.store.read(self.reject_table(entity))
+
+    def queue(self, entity: Entity) -> list[list]:
+        """Landed snapshots not yet staged, oldest first: [batch, folder of its raw rows]."""
+        return self.store.meta(f"queue:{entity.name}", [])
 
     @_tidied
     def land(self, entity: Entity, run_ts: datetime, run: str | None = None) -> bool:
-        """Take in files not seen before; False if there were none."""
-        stream = files.stream_feed(
-            self.spark,
-            f"{self.inbox}/{entity.name}",
-            entity,
-            maxFileAge=ANY_AGE,
+        """Take in snapshots of files not loaded before; False if there were none."""
+        folder = f"{self.inbox}/{entity.name}"
+        if not self.store.exists(folder):
+            return False
+        fresh = landing.new_files(
+            files.list_files(self.spark, folder),
+            self.store.read(LEDGER),
+            entity.raw_table,
+            run_ts - self.remember,
         )
+        # The new files have to be named to the reader by the driver; old ones stay out.
+        snapshots = files.snapshots(fresh.collect(), folder)
+        for listed in snapshots:
+            self._land_one(entity, listed, run_ts, run or run_id(run_ts))
+        return bool(snapshots)
 
-        def batch(rows: DataFrame, batch_id: int) -> bool:
-            start, step = self.now(), self.model.steps[entity.raw_table]
-            landed = landing.land(rows, entity, run_ts)
-            out = f"batch_id={batch_id}"
-            # Replaying a batch replaces its own folder.
-            raw_path = f"{self.raw_dir(entity)}/{out}"
-            bad_path = f"{self.root}/rejects/{entity.name}/{out}"
-            landed.raw.write.mode("overwrite").parquet(raw_path)
-            landed.rejects.write.mode("overwrite").parquet(bad_path)
-            if batch_id <= self.store.meta(f"landed:{entity.name}", -1):
-                return True
-            session = rows.sparkSession
-            history = landing.load_history(
-                step.target, session.read.parquet(raw_path), session.read.parquet(bad_path)
-            )
-            path = self.store.write(HISTORY, history)
-            counts = session.read.parquet(path).agg(F.sum("row_count").alias("n")).first()
-            self._publish(
-                step,
-                start,
-                run or run_id(run_ts),
-                (counts["n"] or 0, 0, 0),
-                append={HISTORY: [path]},
-                meta={f"landed:{entity.name}": batch_id},
-            )
-            return True
+    def _land_one(self, entity: Entity, listed: list, run_ts: datetime, run: str) -> None:
+        start, step = self.now(), self.model.steps[entity.raw_table]
+        batch = self.store.meta(f"landed:{entity.name}", -1) + 1
+        feed = files.read_feed(self.spark, [r["path"] for r in listed], entity)
+        raw_path, bad_path, history = self._write_landed(feed, entity, batch, listed, run_ts)
+        ledger = landing.ledger_rows(self.spark, listed, entity.raw_table, batch, run_ts)
+        self._publish(
+            step,
+            start,
+            run,
+            (self._row_count(history), 0, 0),
+            append={
+                entity.raw_table: [raw_path],
+                self.reject_table(entity): [bad_path],
+                HISTORY: [history],
+                LEDGER: [self.store.write(LEDGER, ledger)],
+            },
+            meta={
+                f"landed:{entity.name}": batch,
+                f"queue:{entity.name}": [*self.queue(entity), [batch, raw_path]],
+            },
+        )
 
-        return self._drain(stream, f"land_{entity.name}", batch)
+    def _write_landed(
+        self, feed: DataFrame, entity: Entity, batch: int, listed: list, run_ts: datetime
+    ) -> tuple[str, str, str]:
+        """Folders of raw rows, rejects and history; nobody sees them before they are published."""
+        landed = landing.land(feed, entity, run_ts, **self.shapes)
+        numbered = landed.raw.withColumn("batch_id", F.lit(batch).cast("bigint"))
+        raw_path = self.store.write(entity.raw_table, numbered)
+        bad_path = self.store.write(self.reject_table(entity), landed.rejects)
+        history = landing.load_history(
+            self.model.steps[entity.raw_table].target,
+            self.spark.read.schema(self.raw_schema(entity)).parquet(raw_path),
+            self.spark.read.schema(landing.REJECT_SCHEMA).parquet(bad_path),
+            self.spark.createDataFrame([(r["path"],) for r in listed], "path string"),
+            run_ts,
+        )
+        return raw_path, bad_path, self.store.write(HISTORY, history)
+
+    def _row_count(self, history: str) -> int:
+        written = self.spark.read.schema(HISTORY_SCHEMA).parquet(history)
+        return written.agg(F.sum("row_count")).first()[0] or 0
 
     @_tidied
     def bulk_load(self, entity: Entity, path: str, run_ts: datetime) -> None:
         """Replace raw with all rows of ``path``, loaded before or not.  They are new until
-        ``build`` takes them to staging; the load is in history and audit."""
+        ``build`` takes them to staging; the load is in history and audit.  Landed snapshots
+        that still wait in the queue stay."""
         start, step = self.now(), self.model.steps[entity.raw_table]
-        landed = landing.land(files.read_feed(self.spark, path, entity), entity, run_ts)
-        bad_path = f"{self.root}/rejects/{entity.name}"
-        landed.raw.withColumn("batch_id", F.lit(BULK).cast("bigint")).write.partitionBy(
-            "batch_id"
-        ).mode("overwrite").parquet(self.raw_dir(entity))
-        landed.rejects.write.mode("overwrite").parquet(bad_path)
-        history = landing.load_history(
-            step.target,
-            self.spark.read.schema(self.raw_schema(entity)).parquet(self.raw_dir(entity)),
-            self.spark.read.parquet(bad_path),
-            files.list_files(self.spark, path).select("path"),
-            run_ts,
-        )
-        written = self.store.write(HISTORY, history)
-        counts = self.spark.read.parquet(written).agg(F.sum("row_count").alias("n")).first()
+        listed = files.list_files(self.spark, path).select("path").collect()
+        feed = files.read_feed(self.spark, path, entity)
+        raw_path, bad_path, history = self._write_landed(feed, entity, BULK, listed, run_ts)
         self._publish(
             step,
             start,
             run_id(run_ts),
-            (counts["n"] or 0, 0, 0),
-            append={HISTORY: [written]},
+            (self._row_count(history), 0, 0),
+            replace={
+                entity.raw_table: [raw_path, *[folder for _, folder in self.queue(entity)]],
+                self.reject_table(entity): [bad_path],
+            },
+            append={HISTORY: [history]},
             meta={f"consumed:{entity.name}": NOTHING},
         )
 
@@ -173,49 +226,45 @@ class Flow:
 
     @_tidied
     def stage(self, entity: Entity, run_ts: datetime, run: str | None = None) -> bool:
-        """Merge raw rows not seen before into staging and drop what the new snapshot
-        lacks; False if nothing was new."""
-        if not self.store.exists(self.raw_dir(entity)):
-            return False
+        """Merge the snapshots that wait into staging, one after the other, each with its
+        deletions; False if there was nothing to merge."""
+        merged = False
+        for batch, folder in self.queue(entity):
+            merged |= self._stage_one(entity, batch, folder, run_ts, run or run_id(run_ts))
+        return merged
+
+    def _stage_one(
+        self, entity: Entity, batch: int, folder: str, run_ts: datetime, run: str
+    ) -> bool:
+        start = self.now()
         table, step = entity.staging_table, self.model.steps[entity.staging_table]
-        # Bulk-loaded rows (batch -1) reach staging through ``build``, not the stream.
-        stream = (
-            self.spark.readStream.schema(self.raw_schema(entity))
-            .option("maxFileAge", ANY_AGE)
-            .parquet(self.raw_dir(entity))
-            .where(F.col("batch_id") >= 0)
+        rows = self.spark.read.schema(self.raw_schema(entity)).parquet(folder)
+        # Its place in the queue and its rows in staging are given up and taken in one.
+        taken = {
+            f"queue:{entity.name}": [q for q in self.queue(entity) if q[0] != batch],
+            f"consumed:{entity.name}": batch,
+        }
+        if rows.isEmpty():
+            self.store.publish(meta=taken)
+            return False
+        if self.dedupe:
+            rows = latest_rows(rows, F.trim(entity.key), ("_source_file", "_file_row_number"))
+        typed = materialize(stage_delta(rows, entity, run_ts))
+        path = self.store.new_path(table)
+        watched = audit.Watched(step)
+        target = self.store.read(table)
+        changes = merge.merge(target, typed, entity.key, delete_missing=True)
+        materialize(watched(changes), partition_by=merge.OP, path=path)
+        kept = (merge.INSERT, merge.UPDATE, merge.KEEP)
+        self._publish(
+            step,
+            start,
+            run,
+            watched.counts,
+            replace={table: [f"{path}/{merge.OP}={kind}" for kind in kept]},
+            meta=taken,
         )
-
-        def batch(rows: DataFrame, batch_id: int) -> bool:
-            start = self.now()
-            if batch_id <= self.store.meta(f"staged:{entity.name}", -1):
-                return True
-            taken = rows.agg(F.max("batch_id").alias("top")).first()["top"]
-            if taken is None:
-                return False
-            typed = materialize(stage_delta(rows, entity, run_ts))
-            target = self.store.read(table, rows.sparkSession)
-            path = self.store.new_path(table)
-            changes = materialize(
-                merge.merge(target, typed, entity.key, delete_missing=True),
-                partition_by=merge.OP,
-                path=path,
-            )
-            kept = (merge.INSERT, merge.UPDATE, merge.KEEP)
-            self._publish(
-                step,
-                start,
-                run or run_id(run_ts),
-                self._counts(changes, step),
-                replace={table: [f"{path}/{merge.OP}={kind}" for kind in kept]},
-                meta={
-                    f"staged:{entity.name}": batch_id,
-                    f"consumed:{entity.name}": taken,
-                },
-            )
-            return True
-
-        return self._drain(stream, f"stage_{entity.name}", batch)
+        return True
 
     # -- warehouse -------------------------------------------------------------------
 
@@ -227,11 +276,11 @@ class Flow:
     def load_dimension(
         self, spec: Dimension, clock: scd2.Clock, run: str | None = None, **options
     ) -> None:
-        """An SCD2 cycle.  Only current rows are read and rewritten; closed rows are
-        appended to the history, which is never touched again."""
+        """An SCD2 cycle.  Only current rows are read, and only buckets with a changed row
+        rewritten; closed rows are appended to the history, which is never touched again."""
         start, step = self.now(), self.model.steps[spec.table]
         top = self.store.meta(f"top:{spec.table}", 0)
-        path = self.store.new_path(spec.table)
+        path, watched = self.store.new_path(f"{spec.table}_history"), audit.Watched(step)
         result = scd2.scd2_apply(
             self.store.read(spec.table),
             self.store.read(f"stg_{spec.name}"),
@@ -239,20 +288,22 @@ class Flow:
             clock,
             start_key=top,
             path=path,
+            kept=False,
+            watch=watched,
             **options,
         )
-        counts = self._counts(result.changes, step)
-        fresh = self.store.write(spec.table, result.new_versions)
-        added = self.spark.read.parquet(fresh).count()
+        coming = materialize(result.new_versions)
+        state = self.buckets(spec).change(result.newly_closed, coming)
         self._publish(
             step,
             start,
             run or run_id(clock.run_ts),
-            counts,
-            replace={spec.table: [f"{path}/{merge.OP}={scd2.KEEP}", fresh]},
+            watched.counts,
+            replace=state["replace"],
             append={f"{spec.table}_history": [f"{path}/{merge.OP}={scd2.CLOSE}"]},
             meta={
-                f"top:{spec.table}": top + added,
+                **state["meta"],
+                f"top:{spec.table}": top + coming.count(),
                 f"from:{spec.table}": self.store.version(f"stg_{spec.name}"),
             },
         )
@@ -263,9 +314,9 @@ class Flow:
         spec = self.model.fact
         start, step = self.now(), self.model.steps[spec.table]
         top = self.store.meta(f"top:{spec.table}", 0)
-        path = self.store.new_path(spec.table)
         apply = fact.fact_initial if initial else fact.fact_apply
         options = {"load_time_as_source": False} if initial else {}
+        watched = audit.Watched(step)
         result = apply(
             self.store.read(spec.table),
             self.store.read(f"stg_{spec.name}"),
@@ -273,19 +324,24 @@ class Flow:
             spec,
             clock,
             start_key=top,
-            path=path,
+            kept=False,
+            watch=watched,
             **options,
         )
-        fresh = self.store.write(spec.table, result.new_rows)
-        added = self.spark.read.parquet(fresh).count()
-        kinds = (merge.KEEP, merge.UPDATE)
+        fresh = materialize(result.new_rows)
+        changed = result.changes.where(F.col(merge.OP) != merge.INSERT).select(*fresh.columns)
+        state = self.buckets(spec).change(changed, changed.unionByName(fresh))
         self._publish(
             step,
             start,
             run or run_id(clock.run_ts),
-            self._counts(result.changes, step),
-            replace={spec.table: [f"{path}/{merge.OP}={k}" for k in kinds] + [fresh]},
-            meta={f"top:{spec.table}": top + added, f"from:{spec.table}": self._fact_inputs()},
+            watched.counts,
+            replace=state["replace"],
+            meta={
+                **state["meta"],
+                f"top:{spec.table}": top + fresh.count(),
+                f"from:{spec.table}": self._fact_inputs(),
+            },
         )
 
     def _fact_inputs(self) -> list[int]:
@@ -302,7 +358,10 @@ class Flow:
             taken = self.raw(entity).agg(F.max("batch_id").alias("top")).first()["top"]
             self.store.publish(
                 replace={table: [self.store.write(table, full)]},
-                meta={f"consumed:{entity.name}": NOTHING if taken is None else taken},
+                meta={
+                    f"consumed:{entity.name}": NOTHING if taken is None else taken,
+                    f"queue:{entity.name}": [],
+                },
             )
         for spec in self.model.dimensions:
             self.load_dimension(
@@ -358,17 +417,6 @@ class Flow:
         clock = scd2.Clock(run_date or run_ts.date(), run_ts)
         run = run_id(run_ts)
         outcome = {}
-        for entity in self.model.entities:
-            self._step(
-                entity.raw_table, lambda e=entity: self.land(e, run_ts, run), run, outcome
-            )
-        for entity in self.model.entities:
-            self._step(
-                entity.staging_table,
-                lambda e=entity: self.stage(e, run_ts, run),
-                run,
-                outcome,
-            )
 
         def dimension(spec: Dimension) -> bool:
             seen = self.store.meta(f"from:{spec.table}", 0)
@@ -377,22 +425,61 @@ class Flow:
             self.load_dimension(spec, clock, run)
             return True
 
-        for spec in self.model.dimensions:
-            self._step(spec.table, lambda s=spec: dimension(s), run, outcome)
-
         def facts() -> bool:
             if self.store.meta(f"from:{self.model.fact.table}") == self._fact_inputs():
                 return False
             self.load_fact(clock, run)
             return True
 
-        self._step(self.model.fact.table, facts, run, outcome)
+        entities, dimensions = self.model.entities, self.model.dimensions
+        stages = [
+            {e.raw_table: lambda e=e: self.land(e, run_ts, run) for e in entities},
+            {e.staging_table: lambda e=e: self.stage(e, run_ts, run) for e in entities},
+            {s.table: lambda s=s: dimension(s) for s in dimensions},
+            {self.model.fact.table: facts},
+        ]
+        for steps in stages:
+            self._side_by_side(steps, run, outcome)
         return outcome
 
+    def _side_by_side(
+        self, steps: dict[str, Callable[[], bool]], run: str, outcome: dict[str, str]
+    ) -> None:
+        """Steps that need nothing of each other.  All end before a failure is raised."""
+
+        def one(table: str, work: Callable[[], bool]) -> None:
+            # A thread of its own sees this one's working tables and Spark properties.
+            self._step(table, work, run, outcome)
+
+        with ThreadPoolExecutor(len(steps)) as pool:
+            started = [
+                pool.submit(inheritable_thread_target(self.spark)(copy_context().run), one, table, work)
+                for table, work in steps.items()
+            ]
+        for step in started:
+            step.result()
+
+    def follow(self, every: str = "5 minutes") -> StreamingQuery:
+        """Run a cycle at once and then as often as said, until the query is stopped."""
+        ticks = self.spark.readStream.format("rate").load()
+        return (
+            ticks.writeStream.foreachBatch(lambda rows, batch: self.run_cycle(self.now()))
+            .trigger(processingTime=every)
+            .start()
+        )
+
     def tidy(self) -> None:
         """Fold small folders of appended tables.  Old folders stay until ``store.vacuum``."""
         for table in (AUDIT, HISTORY, *[f"{d.table}_history" for d in self.model.dimensions]):
             self.store.compact(table)
+        self._forget()
+
+    def _forget(self) -> None:
+        """Write the ledger anew without the names that are new again."""
+        if len(self.store.manifest()["tables"].get(LEDGER, [])) >= FOLD:
+            since = ts(self.now() - self.remember)
+            held = self.store.read(LEDGER).where(F.col("loaded_at") >= since)
+            self.store.publish(replace={LEDGER: [self.store.write(LEDGER, held)]})
 
     # -- shared ------------------------------------------------------------------------
 
@@ -414,31 +501,6 @@ class Flow:
         if not did:
             self._publish(step, start, run, (0, 0, 0), audit.SKIPPED)
 
-    def _drain(
-        self, stream: DataFrame, name: str, batch: Callable[[DataFrame, int], bool]
-    ) -> bool:
-        """Run a stream over what is there; True if a batch had rows to handle.
-
-        The checkpoint moves on only after ``batch`` returns, so a failed batch comes
-        again with the same id and rows."""
-        called = []
-        context = copy_context()  # batches come on another thread; their working tables are ours
-
-        def handle(rows: DataFrame, batch_id: int) -> None:
-            called.append(context.run(batch, rows, batch_id))
-
-        query = (
-            stream.writeStream.foreachBatch(handle)
-            .option("checkpointLocation", f"{self.root}/_checkpoints/{name}")
-            .trigger(availableNow=True)
-            .start()
-        )
-        query.awaitTermination()
-        return any(called)
-
-    def _counts(self, changes: DataFrame, step: audit.Step) -> tuple[int, int, int]:
-        return tuple(audit.step_counts(changes, step).first())
-
     def _publish(
         self,
         step: audit.Step,
@@ -451,19 +513,19 @@ class Flow:
         **published,
     ) -> None:
         """Publish a step's folders together with its audit row."""
-        number = self.store.meta("audit_id", 0) + 1
-        row = audit.audit_row(
-            self.spark,
-            number,
-            run,
-            step,
-            start,
-            self.now(),
-            *counts,
-            status=status,
-            error=error,
-        )
-        path = self.store.write(AUDIT, row)
-        meta = {"audit_id": number, **published.pop("meta", {})}
-        self.store.publish(append={AUDIT: [path], **(append or {})}, meta=meta, **published)
-
+        with self.store.lock:  # siblings have numbers of their own
+            number = self.store.meta("audit_id", 0) + 1
+            row = audit.audit_row(
+                self.spark,
+                number,
+                run,
+                step,
+                start,
+                self.now(),
+                *counts,
+                status=status,
+                error=error,
+            )
+            path = self.store.write(AUDIT, row)
+            meta = {"audit_id": number, **published.pop("meta", {})}
+            self.store.publish(append={AUDIT: [path], **(append or {})}, meta=meta, **published)

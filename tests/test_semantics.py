@@ -341,7 +341,7 @@ def test_equal_rows_spread_over_ranges(spark, small_partitions):
     hot = got.where("k = 'hot'")
     span = hot.agg(F.min("sk"), F.max("sk"), F.count("sk")).first()
     assert span[1] - span[0] + 1 == span[2] == 10_000
-    assert hot.select(F.input_file_name().alias("f")).distinct().count() > 1
+    assert hot.select(F.col("_metadata.file_path").alias("f")).distinct().count() > 1
 
 
 def test_overlaps_match_a_plain_window(spark):
