@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import base64
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -70,97 +71,94 @@ class Ranks:
 # -- words and their positions ---------------------------------------------------------------
 
 
-def pieces_of(texts: Iterable[str]) -> list[list[str]]:
-    """Texts cut at spaces that begin a word; what lies between is cut on its own."""
-    cut = [t.split(" ") for t in texts]
-    unsure = {
-        w for w in set(chain.from_iterable(cut)) if not w or w[0].isspace() or w[-1].isspace()
-    }
-    if unsure:
-        cut = [
-            p if unsure.isdisjoint(p) or len(p) == 1 else CUT.split(" ".join(p)) for p in cut
-        ]
-    return cut
-
-
 class Numbers:
-    """The distinct words of a block, numbered as they come up."""
+    """The distinct words of a block, numbered as they come up.
+
+    Texts are cut at spaces, which nearly always begin a word; what lies between two is cut
+    by the pattern once in a block.  Where a space may belong to other white space, only those
+    are cut at that certainly begin a word.
+    """
 
     def __init__(self, pattern: regex.Pattern) -> None:
         self.pattern = pattern
         self.words: dict[str, int] = {}
         self.heads: dict[str, int] = {}  # first piece of a text -> its number
         self.rests: dict[str, int] = {}  # any other piece, behind its space
-        self.flat: list[int] = []
-        self.ends = [0]
-
-    def _words(self, piece: str, start: str) -> list[str]:
-        if piece.isalpha():
-            return [start + piece]
-        if piece[-1:] in (".", ",") and piece[:-1].isalpha():
-            return [start + piece[:-1], piece[-1]]
-        return self.pattern.findall(start + piece)
+        self.flat = array("i")
+        self.ends = array("i", [0])
+
+    def _cut(self, texts: list[str]) -> tuple[list[str], list[list[str]], list[str]]:
+        """(first pieces, other pieces of each text, those not known yet)"""
+        cut = [t.split(" ") for t in texts]
+        heads = [p.pop(0) for p in cut]
+        known = self.rests
+        new = [w for w in dict.fromkeys(chain.from_iterable(cut)) if w not in known]
+        unsure = {w for w in new if not w or w[0].isspace() or w[-1].isspace()}
+        odd = [
+            i
+            for i, (head, rest) in enumerate(zip(heads, cut, strict=True))
+            if rest and (not head or head[-1].isspace() or not unsure.isdisjoint(rest))
+        ]
+        if odd:
+            for i in odd:
+                heads[i], *cut[i] = CUT.split(texts[i])
+            new = [w for w in dict.fromkeys(chain.from_iterable(cut)) if w not in known]
+        return heads, cut, new
 
     def _learn(self, known: dict[str, int], pieces: Iterable[str], start: str) -> None:
-        words = self.words
+        words, flat, ends = self.words, self.flat, self.ends
         for piece in pieces:
-            if piece not in known:
-                for word in self._words(piece, start):
-                    self.flat.append(words.setdefault(word, len(words)))
-                known[piece] = len(self.ends) - 1
-                self.ends.append(len(self.flat))
-
-    def add(self, cut: list[list[str]]) -> None:
-        self._learn(self.heads, (p[0] for p in cut), "")
-        self._learn(self.rests, dict.fromkeys(chain.from_iterable(p[1:] for p in cut)), " ")
+            if piece.isalpha():
+                found = (start + piece,)
+            elif piece[-1:] in (".", ",") and piece[:-1].isalpha():
+                found = (start + piece[:-1], piece[-1])
+            else:
+                found = self.pattern.findall(start + piece)
+            for word in found:
+                flat.append(words.setdefault(word, len(words)))
+            known[piece] = len(ends) - 1
+            ends.append(len(flat))
+
+    def add(self, texts: list[str]) -> tuple[list[str], list[list[str]]]:
+        """The pieces of the texts, all of them known from now on."""
+        heads, cut, new = self._cut(texts)
+        self._learn(self.heads, (w for w in dict.fromkeys(heads) if w not in self.heads), "")
+        self._learn(self.rests, new, " ")
+        return heads, cut
+
+    def pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of the texts' pieces, how many each text has)"""
+        heads, cut = self.add(texts)
+        n = np.array([1 + len(p) for p in cut])
+        first = np.zeros(int(n.sum()), bool)
+        first[np.cumsum(n) - n] = True
+        out = np.empty(len(first), np.int32)
+        out[first] = [self.heads[w] for w in heads]
+        out[~first] = np.fromiter(
+            map(self.rests.__getitem__, chain.from_iterable(cut)), np.int32, len(out) - len(n)
+        )
+        return out, n
 
-    def sequence(self, cut: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+    def sequence(self, pieces: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(numbers of the texts' words, how many each text has)"""
-        n = np.array([len(p) for p in cut])
-        rest = chain.from_iterable(p[1:] for p in cut)
-        at = np.zeros(len(n), np.int64)
-        at[1:] = np.cumsum(n)[:-1]
-        pieces = np.empty(int(n.sum()), np.int64)
-        first = np.zeros(len(pieces), bool)
-        first[at] = True
-        pieces[first] = [self.heads[p[0]] for p in cut]
-        pieces[~first] = np.fromiter(
-            map(self.rests.__getitem__, rest), np.int64, len(pieces) - len(n)
-        )
-        bounds, flat = np.array(self.ends), np.array(self.flat, np.int32)
+        bounds, flat = np.frombuffer(self.ends, np.int32), np.frombuffer(self.flat, np.int32)
         lengths = np.diff(bounds)[pieces]
-        ends = np.cumsum(lengths)
-        place = np.arange(int(ends[-1])) + np.repeat(bounds[pieces] - (ends - lengths), lengths)
-        return flat[place], np.add.reduceat(lengths, at)
+        ends = np.cumsum(lengths, dtype=np.int64)
+        place = np.repeat((bounds[pieces] - (ends - lengths)), lengths)
+        place += np.arange(len(place))
+        return flat[place], np.add.reduceat(lengths, np.cumsum(n) - n)
 
 
 def pack(numbers: np.ndarray) -> bytes:
-    """Numbers below 2**35 as bytes of 7 bits, the last of each marked, compressed."""
-    numbers = numbers.astype(np.int64)
-    sizes = np.ones(len(numbers), np.int64)
-    for k in range(1, 5):
-        sizes += numbers >= 1 << (7 * k)
-    ends = np.cumsum(sizes)
-    out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
-    for k in range(5):
-        has = sizes > k
-        out[(ends - sizes)[has] + k] = (numbers[has] >> (7 * k)) & 127
-    out[ends - 1] |= 128
-    return len(out).to_bytes(8, "little") + pa.compress(out.tobytes(), "zstd", asbytes=True)
+    """Numbers below 2**32, byte by byte: all lowest bytes, then all second ones, compressed."""
+    raw = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
 
 
 def unpack(data: bytes) -> np.ndarray:
     size = int.from_bytes(data[:8], "little")
     raw = np.frombuffer(pa.decompress(data[8:], size, "zstd", asbytes=True), np.uint8)
-    last = np.flatnonzero(raw & 128)
-    if not len(last):
-        return np.zeros(0, np.int64)
-    first = np.concatenate([[0], last[:-1] + 1])
-    out = np.zeros(len(last), np.int64)
-    for k in range(5):
-        has = last - first >= k
-        out[has] |= (raw[first[has] + k] & 127).astype(np.int64) << (7 * k)
-    return out
+    return np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
 
 
 def in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, list[bytes]]]:
@@ -183,11 +181,9 @@ def in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, li
         yield block, ids, texts
 
 
-def _numbered(pattern: regex.Pattern, texts: list[bytes]) -> Numbers:
-    numbers = Numbers(pattern)
-    for a, b in chunks(texts):
-        numbers.add(pieces_of(t.decode() for t in texts[a:b]))
-    return numbers
+def _decoded(texts: list[bytes]) -> Iterator[list[str]]:
+    for a, b in chunks(texts, 1 << 20):
+        yield [t.decode() for t in texts[a:b]]
 
 
 def _send_words(pattern: str):
@@ -196,9 +192,13 @@ def _send_words(pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = regex.compile(pattern)
         for block, _, texts in in_blocks(batches):
-            words = list(_numbered(cut, texts).words)
+            numbers = Numbers(cut)
+            for part in _decoded(texts):
+                numbers.add(part)
+            words = list(numbers.words)
+            del numbers
             at = (block << NUMBER_BITS) + np.arange(len(words))
-            for a, b in chunks([w.encode() for w in words]):
+            for a, b in _parts([len(w) for w in words]):
                 yield pa.record_batch({"word": pa.array(words[a:b]), "at": pa.array(at[a:b])})
 
     return run
@@ -210,11 +210,10 @@ def _keep_places(pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = regex.compile(pattern)
         for block, doc_ids, texts in in_blocks(batches):
-            numbers = _numbered(cut, texts)
-            found = [
-                numbers.sequence(pieces_of(t.decode() for t in texts[a:b]))
-                for a, b in chunks(texts)
-            ]
+            numbers = Numbers(cut)
+            pieces = [numbers.pieces(part) for part in _decoded(texts)]
+            found = [numbers.sequence(*p) for p in pieces]
+            del numbers, pieces
             ids = pa.record_batch({"doc_id": pa.array(doc_ids, pa.int64())})
             with pa.BufferOutputStream() as out:
                 with pa.ipc.new_stream(out, ids.schema) as stream:
@@ -305,7 +304,7 @@ def _at_places(table: pa.Table) -> pa.Table:
         raise ValueError("a block was made twice: the documents must be a written table")
     with pa.ipc.open_stream(kept[0]["docs"]) as stream:
         doc_ids = stream.read_all()["doc_id"].combine_chunks()
-    row, doc_words = unpack(kept[0]["numbers"]), unpack(kept[0]["sizes"])
+    row, doc_words = unpack(kept[0]["numbers"]).astype(np.int32), unpack(kept[0]["sizes"])
     numbers = np.concatenate([np.cumsum(unpack(s["numbers"])) for s in sent] or [row[:0]])
     sizes = np.concatenate([unpack(s["sizes"]) for s in sent] or [row[:0]])
     flat = np.concatenate([unpack(s["ids"]).astype(np.int32) for s in sent] or [row[:0]])
@@ -400,10 +399,11 @@ def decode(encoded: DataFrame, ranks: Ranks) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, f"{ENCODED}, decoded binary")
 
 
-def _parts(lengths: np.ndarray, limit: int = 1 << 19) -> Iterator[tuple[int, int]]:
-    """Ranges of rows of about ``limit`` ids."""
+def _parts(lengths: Iterable[int], limit: int = 1 << 19) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of about ``limit`` in all."""
     start, held = 0, 0
-    for i, n in enumerate(lengths.tolist()):
+    lengths = [int(n) for n in lengths]
+    for i, n in enumerate(lengths):
         if held and held + n > limit:
             yield start, i
             start, held = i, 0
