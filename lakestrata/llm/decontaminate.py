@@ -15,8 +15,9 @@ a pass over the words per item length costs little more than its sign bits.
 At similarity 0.8 of equal lengths, fingerprints differ in 9.7 bits on average with a deviation of
 2.9, so a radius of 15 misses 3 in 100 such borderline pairs, and none of similarity 0.95.
 
-The benchmark is held by every task: at most ``max_words`` words, else an error asks to give it
-in parts.  Documents stay where they are; there is no shuffle of texts.
+The index is built once for each ``part_words`` words of the benchmark, so its size is bounded, and
+broadcast; a larger benchmark is worked off part by part, in as many passes over the documents.
+Documents stay where they are; there is no shuffle of texts.
 
 Defined cases: null and empty texts, and items without words, match nothing; a text shorter
 than an item is one window; an item of fewer words than a shingle is one shingle; repeated
@@ -35,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakestrata.llm.common import WordHashes, chunks, shingle_hashes, texts_of
+from lakestrata.session import materialize
 
 BLOCKS = 4
 WINDOW_ROWS = 4096  # windows whose sums are held at once
@@ -71,7 +73,12 @@ def weighted_similarity(a: np.ndarray, b: np.ndarray) -> float:
 
 
 class Index:
-    """The items of one window length: fingerprints, and which values of a block are near."""
+    """The items of one window length and their fingerprints' multi-index: per block, postings
+    from every 16-bit value to the items whose block is within radius // BLOCKS bits of it.
+
+    A posting is a set of bits, for up to 64 items at a time, so those of the four blocks are
+    united by one operation each and every pair is tested once.
+    """
 
     def __init__(self, items: list[tuple[int, np.ndarray, np.ndarray]], shingles: int, radius: int) -> None:
         self.items = items
@@ -85,33 +92,40 @@ class Index:
             np.uint64,
         )
         self.radius = radius
+        self.tested = 0
         values = np.arange(1 << 16, dtype=np.uint16)
-        self.near = np.zeros(BLOCKS << 16, np.uint8)
-        for block in range(BLOCKS):
-            for own in self.prints.view(np.uint16).reshape(-1, BLOCKS)[:, block]:
-                close = np.bitwise_count(values ^ own) <= radius // BLOCKS
-                self.near[block << 16 : (block + 1) << 16] |= close
+        masks = values[np.bitwise_count(values) <= radius // BLOCKS]
+        self.postings = []
+        for first in range(0, len(items), 64):
+            own = self.prints[first : first + 64]
+            width = next(w for w in (8, 16, 32, 64) if len(own) <= w)
+            bits = np.zeros((BLOCKS, 1 << 16), f"u{width // 8}")
+            for j, parts in enumerate(own.view(np.uint16).reshape(-1, BLOCKS)):
+                for block, value in enumerate(parts):
+                    bits[block, value ^ masks] |= bits.dtype.type(1 << j)
+            self.postings.append((first, own, bits))
 
     def candidates(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(window, item) indexes of all fingerprints within the radius."""
-        blocks = prints.view(np.uint16).reshape(-1, BLOCKS)
-        probed = np.flatnonzero(
-            self.near[blocks[:, 0]]
-            | self.near[1 << 16 :][blocks[:, 1]]
-            | self.near[2 << 16 :][blocks[:, 2]]
-            | self.near[3 << 16 :][blocks[:, 3]]
-        )
-        if not len(probed):
-            return probed, probed
-        held = prints[probed]
-        windows, items = [], []
-        for j, own in enumerate(self.prints):
-            hit = np.flatnonzero(np.bitwise_count(held ^ own) <= self.radius)
-            if len(hit):
-                windows.append(probed[hit])
-                items.append(np.full(len(hit), j))
-        if not windows:
-            return probed[:0], probed[:0]
+        """(window, item) indexes of all fingerprints within the radius.  Only pairs that meet
+        in a posting are tested."""
+        blocks = prints.view(np.uint16).reshape(-1, BLOCKS).T.astype(np.intp)
+        windows, items = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for first, own, bits in self.postings:
+            met = bits[0][blocks[0]]
+            for block in range(1, BLOCKS):
+                met |= bits[block][blocks[block]]
+            window = np.flatnonzero(met)
+            met, held = met[window], prints[window]
+            while len(window):
+                self.tested += len(window)
+                rest = met & (met - met.dtype.type(1))
+                item = np.bitwise_count((met ^ rest) - met.dtype.type(1))
+                near = np.bitwise_count(held ^ own[item]) <= self.radius
+                if near.any():
+                    windows.append(window[near])
+                    items.append(first + item[near].astype(np.int64))
+                more = rest != 0
+                window, met, held = window[more], rest[more], held[more]
         return np.concatenate(windows), np.concatenate(items)
 
 
@@ -144,6 +158,14 @@ class Scanner:
             (text, item, -at, n, alike) for (text, item), (alike, at, n) in sorted(found.items())
         ]
 
+    def rows(self, texts: list[bytes]) -> list[tuple[int, int, int, int, float]]:
+        """The same for a batch of any size."""
+        return [
+            (a + text, *rest)
+            for a, b in chunks(texts, 1 << 19)
+            for text, *rest in self.leaks(texts[a:b])
+        ]
+
     def _scan(
         self,
         words: list[np.ndarray],
@@ -172,21 +194,23 @@ class Scanner:
                     found[text, name] = best
 
         widest = max(i.shingles for i in indexes)
+        prints = [np.zeros(max(0, len(flat) - i.shingles + 1), np.uint64) for i in indexes]
         for start in range(0, len(flat), WINDOW_ROWS):
             stop = min(len(flat), start + WINDOW_ROWS)
             rows = signs(flat[start : min(len(flat), stop + widest)], width_for(widest))
             sums = np.zeros((len(rows) + 1, 64), rows.dtype)
             np.add.accumulate(rows, axis=0, out=sums[1:])
-            for index in indexes:
-                count = min(stop, len(flat) - index.shingles + 1) - start
-                if count <= 0:
-                    continue
-                window = sums[index.shingles : index.shingles + count] - sums[:count]
-                at, item = index.candidates(packed(window))
-                for i, j in zip((at + start).tolist(), item.tolist(), strict=True):
-                    text = int(owner[i])
-                    if i + index.shingles <= ends[text]:  # else it spans two texts
-                        compare(text, i - int(heads[text]), index.items[j])
+            for index, own in zip(indexes, prints, strict=True):
+                count = min(stop, len(own)) - start
+                if count > 0:
+                    window = sums[index.shingles : index.shingles + count] - sums[:count]
+                    own[start : start + count] = packed(window)
+        for index, own in zip(indexes, prints, strict=True):
+            at, item = index.candidates(own)
+            for i, j in zip(at.tolist(), item.tolist(), strict=True):
+                text = int(owner[i])
+                if i + index.shingles <= ends[text]:  # else it spans two texts
+                    compare(text, i - int(heads[text]), index.items[j])
         least = min(i.shingles for i in indexes)
         for text in np.flatnonzero((n_shingles > 0) & (n_shingles < widest)).tolist():
             own = n_shingles[text]
@@ -199,6 +223,23 @@ class Scanner:
                         compare(text, 0, index.items[j])
 
 
+def _parts(benchmark: DataFrame, part_words: int) -> Iterator[list[tuple[int, bytes]]]:
+    """The benchmark's items, some ``part_words`` words at a time, or one longer item."""
+    held = benchmark.where("text is not null and item_id is not null").select(
+        F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")
+    )
+    part, words = [], 0
+    for row in held.orderBy("item_id", "text").toLocalIterator():
+        text = row["text"].encode()
+        n = len(words_of(text))
+        if part and words + n > part_words:
+            yield part
+            part, words = [], 0
+        part.append((row["item_id"], text))
+        words += n
+    yield part
+
+
 def leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -207,57 +248,60 @@ def leaks(
     percent: int = 80,
     radius: int = 15,
     step: int = 4,
-    max_words: int = 2_000_000,
+    part_words: int = 100_000,
     all_rows: bool = False,
 ) -> DataFrame:
     """A row per document and item it leaks: the columns ``carried``, item_id, first_word,
     n_words and similarity of the best window.  With ``all_rows``, a row per document instead:
     the columns carried and ``leaked``."""
-    held = benchmark.where("text is not null and item_id is not null").select(
-        F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")
-    )
-    n_words = held.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
-    if n_words > max_words:
-        raise ValueError(f"the benchmark has {n_words} words; give it in parts of {max_words}")
-    items = [(r["item_id"], r["text"].encode()) for r in held.orderBy("item_id", "text").collect()]
-    shared = docs.sparkSession.sparkContext.broadcast(items)  # bounded just now
     names = list(carried)
     kept = docs.select(*names, *([] if "text" in names else ["text"]))
     kept = kept.withColumn("text", F.col("text").cast("string"))
-    more = (
-        [("leaked", T.BooleanType())]
-        if all_rows
-        else [
-            ("item_id", T.LongType()),
-            ("first_word", T.LongType()),
-            ("n_words", T.LongType()),
-            ("similarity", T.DoubleType()),
-        ]
-    )
-    schema = T.StructType(
-        [*[kept.schema[c] for c in names], *[T.StructField(c, kind) for c, kind in more]]
-    )
+    found: DataFrame | None = None
+    for items in _parts(benchmark, part_words):
+        scanner = docs.sparkSession.sparkContext.broadcast(Scanner(items, size, percent, radius, step))
+        if not all_rows:
+            rows = _found_rows(kept, names, scanner)
+            found = rows if found is None else found.unionByName(rows)
+        elif found is None:
+            found = _marked_rows(kept, scanner)
+        else:  # what is marked already is written and not searched again
+            seen = materialize(found)
+            more = _marked_rows(seen.where(~F.col(LEAKED)).drop(LEAKED), scanner)
+            found = seen.where(F.col(LEAKED)).unionByName(more)
+    if all_rows:
+        return found.select(*names, F.col(LEAKED).alias("leaked"))
+    return found
+
+
+LEAKED = "_leaked"
+
+
+def _found_rows(kept: DataFrame, names: list[str], shared) -> DataFrame:
+    added = [T.StructField(c, T.LongType()) for c in ("item_id", "first_word", "n_words")]
+    added.append(T.StructField("similarity", T.DoubleType()))
+    schema = T.StructType([*[kept.schema[c] for c in names], *added])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(shared.value, size, percent, radius, step)
         for batch in batches:
-            texts = texts_of(batch)
-            got = [
-                (i, *rest)
-                for a, b in chunks(texts, 1 << 19)
-                for t, *rest in scanner.leaks(texts[a:b])
-                for i in [a + t]
-            ]
-            if all_rows:
-                leaked = np.zeros(len(texts), bool)
-                leaked[[g[0] for g in got]] = True
-                columns = [*batch.columns[: len(names)], pa.array(leaked)]
-            else:
-                rows = pa.array([g[0] for g in got], pa.int64())
-                columns = [c.take(rows) for c in batch.columns[: len(names)]]
-                columns += [pa.array([g[k] for g in got], pa.int64()) for k in (1, 2, 3)]
-                columns.append(pa.array([g[4] for g in got], pa.float64()))
+            got = shared.value.rows(texts_of(batch))
+            rows = pa.array([g[0] for g in got], pa.int64())
+            columns = [c.take(rows) for c in batch.columns[: len(names)]]
+            columns += [pa.array([g[k] for g in got], pa.int64()) for k in (1, 2, 3)]
+            columns.append(pa.array([g[4] for g in got], pa.float64()))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return kept.mapInArrow(run, schema)
 
+
+def _marked_rows(kept: DataFrame, shared) -> DataFrame:
+    schema = T.StructType([*kept.schema.fields, T.StructField(LEAKED, T.BooleanType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            leaked = np.zeros(batch.num_rows, bool)
+            leaked[[g[0] for g in shared.value.rows(texts_of(batch))]] = True
+            columns = [*batch.columns, pa.array(leaked)]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return kept.mapInArrow(run, schema)
