@@ -28,7 +28,8 @@ Inside a block, white space becomes one space; <br> counts as white space.  Bloc
 an empty line.  Character references are decoded.
 
 Defined cases: null and empty html give an empty text; broken markup is read as far as
-its tags go (an open quote ends at the next >); repeated rows give repeated results;
+its tags go (an open quote ends at the next >; an element that is never closed ends where the
+block around it does); repeated rows give repeated results;
 other columns are not carried; an empty table gives no rows.
 """
 
@@ -57,6 +58,8 @@ DROPPED = frozenset(
     "svg template textarea title video".split()
 )
 RAW = frozenset("script style textarea title".split())
+# Of these, what may stand in for an element that is never closed is the page's own text.
+FALLBACK = frozenset("applet audio canvas map noscript object video".split())
 NO_ARTICLE = frozenset("aside dialog footer menu nav".split())
 # Words in a class, id or role that mark parts other than the article.
 MARKS = frozenset(
@@ -92,9 +95,9 @@ STOP_WORDS = frozenset(
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^\"'>]|\"[^\"]*\"|'[^']*')*+)>"
-    r"|<(?P<close2>/?)(?P<tag2>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest2>[^>]*)>"
-    r"|<[!?][^>]*>",
+    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^\"'<>]|\"[^\"]*\"|'[^']*')*+)>"
+    r"|<(?P<close2>/?)(?P<tag2>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest2>[^<>]*)>"
+    r"|<[!?][^<>]*>",
     re.S,
 )
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
@@ -166,6 +169,8 @@ def blocks_of(html: str, rules: Rules = Rules()) -> list[Block]:
     outside = ("", False, False, False, None)  # element, barred, in article, in main, part
     stack: list[tuple[str, bool, bool, bool, Part | None]] = []
     own_bar = False  # of the present block alone
+    opened: Counter[str] = Counter()  # elements on the stack
+    ends: dict[str, dict[int, int]] = {}  # of dropped elements: begin to end
     at = 0
 
     def end_block() -> None:
@@ -198,7 +203,12 @@ def blocks_of(html: str, rules: Rules = Rules()) -> list[Block]:
         rest = found["rest"] or found["rest2"] or ""
         if tag in DROPPED:
             if not closing and not rest.endswith("/"):
-                at = _after(html, tag, at)
+                if tag in RAW or tag == "head":
+                    at = _after(html, tag, at)
+                else:
+                    if tag not in ends:
+                        ends[tag] = _ends(html, tag, found.start())
+                    at = ends[tag].get(found.start()) or _unclosed(html, tag, at)
             continue
         if tag == "a":
             in_link = 0 if closing else 1
@@ -211,9 +221,11 @@ def blocks_of(html: str, rules: Rules = Rules()) -> list[Block]:
         if tag not in CONTAINERS:
             own_bar = not closing and bool(mark_of(rest) or HIDDEN.search(rest))
         elif closing:
-            if any(x[0] == tag for x in stack):
-                while stack.pop()[0] != tag:
-                    pass
+            if opened[tag]:
+                last = None
+                while last != tag:
+                    last = stack.pop()[0]
+                    opened[last] -= 1
         else:
             _, barred, article, main, part = stack[-1] if stack else outside
             article, main = article or tag in ("article", "main"), main or tag == "main"
@@ -230,6 +242,7 @@ def blocks_of(html: str, rules: Rules = Rules()) -> list[Block]:
                 part = Part(mark, part, tag == "article", tag == "main" and not barred)
                 made.append(part)
             stack.append((tag, barred, article, main, part))
+            opened[tag] += 1
     end_block()
     bar_parts(out, made, rules)
     return out
@@ -276,24 +289,44 @@ def bar_parts(blocks: list[Block], parts: list[Part], rules: Rules) -> None:
 
 
 def _after(html: str, tag: str, at: int) -> int:
-    """The place behind the element's end: of <head> also <body>, if its end is missing."""
-    if tag in RAW:
-        end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(html, at)
-        return end.end() if end else len(html)
-    depth = 1
-    other = "|<body\\b" if tag == "head" else ""
-    for m in re.compile(
-        rf"<script\b.*?</script[^>]*>|<style\b.*?</style[^>]*>|<(/?){tag}\b[^>]*>{other}",
-        re.I | re.S,
-    ).finditer(html, at):
-        if m[0][:5].lower() == "<body":
-            return m.start()
-        if m[1] is None:
-            continue
-        depth += -1 if m[1] else 1
-        if not depth:
-            return m.end()
-    return at if tag == "head" else len(html)
+    """The place behind the end of an element of raw text; of <head>, also <body> if its end
+    is missing."""
+    end = re.compile(rf"</{tag}\b[^>]*>" + ("|<body\\b" if tag == "head" else ""), re.I)
+    found = end.search(html, at)
+    if not found:
+        return at if tag == "head" else len(html)
+    return found.start() if found[0][:5].lower() == "<body" else found.end()
+
+
+def _ends(html: str, tag: str, at: int) -> dict[int, int]:
+    """Where each element of this kind that is closed begins and ends, from ``at`` on; what
+    stands in scripts and styles does not count."""
+    either = re.compile(rf"<(/?)({tag}|script|style)\b[^<>]*>", re.I)
+    out: dict[int, int] = {}
+    begun: list[int] = []
+    while found := either.search(html, at):
+        at, name = found.end(), found[2].lower()
+        if name in RAW:
+            if not found[1]:
+                at = _after(html, name, at)
+        elif not found[1]:
+            if not found[0].endswith("/>"):
+                begun.append(found.start())
+        elif begun:
+            out[begun.pop()] = at
+    return out
+
+
+BLOCK_EDGE = re.compile(rf"</?(?:{'|'.join(sorted(BLOCK_TAGS))})\b", re.I)
+
+
+def _unclosed(html: str, tag: str, at: int) -> int:
+    """Where the page goes on if an element is never closed: at once, or where the next block
+    begins or the present one ends."""
+    if tag in FALLBACK:
+        return at
+    edge = BLOCK_EDGE.search(html, at)
+    return edge.start() if edge else len(html)
 
 
 def stop_share(text: str) -> float:
