@@ -12,12 +12,15 @@ decimals, so reruns agree to the last bit.
 
 Rates become copies: the whole part always, and one more copy for documents whose hashed
 number lies below their fraction, moved by a threshold per source that a radix search sets
-such that the source's words meet its target.  The one document on the threshold gives as
-many words as are missing.
+such that the source's words meet its target.  Equal rows have equal numbers, so those on the
+threshold, however many, get second numbers by their place in the table and a second search.
+The one document on that threshold gives as many words as are missing.
 
 Defined cases: null text has size 0; a null source is a source of its own and the last;
-equal rows on the threshold are filled one after the other; a source without words has
-target 0; an empty table gives no rows.
+equal rows on the threshold are filled one after the other, in an order that hangs on their place
+(the words they give together do not); a source without words has target 0; an empty table
+gives no rows.  For whole rows the table is read twice: its rows must come in the same
+order, as those of a written table do.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from lakestrata.session import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3.0, 1.0, 2.0)
-STEPS = 40
+STEPS = 100  # far more than Newton's method takes; then it is an error
 SPREAD = 1 << 30  # hashed numbers are below this
 LEVELS = (20, 10, 0)  # bits below each radix digit of a rank, 31 bits in all
 
@@ -151,8 +154,8 @@ def solve(sizes: DataFrame, goals: DataFrame, cap: float = 2.0, steps: int = STE
             )
         )
         if state.where(~F.col("done")).isEmpty():
-            break
-    return state
+            return state
+    raise RuntimeError(f"a source did not meet its target in {steps} steps")
 
 
 def _ranked(rows: DataFrame, solved: DataFrame, cap: float) -> DataFrame:
@@ -170,24 +173,23 @@ def _ranked(rows: DataFrame, solved: DataFrame, cap: float) -> DataFrame:
         .withColumn("rate", _rate(cap))
         .withColumn("whole", sure)
         .withColumn("rank", hashed - fraction + SPREAD)
+        .withColumn("second", F.pmod(F.xxhash64("at"), F.lit(2 * SPREAD)))
     )
 
 
-def _thresholds(ranked: DataFrame) -> DataFrame:
-    """(of, bound, left): per source the rank at which the words wanted run out, and how many
-    of them are left for rows of just this rank.  Three digits, each by one grouped sum."""
+def _wanted(ranked: DataFrame) -> DataFrame:
+    """(of, left): the words a source wants beyond whole copies."""
     wanted = ranked.groupBy("of").agg(
         F.max("target").alias("target"), F.sum(F.col("whole") * F.col("size")).alias("sure")
     )
-    state = materialize(
-        wanted.select(
-            "of",
-            F.greatest(F.round(F.col("target") - F.col("sure")), F.lit(0))
-            .cast("bigint")
-            .alias("left"),
-            F.lit(0).cast("bigint").alias("bound"),
-        )
-    )
+    missing = F.greatest(F.round(F.col("target") - F.col("sure")), F.lit(0))
+    return wanted.select("of", missing.cast("bigint").alias("left"))
+
+
+def _thresholds(ranked: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(of, bound, left): per source the rank at which the words wanted run out, and how many
+    of them are left for rows of just this rank.  Three digits, each by one grouped sum."""
+    state = materialize(wanted.select("of", "left", F.lit(0).cast("bigint").alias("bound")))
     above = 31
     for below in LEVELS:
         here = state.select(F.col("of").alias("s"), "left", "bound")
@@ -225,6 +227,12 @@ def _thresholds(ranked: DataFrame) -> DataFrame:
     return state
 
 
+def _with_bound(ranked: DataFrame, bounds: DataFrame, of: str) -> DataFrame:
+    """Adds its source's bound and what is left there; NULL where the source has none."""
+    held = bounds.withColumnRenamed("of", f"of_{of}")
+    return ranked.join(held, F.col("of").eqNullSafe(F.col(f"of_{of}")), "left").drop(f"of_{of}")
+
+
 def mix(
     docs: DataFrame,
     weights: tuple[float, ...] = WEIGHTS,
@@ -242,27 +250,32 @@ def mix(
         size_of(F.col("text")).alias("size"),
         held,
     )
-    slim = materialize(rows.select("doc_id", "source", "size"))
+    rows = rows.withColumn("at", F.monotonically_increasing_id())
+    slim = materialize(rows.select("doc_id", "source", "size", "at"))
     sizes = materialize(slim.groupBy("source", "size").agg(F.count("*").alias("n")))
     solved = solve(sizes, targets(sizes, weights, share, cap), cap)
-    bounds = _thresholds(_ranked(slim, solved, cap))
-    ranked = _ranked(rows if whole_rows else slim, solved, cap).join(
-        bounds.select(F.col("of").alias("s"), "bound", "left"),
-        F.col("of").eqNullSafe(F.col("s")),
+    first = _ranked(slim, solved, cap)
+    bounds = _thresholds(first, _wanted(first))
+    on_first = _with_bound(first, bounds, "").where("rank = bound")
+    seconds = on_first.select("of", "size", F.col("second").alias("rank"))
+    last = _thresholds(seconds, bounds.select("of", "left")).select(
+        "of", F.col("bound").alias("bound2"), F.col("left").alias("left2")
     )
+    ranked = _ranked(rows if whole_rows else slim, solved, cap)
+    ranked = _with_bound(_with_bound(ranked, bounds, ""), last, "2")
+    on_rank = F.col("rank") == F.col("bound")
+    below = (F.col("rank") < F.col("bound")) | (on_rank & (F.col("second") < F.col("bound2")))
+    on = on_rank & (F.col("second") == F.col("bound2"))
     if whole_rows:
-        below = F.col("rank") < F.col("bound")
-        rounded = (F.col("rank") == F.col("bound")) & (F.col("left") * 2 >= F.col("size"))
-        extra = (F.col("size") > 0) & (below | rounded)
+        extra = (F.col("size") > 0) & (below | (on & (F.col("left2") * 2 >= F.col("size"))))
         return ranked.select("row", (F.col("whole") + extra.cast("bigint")).alias("copies"))
-    # Rows of one rank and source: nearly always one, or repeats of one row.
-    edge = Window.partitionBy("of").orderBy("doc_id", "size").rowsBetween(
+    # Rows of one source and both its numbers: nearly always one.
+    edge = Window.partitionBy("of").orderBy("doc_id", "size", "at").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    on = F.col("rank") == F.col("bound")
-    part = F.least("size", F.greatest(F.col("left") - F.col("earlier"), F.lit(0)))
-    clear = ranked.where(~on).withColumn(
-        "more", F.when(F.col("rank") < F.col("bound"), F.col("size")).otherwise(F.lit(0))
+    part = F.least("size", F.greatest(F.col("left2") - F.col("earlier"), F.lit(0)))
+    clear = ranked.where(~F.coalesce(on, F.lit(False))).withColumn(
+        "more", F.when(below, F.col("size")).otherwise(F.lit(0))
     )
     at = (
         ranked.where(on)
