@@ -161,7 +161,12 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 6000) -> Machine:
     texts = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
-    joined = texts.join(F.broadcast(picked), "doc_id")  # at most ``sample`` short rows
+    # At most ``sample`` short rows; copies of a labelled document count as one.
+    joined = (
+        texts.join(F.broadcast(picked), "doc_id")
+        .withColumn("digest", F.xxhash64("text"))
+        .dropDuplicates(["doc_id", "quality", "digest"])
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places = WordPlaces()
