@@ -36,7 +36,10 @@ from lakestrata.session import materialize, shared_dir
 BLOCK_IDS = 262_144
 LANES = 1024
 PARTITION_IDS = 16_000_000
-MEMO_ENTRIES = 1_000_000
+MEMO_BYTES = 64 << 20
+ENTRY_BYTES = 170  # of a remembered word besides its letters and ids
+PLACE_BYTES = 8
+ROWS = 1000
 
 
 class Places(dict):
@@ -59,7 +62,8 @@ class WordIds:
 
     A tokenizer that drops white space joins nothing across it, so a text's ids are those of
     its words in order.  Words not seen yet are encoded by the library, many in one call;
-    up to MEMO_ENTRIES are remembered.  Texts of other tokenizers are encoded whole.
+    some MEMO_BYTES of them are remembered, then all are forgotten.  Texts of other tokenizers
+    are encoded whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -74,8 +78,14 @@ class WordIds:
     def _forget(self) -> None:
         self.place = Places()
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.starts = np.zeros(1 << 16, np.int64)
-        self.lengths = np.zeros(1 << 16, np.int64)
+        self.starts = np.zeros(1 << 16, np.int32)
+        self.lengths = np.zeros(1 << 16, np.int32)
+        self.letters = 0
+
+    def _held(self) -> int:
+        """About how many bytes the memory takes; places of words dropped since count too."""
+        entries = self.letters + ENTRY_BYTES * len(self.place)
+        return entries + PLACE_BYTES * self.place.count + 4 * self.used
 
     def _remember(self, places: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
         """The ids of the words of these numbers, one after the other."""
@@ -134,13 +144,14 @@ class WordIds:
                 self._gather(both.ravel()),
                 self.lengths[both].sum(axis=1),
             )
+        self.letters += sum(map(len, place.new)) - sum(map(len, ended))
         place.new = []
         return ended
 
     def _gather(self, found: np.ndarray) -> np.ndarray:
         """The ids of the words of these numbers, one after the other."""
         lengths = self.lengths[found]
-        ends = np.cumsum(lengths)
+        ends = np.cumsum(lengths, dtype=np.int64)
         total = int(ends[-1]) if len(ends) else 0
         return self.flat[
             np.arange(total) + np.repeat(self.starts[found] - (ends - lengths), lengths)
@@ -158,7 +169,7 @@ class WordIds:
             said = self.library.encode_batch([t.decode() for t in texts], add_special_tokens=False)
             last = [] if end is None else [end]
             return [np.array([*e.ids, *last], np.uint32) for e in said]
-        if len(self.place) > MEMO_ENTRIES or self.place.count > 4 * MEMO_ENTRIES:
+        if self._held() > MEMO_BYTES:
             self._forget()
         split = [self._words(t) for t in texts]
         n_words = np.cumsum([0, *map(len, split)])
@@ -166,7 +177,7 @@ class WordIds:
             map(self.place.__getitem__, chain.from_iterable(split)), np.int64, n_words[-1]
         )
         passing = self._learn() if self.place.new else []
-        flat, ends = self._gather(found), np.cumsum(self.lengths[found])
+        flat, ends = self._gather(found), np.cumsum(self.lengths[found], dtype=np.int64)
         for word in passing:
             del self.place[word]
         bounds = np.concatenate([[0], ends])[n_words]
@@ -205,7 +216,8 @@ def token_ids(docs: DataFrame, coding: Coding) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_ids(coding.tokenizer)
-        for batch in batches:
+        parts = (batch.slice(a, ROWS) for batch in batches for a in range(0, batch.num_rows, ROWS))
+        for batch in parts:
             texts = texts_of(batch)
             for a, b in chunks(texts):
                 ids = words.of(texts[a:b], coding.end_id)
@@ -316,13 +328,15 @@ SCHEMA = pa.schema(
 def write(docs: DataFrame, path: str, coding: Coding) -> None:
     """Write the token ids of ``docs`` in ascending order of doc_id to ``path``."""
     spark = docs.sparkSession
-    ids = materialize(token_ids(docs, coding))
+    # A number per row, written with it, parts many equal rows over several ranges.
+    numbered = token_ids(docs, coding).withColumn("nth", F.monotonically_increasing_id())
+    ids = materialize(numbered)
     table = rans.Table.of_counts(_counts(ids, coding.vocab))
     total = ids.agg(F.sum("n_tokens")).first()[0] or 0
     parts = max(1, -(-total // PARTITION_IDS), spark.sparkContext.defaultParallelism)
     (
-        ids.repartitionByRange(parts, "doc_id", "tie")
-        .sortWithinPartitions("doc_id", "tie")
+        ids.repartitionByRange(parts, "doc_id", "tie", "nth")
+        .sortWithinPartitions("doc_id", "tie", "nth")
         .mapInArrow(_encode_blocks(table), BLOCKS)
         .write.option("compression", "none")
         .parquet(f"{path}/blocks")
