@@ -98,6 +98,12 @@ MORE = (
 )
 
 
+RUN = 256
+CONTEXT = 40
+PIECES = "array<struct<g:string,m:string>>"
+MATCH = "struct<start:int,end:int,m:string,before:string>"
+
+
 def _quoted(text: str) -> str:
     return "r'" + text.replace("'", "\\'") + "'"
 
@@ -105,23 +111,41 @@ def _quoted(text: str) -> str:
 def _found(kind: Kind, order: int) -> str:
     """SQL: array of (start, rank, end, kind, m, digits, context) of the checked matches.
 
-    The gaps between matches and the matches alternate, so their lengths add up to places.
+    The gaps between matches and the matches alternate, so their lengths add up to places:
+    first over runs of them, then within each run, as every step copies what it adds to.
     """
     p = _quoted(kind.pattern)
+    # The last characters before a match go along; to cut them out of the text by place would
+    # take as long as the text up to there.
+    tail = "right(concat({}, {}), %d)" % CONTEXT
     pieces = f"zip_with(split(text, {p}, -1), regexp_extract_all(text, {p}, 0), (g, m) -> (g, m))"
-    placed = f"""aggregate({pieces},
-        (cast(array() as array<struct<start:int,rank:int,end:int,m:string>>) as spans, 0 as at),
-        (acc, x) -> if(x.m is null, acc, (
-            concat(acc.spans, array((
-                acc.at + length(x.g) as start, {order} as rank,
-                acc.at + length(x.g) + length(x.m) as end, x.m as m))) as spans,
-            acc.at + length(x.g) + length(x.m) as at)),
-        acc -> acc.spans)"""
+    placed = f"""transform(array({pieces}), p -> flatten(transform(
+        aggregate(
+            transform(sequence(0, (size(p) - 1) div {RUN}), c -> slice(p, c * {RUN} + 1, {RUN})),
+            (cast(array() as array<struct<at:int,tail:string,own:{PIECES}>>) as done,
+             0 as at, '' as tail),
+            (acc, own) -> (
+                concat(acc.done, array((acc.at as at, acc.tail as tail, own as own))) as done,
+                acc.at + aggregate(own, 0, (n, x) -> n + length(x.g) + ifnull(length(x.m), 0))
+                    as at,
+                aggregate(own, acc.tail, (t, x) -> {tail.format("t", "concat(x.g, ifnull(x.m, ''))")})
+                    as tail),
+            acc -> acc.done),
+        part -> aggregate(part.own,
+            (cast(array() as array<{MATCH}>) as spans, part.at as at, part.tail as tail),
+            (acc, x) -> if(x.m is null, acc, (
+                concat(acc.spans, array((
+                    acc.at + length(x.g) as start,
+                    acc.at + length(x.g) + length(x.m) as end, x.m as m,
+                    {tail.format("acc.tail", "x.g")} as before))) as spans,
+                acc.at + length(x.g) + length(x.m) as at,
+                {tail.format("acc.tail", "concat(x.g, x.m)")} as tail)),
+            acc -> acc.spans))))[0]"""
     full = f"""transform({placed}, s -> (
-        s.start, s.rank, s.end, '{kind.name}' as kind, s.m as m,
+        s.start, {order} as rank, s.end, '{kind.name}' as kind, s.m as m,
         regexp_replace(s.m, '[^0-9]', '') as digits,
         concat(substr(regexp_replace(s.m, ' ', ''), 5), substr(s.m, 1, 4)) as rotated,
-        lower(substr(text, greatest(1, s.start - 39), least(40, s.start))) as before))"""
+        lower(s.before) as before))"""
     check = kind.check
     for name in ("digits", "rotated", "m"):
         check = _bound(check, name)
