@@ -71,6 +71,22 @@ def test_mix_meets_targets(spark):
     assert copies.groupBy(*docs.columns).count().agg(F.max("count")).first()[0] <= 4  # 2 equal rows
 
 
+def test_a_third_of_the_rows_is_one_row(spark):
+    """Each source comes within one document of its target, on both paths."""
+    rows = [(7, "a b c d e f g h i j k", "hot")] * 3000
+    rows += [(100 + i, "w " * (1 + i % 50), "hot" if i % 3 else None) for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = mixing.mix(docs).toPandas()
+    sums = got.groupby("source_size").agg(taken=("taken", "sum"), target=("target", "max"))
+    assert len(sums) == 2 and (abs(sums.taken - sums.target) <= 1).all()
+    assert (got.taken <= 2 * got["size"]).all()
+    copies = mixing.take(mixing.mix(docs, whole_rows=True)).groupBy("source").agg(
+        F.sum(mixing.size_of(F.col("text"))).alias("taken")
+    )
+    taken = sorted(r["taken"] for r in copies.collect())
+    assert all(abs(a - b) <= 50 for a, b in zip(taken, sorted(sums.target), strict=True))
+
+
 def test_mix_of_nothing_and_of_no_words(spark):
     docs = spark.createDataFrame([(1, "", "a"), (2, None, None)], "doc_id bigint, text string, source string")
     assert [(r["size"], r["taken"], r["target"]) for r in mixing.mix(docs).collect()] == [(0, 0, 0.0)] * 2
@@ -137,6 +153,32 @@ def test_files_give_back_the_tokenizers_ids(spark, folder, name):
     assert ordered == sorted(ordered, key=lambda i: (i is not None, i or 0))
 
 
+def test_equal_rows_are_spread_over_ranges(spark, folder):
+    docs = spark.createDataFrame([(5, "one row, many times")] * 4000 + [(9, "x")], "doc_id bigint, text string")
+    coding = tokens.Coding(tokenizer_path("word_bpe_49k.json"), vocab=49_408, end_id=2)
+    tokens.write(docs, f"{folder}/t", coding)
+    got = tokens.read(spark, f"{folder}/t").toPandas().sort_values("start")
+    n = int(got.n_tokens.iloc[0])
+    assert got.start.tolist() == [n * i for i in range(4001)]
+    assert got.doc_id.tolist() == [5] * 4000 + [9]
+    parts = spark.read.parquet(f"{folder}/t/blocks").selectExpr("part", "size(doc_ids) n").collect()
+    assert len({r["part"] for r in parts}) > 4
+
+
+def test_remembered_words_are_bounded(monkeypatch):
+    """Forgetting changes no id, and what is held stays below the bound and one batch."""
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path("word_bpe_49k.json")
+    monkeypatch.setattr(tokens, "MEMO_BYTES", 200_000)
+    words, library = tokens.WordIds(path), Tokenizer.from_file(path)
+    for k in range(12):
+        texts = [" ".join(f"w{(k * 700 + i) ** 2}, the" for i in range(700)).encode()] * 2
+        for ids, text in zip(words.of(texts, 2), texts, strict=True):
+            assert ids.tolist() == [*library.encode(text.decode(), add_special_tokens=False).ids, 2]
+        assert words._held() < 200_000 + 700 * 400
+
+
 def test_no_documents_give_no_ids(spark, folder):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     coding = tokens.Coding(tokenizer_path("word_bpe_49k.json"), vocab=49_408)

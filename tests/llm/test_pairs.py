@@ -233,11 +233,33 @@ def test_leaks_match_brute_force(spark):
     assert decontaminate.leaks(docs, bench.limit(0), "doc_id").count() == 0
 
 
-def test_too_large_a_benchmark_is_refused(spark):
-    docs = spark.createDataFrame([(1, "a b")], "doc_id bigint, text string")
-    bench = spark.createDataFrame([(1, "a b c")], "item_id bigint, text string")
-    with pytest.raises(ValueError, match="parts"):
-        decontaminate.leaks(docs, bench, "doc_id", max_words=2)
+def test_a_large_benchmark_is_worked_off_in_parts(spark):
+    items = [(i, prose(12 + i)) for i in range(9)]
+    texts = [f"{prose(20)} {items[i][1]} {items[(i * 5 + 2) % 9][1]}" for i in range(9)]
+    rows = [(i, t, 1, "x") for i, t in enumerate(texts)] + [(50, prose(80), 2, "y")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, item_id int, leaked string")
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    whole = decontaminate.leaks(docs, bench, "doc_id")
+    parts = decontaminate.leaks(docs, bench, "doc_id", part_words=40)
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, parts.collect()))
+    flags = decontaminate.leaks(docs, bench, "doc_id", "text", all_rows=True, part_words=40)
+    assert sorted(tuple(r) for r in flags.collect()) == sorted((r[0], r[1], r[0] < 50) for r in rows)
+
+
+def test_only_pairs_of_a_posting_are_tested():
+    """2,000 items of one length: the postings leave less than 5 % of all pairs."""
+    gen = np.random.default_rng(9)
+    items = []
+    for i in range(2000):
+        own = gen.integers(0, 1 << 63, 20, dtype=np.uint64)
+        items.append((i, own, np.sort(own)))
+    index = decontaminate.Index(items, 20, 15)
+    prints = gen.integers(0, 1 << 63, 3000, dtype=np.uint64) * np.uint64(2)
+    prints[:50] = index.prints[:50] ^ np.uint64(0x8001_0003_1000_0011)
+    window, item = index.candidates(prints)
+    assert index.tested < 0.05 * len(prints) * len(items)
+    far = np.bitwise_count(prints[:, None] ^ index.prints[None, :])
+    assert set(zip(window.tolist(), item.tolist())) == set(zip(*map(np.ndarray.tolist, np.nonzero(far <= 15))))
 
 
 def test_index_returns_all_within_the_radius():

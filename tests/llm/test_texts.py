@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 from itertools import permutations
 
 import pytest
@@ -69,6 +70,21 @@ def test_whole_articles_stay(page, text):
     assert html.main_text(page) == text
 
 
+@pytest.mark.parametrize("tag", "button map object canvas noscript audio svg select video".split())
+def test_an_element_never_closed_hides_no_other_block(tag):
+    page = f"<article><p>{LONG}</p><div><{tag} a=b></div><p>{LONG}</p></article>"
+    assert html.main_text(page) == f"{LONG}\n\n{LONG}"
+    closed = page.replace("</div>", f"no</{tag}></div>")
+    assert html.main_text(closed) == f"{LONG}\n\n{LONG}"
+
+
+@pytest.mark.parametrize("piece", ["<a ", '<a "', "<button>", "<div>", "<button><script ", "<div></p>", "<!-- x"])
+def test_a_page_of_a_megabyte_is_read_in_linear_time(piece):
+    start = time.monotonic()
+    html.main_text(piece * (1_000_000 // len(piece)))
+    assert time.monotonic() - start < 10
+
+
 def test_extract_rows(spark):
     pages = spark.createDataFrame(
         [(1, "u", "<p>é𝄞 x</p>", "t"), (2, None, None, "t"), (None, "v", "<p>y", "t")],
@@ -222,6 +238,19 @@ def test_licences_that_stand_in_one_text(spark):
 # -- quality and language -----------------------------------------------------------------
 
 
+def test_copies_of_one_labelled_document_do_not_crowd_out_others(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    one = labels.where("quality = 1").where(~quality.held_out()).join(docs, "doc_id").first()
+    copies = spark.createDataFrame([(one["doc_id"], one["text"])] * 8000, docs.schema)
+    got = quality.rate(docs.unionByName(copies), labels).dropDuplicates(["doc_id"])
+    plain = quality.rate(docs, labels)
+    both = got.toPandas().merge(plain.toPandas(), on="doc_id")
+    assert len(both) == docs.count()
+    assert (both.predicted_x == both.predicted_y).all()
+    assert (abs(both.score_x - both.score_y) < 1e-6).all()
+
+
 def test_quality_on_held_out_rows(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     odd = spark.createDataFrame([(None, None), (10**6, ""), (10**6, "")], "doc_id bigint, text string")
