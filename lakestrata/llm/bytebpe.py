@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.llm.common import chunks, texts_of
+from lakestrata.llm.common import CHUNK_BYTES, chunks, texts_of
 from lakestrata.session import materialize
 
 BLOCK_BYTES = 16 << 20
@@ -161,7 +161,9 @@ def unpack(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
 
 
-def in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, list[bytes]]]:
+def in_blocks(
+    batches: Iterator[pa.RecordBatch], block_bytes: int
+) -> Iterator[tuple[int, list, list[bytes]]]:
     """(block, doc_ids, texts): the same for the same rows, so blocks can be made twice."""
     block = TaskContext.get().partitionId() << BLOCK_BITS
     ids: list[int | None] = []
@@ -169,9 +171,9 @@ def in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, li
     size = 0
     for batch in batches:
         whole, own = texts_of(batch), batch.column("doc_id").to_pylist()
-        for a, b in chunks(whole):
+        for a, b in chunks(whole, min(block_bytes, CHUNK_BYTES)):
             more = sum(map(len, whole[a:b]))
-            if texts and size + more > BLOCK_BYTES:
+            if texts and size + more > block_bytes:
                 yield block, ids, texts
                 block, ids, texts, size = block + 1, [], [], 0
             ids += own[a:b]
@@ -186,12 +188,12 @@ def _decoded(texts: list[bytes]) -> Iterator[list[str]]:
         yield [t.decode() for t in texts[a:b]]
 
 
-def _send_words(pattern: str):
+def _send_words(pattern: str, block_bytes: int):
     """A row per distinct word of a block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = regex.compile(pattern)
-        for block, _, texts in in_blocks(batches):
+        for block, _, texts in in_blocks(batches, block_bytes):
             numbers = Numbers(cut)
             for part in _decoded(texts):
                 numbers.add(part)
@@ -204,12 +206,12 @@ def _send_words(pattern: str):
     return run
 
 
-def _keep_places(pattern: str):
+def _keep_places(pattern: str, block_bytes: int):
     """A block's documents and, as word numbers, their words; a row per block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = regex.compile(pattern)
-        for block, doc_ids, texts in in_blocks(batches):
+        for block, doc_ids, texts in in_blocks(batches, block_bytes):
             numbers = Numbers(cut)
             pieces = [numbers.pieces(part) for part in _decoded(texts)]
             found = [numbers.sequence(*p) for p in pieces]
@@ -331,7 +333,9 @@ def _at_places(table: pa.Table) -> pa.Table:
     return pa.table({"doc_id": doc_ids, "ids": lists})
 
 
-def encode(docs: DataFrame, ranks: Ranks, written: bool = True) -> DataFrame:
+def encode(
+    docs: DataFrame, ranks: Ranks, written: bool = True, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """(doc_id, ids) of every row; ``written``: ``docs`` is read from a table as it is."""
     sent = docs.sparkSession.sparkContext.broadcast(ranks)
     rows = docs.select(
@@ -339,11 +343,11 @@ def encode(docs: DataFrame, ranks: Ranks, written: bool = True) -> DataFrame:
     )
     if not written:
         rows = materialize(rows)
-    words = rows.mapInArrow(_send_words(ranks.pattern), WORDS)
+    words = rows.mapInArrow(_send_words(ranks.pattern, block_bytes), WORDS)
     ids = words.repartition("word").sortWithinPartitions("word").mapInArrow(
         _encode_words(sent), PARTS
     )
-    places = rows.mapInArrow(_keep_places(ranks.pattern), PARTS)
+    places = rows.mapInArrow(_keep_places(ranks.pattern, block_bytes), PARTS)
     return places.unionByName(ids).groupBy("block").applyInArrow(_at_places, ENCODED)
 
 

@@ -95,9 +95,9 @@ STOP_WORDS = frozenset(
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^\"'<>]|\"[^\"]*\"|'[^']*')*+)>"
-    r"|<(?P<close2>/?)(?P<tag2>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest2>[^<>]*)>"
-    r"|<[!?][^<>]*>",
+    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^\"'>]|\"[^\"]*\"|'[^']*')*+)>"
+    r"|<(?P<close2>/?)(?P<tag2>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest2>[^>]*)>"
+    r"|<[!?][^>]*>",
     re.S,
 )
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
@@ -189,7 +189,12 @@ def blocks_of(html: str, rules: Rules = Rules()) -> list[Block]:
             if in_link:
                 link += len(piece.strip())
 
+    last = html.rfind(">")
     while at < len(html):
+        if at > last:  # no tag ends any more, at most a comment begins
+            comment = html.find("<!--", at)
+            add(html[at:] if comment < 0 else html[at:comment])
+            break
         found = TOKEN.search(html, at)
         if not found:
             add(html[at:])
@@ -222,10 +227,10 @@ def blocks_of(html: str, rules: Rules = Rules()) -> list[Block]:
             own_bar = not closing and bool(mark_of(rest) or HIDDEN.search(rest))
         elif closing:
             if opened[tag]:
-                last = None
-                while last != tag:
-                    last = stack.pop()[0]
-                    opened[last] -= 1
+                ended = None
+                while ended != tag:
+                    ended = stack.pop()[0]
+                    opened[ended] -= 1
         else:
             _, barred, article, main, part = stack[-1] if stack else outside
             article, main = article or tag in ("article", "main"), main or tag == "main"
