@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
@@ -262,20 +263,36 @@ def scd2_apply(
 def as_of(
     facts: DataFrame, dim: DataFrame, key: str, at: str, how: str = "inner"
 ) -> DataFrame:
-    """Join each row to the dimension version valid on its date ``at``.
+    """Join each row to the dimension versions valid on its date ``at``.
 
-    The key is the join's equality, the validity range a condition on top; a
-    version whose range is empty (closed on the day it began) is never valid.
+    Versions are put into the periods they touch and rows into the period of their date, so a
+    row meets a version only if both fall into one period of the key.  A period is as long as
+    the versions are on average, cut to the rows' dates: a version then has two entries on
+    average, and a key of very many versions no more candidates for a row than begin in a period.
+    A version whose range is empty (closed on the day it began) is never valid.
     """
-    d = dim.alias("d")
-    f = facts.alias("f")
+    span = facts.agg(F.to_date(F.min(at)).alias("lo"), F.to_date(F.max(at)).alias("hi")).first()
+    lo, hi = F.lit(span["lo"]).cast("date"), F.lit(span["hi"]).cast("date")
+    first, last = F.greatest("eff_start_date", lo), F.least(F.coalesce("eff_end_date", hi), hi)
+    held = (
+        dim.where("eff_start_date is not null")
+        .withColumn("_from", F.datediff(first, lo))
+        .withColumn("_to", F.datediff(last, lo))
+        .where("_from <= _to")
+    )
+    mean = held.agg(F.avg(F.col("_to") - F.col("_from") + 1)).first()[0]
+    days = F.lit(max(1, math.ceil(mean or 1)))
+    slots = F.sequence(F.floor(F.col("_from") / days), F.floor(F.col("_to") / days))
+    d = held.withColumn("_slot", F.explode(slots)).drop("_from", "_to").alias("d")
+    f = facts.withColumn("_at", F.floor(F.datediff(at, lo) / days)).alias("f")
     on = (
         (F.col(f"f.{key}") == F.col(f"d.{key}"))
+        & (F.col("f._at") == F.col("d._slot"))
         & (F.col("d.eff_start_date") <= F.col(f"f.{at}"))
         & (F.col("d.eff_end_date").isNull() | (F.col(f"f.{at}") <= F.col("d.eff_end_date")))
     )
-    columns = [c for c in dim.columns if c != key]
-    return f.join(d, on, how).select("f.*", *[F.col(f"d.{c}") for c in columns])
+    columns = [F.col(f"f.{c}") for c in facts.columns]
+    return f.join(d, on, how).select(*columns, *[F.col(f"d.{c}") for c in dim.columns if c != key])
 
 
 def shift_closed_end(dim: DataFrame, days: int = 1) -> DataFrame:

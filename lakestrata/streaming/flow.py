@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from contextvars import copy_context
+from dataclasses import replace
 from datetime import date, datetime, timedelta
 from functools import wraps
 
@@ -22,8 +23,7 @@ from pyspark.sql import types as T
 
 from lakestrata.config import LINEAGE, Dimension, Entity, Fact, Model
 from lakestrata.functions.scalar import run_id, ts
-from lakestrata.operators import audit, fact, merge, scd2
-from lakestrata.operators.dedupe import latest_rows
+from lakestrata.operators import audit, checks, dedupe, fact, merge, scd2
 from lakestrata.plans.marts import is_stale
 from lakestrata.plans.staging import stage_delta, stage_full
 from lakestrata.session import materialize, working_tables
@@ -248,7 +248,7 @@ class Flow:
             self.store.publish(meta=taken)
             return False
         if self.dedupe:
-            rows = latest_rows(rows, F.trim(entity.key), ("_source_file", "_file_row_number"))
+            rows = dedupe.latest_rows(rows, F.trim(entity.key), ("_source_file", "_file_row_number"))
         typed = materialize(stage_delta(rows, entity, run_ts))
         path = self.store.new_path(table)
         watched = audit.Watched(step)
@@ -388,16 +388,22 @@ class Flow:
 
     @_tidied
     def refresh_marts(self, now: datetime, lag: timedelta = timedelta(hours=1)) -> list[str]:
-        """Recompute the marts older than ``lag``."""
+        """Recompute the marts older than ``lag`` whose inputs have changed since."""
         done = []
+        inputs = [self.model.fact.table, *[d.table for d in self.model.dimensions]]
+        versions = [self.store.version(n) for n in inputs]
         for name, plan in self.model.marts.items():
-            if is_stale(self.store.refreshed(name), now, lag):
+            if not is_stale(self.store.refreshed(name), now, lag):
+                continue
+            if self.store.meta(f"from:{name}") == versions:
+                self.store.publish(meta={f"refreshed:{name}": now.isoformat()})
+            else:
                 tables = [self.store.read(d.table) for d in self.model.dimensions]
                 df = plan(self.store.read(self.model.fact.table), *tables)
                 self.store.schemas[name] = df.schema
                 self.store.publish(
                     replace={name: [self.store.write(name, df)]},
-                    meta={f"refreshed:{name}": now.isoformat()},
+                    meta={f"refreshed:{name}": now.isoformat(), f"from:{name}": versions},
                 )
                 done.append(name)
         return done
@@ -481,6 +487,70 @@ class Flow:
             held = self.store.read(LEDGER).where(F.col("loaded_at") >= since)
             self.store.publish(replace={LEDGER: [self.store.write(LEDGER, held)]})
 
+    # -- repair and checks ---------------------------------------------------------------
+
+    @_tidied
+    def check(self) -> DataFrame:
+        """(check_name, table_name, n): how many keys or rows each check finds at fault in the
+        published tables.  Nothing is changed."""
+        model, found = self.model, []
+
+        def add(check: str, table: str, faulty: DataFrame) -> None:
+            found.append((check, table, faulty.count()))
+
+        for entity in model.entities:
+            staged = self.store.read(entity.staging_table)
+            add("duplicate keys", entity.staging_table, checks.duplicates(staged, entity.key))
+        fact_table = self.store.read(model.fact.table)
+        add("duplicate keys", model.fact.table, checks.duplicates(fact_table, model.fact.key))
+        for spec in model.dimensions:
+            current, versions = self.store.read(spec.table), self.dimension(spec)
+            add("duplicate keys", spec.table, checks.duplicates(current, spec.key))
+            add("overlapping versions", spec.table, checks.overlaps(versions, spec.key, spec.surrogate))
+            add("orphans", model.fact.table, checks.orphans(fact_table, versions, spec.surrogate))
+        return self.spark.createDataFrame(found, "check_name string, table_name string, n bigint")
+
+    @_tidied
+    def repair(self, run_ts: datetime) -> dict[str, int]:
+        """Keep the newest current row of each key in dimensions and fact table, by surrogate
+        key; how many rows went from each table.  Each table is published with an audit row."""
+        gone = {}
+        for spec in (*self.model.dimensions, self.model.fact):
+            start = self.now()
+            rows = self.store.read(spec.table)
+            step = replace(self.model.steps[spec.table], operation="DEDUPLICATE")
+            keep = dedupe.keep_latest if spec is self.model.fact else dedupe.keep_latest_current
+            stay = keep(rows, spec.key, spec.surrogate).select(spec.surrogate)
+            leaving = materialize(rows.join(stay, spec.surrogate, "left_anti").where(
+                F.col(spec.surrogate).isNotNull()
+            ))
+            gone[spec.table] = leaving.count()
+            if gone[spec.table]:
+                state = self.buckets(spec).change(leaving, leaving.limit(0))
+                self._publish(step, start, run_id(run_ts), (0, 0, gone[spec.table]), **state)
+        return gone
+
+    @_tidied
+    def backfill(self, run_ts: datetime, run_date: date, days: int = 1) -> None:
+        """Move the end of closed versions back by ``days``, and let current ones begin on the
+        run date; each table is published with an audit row."""
+        for spec in self.model.dimensions:
+            start, history = self.now(), f"{spec.table}_history"
+            step = replace(self.model.steps[spec.table], operation="BACKFILL")
+            closed = scd2.shift_closed_end(self.store.read(history), days)
+            current = scd2.reset_current_start(self.store.read(spec.table), run_date)
+            state = self.buckets(spec).change(self.store.read(spec.table), materialize(current))
+            folder = self.store.write(history, closed)
+            changed = self.spark.read.schema(self.store.schemas[history]).parquet(folder).count()
+            self._publish(
+                step,
+                start,
+                run_id(run_ts),
+                (0, changed + self.store.read(spec.table).count(), 0),
+                replace={**state["replace"], history: [folder]},
+                meta=state["meta"],
+            )
+
     # -- shared ------------------------------------------------------------------------
 
     def _step(

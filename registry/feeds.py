@@ -148,3 +148,12 @@ CUSTOMER_VERSIONS = f"""
   from {_CUSTOMER}"""
 
 TIGHT_LIMITS = {"song_id": 12, "song_name": 8, "song_duration": 5, "song_url": 1000}
+
+# Order dates written in the forms a time may take, and one it may not.
+TIME_TEXTS = """
+  select o_orderkey,
+         case o_orderkey%8 when 0 then concat(d,' 10:11:12') when 1 then concat(d,'T10:11:12')
+              when 2 then concat(d,'T10:11:12+02:00') when 3 then concat(d,' 10:11:12Z')
+              when 4 then concat(d,' 10:11') when 5 then d
+              when 6 then concat(d,' 10:11:12.5 +0200') else concat('x',d) end t
+  from (select o_orderkey, substr(cast(o_orderdate as varchar(30)),1,10) d from orders) b"""

@@ -325,13 +325,44 @@ ORACLE = {
     "anti_not_in_empty": ctes(o=stg_songs(feeds.SONGS_V1)) + "select song_id, song_name from o",
     "guarded_delete": _guarded(feeds.SONGS_V2_KEYED),
     "guarded_delete_null_keys": _guarded(feeds.SONGS_V2),
-    "merge_upsert": """select coalesce(t.c_custkey, s.c_custkey) c_custkey,
-        case when s.c_custkey is not null then concat(s.c_name,' v2') else t.c_name end c_name,
-        case when t.c_custkey is null then 0.0::double else t.c_acctbal end c_acctbal,
-        case when t.c_custkey is null then 'insert' when s.c_custkey is null then 'keep'
-             else 'update' end op
-      from (select * from customer where c_custkey%3<>0) t
-      full join (select * from customer where c_custkey%2=0) s on t.c_custkey=s.c_custkey""",
+    "merge_upsert": """select t.c_custkey, case when t.c_custkey%3=0 then t.c_name
+          else concat(t.c_name,' v2') end c_name, t.c_acctbal,
+        case when t.c_custkey%3=0 then 'keep' else 'update' end op from customer t
+      union all select -1-c_custkey, concat(c_name,' v2'), 0.0::double, 'insert'
+      from customer where c_custkey%3=0""",
+    "merge_dup_new_keys": """select c_custkey, case when c_custkey%2=1 then c_name
+          else concat(c_name,' v2') end c_name, c_acctbal,
+        case when c_custkey%2=1 then 'keep' else 'update' end op from customer
+      union all select -1 - c_custkey%10, concat(c_name,' v2'), null::double, 'insert'
+      from customer where c_custkey%2=1""",
+    "land_lineage": f"""select count(*) n_rows, count(*) n_places, count(*) last_places,
+        1::bigint first_place from ({feeds.songs()}) s""",
+    "short_long_rows": f"""with l as (select is_bad, is_bad and line like '%,extra' is_long
+        from ({feeds.ARTIST_LINES}) a)
+      select short_rows, long_rows,
+        count_if(not is_bad or (is_long and long_rows='keep')
+                 or (is_bad and not is_long and short_rows='keep'))::bigint n_rows,
+        count_if(not is_bad or (is_long and long_rows='keep'))::bigint n_urls,
+        count_if((is_long and long_rows='reject')
+                 or (is_bad and not is_long and short_rows='reject'))::bigint n_rejects
+      from l, (values ('keep'),('reject')) s(short_rows), (values ('keep'),('reject')) r(long_rows)
+      group by all""",
+    "try_timestamp_forms": f"""select o_orderkey,
+        case o_orderkey%8 when 4 then cast(concat(t,':00') as timestamp)
+          when 5 then cast(t as timestamp)
+          when 7 then null
+          when 6 then cast(concat(substr(t,1,10),' 10:11:12.5') as timestamp)
+          else cast(concat(substr(t,1,10),' 10:11:12') as timestamp) end ts
+      from ({feeds.TIME_TEXTS}) x""",
+    "dedupe_unknown_current": """with e as (select event_id, user_id,
+        case when event_id%5>0 then event_type<>'view' end is_current from events)
+      select * from e where is_current is null or not is_current or event_id in
+        (select max(event_id) from e where is_current group by user_id)""",
+    "dedupe_latest_rows": """with e as (select event_id, ts,
+        case when event_id%7>0 then concat(' ',user_id) end k from events)
+      select event_id, k from e where k is null
+      union all (select event_id, k from e where k is not null
+        qualify row_number() over (partition by k order by ts desc, event_id desc) = 1)""",
     "merge_songs": merged(
         stg_songs(feeds.SONGS_V1), stg_songs(feeds.SONGS_V2, True, T2), "song_id"
     ),

@@ -177,6 +177,45 @@ def land_rejects(data: Data) -> DataFrame:
     return landing.land(rows, ARTISTS, feeds.RUN_TS).rejects.select("bad_row")
 
 
+@query
+def land_lineage(data: Data) -> DataFrame:
+    """Every landed row has a place of its own, and the places of a file count its rows."""
+    path = f"{shared_dir(data.spark)}/feeds/{uuid.uuid4().hex}"
+    files.write_feed(data.sql(feeds.songs()), path, SONGS)
+    rows = landing.land(files.read_feed(data.spark, path, SONGS), SONGS, feeds.RUN_TS).raw
+    per_file = rows.groupBy("_source_file").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.countDistinct("_file_row_number").alias("places"),
+        F.min("_file_row_number").alias("first"),
+        F.max("_file_row_number").alias("last"),
+    )
+    return per_file.agg(
+        F.sum("n").alias("n_rows"),
+        F.sum("places").alias("n_places"),
+        F.sum("last").alias("last_places"),
+        F.max("first").alias("first_place"),
+    )
+
+
+@query
+def short_long_rows(data: Data) -> DataFrame:
+    """Raw rows and rejects under each policy for lines with a field too few or too many."""
+    path = f"{shared_dir(data.spark)}/feeds/{uuid.uuid4().hex}"
+    data.sql(feeds.ARTIST_LINES).select("line").write.text(path)
+    rows = files.read_feed(data.spark, path, ARTISTS, header="false")
+    out = None
+    for short in (landing.KEEP, landing.REJECT):
+        for long in (landing.KEEP, landing.REJECT):
+            landed = landing.land(rows, ARTISTS, feeds.RUN_TS, short_rows=short, long_rows=long)
+            bad = landed.rejects.agg(F.count(F.lit(1)).alias("n_rejects"))
+            one = landed.raw.agg(
+                F.count(F.lit(1)).alias("n_rows"), F.count("external_url").alias("n_urls")
+            ).select(F.lit(short).alias("short_rows"), F.lit(long).alias("long_rows"), "*")
+            one = one.crossJoin(bad)  # one row each
+            out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query
 def null_tokens(data: Data) -> DataFrame:
     return landing.clean_text(data.sql(feeds.TOKENS), SONGS.columns)
@@ -284,6 +323,14 @@ def stage_albums_inc(data: Data) -> DataFrame:
     return data.delta(feeds.ALBUMS_V2, ALBUMS)
 
 
+@query
+def try_timestamp_forms(data: Data) -> DataFrame:
+    """Times as feeds write them; a zone is dropped and the clock time counts."""
+    return data.sql(feeds.TIME_TEXTS).select(
+        "o_orderkey", scalar.try_timestamp_auto("t").alias("ts")
+    )
+
+
 @query
 def quality_flags(data: Data) -> DataFrame:
     """The first failing rule of each song, out of five."""
@@ -400,16 +447,32 @@ def guarded_delete_null_keys(data: Data) -> DataFrame:
 
 @query
 def merge_upsert(data: Data) -> DataFrame:
+    """Two versions of the whole table; every third customer has a new key in the second."""
     customer = data.table("customer").select("c_custkey", "c_name", "c_acctbal")
-    source = customer.where(F.col("c_custkey") % 2 == 0).select(
-        "c_custkey", F.concat("c_name", F.lit(" v2")).alias("c_name")
+    source = customer.select(
+        F.when(F.col("c_custkey") % 3 == 0, -1 - F.col("c_custkey"))
+        .otherwise(F.col("c_custkey"))
+        .alias("c_custkey"),
+        F.concat("c_name", F.lit(" v2")).alias("c_name"),
     )
-    target = customer.where(F.col("c_custkey") % 3 != 0)
     return merge.merge(
-        target, source, "c_custkey", defaults={"c_acctbal": F.lit(0.0)}
+        customer, source, "c_custkey", defaults={"c_acctbal": F.lit(0.0)}
     ).withColumnRenamed(merge.OP, "op")
 
 
+@query
+def merge_dup_new_keys(data: Data) -> DataFrame:
+    """Odd customers come under a few new keys: all their rows are inserted."""
+    customer = data.table("customer").select("c_custkey", "c_name", "c_acctbal")
+    source = customer.select(
+        F.when(F.col("c_custkey") % 2 == 1, -1 - F.col("c_custkey") % 10)
+        .otherwise(F.col("c_custkey"))
+        .alias("c_custkey"),
+        F.concat("c_name", F.lit(" v2")).alias("c_name"),
+    )
+    return merge.merge(customer, source, "c_custkey").withColumnRenamed(merge.OP, "op")
+
+
 @query
 def merge_songs(data: Data) -> DataFrame:
     changes = merge.merge(
@@ -515,6 +578,28 @@ def dedupe_latest(data: Data) -> DataFrame:
     return dedupe.keep_latest(events, "user_id", "event_id")
 
 
+@query
+def dedupe_unknown_current(data: Data) -> DataFrame:
+    """Rows of which it is not known whether they are current stay."""
+    rows = data.table("events").select(
+        "event_id",
+        "user_id",
+        F.when(F.col("event_id") % 5 > 0, F.col("event_type") != "view").alias("is_current"),
+    )
+    return dedupe.keep_latest_current(rows, "user_id", "event_id")
+
+
+@query
+def dedupe_latest_rows(data: Data) -> DataFrame:
+    """The last event of each user, by time and number; users' keys come with blanks."""
+    rows = data.table("events").select(
+        "event_id",
+        F.when(F.col("event_id") % 7 > 0, F.concat(F.lit(" "), F.col("user_id"))).alias("k"),
+        F.col("ts").cast("timestamp_ntz").alias("ts"),
+    )
+    return dedupe.latest_rows(rows, F.trim("k"), ("ts", "event_id")).select("event_id", "k")
+
+
 @query
 def dedupe_latest_dim(data: Data) -> DataFrame:
     events = data.table("events").select(

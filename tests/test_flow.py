@@ -243,7 +243,46 @@ def test_marts_refresh_by_lag(spark, folder):
     flow = make(spark, folder)
     flow.run_cycle(T0)
     assert flow.refresh_marts(T0 + timedelta(minutes=59)) == []
-    assert flow.refresh_marts(T0 + timedelta(minutes=61)) == ["songs_enriched", "artist_summary"]
+    # Old enough, but nothing has changed.
+    assert flow.refresh_marts(T0 + timedelta(minutes=61)) == []
+    assert flow.store.refreshed("artist_summary") == T0 + timedelta(minutes=61)
+    put(inbox(folder, "artists"), "a2.csv", ["a1,Anna,http://a1", "a2,Bob,NULL"])
+    flow.run_cycle(T0 + timedelta(minutes=70))
+    assert flow.refresh_marts(T0 + timedelta(minutes=130)) == ["songs_enriched", "artist_summary"]
+
+
+def test_check_repair_and_backfill(spark, folder):
+    first_files(folder)
+    flow = make(spark, folder)
+    flow.run_cycle(T0)
+
+    def faults():
+        return {(r[0], r[1]): r[2] for r in flow.check().collect() if r[2]}
+
+    assert faults() == {}
+    # Rows that a hand-made insert could leave behind.
+    for spec in (MODEL.dimensions[0], MODEL.fact):
+        again = flow.store.read(spec.table).withColumn(spec.surrogate, F.col(spec.surrogate) + 100)
+        flow.store.publish(**flow.buckets(spec).change(None, again))
+    assert faults()[("duplicate keys", "dim_artists")] == 2
+    assert faults()[("duplicate keys", "fact_songs")] == 2
+    assert faults()[("overlapping versions", "dim_artists")] == 2
+    assert flow.repair(T0) == {"dim_artists": 2, "dim_albums": 0, "fact_songs": 2}
+    assert rows(flow.store.read("dim_artists"), "artist_sk") == [(101,), (102,)]
+    assert rows(flow.store.read("fact_songs"), "song_sk") == [(101,), (102,)]
+    # The fact rows kept point to keys that went: that is reported, and not mended.
+    assert faults() == {("orphans", "fact_songs"): 2}
+    log = flow.store.read(AUDIT).where("operation = 'DEDUPLICATE'")
+    assert rows(log, "target_table", "rows_deleted") == [("DIM_ARTISTS", 2), ("FACT_SONGS", 2)]
+    put(inbox(folder, "albums"), "l2.csv", ["l1,Renamed,2020-05-06,10,http://l1"])
+    flow.run_cycle(T0 + timedelta(days=3))
+    flow.backfill(T0, (T0 + timedelta(days=9)).date())
+    albums = flow.dimension(MODEL.dimensions[1])
+    assert rows(albums, "album_name", "eff_start_date", "eff_end_date") == [
+        ("First", T0.date(), (T0 + timedelta(days=1)).date()),
+        ("Renamed", (T0 + timedelta(days=9)).date(), None),
+    ]
+    assert flow.store.read(AUDIT).where("operation = 'BACKFILL'").count() == 2
 
 
 def test_row_numbers_over_many_splits(spark, folder):

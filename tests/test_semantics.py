@@ -2,7 +2,7 @@
 
 import random
 from collections import Counter
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -344,6 +344,34 @@ def test_equal_rows_spread_over_ranges(spark, small_partitions):
     assert hot.select(F.col("_metadata.file_path").alias("f")).distinct().count() > 1
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_as_of_matches_all_pairs_and_meets_few(spark, how):
+    """A key of very many versions: rows meet those of their period only."""
+    rng = random.Random(4)
+    day0 = date(2000, 1, 1)
+    versions = [("hot", i, day0 + timedelta(days=i), day0 + timedelta(days=i)) for i in range(3000)]
+    for i in range(200):
+        start = day0 + timedelta(days=rng.randrange(3000))
+        end = None if i % 5 == 0 else start + timedelta(days=rng.randrange(-1, 900))
+        versions.append((f"k{i % 40}", 10_000 + i, start, end))
+    versions += [("hot", 20_000, None, None), (None, 20_001, day0, None)]
+    facts = [(i, "hot" if i % 2 else f"k{rng.randrange(45)}", day0 + timedelta(days=rng.randrange(-20, 3100)))
+             for i in range(2000)] + [(5000, "hot", None), (5001, None, day0)]
+    dim = spark.createDataFrame(versions, "k string, v int, eff_start_date date, eff_end_date date")
+    asked = spark.createDataFrame(facts, "n int, k string, day date")
+    got = scd2.as_of(asked, dim, "k", "day", how)
+    want = []
+    for n, k, at in facts:
+        hits = [v for key, v, a, e in versions
+                if key == k and k and at and a and a <= at and (e is None or at <= e)]
+        want += [(n, v) for v in hits] or ([(n, None)] if how == "left" else [])
+    assert sorted(map(str, ((r["n"], r["v"]) for r in got.collect()))) == sorted(map(str, want))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "_at" in plan and "_slot" in plan  # the period is part of the join's equality
+    assert scd2.as_of(asked.limit(0), dim, "k", "day").count() == 0
+    assert scd2.as_of(asked, dim.limit(0), "k", "day", "left").count() == len(facts)
+
+
 def test_overlaps_match_a_plain_window(spark):
     from pyspark.sql.window import Window
 
