@@ -94,8 +94,7 @@ def fact_changes(
     split = split_on_duplicates(
         fact, source, spec.key, probe_right=source if fans_out else staged
     )
-    stats = null_stats(staged, spec.key).scalar()
-    n, n_null = stats.getField("n"), stats.getField("n_null")
+    n, n_null = F.lit(split.right_stats.n), F.lit(split.right_stats.n_null)
 
     here, there = F.col(IN_LEFT).isNotNull(), F.col(IN_RIGHT).isNotNull()
     good = there & (F.col("r.data_quality_flag") == VALID)

@@ -33,12 +33,54 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class KeyStats:
+    """Rows of a table, those without a key, and whether a key is held by several."""
+
+    n: int
+    n_null: int
+    repeated: bool
+
+
+def key_stats(left: DataFrame, right: DataFrame, key: str) -> tuple[KeyStats, KeyStats]:
+    """Of both tables, by one grouped pass over their keys; one row reaches the driver."""
+    sides = [
+        df.select(
+            F.col(key).alias("k"),
+            F.lit(i == 0).cast("bigint").alias("n0"),
+            F.lit(i == 1).cast("bigint").alias("n1"),
+        )
+        for i, df in enumerate((left, right))
+    ]
+    per_key = sides[0].unionAll(sides[1]).groupBy("k").agg(
+        F.sum("n0").alias("n0"), F.sum("n1").alias("n1")
+    )
+    has_key, zero = F.col("k").isNotNull(), F.lit(0).cast("bigint")
+    found = per_key.agg(
+        *[
+            F.coalesce(value, zero).alias(f"{name}{i}")
+            for i in (0, 1)
+            for n in [F.col(f"n{i}")]
+            for name, value in (
+                ("n", F.sum(n)),
+                ("null", F.sum(F.when(~has_key, n))),
+                ("most", F.max(F.when(has_key, n))),
+            )
+        ]
+    ).first()
+    return tuple(
+        KeyStats(found[f"n{i}"], found[f"null{i}"], found[f"most{i}"] > 1) for i in (0, 1)
+    )
+
+
 @dataclass(frozen=True)
 class Split:
     """Both sides cut into keys unique on each side, and the rest (if any)."""
 
     left: DataFrame
     right: DataFrame
+    left_stats: KeyStats
+    right_stats: KeyStats
     dup_left: DataFrame | None = None
     dup_right: DataFrame | None = None
 
@@ -50,17 +92,18 @@ def split_on_duplicates(
 
     The test runs now (keys only).  Normally there are none, and the inputs come
     back as they are.  ``probe_right`` is a cheaper table known to hold the same
-    duplicate keys as ``right``.
+    duplicate keys as ``right``; the statistics are its.
     """
     probe_right = right if probe_right is None else probe_right
+    stats = key_stats(left, probe_right, key)
+    if not (stats[0].repeated or stats[1].repeated):
+        return Split(left, right, *stats)
     dups = (
         duplicate_keys(left, key)
         .select(key)
         .unionByName(duplicate_keys(probe_right, key).select(key))
         .distinct()
     )
-    if dups.isEmpty():
-        return Split(left, right)
     dups = materialize(dups)
 
     def part(df: DataFrame, how: str) -> DataFrame:
@@ -69,6 +112,7 @@ def split_on_duplicates(
     return Split(
         part(left, "left_anti"),
         part(right, "left_anti"),
+        *stats,
         part(left, "left_semi"),
         part(right, "left_semi"),
     )

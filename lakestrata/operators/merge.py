@@ -13,11 +13,12 @@ from lakestrata.operators.keyed import (
     IN_LEFT,
     IN_RIGHT,
     DuplicateKeyError,
+    KeyStats,
     duplicate_keys,
     outer_on_key,
     split_on_duplicates,
 )
-from lakestrata.operators.sets import mark_members, null_stats, semi_in, without_members
+from lakestrata.operators.sets import mark_members, semi_in, without_members
 
 OP = "_op"
 INSERT, UPDATE, DELETE, KEEP = "insert", "update", "delete", "keep"
@@ -105,7 +106,7 @@ def merge(
         update = {c: c for c in source.columns if c in columns and c != key}
     defaults = dict(defaults or {})
     split = split_on_duplicates(target, source, key)
-    guard = _delete_guard(source, key) if delete_missing else F.lit(False)
+    guard = F.lit(delete_missing and _may_delete(split.right_stats))
 
     joined = outer_on_key(split.left, split.right, key)
     types = {f.name: f.dataType for f in target.schema.fields}
@@ -151,9 +152,8 @@ def _value(item: str | Column) -> Column:
     return F.col(f"r.{item}") if isinstance(item, str) else item
 
 
-def _delete_guard(source: DataFrame, key: str) -> Column:
-    stats = null_stats(source, key).scalar()
-    return (stats.getField("n") > 0) & (stats.getField("n_null") == 0)
+def _may_delete(source: KeyStats) -> bool:
+    return source.n > 0 and source.n_null == 0
 
 
 def _resolve(

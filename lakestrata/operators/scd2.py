@@ -24,7 +24,6 @@ from lakestrata.operators.merge import OP, raise_on_duplicate_updates, single_ve
 from lakestrata.operators.sets import (
     anti_not_in,
     mark_members,
-    null_stats,
     without_members,
 )
 from lakestrata.session import materialize
@@ -88,12 +87,8 @@ def scd2_changes(
     split = split_on_duplicates(current, staged, spec.key)
     # A key is not missing while staging holds any row without a key, and no key
     # counts as free for a new version while a current row has none.
-    blocked = null_stats(staged, spec.key).scalar().getField("n_null") > 0
-    may_reopen = null_stats(current, spec.key).scalar().getField("n_null") == 0
-    if not close_missing:
-        blocked = F.lit(True)
-    if not reopen:
-        may_reopen = F.lit(False)
+    blocked = F.lit(not close_missing or split.right_stats.n_null > 0)
+    may_reopen = F.lit(reopen and split.left_stats.n_null == 0)
 
     here, there = F.col(IN_LEFT).isNotNull(), F.col(IN_RIGHT).isNotNull()
     good = there & (F.col("r.data_quality_flag") == VALID)

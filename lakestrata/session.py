@@ -4,12 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from contextvars import ContextVar
+from contextvars import ContextVar, copy_context
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 # Settings the operators are written for.  Partition counts are left to AQE: the
 # initial number only has to be high enough, coalescing brings it down.
 RECOMMENDED = {
@@ -113,3 +118,14 @@ def materialize(
     writer.parquet(path)
     names = df.columns
     return spark.read.schema(df.schema).parquet(path).select(*names)
+
+
+def side_by_side(spark: SparkSession, *works: Callable[[], T]) -> list[T]:
+    """Results of works that need nothing of each other, each on a thread that sees this one's
+    working tables and Spark properties.  All end before a failure is raised."""
+    with ThreadPoolExecutor(len(works)) as pool:
+        started = [
+            pool.submit(inheritable_thread_target(spark)(copy_context().run), work)
+            for work in works
+        ]
+    return [one.result() for one in started]

@@ -8,14 +8,11 @@ outside scheduler decides when to call a cycle, or ``follow`` does.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
-from contextvars import copy_context
+from collections.abc import Callable
 from dataclasses import replace
 from datetime import date, datetime, timedelta
-from functools import wraps
+from functools import partial, wraps
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import functions as F
@@ -26,7 +23,7 @@ from lakestrata.functions.scalar import run_id, ts
 from lakestrata.operators import audit, checks, dedupe, fact, merge, scd2
 from lakestrata.plans.marts import is_stale
 from lakestrata.plans.staging import stage_delta, stage_full
-from lakestrata.session import materialize, working_tables
+from lakestrata.session import materialize, side_by_side, working_tables
 from lakestrata.sources import files, landing
 from lakestrata.sources.buckets import Buckets
 from lakestrata.sources.store import FOLD, Store
@@ -445,26 +442,11 @@ class Flow:
             {self.model.fact.table: facts},
         ]
         for steps in stages:
-            self._side_by_side(steps, run, outcome)
+            side_by_side(
+                self.spark, *[partial(self._step, t, w, run, outcome) for t, w in steps.items()]
+            )
         return outcome
 
-    def _side_by_side(
-        self, steps: dict[str, Callable[[], bool]], run: str, outcome: dict[str, str]
-    ) -> None:
-        """Steps that need nothing of each other.  All end before a failure is raised."""
-
-        def one(table: str, work: Callable[[], bool]) -> None:
-            # A thread of its own sees this one's working tables and Spark properties.
-            self._step(table, work, run, outcome)
-
-        with ThreadPoolExecutor(len(steps)) as pool:
-            started = [
-                pool.submit(inheritable_thread_target(self.spark)(copy_context().run), one, table, work)
-                for table, work in steps.items()
-            ]
-        for step in started:
-            step.result()
-
     def follow(self, every: str = "5 minutes") -> StreamingQuery:
         """Run a cycle at once and then as often as said, until the query is stopped."""
         ticks = self.spark.readStream.format("rate").load()

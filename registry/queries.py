@@ -26,7 +26,7 @@ from lakestrata.plans.music import (
     STEPS,
 )
 from lakestrata.plans.staging import stage_delta, stage_full
-from lakestrata.session import materialize, shared_dir
+from lakestrata.session import materialize, shared_dir, side_by_side
 from lakestrata.sources import files, landing
 from registry import feeds
 
@@ -120,7 +120,8 @@ class Data:
         return self.dim(DIM_ALBUMS, self.staged(text, ALBUMS))
 
     def dims(self) -> dict[str, DataFrame]:
-        return {"dim_artists": self.artists(), "dim_albums": self.albums()}
+        artists, albums = side_by_side(self.spark, self.artists, self.albums)
+        return {"dim_artists": artists, "dim_albums": albums}
 
     def next_dim(self, spec, current: DataFrame, staged: DataFrame) -> DataFrame:
         """All versions after the next cycle."""
@@ -722,25 +723,22 @@ def fact_initial(data: Data) -> DataFrame:
 
 
 def _fact_cycle(data: Data, new_songs: str) -> DataFrame:
-    dims = data.dims()
-    before = data.fact(dims)
-    after = {
-        "dim_artists": data.next_dim(
-            DIM_ARTISTS,
-            dims["dim_artists"],
-            data.delta(feeds.ARTISTS_V2_KEYED, ARTISTS),
+    dims, staged = side_by_side(
+        data.spark, data.dims, lambda: data.stored_delta(new_songs, SONGS)
+    )
+    before, artists, albums = side_by_side(
+        data.spark,
+        lambda: data.fact(dims),
+        lambda: data.next_dim(
+            DIM_ARTISTS, dims["dim_artists"], data.delta(feeds.ARTISTS_V2_KEYED, ARTISTS)
         ),
-        "dim_albums": data.next_dim(
+        lambda: data.next_dim(
             DIM_ALBUMS, dims["dim_albums"], data.delta(feeds.ALBUMS_V2_KEYED, ALBUMS)
         ),
-    }
+    )
+    after = {"dim_artists": artists, "dim_albums": albums}
     return fact.fact_apply(
-        before,
-        data.stored_delta(new_songs, SONGS),
-        after,
-        FACT_SONGS,
-        SECOND,
-        order_by=["song_id"],
+        before, staged, after, FACT_SONGS, SECOND, order_by=["song_id"]
     ).table
 
 
