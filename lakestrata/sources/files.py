@@ -38,22 +38,37 @@ def _name(encoded: Column) -> Column:
     return F.try_url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
 
 
-def _with_origin(df: DataFrame, entity: Entity) -> DataFrame:
+def file_name(path: Column, home: str | None = None) -> Column:
+    """A file's path below the folder ``home``; its bare name if it is not there."""
+    bare = F.element_at(F.split(path, "/"), -1)
+    if home is None:
+        return bare
+    folder = urlsplit(home).path.rstrip("/") + "/"
+    place = F.locate(folder, path)
+    return F.when(place > 0, F.substr(path, place + F.lit(len(folder)))).otherwise(bare)
+
+
+def _with_origin(df: DataFrame, entity: Entity, home: str | None) -> DataFrame:
     return df.select(
         *entity.columns,
         BAD,
-        _name(F.col("_metadata.file_name")).alias("_source_file"),
+        file_name(_name(F.col("_metadata.file_path")), home).alias("_source_file"),
         F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_block_start").alias("_block"),
     )
 
 
 def read_feed(
-    spark: SparkSession, path: str | list[str], entity: Entity, **options: str
+    spark: SparkSession,
+    path: str | list[str],
+    entity: Entity,
+    home: str | None = None,
+    **options: str,
 ) -> DataFrame:
-    """All rows of the files under ``path`` with their origin, before numbering."""
+    """All rows of the files under ``path`` with their origin, before numbering.  Files are told
+    by their path below ``home``, or by their bare name."""
     reader = spark.read.schema(feed_schema(entity)).options(**{**FORMAT, **options})
-    return _with_origin(reader.csv(path), entity)
+    return _with_origin(reader.csv(path), entity, home)
 
 
 def number_file_rows(rows: DataFrame) -> DataFrame:

@@ -129,7 +129,7 @@ def load_history(
 ) -> DataFrame:
     """Per file and load: status, rows kept, rows rejected, the first rejected row.
 
-    ``listed`` (path) names all files of a load, so that those without rows are told too.
+    ``listed`` (_source_file) names all files of a load, so that those without rows are told too.
 
     Rows are combined before they are shuffled; row texts are touched only among
     the rejects.
@@ -143,8 +143,7 @@ def load_history(
     zero = F.lit(0).cast("bigint")
     both = kept.join(bad, by, "full_outer")
     if listed is not None:
-        name = F.element_at(F.split("path", "/"), -1)
-        names = listed.select(name.alias("_source_file"), ts(run_ts).alias("_load_timestamp"))
+        names = listed.select("_source_file", ts(run_ts).alias("_load_timestamp"))
         both = names.distinct().join(both, by, "full_outer")
     return both.select(
         F.lit(table).alias("table_name"),

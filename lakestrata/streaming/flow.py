@@ -150,14 +150,15 @@ class Flow:
         # The new files have to be named to the reader by the driver; old ones stay out.
         snapshots = files.snapshots(fresh.collect(), folder)
         for listed in snapshots:
-            self._land_one(entity, listed, run_ts, run or run_id(run_ts))
+            self._land_one(entity, listed, folder, run_ts, run or run_id(run_ts))
         return bool(snapshots)
 
-    def _land_one(self, entity: Entity, listed: list, run_ts: datetime, run: str) -> None:
+    def _land_one(
+        self, entity: Entity, listed: list, home: str, run_ts: datetime, run: str
+    ) -> None:
         start, step = self.now(), self.model.steps[entity.raw_table]
         batch = self.store.meta(f"landed:{entity.name}", -1) + 1
-        feed = files.read_feed(self.spark, [r["path"] for r in listed], entity)
-        raw_path, bad_path, history = self._write_landed(feed, entity, batch, listed, run_ts)
+        raw_path, bad_path, history = self._write_landed(entity, batch, listed, home, run_ts)
         ledger = landing.ledger_rows(self.spark, listed, entity.raw_table, batch, run_ts)
         self._publish(
             step,
@@ -177,9 +178,14 @@ class Flow:
         )
 
     def _write_landed(
-        self, feed: DataFrame, entity: Entity, batch: int, listed: list, run_ts: datetime
+        self, entity: Entity, batch: int, listed: list, home: str, run_ts: datetime
     ) -> tuple[str, str, str]:
         """Folders of raw rows, rejects and history; nobody sees them before they are published."""
+        paths = [r["path"] for r in listed] or [home]
+        feed = files.read_feed(self.spark, paths, entity, home)
+        names = self.spark.createDataFrame([(r["path"],) for r in listed], "path string").select(
+            files.file_name(F.col("path"), home).alias("_source_file")
+        )
         landed = landing.land(feed, entity, run_ts, **self.shapes)
         numbered = landed.raw.withColumn("batch_id", F.lit(batch).cast("bigint"))
         raw_path = self.store.write(entity.raw_table, numbered)
@@ -188,7 +194,7 @@ class Flow:
             self.model.steps[entity.raw_table].target,
             self.spark.read.schema(self.raw_schema(entity)).parquet(raw_path),
             self.spark.read.schema(landing.REJECT_SCHEMA).parquet(bad_path),
-            self.spark.createDataFrame([(r["path"],) for r in listed], "path string"),
+            names,
             run_ts,
         )
         return raw_path, bad_path, self.store.write(HISTORY, history)
@@ -204,8 +210,7 @@ class Flow:
         that still wait in the queue stay."""
         start, step = self.now(), self.model.steps[entity.raw_table]
         listed = files.list_files(self.spark, path).select("path").collect()
-        feed = files.read_feed(self.spark, path, entity)
-        raw_path, bad_path, history = self._write_landed(feed, entity, BULK, listed, run_ts)
+        raw_path, bad_path, history = self._write_landed(entity, BULK, listed, path, run_ts)
         self._publish(
             step,
             start,

@@ -395,6 +395,12 @@ def test_snapshots_between_cycles_are_staged_one_by_one(spark, folder):
     outcome = flow.run_cycle(later)
     assert outcome["stg_artists"] == outcome["dim_artists"] == "SUCCESS"
     assert flow.queue(ARTISTS) == []
+    names = flow.raw(ARTISTS).where("batch_id = 3")
+    assert rows(names, "_source_file") == [("third/part-0.csv",), ("third/part-1.csv",)]
+    assert rows(flow.store.read(HISTORY).where("source_file like 'third/%'"), "row_count") == [
+        (1,),
+        (1,),
+    ]
     assert rows(flow.store.read("stg_artists"), "artist_id", "artist_name") == [
         ("a1", "Part 0"),
         ("a4", "Part 1"),
