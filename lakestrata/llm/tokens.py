@@ -36,7 +36,7 @@ from lakestrata.session import materialize, shared_dir
 BLOCK_IDS = 262_144
 LANES = 1024
 PARTITION_IDS = 16_000_000
-MEMO_BYTES = 64 << 20
+MEMO_BYTES = 96 << 20
 ENTRY_BYTES = 170  # of a remembered word besides its letters and ids
 PLACE_BYTES = 8
 ROWS = 1000
@@ -62,8 +62,8 @@ class WordIds:
 
     A tokenizer that drops white space joins nothing across it, so a text's ids are those of
     its words in order.  Words not seen yet are encoded by the library, many in one call;
-    some MEMO_BYTES of them are remembered, then all are forgotten.  Texts of other tokenizers
-    are encoded whole.
+    some MEMO_BYTES of them are remembered, then all but the first half are forgotten.  Texts of
+    other tokenizers are encoded whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -73,9 +73,18 @@ class WordIds:
         own = lambda t: self.library.encode(t, add_special_tokens=False).ids
         self.by_word = own("as. b\n c") == own("as") + own(".") + own("b") + own("c")
         self.lowers = own("AZ") == own("az")
+        self.base: tuple[int, int, int] | None = None
         self._forget()
 
     def _forget(self) -> None:
+        """All words, but those that came up first, which are mostly the frequent ones."""
+        if self.base:
+            count, self.used, self.letters = self.base
+            kept = Places()
+            kept.update((w, at) for w, at in self.place.items() if at < count)
+            kept.count = count
+            self.place = kept
+            return
         self.place = Places()
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
         self.starts = np.zeros(1 << 16, np.int32)
@@ -180,6 +189,8 @@ class WordIds:
         flat, ends = self._gather(found), np.cumsum(self.lengths[found], dtype=np.int64)
         for word in passing:
             del self.place[word]
+        if not self.base and self._held() > MEMO_BYTES // 2:
+            self.base = self.place.count, self.used, self.letters
         bounds = np.concatenate([[0], ends])[n_words]
         tail = np.zeros(0, np.uint32) if end is None else np.array([end], np.uint32)
         return [
