@@ -453,7 +453,9 @@ class Flow:
         return outcome
 
     def follow(self, every: str = "5 minutes") -> StreamingQuery:
-        """Run a cycle at once and then as often as said, until the query is stopped."""
+        """Run a cycle now, then one as often as said until the query is stopped.  A tick says
+        only that time has passed; what is new, the published state tells."""
+        self.run_cycle(self.now())
         ticks = self.spark.readStream.format("rate").load()
         return (
             ticks.writeStream.foreachBatch(lambda rows, batch: self.run_cycle(self.now()))

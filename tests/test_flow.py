@@ -576,6 +576,29 @@ def test_siblings_run_side_by_side(spark, folder, monkeypatch):
     assert log.select("audit_id").distinct().count() == log.count() == 9
 
 
+def test_following_runs_cycles_until_it_is_stopped(spark, folder, monkeypatch):
+    import threading
+
+    os.makedirs(inbox(folder, "artists"))
+    flow = make(spark, folder)
+    # Empty and missing folders: nothing to land.
+    assert set(flow.run_cycle(T0).values()) == {"SKIPPED"}
+    calls, enough = [], threading.Event()
+
+    def cycle(run_ts):
+        calls.append(run_ts)
+        if len(calls) >= 3:
+            enough.set()
+
+    monkeypatch.setattr(flow, "run_cycle", cycle)
+    query = flow.follow("1 second")
+    try:
+        assert enough.wait(60)
+    finally:
+        query.stop()
+    assert calls[:3] == [T0] * 3
+
+
 def test_landing_moves_no_row(spark, folder):
     """Row numbers and keys are projections over the written rows, whatever the join settings."""
     from lakestrata.operators import keys
