@@ -434,7 +434,8 @@ class Flow:
             return True
 
         def facts() -> bool:
-            if self.store.meta(f"from:{self.model.fact.table}") == self._fact_inputs():
+            inputs = self._fact_inputs()
+            if not any(inputs) or self.store.meta(f"from:{self.model.fact.table}") == inputs:
                 return False
             self.load_fact(clock, run)
             return True
