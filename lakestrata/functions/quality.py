@@ -16,7 +16,10 @@ def quality_flag(rules: Sequence[Rule]) -> Column:
 
 
 def valid_rows(df: DataFrame, flag: str = "data_quality_flag") -> DataFrame:
-    return df.where(F.col(flag) == VALID)
+    """Where staging is not written first, the test must not be pushed below the parsing, or
+    each text is parsed for the test and again for its value; ``_row`` holds it in place."""
+    placed = df.withColumn("_row", F.monotonically_increasing_id())
+    return placed.where((F.col(flag) == VALID) & (F.col("_row") >= 0)).drop("_row")
 
 
 def quality_summary(tables: dict[str, DataFrame]) -> DataFrame:

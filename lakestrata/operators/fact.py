@@ -14,12 +14,13 @@ from lakestrata.functions.scalar import changed
 from lakestrata.operators.keyed import (
     IN_LEFT,
     IN_RIGHT,
+    broadcast_small,
     duplicate_keys,
     outer_on_key,
     split_on_duplicates,
 )
 from lakestrata.operators.keys import COPY, assign_keys, highest, with_place
-from lakestrata.operators.merge import INSERT, KEEP, OP, UPDATE, merge
+from lakestrata.operators.merge import INSERT, KEEP, OP, UPDATE, all_new, merge
 from lakestrata.operators.scd2 import Clock, current_rows
 from lakestrata.operators.sets import join_once, mark_members, null_stats
 from lakestrata.session import materialize
@@ -34,13 +35,14 @@ def lookup_keys(
 ) -> DataFrame:
     """Add the surrogate key of the current row of each dimension, NULL if none.
 
-    Spark broadcasts a dimension it has measured to be small; beyond that it is a
+    A dimension whose keys are measured to be small is broadcast; beyond that it is a
     sort-merge left join, whose hot natural keys adaptive execution splits.
     """
     for look in lookups:
         d = current_rows(dims[look.dimension.table]).select(
             F.col(look.natural).alias("_nk"), look.surrogate
         )
+        d = broadcast_small(d)
         staged = staged.join(d, staged[look.natural] == d["_nk"], "left").drop("_nk")
     return staged
 
@@ -198,7 +200,7 @@ def key_new_rows(
         changes = with_place(changes)
     if watch:
         changes = watch(changes)
-    changes = materialize(changes, partition_by=OP, path=path)
+    changes = materialize(changes, partition_by=OP, path=path, compression="zstd")
     fresh = changes.where(F.col(OP) == INSERT).select(
         *[c for c in changes.columns if c in (*columns, COPY) and c != spec.surrogate]
     )
@@ -239,13 +241,27 @@ def fact_initial(
     kept: bool = True,
     watch: Watch | None = None,
 ) -> FactResult:
-    """First load: only ``initial_compare`` decides an update.
+    """First load: only ``initial_compare`` decides an update."""
+    if start_key is None:
+        start_key = highest(fact, spec.surrogate)
+    changes = initial_changes(fact, staged, dims, spec, clock, load_time_as_source)
+    return key_new_rows(changes, spec, fact.columns, start_key, order_by, path, kept, watch)
+
+
+def initial_changes(
+    fact: DataFrame,
+    staged: DataFrame,
+    dims: Mapping[str, DataFrame],
+    spec: Fact,
+    clock: Clock,
+    load_time_as_source: bool = True,
+) -> DataFrame:
+    """Next state of the fact table with ``_op``, inserted rows without a surrogate key.
 
     The feed's own definition puts the load time into ``_source_file``;
-    ``load_time_as_source=False`` leaves it NULL.
+    ``load_time_as_source=False`` leaves it NULL.  Nothing can match in an empty table, so
+    its rows are the lookups' and neither counted by key nor joined.
     """
-    if start_key is None:
-        start_key = highest(fact, spec.surrogate)
     source = lookup_keys(valid_rows(staged), dims, spec.lookups)
     label = F.date_format("_load_timestamp", "yyyy-MM-dd HH:mm:ss.SSS")
     source = source.select(
@@ -253,15 +269,17 @@ def fact_initial(
         *spec.attributes,
         (label if load_time_as_source else F.lit(None).cast("string")).alias("_source_file"),
     )
-    changes = merge(
+    defaults = {"is_valid": F.lit(True), "_load_timestamp": clock.now}
+    if fact.isEmpty():
+        return all_new(fact, source, defaults)
+    return merge(
         fact,
         source,
         spec.key,
         update={**{c: c for c in spec.initial_update}, "_load_timestamp": clock.now},
         compare=spec.initial_compare,
-        defaults={"is_valid": F.lit(True), "_load_timestamp": clock.now},
+        defaults=defaults,
     )
-    return key_new_rows(changes, spec, fact.columns, start_key, order_by, path, kept, watch)
 
 
 def validity_counts(changes: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, StringType
 
 from lakestrata.session import materialize
 
@@ -42,8 +43,44 @@ class KeyStats:
     repeated: bool
 
 
+# Key types whose equal values have equal hashes, and the bytes up to which a
+# measured table is broadcast.
+HASHED_TYPES = ("string", "bigint", "int", "smallint", "tinyint", "date")
+BROADCAST_BYTES = 200_000_000
+
+
 def key_stats(left: DataFrame, right: DataFrame, key: str) -> tuple[KeyStats, KeyStats]:
-    """Of both tables, by one grouped pass over their keys; one row reaches the driver."""
+    """Of both tables, by one grouped pass over their keys; two rows reach the driver.
+
+    What is grouped are 8-byte hashes: where none comes twice, no key does.  Where one does
+    (a repeated key, or two keys of one hash), the keys themselves are counted.
+    """
+    if any(df.schema[key].dataType.simpleString() not in HASHED_TYPES for df in (left, right)):
+        return exact_key_stats(left, right, key)
+    k = F.col(key)
+    sides = [
+        df.select(F.lit(i == 1).alias("right"), F.when(k.isNotNull(), F.xxhash64(k)).alias("h"))
+        for i, df in enumerate((left, right))
+    ]
+    per_hash = sides[0].unionAll(sides[1]).groupBy("right", "h").agg(F.count(F.lit(1)).alias("n"))
+    found = {
+        row["right"]: KeyStats(row["rows"], row["no_key"], row["most"] > 1)
+        for row in per_hash.groupBy("right")
+        .agg(
+            F.sum("n").alias("rows"),
+            F.sum(F.when(F.col("h").isNull(), F.col("n")).otherwise(0)).alias("no_key"),
+            F.max(F.when(F.col("h").isNotNull(), F.col("n")).otherwise(0)).alias("most"),
+        )
+        .collect()
+    }
+    stats = tuple(found.get(side, KeyStats(0, 0, False)) for side in (False, True))
+    if stats[0].repeated or stats[1].repeated:
+        return exact_key_stats(left, right, key)
+    return stats
+
+
+def exact_key_stats(left: DataFrame, right: DataFrame, key: str) -> tuple[KeyStats, KeyStats]:
+    """The same by the keys themselves; one row reaches the driver."""
     sides = [
         df.select(
             F.col(key).alias("k"),
@@ -73,6 +110,19 @@ def key_stats(left: DataFrame, right: DataFrame, key: str) -> tuple[KeyStats, Ke
     )
 
 
+def broadcast_small(df: DataFrame) -> DataFrame:
+    """``df`` marked for broadcasting if its values, measured now, take 200 MB at most."""
+    texts = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
+    # A row holds 8 bytes a column and as many again for its head; texts and decimals lie behind.
+    fixed = 8 + sum(8 if f.dataType.simpleString() != "string" else 16 for f in df.schema.fields)
+    fixed += 16 * sum(f.dataType.simpleString().startswith("decimal") for f in df.schema.fields)
+    size = F.lit(fixed).cast("bigint")
+    for c in texts:
+        size = size + F.coalesce(F.octet_length(c), F.lit(0))
+    taken = df.agg(F.sum(size)).first()[0] or 0
+    return F.broadcast(df) if taken <= BROADCAST_BYTES else df
+
+
 @dataclass(frozen=True)
 class Split:
     """Both sides cut into keys unique on each side, and the rest (if any)."""
@@ -130,13 +180,53 @@ def null_salt(key: str) -> Column:
     )
 
 
+def _wide(df: DataFrame, key: str) -> list[str]:
+    """Whole numbers too wide for 8 bytes, the key aside."""
+    return [
+        f.name
+        for f in df.schema.fields
+        if isinstance(f.dataType, DecimalType)
+        and f.dataType.precision > 18
+        and f.dataType.scale == 0
+        and f.name != key
+    ]
+
+
+def _narrow(df: DataFrame, key: str) -> list[Column]:
+    """Columns as they are shuffled: a wide number as a bigint, itself only where it does not
+    fit, and texts last, so that what has a fixed place keeps it and compresses."""
+    wide = _wide(df, key)
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    whole = [F.col(c).try_cast("bigint") for c in wide]
+    return [
+        *[F.col(c) for c in df.columns if c not in (*wide, *texts)],
+        *[value.alias(f"{c}_8") for c, value in zip(wide, whole)],
+        *[F.when(value.isNull(), F.col(c)).alias(c) for c, value in zip(wide, whole)],
+        *[F.col(c) for c in texts],
+    ]
+
+
+def _row(df: DataFrame, key: str, side: str) -> Column:
+    wide = _wide(df, key)
+    return F.struct(
+        *[
+            F.coalesce(F.col(f"{side}.{f.name}_8").cast(f.dataType), F.col(f"{side}.{f.name}"))
+            .alias(f.name)
+            if f.name in wide
+            else F.col(f"{side}.{f.name}")
+            for f in df.schema.fields
+        ],
+        F.col(f"{side}._here"),
+    ).alias(side)
+
+
 def outer_on_key(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Full outer join, rows aliased ``l`` and ``r`` with presence in ``_here``."""
+    """Full outer join, rows as structs ``l`` and ``r`` with presence in ``_here``."""
     marked = F.lit(True).alias("_here")
-    a = left.select("*", null_salt(key).alias("_salt"), marked).alias("l")
-    b = right.select("*", null_salt(key).alias("_salt"), marked).alias("r")
+    a = left.select(null_salt(key).alias("_salt"), marked, *_narrow(left, key)).alias("l")
+    b = right.select(null_salt(key).alias("_salt"), marked, *_narrow(right, key)).alias("r")
     on = (F.col(f"l.{key}") == F.col(f"r.{key}")) & (F.col("l._salt") == F.col("r._salt"))
-    return a.join(b, on, "full_outer")
+    return a.join(b, on, "full_outer").select(_row(left, key, "l"), _row(right, key, "r"))
 
 
 IN_LEFT, IN_RIGHT = "l._here", "r._here"

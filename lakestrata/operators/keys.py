@@ -36,7 +36,8 @@ def number_rows(df: DataFrame, name: str, start: int = 0) -> DataFrame:
     so that reading the keys is a projection.  A rerun task reads the written place, so
     keys cannot change under retries.
     """
-    placed = materialize(df.withColumn("_place", F.monotonically_increasing_id()))
+    placed = df.withColumn("_place", F.monotonically_increasing_id())
+    placed = materialize(placed, compression="zstd")
     part = F.shiftright("_place", ROW_BITS).cast("int")
     within = F.col("_place").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
     sizes = dict(placed.groupBy(part).agg(F.count(F.lit(1))).collect())
@@ -62,7 +63,7 @@ def assign_keys(
     """
     if order_by:
         if COPY not in df.columns:
-            df = materialize(with_place(df))
+            df = materialize(with_place(df), compression="zstd")
         order = [*order_by, COPY]
         df = df.repartitionByRange(*order).sortWithinPartitions(*order)
     return number_rows(df.drop(COPY), name, start)

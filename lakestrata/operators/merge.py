@@ -136,16 +136,22 @@ def merge(
         ],
         F.when(hit, UPDATE).when(gone, DELETE).otherwise(KEEP).alias(OP),
     )
-    fresh = without_members(s, t, key).select(
+    fresh = all_new(target, without_members(s, t, key), defaults)
+    return out.unionByName(kept).unionByName(fresh)
+
+
+def all_new(target: DataFrame, source: DataFrame, defaults: Mapping[str, Column]) -> DataFrame:
+    """Every source row as an inserted row of ``target``: what ``merge`` makes of keys that
+    ``target`` lacks, hence of all rows if it is empty."""
+    return source.select(
         *[
-            (F.col(c) if c in s.columns else defaults.get(c, F.lit(None)))
-            .cast(types[c])
-            .alias(c)
-            for c in columns
+            (F.col(f.name) if f.name in source.columns else defaults.get(f.name, F.lit(None)))
+            .cast(f.dataType)
+            .alias(f.name)
+            for f in target.schema.fields
         ],
         F.lit(INSERT).alias(OP),
     )
-    return out.unionByName(kept).unionByName(fresh)
 
 
 def _value(item: str | Column) -> Column:

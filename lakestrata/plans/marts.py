@@ -2,25 +2,39 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.functions.scalar import duration_text, month_start
+from lakestrata.operators.keyed import broadcast_small
 from lakestrata.operators.scd2 import current_rows
 
 
-def _star(fact: DataFrame, artists: DataFrame, albums: DataFrame) -> DataFrame:
-    """Valid facts with their current artist and album.
+ARTIST = ("artist_name", "external_url")
+ALBUM = ("album_name", "album_release_date", "album_total_tracks", "release_year", "album_url")
 
-    No join hints: Spark broadcasts a dimension it measures as small, else it
-    shuffles, and adaptive execution splits a hot artist or album.
+
+def _star(
+    fact: DataFrame,
+    artists: DataFrame,
+    albums: DataFrame,
+    of_artist: Sequence[str] = ARTIST,
+    of_album: Sequence[str] = ALBUM,
+) -> DataFrame:
+    """Valid facts with these values of their current artist and album.
+
+    A dimension measured to be small is broadcast; else Spark shuffles, and adaptive
+    execution splits a hot artist or album.
     """
+    artists = current_rows(artists).select("artist_sk", *of_artist)
+    albums = current_rows(albums).select("album_sk", *of_album)
     return (
         fact.where(F.col("is_valid"))
-        .join(current_rows(artists), "artist_sk")
-        .join(current_rows(albums), "album_sk")
+        .join(broadcast_small(artists), "artist_sk")
+        .join(broadcast_small(albums), "album_sk")
     )
 
 
@@ -49,7 +63,9 @@ def artist_summary(fact: DataFrame, artists: DataFrame, albums: DataFrame) -> Da
     grouped by the counted value before the artist, so a hot artist is spread.
     """
     return (
-        _star(fact, artists, albums)
+        _star(
+            fact, artists, albums, ("artist_name",), ("album_release_date", "album_total_tracks")
+        )
         .groupBy("artist_name")
         .agg(
             F.count_distinct("song_id").alias("total_songs"),

@@ -96,13 +96,17 @@ def working_tables(spark: SparkSession, folder: str | None = None) -> Iterator[N
 
 
 def materialize(
-    df: DataFrame, partition_by: str | None = None, path: str | None = None
+    df: DataFrame,
+    partition_by: str | None = None,
+    path: str | None = None,
+    compression: str = "snappy",
 ) -> DataFrame:
     """Write ``df`` once to a working table and read it back.
 
     Used where one expensive result feeds several later plans, or where row
     numbers must not change when a task is run again.  Unlike a cache it does not
-    die with an executor.  ``path`` puts it where the caller wants to keep it.
+    die with an executor.  ``path`` puts it where the caller wants to keep it; without it, the
+    files are compressed by ``compression``, else as the session says.
     """
     spark = df.sparkSession
     temporary = path is None
@@ -112,7 +116,7 @@ def materialize(
             _open.get()[-1].append(path)
     writer = df.write.mode("errorifexists")
     if temporary:
-        writer = writer.option("compression", "snappy")
+        writer = writer.option("compression", compression)
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)

@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 from lakestrata.config import Dimension, Fact
 from lakestrata.functions import scalar
-from lakestrata.operators import checks, dedupe, fact, keys, merge, scd2, sets
+from lakestrata.functions.quality import valid_rows
+from lakestrata.operators import checks, dedupe, fact, keyed, keys, merge, scd2, sets
 from lakestrata.operators.keyed import DuplicateKeyError
 from lakestrata.plans.music import ALBUMS, SONGS
 from lakestrata.plans.staging import stage_delta, stage_full
@@ -589,3 +590,81 @@ def test_scd2_two_staged_rows_one_of_them_new(spark):
     got = sorted((r["a"], r["is_current"]) for r in after.collect())
     assert got == [("x", False), ("x", True), ("y", True)]
     assert checks.duplicates(scd2.current_rows(after), "k").count() == 1
+
+
+def test_first_load_into_an_empty_table_moves_no_rows(spark):
+    """All rows are new: nothing to count by key, to join or to refuse, repeated keys included."""
+    rows = [("a", "x", None, "VALID"), ("a", "y", "1", "VALID"), (None, "z", "2", "VALID")]
+    staged = spark.createDataFrame([*rows, ("b", "x", "3", "BAD")], STAGED).withColumn(
+        "_load_timestamp", F.lit(OLD)
+    )
+    empty = spark.createDataFrame([], FACT)
+    changes = fact.initial_changes(empty, staged, {}, SONG, CLOCK)
+    assert "Join" not in plan(changes) and "Exchange" not in plan(changes)
+    got = changes.select("sk", "k", "a", "b", "is_valid", "_op").collect()
+    assert Counter(map(tuple, got)) == Counter(
+        (None, k, a, b, True, merge.INSERT) for k, a, b, _ in rows
+    )
+    table = fact.fact_initial(empty, staged, {}, SONG, CLOCK, order_by=["k"]).table
+    assert sorted(r["sk"] for r in table.collect()) == [1, 2, 3]
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_valid_rows_test_parsed_values_not_texts(spark):
+    """The test stays above the parsing, so that no text is parsed for it a second time."""
+    raw = spark.range(4).selectExpr("cast(id as string) t")
+    staged = raw.withColumn("n", F.regexp_extract("t", "(.)", 1)).withColumn(
+        "data_quality_flag", F.when(F.col("n") == "2", "BAD").otherwise("VALID")
+    )
+    kept = valid_rows(staged).select("n")
+    assert sorted(r["n"] for r in kept.collect()) == ["0", "1", "3"]
+    tests = [line for line in plan(kept).splitlines() if "Filter" in line]
+    assert tests and not any("regexp_extract" in line for line in tests)
+
+
+def test_key_stats_by_hash(spark):
+    """Hashes are shuffled, not keys; what they cannot settle is counted by the keys."""
+    left = spark.createDataFrame([("a",), ("b",), (None,), (None,)], "k string")
+    right = spark.createDataFrame([("a",), ("c",), ("c",)], "k string")
+    unique = right.distinct()
+    assert keyed.key_stats(left, unique, "k") == (
+        keyed.KeyStats(4, 2, False),
+        keyed.KeyStats(2, 0, False),
+    )
+    assert keyed.key_stats(left, right, "k") == keyed.exact_key_stats(left, right, "k")
+    assert keyed.key_stats(left.limit(0), right.limit(0), "k")[0] == keyed.KeyStats(0, 0, False)
+    halves = spark.createDataFrame([(0.0,), (-0.0,)], "k double")
+    assert keyed.key_stats(halves, halves, "k")[0].repeated
+
+
+def test_wide_numbers_survive_the_outer_join(spark):
+    """They are shuffled as 8 bytes where they fit, and come back as they were."""
+    values = [None, "0", "-7", str(2**63 - 1), str(-(2**63)), str(2**63), "9" * 38, "-" + "9" * 38]
+    left = spark.createDataFrame([(f"k{i}", v) for i, v in enumerate(values)], "k string, t string")
+    left = left.select("k", F.col("t").cast("decimal(38,0)").alias("v"), "t")
+    joined = keyed.outer_on_key(left, left.where("k != 'k1'"), "k")
+    got = joined.select("l.k", "l.v", "l.t", F.col("r.v").alias("w"), F.col("r._here").alias("here"))
+    assert got.schema["v"].dataType == left.schema["v"].dataType
+    for row in got.collect():
+        assert row["t"] is None and row["v"] is None or str(row["v"]) == row["t"]
+        assert row["here"] is None if row["k"] == "k1" else row["w"] == row["v"]
+    text = plan(keyed.outer_on_key(left.repartition(2), left.repartition(3), "k"))
+    assert "v_8" in text
+
+
+def test_a_small_dimension_is_broadcast_by_its_measured_size(spark, monkeypatch):
+    facts = spark.range(10).selectExpr("id", "cast(id as string) n")
+    dim = spark.range(10).selectExpr("cast(id as string) nk", "id sk")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = facts.join(keyed.broadcast_small(dim), F.col("n") == F.col("nk"), "left")
+        assert "BroadcastHashJoin" in plan(small)
+        monkeypatch.setattr(keyed, "BROADCAST_BYTES", 100)
+        large = facts.join(keyed.broadcast_small(dim), F.col("n") == F.col("nk"), "left")
+        assert "BroadcastHashJoin" not in plan(large)
+        assert sorted(small.collect()) == sorted(large.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
