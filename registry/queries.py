@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from lakestrata.config import Entity
 from lakestrata.functions import scalar
-from lakestrata.functions.quality import quality_flag, quality_summary
+from lakestrata.functions.quality import quality_flag, quality_summary, valid_rows
 from lakestrata.operators import audit, checks, dedupe, fact, keys, merge, scd2, sets
 from lakestrata.plans import marts
 from lakestrata.plans.music import (
@@ -133,7 +133,7 @@ class Data:
         """The fact table after its first load; one song in five was invalidated."""
         first = fact.fact_initial(
             self.empty("fact_songs"),
-            self.stored(text, SONGS),
+            self.staged(text, SONGS),
             dims,
             FACT_SONGS,
             FIRST,
@@ -142,6 +142,18 @@ class Data:
         ).table
         return first.withColumn("is_valid", F.col("song_duration_ms") % 5 != 0)
 
+    def songs(self, dims: dict[str, DataFrame], text: str = feeds.SONGS_V1_KEYED) -> DataFrame:
+        """The same rows without their surrogate keys, for what does not read these: nothing
+        is written or put in order, and only the columns that are read are shuffled."""
+        first = fact.initial_changes(
+            self.empty("fact_songs"), self.staged(text, SONGS), dims, FACT_SONGS, FIRST
+        )
+        return merge.state(first).drop("song_sk").withColumn("is_valid", F.col("song_duration_ms") % 5 != 0)
+
+    def numbered(self, songs: DataFrame, *columns: str) -> DataFrame:
+        """These columns of ``songs`` with the surrogate keys of the first load."""
+        return keys.assign_keys(songs.select("song_id", *columns), "song_sk", 0, ["song_id"])
+
 
 # -- landing ----------------------------------------------------------------------
 
@@ -477,7 +489,7 @@ def merge_dup_new_keys(data: Data) -> DataFrame:
 @query
 def merge_songs(data: Data) -> DataFrame:
     changes = merge.merge(
-        data.stored(feeds.SONGS_V1, SONGS), data.stored_delta(feeds.SONGS_V2, SONGS), "song_id"
+        data.staged(feeds.SONGS_V1, SONGS), data.delta(feeds.SONGS_V2, SONGS), "song_id"
     )
     return merge.state(changes)
 
@@ -504,8 +516,8 @@ def merge_albums(data: Data) -> DataFrame:
 def merge_snapshot(data: Data) -> DataFrame:
     """Merge and guarded delete in one join."""
     changes = merge.merge(
-        data.stored(feeds.SONGS_V1_KEYED, SONGS),
-        data.stored_delta(feeds.SONGS_V2_KEYED, SONGS),
+        data.staged(feeds.SONGS_V1_KEYED, SONGS),
+        data.delta(feeds.SONGS_V2_KEYED, SONGS),
         "song_id",
         delete_missing=True,
     )
@@ -516,7 +528,7 @@ def merge_snapshot(data: Data) -> DataFrame:
 def merge_null_keys(data: Data) -> DataFrame:
     """Rows without a key after merging a snapshot: old ones stay, new ones come in."""
     changes = merge.merge(
-        data.stored(feeds.SONGS_V1, SONGS), data.stored_delta(feeds.SONGS_V2, SONGS), "song_id"
+        data.staged(feeds.SONGS_V1, SONGS), data.delta(feeds.SONGS_V2, SONGS), "song_id"
     )
     return merge.state(changes).where(F.col("song_id").isNull()).select(
         "song_url", "song_name", "_load_timestamp"
@@ -526,8 +538,8 @@ def merge_null_keys(data: Data) -> DataFrame:
 @query
 def merge_counts(data: Data) -> DataFrame:
     changes = merge.merge(
-        data.stored(feeds.SONGS_V1_KEYED, SONGS),
-        data.stored_delta(feeds.SONGS_V2_KEYED, SONGS),
+        data.staged(feeds.SONGS_V1_KEYED, SONGS),
+        data.delta(feeds.SONGS_V2_KEYED, SONGS),
         "song_id",
         delete_missing=True,
     )
@@ -548,12 +560,12 @@ def merge_duplicates(data: Data) -> DataFrame:
 def merge_fact(data: Data) -> DataFrame:
     dims = data.dims()
     source = fact.lookup_keys(
-        data.stored_delta(feeds.SONGS_V2_KEYED, SONGS).where("data_quality_flag = 'VALID'"),
+        valid_rows(data.delta(feeds.SONGS_V2_KEYED, SONGS)),
         dims,
         FACT_SONGS.lookups,
     ).select("song_id", *FACT_SONGS.attributes)
     changes = merge.merge(
-        data.fact(dims).drop("song_sk"),
+        data.songs(dims),
         source,
         "song_id",
         compare=FACT_SONGS.compare,
@@ -710,11 +722,7 @@ def fact_initial(data: Data) -> DataFrame:
     dims = data.dims()
     return fact.fact_initial(
         data.fact(dims),
-        materialize(
-            stage_full(
-                data.raw(feeds.SONGS_V2_KEYED, SONGS, feeds.NEXT_TS), SONGS, feeds.NEXT_TS
-            )
-        ),
+        stage_full(data.raw(feeds.SONGS_V2_KEYED, SONGS, feeds.NEXT_TS), SONGS, feeds.NEXT_TS),
         dims,
         FACT_SONGS,
         SECOND,
@@ -723,9 +731,7 @@ def fact_initial(data: Data) -> DataFrame:
 
 
 def _fact_cycle(data: Data, new_songs: str) -> DataFrame:
-    dims, staged = side_by_side(
-        data.spark, data.dims, lambda: data.stored_delta(new_songs, SONGS)
-    )
+    dims, staged = data.dims(), data.delta(new_songs, SONGS)
     before, artists, albums = side_by_side(
         data.spark,
         lambda: data.fact(dims),
@@ -755,15 +761,15 @@ def fact_cycle_null_keys(data: Data) -> DataFrame:
 
 @query
 def soft_delete(data: Data) -> DataFrame:
-    songs = data.fact(data.dims())
-    staged = data.stored_delta(feeds.SONGS_V2_KEYED, SONGS)
+    songs = data.numbered(data.songs(data.dims()), "is_valid")
+    staged = data.delta(feeds.SONGS_V2_KEYED, SONGS)
     return fact.soft_delete(songs, staged, "song_id").select("song_sk", "song_id", "is_valid")
 
 
 @query
 def revalidate(data: Data) -> DataFrame:
-    songs = data.fact(data.dims())
-    staged = data.stored_delta(feeds.SONGS_V2_KEYED, SONGS)
+    songs = data.numbered(data.songs(data.dims()), "is_valid")
+    staged = data.delta(feeds.SONGS_V2_KEYED, SONGS)
     return fact.revalidate(songs, staged, "song_id").select("song_sk", "song_id", "is_valid")
 
 
@@ -772,7 +778,7 @@ def revalidate(data: Data) -> DataFrame:
 
 def _star(data: Data):
     dims = data.dims()
-    return data.fact(dims), dims["dim_artists"], dims["dim_albums"]
+    return data.songs(dims), dims["dim_artists"], dims["dim_albums"]
 
 
 @query
@@ -802,7 +808,7 @@ def albums_per_year(data: Data) -> DataFrame:
 
 @query
 def songs_per_month(data: Data) -> DataFrame:
-    return marts.songs_per_month(data.fact(data.dims()))
+    return marts.songs_per_month(data.songs(data.dims()))
 
 
 # -- audit and checks ---------------------------------------------------------------------------
@@ -826,26 +832,35 @@ def audit_log(data: Data) -> DataFrame:
         "stg_artists": (feeds.ARTISTS_V1_KEYED, feeds.ARTISTS_V2_KEYED, ARTISTS),
         "stg_albums": (feeds.ALBUMS_V1_KEYED, feeds.ALBUMS_V2_KEYED, ALBUMS),
     }
-    changes = {
-        table: merge.merge(
-            data.stored(old, entity), data.stored_delta(new, entity), entity.key, delete_missing=True
-        )
-        for table, (old, new, entity) in staging.items()
-    }
-    dims = data.dims()
-    results = {
-        spec.table: scd2.scd2_apply(
-            dims[spec.table], data.stored_delta(text, entity), spec, SECOND, order_by=[spec.key]
-        )
-        for spec, text, entity in (
-            (DIM_ARTISTS, feeds.ARTISTS_V2_KEYED, ARTISTS),
-            (DIM_ALBUMS, feeds.ALBUMS_V2_KEYED, ALBUMS),
-        )
-    }
+    *merged, dims = side_by_side(
+        data.spark,
+        *[
+            lambda old=old, new=new, entity=entity: merge.merge(
+                data.staged(old, entity), data.delta(new, entity), entity.key, delete_missing=True
+            )
+            for old, new, entity in staging.values()
+        ],
+        data.dims,
+    )
+    changes = dict(zip(staging, merged))
+    specs = (
+        (DIM_ARTISTS, feeds.ARTISTS_V2_KEYED, ARTISTS),
+        (DIM_ALBUMS, feeds.ALBUMS_V2_KEYED, ALBUMS),
+    )
+    applied = side_by_side(
+        data.spark,
+        *[
+            lambda spec=spec, text=text, entity=entity: scd2.scd2_apply(
+                dims[spec.table], data.stored_delta(text, entity), spec, SECOND, order_by=[spec.key]
+            )
+            for spec, text, entity in specs
+        ],
+    )
+    results = {spec.table: r for (spec, _, _), r in zip(specs, applied)}
     changes |= {table: r.changes for table, r in results.items()}
     changes["fact_songs"] = fact.fact_changes(
-        data.fact(dims),
-        data.stored_delta(feeds.SONGS_V2_KEYED, SONGS),
+        data.songs(dims),
+        data.delta(feeds.SONGS_V2_KEYED, SONGS),
         {table: r.current for table, r in results.items()},
         FACT_SONGS,
         SECOND,
@@ -895,7 +910,7 @@ def check_duplicates(data: Data) -> DataFrame:
 def check_orphans(data: Data) -> DataFrame:
     dims = data.dims()
     known = dims["dim_artists"].where(F.col("artist_sk") % 10 != 0)
-    return checks.orphans(data.fact(dims), known, "artist_sk").select("song_id", "artist_sk")
+    return checks.orphans(data.songs(dims), known, "artist_sk").select("song_id", "artist_sk")
 
 
 @query
