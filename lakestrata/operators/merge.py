@@ -88,6 +88,7 @@ def merge(
     compare: Sequence[str] | None = None,
     defaults: Mapping[str, Column] | None = None,
     delete_missing: bool = False,
+    whole_deletes: bool = True,
 ) -> DataFrame:
     """Next state of ``target`` plus ``_op`` (what happened to the row).
 
@@ -96,6 +97,8 @@ def merge(
     of these differs (NULL is no difference).  ``defaults``: values of inserted
     columns the source lacks.  ``delete_missing`` marks target rows absent from the
     source as deleted in the same join, under the guards of ``guarded_delete``.
+    ``whole_deletes=False``: deleted rows need hold no more than their key.  Where the source
+    then gives every value that stays, only keys of ``target`` are shuffled.
 
     Rows without a key never match: target ones stay, source ones are inserted
     each time.  Several source rows updating one target row raise
@@ -106,11 +109,24 @@ def merge(
         update = {c: c for c in source.columns if c in columns and c != key}
     defaults = dict(defaults or {})
     split = split_on_duplicates(target, source, key)
-    guard = F.lit(delete_missing and _may_delete(split.right_stats))
+    deleting = delete_missing and _may_delete(split.right_stats)
+    guard = F.lit(deleting)
 
-    joined = outer_on_key(split.left, split.right, key)
+    left = split.left
+    replaced = compare is None and all(
+        isinstance(update.get(c), str) for c in columns if c != key
+    )
+    keys_only = deleting and replaced and not whole_deletes
+    if keys_only:  # a row with a key is updated or deleted; one without stays and meets nothing
+        left = left.where(F.col(key).isNotNull()).select(key)
+    joined = outer_on_key(left, split.right, key)
     types = {f.name: f.dataType for f in target.schema.fields}
-    out = _resolve(joined, types, source.columns, key, update, compare, defaults, guard)
+    out = _resolve(
+        joined, types, left.columns, source.columns, key, update, compare, defaults, guard
+    )
+    if keys_only and split.left_stats.n_null:
+        unkeyed = split.left.where(F.col(key).isNull())
+        out = out.unionByName(unkeyed.withColumn(OP, F.lit(KEEP)))
     if split.dup_right is None:
         return out
 
@@ -165,6 +181,7 @@ def _may_delete(source: KeyStats) -> bool:
 def _resolve(
     joined: DataFrame,
     types: Mapping[str, DataType],
+    target_columns: Sequence[str],
     source_columns: Sequence[str],
     key: str,
     update: Mapping[str, str | Column],
@@ -187,7 +204,9 @@ def _resolve(
         value = F.when(~old, fresh)
         if c in update:
             value = value.when(hit, _value(update[c]))
-        out.append(value.otherwise(F.col(f"l.{c}")).cast(kind).alias(c))
+        if c in target_columns:
+            value = value.otherwise(F.col(f"l.{c}"))
+        out.append(value.cast(kind).alias(c))
     op = (
         F.when(~old, INSERT).when(hit, UPDATE).when(gone, DELETE).otherwise(KEEP).alias(OP)
     )

@@ -255,7 +255,9 @@ class Flow:
         path = self.store.new_path(table)
         watched = audit.Watched(step)
         target = self.store.read(table)
-        changes = merge.merge(target, typed, entity.key, delete_missing=True)
+        changes = merge.merge(
+            target, typed, entity.key, delete_missing=True, whole_deletes=False
+        )
         materialize(watched(changes), partition_by=merge.OP, path=path)
         kept = (merge.INSERT, merge.UPDATE, merge.KEEP)
         self._publish(

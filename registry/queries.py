@@ -520,6 +520,7 @@ def merge_snapshot(data: Data) -> DataFrame:
         data.delta(feeds.SONGS_V2_KEYED, SONGS),
         "song_id",
         delete_missing=True,
+        whole_deletes=False,
     )
     return merge.state(changes)
 

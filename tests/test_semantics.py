@@ -653,3 +653,25 @@ def test_a_small_dimension_is_broadcast_by_its_measured_size(spark, monkeypatch)
         assert sorted(small.collect()) == sorted(large.collect())
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("null_keys", [False, True])
+def test_merge_of_a_snapshot_moves_only_keys_of_the_target(spark, null_keys):
+    """Nothing of a target row with a key is left: its values are not even computed."""
+    t = spark.createDataFrame([("k1", "y"), ("k2", "z")], "k string, a string")
+    if null_keys:
+        t = t.unionByName(spark.createDataFrame([(None, "n")], t.schema))
+    t = t.withColumn("a", F.concat("a", F.sha1("k").substr(1, 0)))
+    s = spark.createDataFrame([("k1", "new"), ("k3", "new")], "k string, a string")
+    call = dict(delete_missing=True, whole_deletes=False)
+    changes = merge.merge(t, s, "k", **call)
+    assert ("sha1" in plan(merge.state(changes))) == null_keys
+    assert sorted(map(tuple, merge.state(changes).fillna("-").collect())) == sorted(
+        map(tuple, merge.state(merge.merge(t, s, "k", delete_missing=True)).fillna("-").collect())
+    )
+    ops = Counter(r["_op"] for r in changes.collect())
+    assert ops == Counter(["update", "insert", "delete", *["keep"] * null_keys])
+    # A source without keys deletes nothing, so target rows stay whole.
+    open_end = s.unionByName(spark.createDataFrame([(None, "new")], s.schema))
+    kept = merge.state(merge.merge(t, open_end, "k", **call)).where("k = 'k2'").collect()
+    assert [r["a"] for r in kept] == ["z"]
