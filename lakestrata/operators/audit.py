@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -174,6 +174,16 @@ def step_counts(changes: DataFrame, step: Step) -> DataFrame:
     return changes.agg(*count_columns(changes.columns, step))
 
 
+def merge_counts(spark: SparkSession, counts: Mapping[str, int]) -> DataFrame:
+    """The three counts of a staging step whose rows per kind of change are known."""
+    values = {
+        "rows_inserted": counts["insert"] + counts["update"],
+        "rows_updated": 0,
+        "rows_deleted": counts["delete"],
+    }
+    return spark.range(1).select(*[F.lit(n).cast("bigint").alias(c) for c, n in values.items()])
+
+
 class Watched:
     """The counts of a step, taken while its changes are written: no job of their own."""
 

@@ -14,6 +14,7 @@ from lakestrata.functions.scalar import changed
 from lakestrata.operators.keyed import (
     IN_LEFT,
     IN_RIGHT,
+    KeyStats,
     broadcast_small,
     duplicate_keys,
     outer_on_key,
@@ -47,7 +48,8 @@ def lookup_keys(
     return staged
 
 
-def _lookups_fan_out(dims: Mapping[str, DataFrame], lookups: Sequence[Lookup]) -> bool:
+def lookups_fan_out(dims: Mapping[str, DataFrame], lookups: Sequence[Lookup]) -> bool:
+    """Whether a dimension has two current rows of one natural key."""
     found = None
     for look in lookups:
         d = current_rows(dims[look.dimension.table])
@@ -82,19 +84,30 @@ def revalidate(fact: DataFrame, staged: DataFrame, key: str) -> DataFrame:
 
 
 def fact_changes(
-    fact: DataFrame, staged: DataFrame, dims: Mapping[str, DataFrame], spec: Fact, clock: Clock
+    fact: DataFrame,
+    staged: DataFrame,
+    dims: Mapping[str, DataFrame],
+    spec: Fact,
+    clock: Clock,
+    stats: tuple[KeyStats, KeyStats] | None = None,
 ) -> DataFrame:
     """Next state of the fact table with ``_op`` and ``_validity`` per row.
 
     Merge, soft delete and re-validation test the same key, so they share one full
     outer join of fact and staging.  Staged rows of any quality take part: they
-    keep a fact row from counting as absent, but only valid ones change it.
+    keep a fact row from counting as absent, but only valid ones change it.  ``stats``: key
+    statistics, if known, of ``staged`` and of a table that holds each key at least as often
+    as ``fact`` does; else they are taken here.
     """
     source = lookup_keys(staged, dims, spec.lookups)
     # A lookup repeats a staged row only where a dimension has two current rows.
-    fans_out = _lookups_fan_out(dims, spec.lookups)
+    fans_out = lookups_fan_out(dims, spec.lookups)
     split = split_on_duplicates(
-        fact, source, spec.key, probe_right=source if fans_out else staged
+        fact,
+        source,
+        spec.key,
+        probe_right=source if fans_out else staged,
+        stats=None if fans_out else stats,
     )
     n, n_null = F.lit(split.right_stats.n), F.lit(split.right_stats.n_null)
 

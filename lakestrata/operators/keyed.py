@@ -80,6 +80,14 @@ def key_stats(left: DataFrame, right: DataFrame, key: str) -> tuple[KeyStats, Ke
 
 def exact_key_stats(left: DataFrame, right: DataFrame, key: str) -> tuple[KeyStats, KeyStats]:
     """The same by the keys themselves; one row reaches the driver."""
+    return count_keys(left, right, key)[1]
+
+
+def count_keys(
+    left: DataFrame, right: DataFrame, key: str, **sums: Column
+) -> tuple[dict[str, int], tuple[KeyStats, KeyStats]]:
+    """``sums`` over the keys ``k`` of both tables, held by ``n0`` and ``n1`` rows (NULL is
+    one of them), and both tables' statistics; one row reaches the driver."""
     sides = [
         df.select(
             F.col(key).alias("k"),
@@ -93,8 +101,9 @@ def exact_key_stats(left: DataFrame, right: DataFrame, key: str) -> tuple[KeySta
     )
     has_key, zero = F.col("k").isNotNull(), F.lit(0).cast("bigint")
     found = per_key.agg(
+        *[F.coalesce(value, zero).alias(name) for name, value in sums.items()],
         *[
-            F.coalesce(value, zero).alias(f"{name}{i}")
+            F.coalesce(value, zero).alias(f"_{name}{i}")
             for i in (0, 1)
             for n in [F.col(f"n{i}")]
             for name, value in (
@@ -102,11 +111,12 @@ def exact_key_stats(left: DataFrame, right: DataFrame, key: str) -> tuple[KeySta
                 ("null", F.sum(F.when(~has_key, n))),
                 ("most", F.max(F.when(has_key, n))),
             )
-        ]
+        ],
     ).first()
-    return tuple(
-        KeyStats(found[f"n{i}"], found[f"null{i}"], found[f"most{i}"] > 1) for i in (0, 1)
+    stats = tuple(
+        KeyStats(found[f"_n{i}"], found[f"_null{i}"], found[f"_most{i}"] > 1) for i in (0, 1)
     )
+    return {name: found[name] for name in sums}, stats
 
 
 def broadcast_small(df: DataFrame) -> DataFrame:
@@ -135,16 +145,21 @@ class Split:
 
 
 def split_on_duplicates(
-    left: DataFrame, right: DataFrame, key: str, probe_right: DataFrame | None = None
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    probe_right: DataFrame | None = None,
+    stats: tuple[KeyStats, KeyStats] | None = None,
 ) -> Split:
     """Separate the keys that are not unique; rows without a key stay in front.
 
     The test runs now (keys only).  Normally there are none, and the inputs come
     back as they are.  ``probe_right`` is a cheaper table known to hold the same
-    duplicate keys as ``right``; the statistics are its.
+    duplicate keys as ``right``; the statistics are its.  ``stats`` that are known already are
+    not taken again; the left ones may be of a table with more rows.
     """
     probe_right = right if probe_right is None else probe_right
-    stats = key_stats(left, probe_right, key)
+    stats = stats or key_stats(left, probe_right, key)
     if not (stats[0].repeated or stats[1].repeated):
         return Split(left, right, *stats)
     dups = (

@@ -14,6 +14,7 @@ from lakestrata.operators.keyed import (
     IN_RIGHT,
     DuplicateKeyError,
     KeyStats,
+    count_keys,
     duplicate_keys,
     outer_on_key,
     split_on_duplicates,
@@ -213,6 +214,36 @@ def _resolve(
     return joined.select(*out, op)
 
 
+def snapshot_counts(
+    target: DataFrame, source: DataFrame, key: str
+) -> tuple[dict[str, int], tuple[KeyStats, KeyStats]]:
+    """Rows per kind of change of ``merge(..., delete_missing=True)`` without ``compare``, and
+    the key statistics of both sides, by one grouped pass over the keys, with no row moved.
+    """
+    n0, n1, has_key = F.col("n0"), F.col("n1"), F.col("k").isNotNull()
+    met = has_key & (n0 > 0) & (n1 > 0)
+    found, stats = count_keys(
+        target,
+        source,
+        key,
+        insert=F.sum(F.when(~has_key | (n0 == 0), n1)),
+        update=F.sum(F.when(met, n0)),
+        missing=F.sum(F.when(has_key & (n1 == 0), n0)),
+        unkeyed=F.sum(F.when(~has_key, n0)),
+        refused=F.count_if(met & (n1 > 1)),
+    )
+    if found["refused"]:
+        raise_on_duplicate_updates(target, source, key)
+    deleting = _may_delete(stats[1])
+    counts = {
+        INSERT: found["insert"],
+        UPDATE: found["update"],
+        DELETE: found["missing"] if deleting else 0,
+        KEEP: found["unkeyed"] + (0 if deleting else found["missing"]),
+    }
+    return counts, stats
+
+
 def state(changes: DataFrame) -> DataFrame:
     """The table after the change."""
     return changes.where(F.col(OP) != DELETE).drop(OP)

@@ -836,14 +836,14 @@ def audit_log(data: Data) -> DataFrame:
     *merged, dims = side_by_side(
         data.spark,
         *[
-            lambda old=old, new=new, entity=entity: merge.merge(
-                data.staged(old, entity), data.delta(new, entity), entity.key, delete_missing=True
+            lambda old=old, new=new, entity=entity: merge.snapshot_counts(
+                data.staged(old, entity), data.delta(new, entity), entity.key
             )
             for old, new, entity in staging.values()
         ],
         data.dims,
     )
-    changes = dict(zip(staging, merged))
+    merged = dict(zip(staging, merged))
     specs = (
         (DIM_ARTISTS, feeds.ARTISTS_V2_KEYED, ARTISTS),
         (DIM_ALBUMS, feeds.ALBUMS_V2_KEYED, ALBUMS),
@@ -858,18 +858,23 @@ def audit_log(data: Data) -> DataFrame:
         ],
     )
     results = {spec.table: r for (spec, _, _), r in zip(specs, applied)}
-    changes |= {table: r.changes for table, r in results.items()}
+    counted = {t: audit.merge_counts(data.spark, counts) for t, (counts, _) in merged.items()}
+    changes = {table: r.changes for table, r in results.items()}
+    # The fact table holds a song as often as staging does, or less, unless a lookup repeats it.
+    repeats = fact.lookups_fan_out(dims, FACT_SONGS.lookups)
     changes["fact_songs"] = fact.fact_changes(
         data.songs(dims),
         data.delta(feeds.SONGS_V2_KEYED, SONGS),
         {table: r.current for table, r in results.items()},
         FACT_SONGS,
         SECOND,
+        stats=None if repeats else merged["stg_songs"][1],
     )
+    counted |= {table: audit.step_counts(rows, STEPS[table]) for table, rows in changes.items()}
     out = None
-    for table, rows in changes.items():
+    for table, counts in counted.items():
         step = STEPS[table]
-        one = audit.step_counts(rows, step).select(
+        one = counts.select(
             F.lit(step.task).alias("task_name"),
             F.lit(step.layer).alias("task_layer"),
             F.lit(step.operation).alias("operation"),

@@ -675,3 +675,38 @@ def test_merge_of_a_snapshot_moves_only_keys_of_the_target(spark, null_keys):
     open_end = s.unionByName(spark.createDataFrame([(None, "new")], s.schema))
     kept = merge.state(merge.merge(t, open_end, "k", **call)).where("k = 'k2'").collect()
     assert [r["a"] for r in kept] == ["z"]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_snapshot_counts_are_those_of_the_merge(spark, seed):
+    rng = random.Random(seed)
+    target = [r[:3] for r in make_rows(rng, 40, 30, seed % 2 == 0)]
+    source = [r[:3] for r in make_rows(rng, 30, 45, seed % 3 == 0)]
+    if seed < 4:
+        source = unique(source) + [("new", "x", "y"), ("new", "x", "y")]
+    schema = "k string, a string, b string"
+    t, s = spark.createDataFrame(target, schema), spark.createDataFrame(source, schema)
+    try:
+        want = Counter(c[-1] for c in literal_merge(target, source, False, True).elements())
+    except DuplicateKeyError:
+        with pytest.raises(DuplicateKeyError):
+            merge.snapshot_counts(t, s, "k")
+        return
+    counts, stats = merge.snapshot_counts(t, s, "k")
+    assert Counter(counts) == want and stats == keyed.exact_key_stats(t, s, "k")
+    none = merge.snapshot_counts(t, s.limit(0), "k")[0]
+    assert none == {"insert": 0, "update": 0, "delete": 0, "keep": len(target)}
+
+
+def test_fact_changes_take_known_key_statistics(spark, monkeypatch):
+    rows = [("a", "x", "1", "VALID"), ("b", "y", "2", "VALID")]
+    staged = spark.createDataFrame(rows, STAGED).withColumn("_load_timestamp", F.lit(OLD))
+    table = fact.fact_initial(
+        spark.createDataFrame([], FACT), staged, {}, SONG, CLOCK, order_by=["k"]
+    ).table
+    later = staged.where("k = 'a'")
+    want = sorted(map(str, fact.fact_changes(table, later, {}, SONG, CLOCK).collect()))
+    known = keyed.key_stats(table, later, "k")
+    monkeypatch.setattr(keyed, "key_stats", None)
+    got = fact.fact_changes(table, later, {}, SONG, CLOCK, stats=known)
+    assert sorted(map(str, got.collect())) == want
