@@ -15,12 +15,14 @@ empty folder of blocks.  Other columns are not carried.
 
 from __future__ import annotations
 
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +42,8 @@ MEMO_BYTES = 96 << 20
 ENTRY_BYTES = 170  # of a remembered word besides its letters and ids
 PLACE_BYTES = 8
 ROWS = 1000
+# Small letters that neither combine nor change when lowered.
+LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
 
 
 class Places(dict):
@@ -73,6 +77,9 @@ class WordIds:
         own = lambda t: self.library.encode(t, add_special_tokens=False).ids
         self.by_word = own("as. b\n c") == own("as") + own(".") + own("b") + own("c")
         self.lowers = own("AZ") == own("az")
+        self.model = self.library.model
+        self.spelling = self._spelling()
+        self.by_letters = re.compile(f"[{LETTERS}]+").fullmatch
         self.base: tuple[int, int, int] | None = None
         self._forget()
 
@@ -106,17 +113,40 @@ class WordIds:
         self.starts[places] = self.used + np.cumsum(lengths) - lengths
         self.used = used
 
-    def _encode(self, words: list[bytes], plain: bool) -> tuple[np.ndarray, np.ndarray]:
-        """The words' ids and how many each has, by one call for many words.  Words of
-        letters a-z are one piece each for the library, others are told apart by offsets."""
-        texts = [w.decode() for w in words]
+    def _spelling(self) -> dict[int, str] | None:
+        """How the library's model sees LETTERS, where words of them reach it whole, letter by
+        letter; None where they do not, tested on all their pairs."""
+        normalizer, cutter = self.library.normalizer, self.library.pre_tokenizer
+
+        def pieces(text: str) -> list[str]:
+            same = normalizer.normalize_str(text) if normalizer else text
+            return [p for p, _ in cutter.pre_tokenize_str(same)] if cutter else [same]
+
+        pairs = "".join(a + b for a in LETTERS for b in LETTERS)
+        if normalizer and normalizer.normalize_str(pairs) != pairs:
+            return None
+        spelt = {ord(c): "".join(pieces(c)) for c in LETTERS}
+        said = self.library.encode(pairs, add_special_tokens=False).ids
+        whole = pieces(pairs) == [pairs.translate(spelt)]
+        if not whole or said != [t.id for t in self.model.tokenize(pairs.translate(spelt))]:
+            return None
+        return {c: text for c, text in spelt.items() if text != chr(c)}
+
+    def _encode_spelt(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words of LETTERS and how many each has: the library's model alone, since
+        its other steps leave them as they are."""
+        if self.spelling:
+            texts = [t if t.isascii() else t.translate(self.spelling) for t in texts]
+        said = list(map(self.model.tokenize, texts))
+        lengths = np.fromiter(map(len, said), np.int64, len(said))
+        ids = map(attrgetter("id"), chain.from_iterable(said))
+        return np.fromiter(ids, np.uint32, int(lengths.sum())), lengths
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The words' ids and how many each has, by one call for many words, told apart by
+        offsets."""
         said = self.library.encode(" ".join(texts), add_special_tokens=False)
         ids = np.array(said.ids, np.uint32)
-        if plain:
-            piece = np.array(said.word_ids, np.int64)
-            cut = np.flatnonzero(np.diff(piece)) + 1
-            if len(cut) == len(words) - 1:
-                return ids, np.diff(np.concatenate([[0], cut, [len(ids)]]))
         at = np.fromiter((a for a, _ in said.offsets), np.int64, len(ids))
         ends = np.cumsum([len(t) + 1 for t in texts])
         return ids, np.diff(np.concatenate([[0], np.searchsorted(at, ends[:-1]), [len(ids)]]))
@@ -125,33 +155,31 @@ class WordIds:
         """Find the ids of the new words.  A letter or digit followed by one stop or comma at
         the end splits there; such words are returned, and need not be remembered."""
         place = self.place
-        first, n_new = place.count - len(place.new), len(place.new)
-        ended, pairs = [], []
-        for word in place.new[:n_new]:
+        ended, split, pairs = [], [], []
+        spelt: tuple[list[int], list[str]] = ([], [])
+        other: tuple[list[int], list[str]] = ([], [])
+        for at, word in enumerate(place.new, place.count - len(place.new)):
             if word[-1:] in (b".", b",") and word[-2:-1].isalnum():
                 ended.append(word)
-                pairs.append((place[word[:-1]], place[word[-1:]]))  # may be new as well
+                split.append(at)
+                # May be new as well, and come up further on.
+                pairs.append((place[word[:-1]], place[word[-1:]]))
+                continue
+            text = word.decode()
+            kind = spelt if self.spelling is not None and self.by_letters(text) else other
+            kind[0].append(at)
+            kind[1].append(text)
         if place.count > len(self.starts):
             self.starts, self.lengths = (
                 np.resize(x, 2 * place.count) for x in (self.starts, self.lengths)
             )
-        split = set(ended)
-        plain: tuple[list[int], list[bytes]] = ([], [])
-        other: tuple[list[int], list[bytes]] = ([], [])
-        for at, word in enumerate(place.new, first):
-            if word not in split:
-                kind = plain if word.isalpha() and word.islower() else other
-                kind[0].append(at)
-                kind[1].append(word)
-        for places, words in (plain, other):
-            for a, b in chunks(words, 1 << 16):
-                self._remember(np.array(places[a:b]), *self._encode(words[a:b], words is plain[1]))
+        for (places, texts), encode in ((spelt, self._encode_spelt), (other, self._encode)):
+            for a, b in chunks(texts, 1 << 16):
+                self._remember(np.array(places[a:b]), *encode(texts[a:b]))
         if ended:
             both = np.array(pairs)
             self._remember(
-                np.array([place[w] for w in ended]),
-                self._gather(both.ravel()),
-                self.lengths[both].sum(axis=1),
+                np.array(split), self._gather(both.ravel()), self.lengths[both].sum(axis=1)
             )
         self.letters += sum(map(len, place.new)) - sum(map(len, ended))
         place.new = []

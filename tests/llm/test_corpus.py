@@ -179,6 +179,31 @@ def test_remembered_words_are_bounded(monkeypatch):
         assert words._held() < 200_000 + 700 * 400
 
 
+def test_words_of_plain_letters_go_to_the_model_alone(tmp_path):
+    """Where the library changes or cuts such words before its model, they do not."""
+    from tokenizers import Tokenizer, normalizers
+
+    path = tokenizer_path("word_bpe_49k.json")
+    texts = ["Über älter ælfþ señor niño, naïve. don't", "café É é Straße ÿ × ÷ ab1 x.y z,"]
+    for strips in (False, True):
+        library = Tokenizer.from_file(path)
+        if strips:
+            library.normalizer = normalizers.Sequence(
+                [library.normalizer, normalizers.NFD(), normalizers.StripAccents()]
+            )
+        own = str(tmp_path / f"{strips}.json")
+        library.save(own)
+        words, sent = tokens.WordIds(own), []
+        whole = words._encode
+        words._encode = lambda some: sent.extend(some) or whole(some)
+        got = words.of([t.encode() for t in texts], 2)
+        assert [list(g) for g in got] == [
+            [*library.encode(t, add_special_tokens=False).ids, 2] for t in texts
+        ]
+        assert (words.spelling is None) == strips
+        assert any(set(t) <= set(tokens.LETTERS) for t in sent) == strips
+
+
 def test_no_documents_give_no_ids(spark, folder):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     coding = tokens.Coding(tokenizer_path("word_bpe_49k.json"), vocab=49_408)
