@@ -15,6 +15,7 @@ empty folder of blocks.  Other columns are not carried.
 
 from __future__ import annotations
 
+import gc
 import re
 import uuid
 import zlib
@@ -201,7 +202,17 @@ class WordIds:
         return (text.lower() if self.lowers and not marked else text).split()
 
     def of(self, texts: list[bytes], end: int | None) -> list[np.ndarray]:
-        """The ids of each text, with the end id behind them."""
+        """The ids of each text, with the end id behind them.  No cycles are made here, so no
+        collector need look through the many words."""
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            return self._of(texts, end)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _of(self, texts: list[bytes], end: int | None) -> list[np.ndarray]:
         if not self.by_word:
             said = self.library.encode_batch([t.decode() for t in texts], add_special_tokens=False)
             last = [] if end is None else [end]
@@ -251,7 +262,7 @@ BLOCKS = (
 
 
 def token_ids(docs: DataFrame, coding: Coding) -> DataFrame:
-    """(doc_id, tie, n_tokens, ids): ids as 32-bit integers, compressed."""
+    """(doc_id, tie, n_tokens, ids): ids as 16- or 32-bit integers (see ``pack``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_ids(coding.tokenizer)
@@ -278,16 +289,14 @@ def token_ids(docs: DataFrame, coding: Coding) -> DataFrame:
 
 
 def pack(ids: np.ndarray) -> bytes:
-    """Ids packed by zstd, behind their number and width."""
+    """Ids behind their width.  Not compressed one by one: files and shuffles of many
+    documents are, and come out no larger."""
     width = 2 if not len(ids) or ids.max() < 1 << 16 else 4
-    raw = ids.astype(f"<u{width}").tobytes()
-    head = len(raw).to_bytes(7, "little") + bytes([width])
-    return head + pa.compress(raw, "zstd", asbytes=True)
+    return bytes([width]) + ids.astype(f"<u{width}").tobytes()
 
 
 def unpack(data: bytes) -> np.ndarray:
-    raw = pa.decompress(data[8:], int.from_bytes(data[:7], "little"), "zstd", asbytes=True)
-    return np.frombuffer(raw, f"<u{data[7]}").astype(np.uint32)
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.uint32)
 
 
 def _counts(ids: DataFrame, vocab: int) -> np.ndarray:
