@@ -164,7 +164,7 @@ class WordIds:
                 ended.append(word)
                 split.append(at)
                 # May be new as well, and come up further on.
-                pairs.append((place[word[:-1]], place[word[-1:]]))
+                pairs += (place[word[:-1]], place[word[-1:]])
                 continue
             text = word.decode()
             kind = spelt if self.spelling is not None and self.by_letters(text) else other
@@ -178,7 +178,7 @@ class WordIds:
             for a, b in chunks(texts, 1 << 16):
                 self._remember(np.array(places[a:b]), *encode(texts[a:b]))
         if ended:
-            both = np.array(pairs)
+            both = np.array(pairs).reshape(-1, 2)
             self._remember(
                 np.array(split), self._gather(both.ravel()), self.lengths[both].sum(axis=1)
             )
@@ -253,7 +253,16 @@ class Coding:
     end_id: int = 2
 
 
-IDS = "doc_id bigint, tie bigint, n_tokens bigint, ids binary"
+IDS = "doc_id bigint, tie bigint, n_tokens bigint, ids binary, counts binary"
+IDS_SCHEMA = pa.schema(
+    {
+        "doc_id": pa.int64(),
+        "tie": pa.int64(),
+        "n_tokens": pa.int64(),
+        "ids": pa.binary(),
+        "counts": pa.binary(),
+    }
+)
 BLOCKS = (
     "part int, part_start bigint, doc_ids array<bigint>, doc_tokens array<bigint>, "
     "n_ids bigint, lanes int, interval int, states binary, mark_places array<bigint>, "
@@ -262,24 +271,29 @@ BLOCKS = (
 
 
 def token_ids(docs: DataFrame, coding: Coding) -> DataFrame:
-    """(doc_id, tie, n_tokens, ids): ids as 16- or 32-bit integers (see ``pack``)."""
+    """(doc_id, tie, n_tokens, ids): ids as 16- or 32-bit integers (see ``pack``).  A row
+    more per task has nothing but ``counts``: how often each id occurs in its documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_ids(coding.tokenizer)
+        counts = np.zeros(coding.vocab, np.int64)
         parts = (batch.slice(a, ROWS) for batch in batches for a in range(0, batch.num_rows, ROWS))
         for batch in parts:
             texts = texts_of(batch)
             for a, b in chunks(texts):
                 ids = words.of(texts[a:b], coding.end_id)
                 packed = [pack(x) for x in ids]
+                counts += np.bincount(np.concatenate(ids), minlength=coding.vocab)
                 yield pa.record_batch(
                     {
                         "doc_id": batch.column("doc_id").slice(a, b - a),
                         "tie": batch.column("tie").slice(a, b - a),
                         "n_tokens": pa.array([len(x) for x in ids], pa.int64()),
                         "ids": pa.array(packed, pa.binary()),
+                        "counts": pa.nulls(b - a, pa.binary()),
                     }
                 )
+        yield pa.RecordBatch.from_pylist([{"counts": counts.tobytes()}], schema=IDS_SCHEMA)
 
     return docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
@@ -305,14 +319,12 @@ def _counts(ids: DataFrame, vocab: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(vocab, np.int64)
         for batch in batches:
-            packed = batch.column("ids").to_pylist()
-            for a, b in chunks(packed):
-                ids = np.concatenate([unpack(x) for x in packed[a:b]])
-                held += np.bincount(ids, minlength=vocab)
+            for counts in batch.column("counts").to_pylist():
+                held += np.frombuffer(counts, np.int64)
         found = np.flatnonzero(held)
         yield pa.record_batch({"token": pa.array(found), "n": pa.array(held[found])})
 
-    counted = ids.select("ids").mapInArrow(run, "token bigint, n bigint")
+    counted = ids.where("counts is not null").select("counts").mapInArrow(run, "token bigint, n bigint")
     out = np.zeros(vocab, np.int64)
     for token, n in counted.groupBy("token").agg(F.sum("n").alias("n")).collect():
         out[token] = n
@@ -378,8 +390,9 @@ def write(docs: DataFrame, path: str, coding: Coding) -> None:
     spark = docs.sparkSession
     # A number per row, written with it, parts many equal rows over several ranges.
     numbered = token_ids(docs, coding).withColumn("nth", F.monotonically_increasing_id())
-    ids = materialize(numbered)
-    table = rans.Table.of_counts(_counts(ids, coding.vocab))
+    written = materialize(numbered)
+    table = rans.Table.of_counts(_counts(written, coding.vocab))
+    ids = written.where("counts is null").drop("counts")
     total = ids.agg(F.sum("n_tokens")).first()[0] or 0
     parts = max(1, -(-total // PARTITION_IDS), spark.sparkContext.defaultParallelism)
     (

@@ -204,6 +204,16 @@ def test_words_of_plain_letters_go_to_the_model_alone(tmp_path):
         assert any(set(t) <= set(tokens.LETTERS) for t in sent) == strips
 
 
+def test_ids_are_counted_as_they_are_made(spark):
+    """A row per task holds its counts; they come to those of the ids of all documents."""
+    docs = spark.createDataFrame([(i, "a b c, a" * (i % 3)) for i in range(9)], "doc_id int, text string")
+    coding = tokens.Coding(tokenizer_path("word_bpe_49k.json"), vocab=49_408)
+    rows = tokens.token_ids(docs.repartition(3), coding)
+    ids = [tokens.unpack(r.ids) for r in rows.where("counts is null").collect()]
+    want = np.bincount(np.concatenate(ids), minlength=coding.vocab)
+    assert len(ids) == 9 and (tokens._counts(rows, coding.vocab) == want).all()
+
+
 def test_no_documents_give_no_ids(spark, folder):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     coding = tokens.Coding(tokenizer_path("word_bpe_49k.json"), vocab=49_408)
