@@ -16,7 +16,6 @@ empty folder of blocks.  Other columns are not carried.
 from __future__ import annotations
 
 import gc
-import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -27,6 +26,7 @@ from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,36 +39,35 @@ from lakestrata.session import materialize, shared_dir
 BLOCK_IDS = 262_144
 LANES = 1024
 PARTITION_IDS = 16_000_000
-MEMO_BYTES = 96 << 20
-ENTRY_BYTES = 170  # of a remembered word besides its letters and ids
-PLACE_BYTES = 8
-ROWS = 1000
+MEMO_BYTES = 48 << 20
+ENTRY_BYTES = 64  # of a remembered word besides its letters and ids, most of it while looked up
+ROWS, TEXT_BYTES = 4000, 8 << 20  # looked up at once
 # Small letters that neither combine nor change when lowered.
 LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
 
 
-class Places(dict):
-    """word -> its number; a new word gets the next one and is noted."""
+def as_numpy(array: pa.Array) -> np.ndarray:
+    return array.to_numpy(zero_copy_only=False)
 
-    def __init__(self) -> None:
-        super().__init__()
-        self.count = 0
-        self.new: list[bytes] = []
 
-    def __missing__(self, word: bytes) -> int:
-        at = self[word] = self.count
-        self.count += 1
-        self.new.append(word)
-        return at
+def gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """These stretches of ``flat``, one after the other."""
+    ends = np.cumsum(lengths, dtype=np.int64)
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if max(total, len(flat)) < 1 << 31 else np.int64
+    at = np.arange(total, dtype=kind)
+    at += np.repeat((starts - (ends - lengths)).astype(kind), lengths)
+    return flat[at]
 
 
 class WordIds:
     """Ids of whole texts, looked up by word.
 
     A tokenizer that drops white space joins nothing across it, so a text's ids are those of
-    its words in order.  Words not seen yet are encoded by the library, many in one call;
-    some MEMO_BYTES of them are remembered, then all but the first half are forgotten.  Texts of
-    other tokenizers are encoded whole.
+    its words in order.  Arrow cuts many texts at once and finds their distinct words; those not
+    seen yet are encoded by the library, many in one call; some MEMO_BYTES of them are
+    remembered, then all but the first half are forgotten.  Texts of other tokenizers are
+    encoded whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -80,7 +79,6 @@ class WordIds:
         self.lowers = own("AZ") == own("az")
         self.model = self.library.model
         self.spelling = self._spelling()
-        self.by_letters = re.compile(f"[{LETTERS}]+").fullmatch
         self.base: tuple[int, int, int] | None = None
         self._forget()
 
@@ -88,21 +86,17 @@ class WordIds:
         """All words, but those that came up first, which are mostly the frequent ones."""
         if self.base:
             count, self.used, self.letters = self.base
-            kept = Places()
-            kept.update((w, at) for w, at in self.place.items() if at < count)
-            kept.count = count
-            self.place = kept
+            self.known = pa.concat_arrays([self.known[:count]])
             return
-        self.place = Places()
+        self.known = pa.array([], pa.string())
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
         self.starts = np.zeros(1 << 16, np.int32)
         self.lengths = np.zeros(1 << 16, np.int32)
         self.letters = 0
 
     def _held(self) -> int:
-        """About how many bytes the memory takes; places of words dropped since count too."""
-        entries = self.letters + ENTRY_BYTES * len(self.place)
-        return entries + PLACE_BYTES * self.place.count + 4 * self.used
+        """About how many bytes the memory takes."""
+        return self.letters + ENTRY_BYTES * len(self.known) + 4 * self.used
 
     def _remember(self, places: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
         """The ids of the words of these numbers, one after the other."""
@@ -152,54 +146,59 @@ class WordIds:
         ends = np.cumsum([len(t) + 1 for t in texts])
         return ids, np.diff(np.concatenate([[0], np.searchsorted(at, ends[:-1]), [len(ids)]]))
 
-    def _learn(self) -> list[bytes]:
-        """Find the ids of the new words.  A letter or digit followed by one stop or comma at
-        the end splits there; such words are returned, and need not be remembered."""
-        place = self.place
-        ended, split, pairs = [], [], []
-        spelt: tuple[list[int], list[str]] = ([], [])
-        other: tuple[list[int], list[str]] = ([], [])
-        for at, word in enumerate(place.new, place.count - len(place.new)):
-            if word[-1:] in (b".", b",") and word[-2:-1].isalnum():
-                ended.append(word)
-                split.append(at)
-                # May be new as well, and come up further on.
-                pairs += (place[word[:-1]], place[word[-1:]])
-                continue
-            text = word.decode()
-            kind = spelt if self.spelling is not None and self.by_letters(text) else other
-            kind[0].append(at)
-            kind[1].append(text)
-        if place.count > len(self.starts):
+    def _learn(self, new: pa.StringArray) -> None:
+        """Find and remember the ids of new words; their numbers follow those of the others."""
+        before, count = len(self.known), len(self.known) + len(new)
+        if count > len(self.starts):
             self.starts, self.lengths = (
-                np.resize(x, 2 * place.count) for x in (self.starts, self.lengths)
+                np.resize(x, 2 * count) for x in (self.starts, self.lengths)
             )
-        for (places, texts), encode in ((spelt, self._encode_spelt), (other, self._encode)):
+        plain = np.zeros(len(new), bool)
+        if self.spelling is not None:
+            plain = as_numpy(pc.match_substring_regex(new, f"^[{LETTERS}]+$"))
+        for which, encode in ((plain, self._encode_spelt), (~plain, self._encode)):
+            places, texts = before + np.flatnonzero(which), new.filter(pa.array(which)).to_pylist()
             for a, b in chunks(texts, 1 << 16):
-                self._remember(np.array(places[a:b]), *encode(texts[a:b]))
-        if ended:
-            both = np.array(pairs).reshape(-1, 2)
-            self._remember(
-                np.array(split), self._gather(both.ravel()), self.lengths[both].sum(axis=1)
-            )
-        self.letters += sum(map(len, place.new)) - sum(map(len, ended))
-        place.new = []
-        return ended
-
-    def _gather(self, found: np.ndarray) -> np.ndarray:
-        """The ids of the words of these numbers, one after the other."""
-        lengths = self.lengths[found]
-        ends = np.cumsum(lengths, dtype=np.int64)
-        total = int(ends[-1]) if len(ends) else 0
-        return self.flat[
-            np.arange(total) + np.repeat(self.starts[found] - (ends - lengths), lengths)
-        ]
-
-    def _words(self, text: bytes) -> list[bytes]:
+                self._remember(places[a:b], *encode(texts[a:b]))
+        self.letters += pc.sum(pc.binary_length(new)).as_py() or 0
+        self.known = pa.concat_arrays([self.known, new])
+
+    def _places(self, words: pa.StringArray) -> np.ndarray:
+        """The numbers of different words."""
+        found = pc.index_in(words, value_set=self.known)
+        places = as_numpy(found.fill_null(-1))
+        if found.null_count:
+            fresh = places < 0
+            places = places.copy()
+            places[fresh] = len(self.known) + np.arange(found.null_count)
+            self._learn(words.filter(pa.array(fresh)))
+        return places
+
+    def _word_ids(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of different words, and where each one's start and how many they are.  A letter
+        or digit followed by one stop or comma at the end splits there; the halves are remembered."""
+        split = pc.match_substring_regex(words, "[0-9A-Za-z][.,]$")
+        ended = words.filter(split)
+        halves = [pc.utf8_slice_codeunits(ended, 0, -1), pc.utf8_slice_codeunits(ended, -1)]
+        units = pa.concat_arrays([words.filter(pc.invert(split)), *halves]).dictionary_encode()
+        places = self._places(units.dictionary)[as_numpy(units.indices)]
+        split = as_numpy(split)
+        # Two places a word: its own or its stem's, and its stop's if any.
+        both = np.full((len(words), 2), -1, places.dtype)
+        first, stem, stop = np.split(places, [len(words) - len(ended), len(words)])
+        both[~split, 0], both[split, 0], both[split, 1] = first, stem, stop
+        lengths = self.lengths[both[:, 0]]
+        lengths[split] += self.lengths[stop]
+        held = both.ravel()
+        held = held[held >= 0]
+        ids = gather(self.flat, self.starts[held], self.lengths[held])
+        return ids, np.cumsum(lengths) - lengths, lengths
+
+    def _lowered(self, text: bytes) -> bytes:
         """A-Z are lowered first, as the library would, where no combining mark (bytes CC,
         CD) could join a letter and no special token is spelt out."""
         marked = b"\xcc" in text or b"\xcd" in text or b"<|" in text
-        return (text.lower() if self.lowers and not marked else text).split()
+        return text.lower() if self.lowers and not marked else text
 
     def of(self, texts: list[bytes], end: int | None) -> list[np.ndarray]:
         """The ids of each text, with the end id behind them.  No cycles are made here, so no
@@ -219,17 +218,16 @@ class WordIds:
             return [np.array([*e.ids, *last], np.uint32) for e in said]
         if self._held() > MEMO_BYTES:
             self._forget()
-        split = [self._words(t) for t in texts]
-        n_words = np.cumsum([0, *map(len, split)])
-        found = np.fromiter(
-            map(self.place.__getitem__, chain.from_iterable(split)), np.int64, n_words[-1]
-        )
-        passing = self._learn() if self.place.new else []
-        flat, ends = self._gather(found), np.cumsum(self.lengths[found], dtype=np.int64)
-        for word in passing:
-            del self.place[word]
+        lowered = pa.array([self._lowered(t) for t in texts], pa.binary()).cast(pa.string())
+        split = pc.ascii_split_whitespace(lowered)
+        full = pc.greater(pc.binary_length(split.values), 0)  # white space at an end leaves ""
+        n_words = np.concatenate([[0], np.cumsum(as_numpy(full))])[as_numpy(split.offsets)]
+        words = split.values.filter(full).dictionary_encode()
+        ids, starts, lengths = self._word_ids(words.dictionary)
+        which = as_numpy(words.indices)
+        flat, ends = gather(ids, starts[which], lengths[which]), np.cumsum(lengths[which])
         if not self.base and self._held() > MEMO_BYTES // 2:
-            self.base = self.place.count, self.used, self.letters
+            self.base = len(self.known), self.used, self.letters
         bounds = np.concatenate([[0], ends])[n_words]
         tail = np.zeros(0, np.uint32) if end is None else np.array([end], np.uint32)
         return [
@@ -280,7 +278,7 @@ def token_ids(docs: DataFrame, coding: Coding) -> DataFrame:
         parts = (batch.slice(a, ROWS) for batch in batches for a in range(0, batch.num_rows, ROWS))
         for batch in parts:
             texts = texts_of(batch)
-            for a, b in chunks(texts):
+            for a, b in chunks(texts, TEXT_BYTES):
                 ids = words.of(texts[a:b], coding.end_id)
                 packed = [pack(x) for x in ids]
                 counts += np.bincount(np.concatenate(ids), minlength=coding.vocab)

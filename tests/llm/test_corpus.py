@@ -179,6 +179,24 @@ def test_remembered_words_are_bounded(monkeypatch):
         assert words._held() < 200_000 + 700 * 400
 
 
+def test_distinct_words_are_found_at_once():
+    """Blanks of any kind and place, no words at all; each word is learned once, in one call."""
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path("word_bpe_49k.json")
+    words, library = tokens.WordIds(path), Tokenizer.from_file(path)
+    texts = ["", " \t\n", " a\x0bb\x0c c\r\n", "a. A, a.. ,a é. é, 9. b.", "one", "H\u0331. <|x a.", "日本 語。 a"]
+    calls, learn = [], words._learn
+    words._learn = lambda new: calls.append(new.to_pylist()) or learn(new)
+    for _ in range(2):
+        got = words.of([t.encode() for t in texts * 300], 2)
+        want = [[*library.encode(t, add_special_tokens=False).ids, 2] for t in texts] * 300
+        assert [list(g) for g in got] == want
+    assert len(calls) == 1 and len(calls[0]) == len(set(calls[0])) == len(words.known)
+    assert {"a", ".", ","} <= set(calls[0]) and not {"a.", "A,", "9.", "b."} & set(calls[0])
+    assert [list(g) for g in words.of([], 2)] == []
+
+
 def test_words_of_plain_letters_go_to_the_model_alone(tmp_path):
     """Where the library changes or cuts such words before its model, they do not."""
     from tokenizers import Tokenizer, normalizers
