@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Collection, Mapping, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,6 +58,15 @@ def lookups_fan_out(dims: Mapping[str, DataFrame], lookups: Sequence[Lookup]) ->
     return found is not None and not found.isEmpty()
 
 
+def without_unread(spec: Fact, dims: Mapping[str, DataFrame], read: Collection[str]) -> Fact:
+    """``spec`` without the lookups whose surrogate keys are not ``read``.  One stays where its
+    dimension has two current rows of a natural key, and so repeats rows."""
+    lookups = tuple(k for k in spec.lookups if k.surrogate in read or lookups_fan_out(dims, [k]))
+    gone = {k.surrogate for k in spec.lookups} - {k.surrogate for k in lookups}
+    kept = tuple(a for a in spec.attributes if a not in gone)
+    return replace(spec, lookups=lookups, attributes=kept)
+
+
 def soft_delete(fact: DataFrame, staged: DataFrame, key: str) -> DataFrame:
     """``is_valid`` off for valid rows whose key is NOT IN staging (of any quality)."""
     stats = null_stats(staged, key).scalar()

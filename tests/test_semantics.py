@@ -2,19 +2,21 @@
 
 import random
 from collections import Counter
+from dataclasses import replace
 from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakestrata.config import Dimension, Fact
+from lakestrata.config import Dimension, Fact, Lookup
 from lakestrata.functions import scalar
 from lakestrata.functions.quality import valid_rows
 from lakestrata.operators import checks, dedupe, fact, keyed, keys, merge, scd2, sets
 from lakestrata.operators.keyed import DuplicateKeyError
 from lakestrata.plans.music import ALBUMS, SONGS
 from lakestrata.plans.staging import stage_delta, stage_full
+from registry import queries
 
 CLOCK = scd2.Clock(date(2024, 2, 2), datetime(2024, 2, 2))
 SPEC = Dimension("d", "k", "sk", ("a", "b"), ("a", "b"), ("a",))
@@ -273,6 +275,30 @@ def test_fact_cycle_is_the_literal_statements(spark, seed):
     assert got.select("sk").distinct().count() == got.count()
 
 
+def test_unread_lookups_go_unless_they_repeat_rows(spark):
+    once = [(1, "a", True), (2, "b", True), (3, "b", False), (4, None, True), (5, None, True)]
+    twice = [*once, (6, "a", True)]
+    spec = replace(SONG, lookups=(Lookup(SPEC),), attributes=("sk", "a"))
+    for rows, read, kept in ((once, [], 0), (once, ["sk"], 1), (twice, [], 1), ([], [], 0)):
+        dims = {SPEC.table: spark.createDataFrame(rows, "sk bigint, k string, is_current boolean")}
+        got = fact.without_unread(spec, dims, read)
+        assert len(got.lookups) == kept and got.attributes == (("sk", "a") if kept else ("a",))
+
+
+def test_songs_without_surrogate_keys_join_nothing(spark):
+    """The same songs, also where a dimension holds a natural key twice."""
+    data = queries.Data(spark, "/root/testdata/sf0.001")
+    dims = data.dims()
+    more = dims["dim_albums"].union(dims["dim_albums"].limit(5))
+    for albums, joins in ((dims["dim_albums"], 0), (more, 1)):
+        some = {**dims, "dim_albums": albums}
+        got = data.songs(some, read=())
+        want = data.songs(some).drop("artist_sk", "album_sk")
+        assert got.columns == want.columns
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+        assert got._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter") == joins
+
+
 def test_soft_delete_and_revalidate_alone(spark):
     held = [("k1", "x", "y", True), ("k2", "x", "y", True), ("k3", "x", "y", False)]
     facts = spark.createDataFrame(
