@@ -23,7 +23,7 @@ from lakestrata.operators.keyed import (
 from lakestrata.operators.keys import COPY, assign_keys, highest, with_place
 from lakestrata.operators.merge import INSERT, KEEP, OP, UPDATE, all_new, merge
 from lakestrata.operators.scd2 import Clock, current_rows
-from lakestrata.operators.sets import join_once, mark_members, null_stats
+from lakestrata.operators.sets import distinct_keys, join_once, mark_members
 from lakestrata.session import materialize
 
 VALIDITY = "_validity"
@@ -68,12 +68,14 @@ def without_unread(spec: Fact, dims: Mapping[str, DataFrame], read: Collection[s
 
 
 def soft_delete(fact: DataFrame, staged: DataFrame, key: str) -> DataFrame:
-    """``is_valid`` off for valid rows whose key is NOT IN staging (of any quality)."""
-    stats = null_stats(staged, key).scalar()
-    n, n_null = stats.getField("n"), stats.getField("n_null")
-    absent = F.col("_here").isNull() & (
-        (n == 0) | ((n_null == 0) & F.col(key).isNotNull())
-    )
+    """``is_valid`` off for valid rows whose key is NOT IN staging (of any quality).
+
+    The keys are counted after the shuffle that the join needs as well, so that Spark makes it once.
+    """
+    count = F.count(F.lit(1))
+    n_null = staged.where(F.col(key).isNull()).agg(count).scalar()
+    n_keys = distinct_keys(staged, key, "_member").agg(count).scalar()
+    absent = F.col("_here").isNull() & (n_null == 0) & (F.col(key).isNotNull() | (n_keys == 0))
     live = F.col("is_valid")
     return (
         mark_members(fact, staged, key, "_here")

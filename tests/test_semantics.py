@@ -275,6 +275,16 @@ def test_fact_cycle_is_the_literal_statements(spark, seed):
     assert got.select("sk").distinct().count() == got.count()
 
 
+def test_soft_delete_shuffles_the_keys_once(spark):
+    """Counting the staged keys takes the shuffles that the join makes of them."""
+    rows = [(f"k{i % 40}", i) for i in range(80)]
+    staged = spark.createDataFrame(rows, "k string, n int").groupBy("k").agg(F.max("n").alias("n"))
+    facts = spark.createDataFrame([("k1", True), ("x", True), (None, True)], "k string, is_valid boolean")
+    got = fact.soft_delete(facts, staged.select("k"), "k")
+    assert {r.k: r.is_valid for r in got.collect()} == {"k1": True, "x": False, None: True}
+    assert "ReusedExchange" in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_unread_lookups_go_unless_they_repeat_rows(spark):
     once = [(1, "a", True), (2, "b", True), (3, "b", False), (4, None, True), (5, None, True)]
     twice = [*once, (6, "a", True)]
