@@ -1,17 +1,23 @@
-"""Helpers the operators share: words of a text, chunks of an Arrow batch, tables."""
+"""Helpers the operators share: words of a text, Arrow batches and their memory, tables."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import ctypes
+import sys
+from collections.abc import Callable, Iterator, Sequence
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHUNK_BYTES = 1 << 21
-MEMO_ENTRIES = 500_000
+BATCH_BYTES = 4 << 20
+BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+MEMO_ENTRIES = 200_000
 MEMO_WORD = 64  # longer "words" are not remembered
 
 
@@ -49,6 +55,42 @@ def chunks(texts: Sequence[bytes], limit: int = CHUNK_BYTES) -> Iterator[tuple[i
         yield start, len(texts)
 
 
+def give_back() -> None:
+    """Return to the system what this worker has freed; allocators keep it otherwise, for as long
+    as the worker waits for tasks."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None:
+        trim(0)
+
+
+Run = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def lean(run: Run) -> Run:
+    """``run``, giving freed memory back after each batch it makes and at its end."""
+
+    @wraps(run)
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            for batch in run(batches):
+                yield batch
+                del batch
+                give_back()
+        finally:
+            give_back()
+
+    return held
+
+
+def map_in_arrow(rows: DataFrame, run: Run, schema: T.StructType | str) -> DataFrame:
+    """``rows.mapInArrow(run, schema)`` by batches of about BATCH_BYTES, or one larger row, which an
+    executor holds several times over on both sides; a limit that the session has been given stays."""
+    spark = rows.sparkSession
+    if spark.conf.get(BATCH_LIMIT, None) is None:
+        spark.conf.set(BATCH_LIMIT, str(BATCH_BYTES))
+    return rows.mapInArrow(lean(run), schema)
+
+
 class WordHashes(dict):
     """word (bytes) -> 64-bit hash, remembering up to MEMO_ENTRIES of them."""
 

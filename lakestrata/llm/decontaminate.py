@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakestrata.llm.common import WordHashes, chunks, shingle_hashes, texts_of
+from lakestrata.llm.common import WordHashes, chunks, map_in_arrow, shingle_hashes, texts_of
 from lakestrata.session import materialize
 
 BLOCKS = 4
@@ -291,7 +291,7 @@ def _found_rows(kept: DataFrame, names: list[str], shared) -> DataFrame:
             columns.append(pa.array([g[4] for g in got], pa.float64()))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return kept.mapInArrow(run, schema)
+    return map_in_arrow(kept, run, schema)
 
 
 def _marked_rows(kept: DataFrame, shared) -> DataFrame:
@@ -304,4 +304,4 @@ def _marked_rows(kept: DataFrame, shared) -> DataFrame:
             columns = [*batch.columns, pa.array(leaked)]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return kept.mapInArrow(run, schema)
+    return map_in_arrow(kept, run, schema)

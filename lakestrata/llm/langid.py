@@ -32,13 +32,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakestrata.llm.common import chunks, mix64, texts_of
+from lakestrata.llm.common import MEMO_ENTRIES, chunks, map_in_arrow, mix64, texts_of
 from lakestrata.session import materialize
 
 UNKNOWN = "und"
 BUCKETS = 1 << 13
 GRAMS = (1, 2, 3, 4)
-MEMO_ENTRIES = 500_000
 MEMO_MARGINS = 2_000  # with more of them, words are not remembered
 CLEAN = bytes(
     c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
@@ -295,7 +294,7 @@ def predict(docs: DataFrame, model: Model, *carried: str) -> DataFrame:
                     names=[*names, "lang_pred", "score"],
                 )
 
-    return kept.mapInArrow(run, schema)
+    return map_in_arrow(kept, run, schema)
 
 
 def identify(docs: DataFrame) -> DataFrame:

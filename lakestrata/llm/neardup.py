@@ -32,7 +32,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.llm.common import WordHashes, chunks, mix64, shingle_hashes, signed, texts_of
+from lakestrata.llm.common import (
+    WordHashes,
+    chunks,
+    map_in_arrow,
+    mix64,
+    shingle_hashes,
+    signed,
+    texts_of,
+)
 from lakestrata.llm.graph import components
 from lakestrata.session import materialize
 
@@ -134,9 +142,10 @@ def sign(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROWS) -> Da
                     }
                 )
 
-    return docs.select(
+    kept = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")
-    ).mapInArrow(run, SIGNED)
+    )
+    return map_in_arrow(kept, run, SIGNED)
 
 
 def _sets(texts: DataFrame, size: int) -> DataFrame:
@@ -158,7 +167,7 @@ def _sets(texts: DataFrame, size: int) -> DataFrame:
                     }
                 )
 
-    return texts.mapInArrow(run, "node bigint, shingles array<bigint>")
+    return map_in_arrow(texts, run, "node bigint, shingles array<bigint>")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

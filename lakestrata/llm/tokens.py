@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lakestrata.llm import rans
-from lakestrata.llm.common import chunks, texts_of
+from lakestrata.llm.common import chunks, map_in_arrow, texts_of
 from lakestrata.session import materialize, shared_dir
 
 BLOCK_IDS = 262_144
@@ -41,7 +41,7 @@ LANES = 1024
 PARTITION_IDS = 16_000_000
 MEMO_BYTES = 48 << 20
 ENTRY_BYTES = 64  # of a remembered word besides its letters and ids, most of it while looked up
-ROWS, TEXT_BYTES = 4000, 8 << 20  # looked up at once
+ROWS, TEXT_BYTES = 4000, 4 << 20  # looked up at once
 # Small letters that neither combine nor change when lowered.
 LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
 
@@ -293,11 +293,12 @@ def token_ids(docs: DataFrame, coding: Coding) -> DataFrame:
                 )
         yield pa.RecordBatch.from_pylist([{"counts": counts.tobytes()}], schema=IDS_SCHEMA)
 
-    return docs.select(
+    rows = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.xxhash64("text").alias("tie"),
         F.col("text").cast("string").alias("text"),
-    ).mapInArrow(run, IDS)
+    )
+    return map_in_arrow(rows, run, IDS)
 
 
 def pack(ids: np.ndarray) -> bytes:
@@ -322,7 +323,8 @@ def _counts(ids: DataFrame, vocab: int) -> np.ndarray:
         found = np.flatnonzero(held)
         yield pa.record_batch({"token": pa.array(found), "n": pa.array(held[found])})
 
-    counted = ids.where("counts is not null").select("counts").mapInArrow(run, "token bigint, n bigint")
+    listed = ids.where("counts is not null").select("counts")
+    counted = map_in_arrow(listed, run, "token bigint, n bigint")
     out = np.zeros(vocab, np.int64)
     for token, n in counted.groupBy("token").agg(F.sum("n").alias("n")).collect():
         out[token] = n
@@ -393,10 +395,11 @@ def write(docs: DataFrame, path: str, coding: Coding) -> None:
     ids = written.where("counts is null").drop("counts")
     total = ids.agg(F.sum("n_tokens")).first()[0] or 0
     parts = max(1, -(-total // PARTITION_IDS), spark.sparkContext.defaultParallelism)
+    ordered = ids.repartitionByRange(parts, "doc_id", "tie", "nth").sortWithinPartitions(
+        "doc_id", "tie", "nth"
+    )
     (
-        ids.repartitionByRange(parts, "doc_id", "tie", "nth")
-        .sortWithinPartitions("doc_id", "tie", "nth")
-        .mapInArrow(_encode_blocks(table), BLOCKS)
+        map_in_arrow(ordered, _encode_blocks(table), BLOCKS)
         .write.option("compression", "none")
         .parquet(f"{path}/blocks")
     )
@@ -450,7 +453,7 @@ def read(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
     parts = spark.read.schema("part int, start bigint").parquet(f"{path}/parts")
     columns = ["doc_id", (F.col("start") + F.col("part_at")).alias("start"), "n_tokens"]
     columns += ["ids_crc32", *(["ids"] if with_ids else [])]
-    return blocks.mapInArrow(run, kept).join(parts, "part").select(*columns)
+    return map_in_arrow(blocks, run, kept).join(parts, "part").select(*columns)
 
 
 def write_and_read(docs: DataFrame, coding: Coding) -> DataFrame:

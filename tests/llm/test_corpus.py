@@ -3,12 +3,13 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lakestrata.llm import langid, mixing, neardup, rans, tokens
-from lakestrata.llm.common import tokenizer_path
+from lakestrata.llm import decontaminate, langid, mixing, neardup, rans, tokens
+from lakestrata.llm.common import BATCH_BYTES, BATCH_LIMIT, lean, tokenizer_path
 
 SF = "/root/testdata/sf0.01"
 
@@ -302,3 +303,53 @@ def test_different_texts_of_one_doc_id(spark):
     want = [(1, near), (9, "only one"), (None, near)] + [rows[k] for k in (1, 3, 4, 5)]
     assert sorted(map(str, set(got) - set(pair))) == sorted(map(str, want))
     assert len(got) == len(want) + 1
+
+
+def test_stages_take_batches_of_bounded_bytes(spark):
+    rows = spark.range(9000).repartition(1).selectExpr("id as doc_id", "repeat('abcd ', 400) as text")
+    docs = rows.selectExpr("*", "'en' as lang", "'s' as source", "2000L as n_chars")
+
+    def bytes_of(batches):
+        for batch in batches:
+            yield pa.record_batch({"n": pa.array([batch.num_rows]), "b": pa.array([batch.nbytes])})
+
+    def batches():
+        return docs.mapInArrow(bytes_of, "n bigint, b bigint").collect()
+
+    spark.conf.unset(BATCH_LIMIT)
+    try:
+        for made in (
+            lambda: tokens.token_ids(docs, tokens.Coding("", vocab=1)),
+            lambda: neardup.sign(docs, 5),
+            lambda: langid.predict(docs, langid.fit([], []), "doc_id"),
+            lambda: decontaminate.leaks(docs, docs.limit(1).selectExpr("doc_id as item_id", "text")),
+        ):
+            spark.conf.unset(BATCH_LIMIT)
+            made()
+            got = batches()
+            assert sum(r.n for r in got) == 9000 and max(r.b for r in got) < 1.2 * BATCH_BYTES
+        spark.conf.set(BATCH_LIMIT, "1m")  # as somebody chose
+        neardup.sign(docs, 5)
+        assert spark.conf.get(BATCH_LIMIT) == "1m"
+    finally:
+        spark.conf.unset(BATCH_LIMIT)
+
+
+def own_mb():
+    """Memory of this process, without files."""
+    with open("/proc/self/smaps_rollup") as f:
+        return next(int(line.split()[1]) for line in f if line.startswith("Anonymous:")) / 1024
+
+
+def test_freed_memory_is_given_back():
+    def run(batches):
+        for n in batches:
+            # Small ones, which allocators keep; half of them, freed last, lie between the others.
+            held = [pa.array(range(2000)) for _ in range(n)] + [bytes(20_000) for _ in range(n)]
+            yield len(held)
+            peaks.append(own_mb())
+
+    peaks, before = [], own_mb()
+    assert list(lean(run)([3000, 3000])) == [6000, 6000]
+    assert max(peaks) > before + 80
+    assert own_mb() < before + 30
