@@ -174,6 +174,10 @@ def step_counts(changes: DataFrame, step: Step) -> DataFrame:
     return changes.agg(*count_columns(changes.columns, step))
 
 
+def _one_row(spark: SparkSession, values: Mapping[str, int]) -> DataFrame:
+    return spark.range(1).select(*[F.lit(n).cast("bigint").alias(c) for c, n in values.items()])
+
+
 def merge_counts(spark: SparkSession, counts: Mapping[str, int]) -> DataFrame:
     """The three counts of a staging step whose rows per kind of change are known."""
     values = {
@@ -181,20 +185,23 @@ def merge_counts(spark: SparkSession, counts: Mapping[str, int]) -> DataFrame:
         "rows_updated": 0,
         "rows_deleted": counts["delete"],
     }
-    return spark.range(1).select(*[F.lit(n).cast("bigint").alias(c) for c, n in values.items()])
+    return _one_row(spark, values)
 
 
 class Watched:
-    """The counts of a step, taken while its changes are written: no job of their own."""
+    """The counts of a step, taken while its changes are written, in blocks or at once: no job
+    of their own."""
 
     def __init__(self, step: Step) -> None:
-        self.step, self._seen = step, Observation()
+        self.step, self._seen = step, []
 
     def __call__(self, changes: DataFrame) -> DataFrame:
-        return changes.observe(self._seen, *count_columns(changes.columns, self.step))
+        self._seen.append(Observation())
+        return changes.observe(self._seen[-1], *count_columns(changes.columns, self.step))
 
     @property
     def counts(self) -> tuple[int, int, int]:
         """Known once the changes have been written."""
-        seen = self._seen.get
-        return tuple(seen[n] for n in ("rows_inserted", "rows_updated", "rows_deleted"))
+        seen = [s.get for s in self._seen]
+        names = ("rows_inserted", "rows_updated", "rows_deleted")
+        return tuple(sum(s[n] for s in seen) for n in names)

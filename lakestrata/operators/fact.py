@@ -17,6 +17,9 @@ from lakestrata.operators.keyed import (
     KeyStats,
     broadcast_small,
     duplicate_keys,
+    in_block,
+    key_blocks,
+    key_stats,
     outer_on_key,
     split_on_duplicates,
 )
@@ -110,16 +113,59 @@ def fact_changes(
     statistics, if known, of ``staged`` and of a table that holds each key at least as often
     as ``fact`` does; else they are taken here.
     """
-    source = lookup_keys(staged, dims, spec.lookups)
-    # A lookup repeats a staged row only where a dimension has two current rows.
-    fans_out = lookups_fan_out(dims, spec.lookups)
-    split = split_on_duplicates(
-        fact,
-        source,
-        spec.key,
-        probe_right=source if fans_out else staged,
-        stats=None if fans_out else stats,
-    )
+    source, fans_out = _looked_up(staged, dims, spec)
+    probe, stats = (source, None) if fans_out else (staged, stats)
+    stats = stats or key_stats(fact, probe, spec.key)
+    return _block_changes(fact, source, probe, spec, clock, stats)
+
+
+def fact_blocks(
+    fact: DataFrame,
+    staged: DataFrame,
+    dims: Mapping[str, DataFrame],
+    spec: Fact,
+    clock: Clock,
+    stats: tuple[KeyStats, KeyStats] | None = None,
+    stored: bool = True,
+) -> list[DataFrame]:
+    """``fact_changes`` of a stored table, as one DataFrame for each block of keys.  If there are
+    several, the looked-up rows are written first; ``fact`` and they are read for each block, so
+    that few rows are shuffled at a time.  Without ``stored``, ``staged`` is no stored table: what
+    is looked up is written before its keys are counted."""
+    source, fans_out = _looked_up(staged, dims, spec)
+    probe, stats = (source, None) if fans_out else (staged, stats)
+    if not (stored or stats):
+        probe = source = materialize(source, compression="zstd")
+    stats = stats or key_stats(fact, probe, spec.key)
+    n = key_blocks(fact, source, spec.key, stats)
+    if n > 1 and (stored or probe is staged):
+        probe = source = materialize(source, compression="zstd")
+    return [
+        _block_changes(
+            *[in_block(df, spec.key, i, n) for df in (fact, source, probe)], spec, clock, stats
+        )
+        for i in range(n)
+    ]
+
+
+def _looked_up(
+    staged: DataFrame, dims: Mapping[str, DataFrame], spec: Fact
+) -> tuple[DataFrame, bool]:
+    """Staged rows with their surrogate keys, and whether that repeats rows, as it does only
+    where a dimension has two current rows."""
+    return lookup_keys(staged, dims, spec.lookups), lookups_fan_out(dims, spec.lookups)
+
+
+def _block_changes(
+    fact: DataFrame,
+    source: DataFrame,
+    probe: DataFrame,
+    spec: Fact,
+    clock: Clock,
+    stats: tuple[KeyStats, KeyStats],
+) -> DataFrame:
+    """The changes among these rows; ``stats`` are of all rows of both tables."""
+    split = split_on_duplicates(fact, source, spec.key, probe_right=probe, stats=stats)
     n, n_null = F.lit(split.right_stats.n), F.lit(split.right_stats.n_null)
 
     here, there = F.col(IN_LEFT).isNotNull(), F.col(IN_RIGHT).isNotNull()
@@ -207,7 +253,7 @@ def differing(changes: DataFrame) -> DataFrame:
 
 
 def key_new_rows(
-    changes: DataFrame,
+    blocks: Sequence[DataFrame],
     spec: Fact,
     columns: Sequence[str],
     start_key: int,
@@ -216,15 +262,15 @@ def key_new_rows(
     kept: bool = True,
     watch: Watch | None = None,
 ) -> FactResult:
-    """Write the changes once, then number only the inserted rows.  Without ``kept`` only rows
-    that differ are written; ``watch`` sees the rows as they are written."""
+    """Write the changes once, block by block, then number only the inserted rows.  Without
+    ``kept`` only rows that differ are written; ``watch`` sees the rows as they are written."""
     if not kept:
-        changes = differing(changes)
+        blocks = [differing(b) for b in blocks]
     if order_by:
-        changes = with_place(changes)
+        blocks = [with_place(b) for b in blocks]
     if watch:
-        changes = watch(changes)
-    changes = materialize(changes, partition_by=OP, path=path, compression="zstd")
+        blocks = [watch(b) for b in blocks]
+    changes = materialize(blocks, partition_by=OP, path=path, compression="zstd")
     fresh = changes.where(F.col(OP) == INSERT).select(
         *[c for c in changes.columns if c in (*columns, COPY) and c != spec.surrogate]
     )
@@ -244,11 +290,12 @@ def fact_apply(
     path: str | None = None,
     kept: bool = True,
     watch: Watch | None = None,
+    stored: bool = True,
 ) -> FactResult:
-    """A cycle of the fact table."""
+    """A cycle of the fact table; ``stored``: whether ``staged`` is a stored table."""
     if start_key is None:
         start_key = highest(fact, spec.surrogate)
-    changes = fact_changes(fact, staged, dims, spec, clock)
+    changes = fact_blocks(fact, staged, dims, spec, clock, stored=stored)
     return key_new_rows(changes, spec, fact.columns, start_key, order_by, path, kept, watch)
 
 
@@ -269,7 +316,7 @@ def fact_initial(
     if start_key is None:
         start_key = highest(fact, spec.surrogate)
     changes = initial_changes(fact, staged, dims, spec, clock, load_time_as_source)
-    return key_new_rows(changes, spec, fact.columns, start_key, order_by, path, kept, watch)
+    return key_new_rows([changes], spec, fact.columns, start_key, order_by, path, kept, watch)
 
 
 def initial_changes(
@@ -286,6 +333,20 @@ def initial_changes(
     ``load_time_as_source=False`` leaves it NULL.  Nothing can match in an empty table, so
     its rows are the lookups' and neither counted by key nor joined.
     """
+    source, options = _first_rows(staged, dims, spec, clock, load_time_as_source)
+    if fact.isEmpty():
+        return all_new(fact, source, options["defaults"])
+    return merge(fact, source, spec.key, **options)
+
+
+def _first_rows(
+    staged: DataFrame,
+    dims: Mapping[str, DataFrame],
+    spec: Fact,
+    clock: Clock,
+    load_time_as_source: bool,
+) -> tuple[DataFrame, dict]:
+    """What a first load merges, and how."""
     source = lookup_keys(valid_rows(staged), dims, spec.lookups)
     label = F.date_format("_load_timestamp", "yyyy-MM-dd HH:mm:ss.SSS")
     source = source.select(
@@ -293,17 +354,11 @@ def initial_changes(
         *spec.attributes,
         (label if load_time_as_source else F.lit(None).cast("string")).alias("_source_file"),
     )
-    defaults = {"is_valid": F.lit(True), "_load_timestamp": clock.now}
-    if fact.isEmpty():
-        return all_new(fact, source, defaults)
-    return merge(
-        fact,
-        source,
-        spec.key,
-        update={**{c: c for c in spec.initial_update}, "_load_timestamp": clock.now},
-        compare=spec.initial_compare,
-        defaults=defaults,
-    )
+    return source, {
+        "update": {**{c: c for c in spec.initial_update}, "_load_timestamp": clock.now},
+        "compare": spec.initial_compare,
+        "defaults": {"is_valid": F.lit(True), "_load_timestamp": clock.now},
+    }
 
 
 def validity_counts(changes: DataFrame) -> DataFrame:

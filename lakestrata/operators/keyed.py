@@ -11,12 +11,13 @@ make a key hot, and both are taken out of the join here:
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.session import materialize
+from lakestrata.session import materialize, shuffles_freed
 
 
 class DuplicateKeyError(ValueError):
@@ -42,10 +43,11 @@ class KeyStats:
     repeated: bool
 
 
-# Key types whose equal values have equal hashes, and the bytes up to which a
-# measured table is broadcast.
+# Key types whose equal values have equal hashes, the bytes up to which a
+# measured table is broadcast, and the rows of two stored tables that are shuffled at a time.
 HASHED_TYPES = ("string", "bigint", "int", "smallint", "tinyint", "date")
 BROADCAST_BYTES = 200_000_000
+ROWS_AT_ONCE = 150_000_000
 
 
 def key_stats(left: DataFrame, right: DataFrame, key: str) -> tuple[KeyStats, KeyStats]:
@@ -62,16 +64,17 @@ def key_stats(left: DataFrame, right: DataFrame, key: str) -> tuple[KeyStats, Ke
         for i, df in enumerate((left, right))
     ]
     per_hash = sides[0].unionAll(sides[1]).groupBy("right", "h").agg(F.count(F.lit(1)).alias("n"))
-    found = {
-        row["right"]: KeyStats(row["rows"], row["no_key"], row["most"] > 1)
-        for row in per_hash.groupBy("right")
-        .agg(
-            F.sum("n").alias("rows"),
-            F.sum(F.when(F.col("h").isNull(), F.col("n")).otherwise(0)).alias("no_key"),
-            F.max(F.when(F.col("h").isNotNull(), F.col("n")).otherwise(0)).alias("most"),
-        )
-        .collect()
-    }
+    with shuffles_freed(left.sparkSession):
+        found = {
+            row["right"]: KeyStats(row["rows"], row["no_key"], row["most"] > 1)
+            for row in per_hash.groupBy("right")
+            .agg(
+                F.sum("n").alias("rows"),
+                F.sum(F.when(F.col("h").isNull(), F.col("n")).otherwise(0)).alias("no_key"),
+                F.max(F.when(F.col("h").isNotNull(), F.col("n")).otherwise(0)).alias("most"),
+            )
+            .collect()
+        }
     stats = tuple(found.get(side, KeyStats(0, 0, False)) for side in (False, True))
     if stats[0].repeated or stats[1].repeated:
         return exact_key_stats(left, right, key)
@@ -100,7 +103,7 @@ def count_keys(
         F.sum("n0").alias("n0"), F.sum("n1").alias("n1")
     )
     has_key, zero = F.col("k").isNotNull(), F.lit(0).cast("bigint")
-    found = per_key.agg(
+    total = per_key.agg(
         *[F.coalesce(value, zero).alias(name) for name, value in sums.items()],
         *[
             F.coalesce(value, zero).alias(f"_{name}{i}")
@@ -112,7 +115,9 @@ def count_keys(
                 ("most", F.max(F.when(has_key, n))),
             )
         ],
-    ).first()
+    )
+    with shuffles_freed(left.sparkSession):
+        found = total.first()
     stats = tuple(
         KeyStats(found[f"_n{i}"], found[f"_null{i}"], found[f"_most{i}"] > 1) for i in (0, 1)
     )
@@ -182,6 +187,22 @@ def split_on_duplicates(
     )
 
 
+def key_blocks(
+    left: DataFrame, right: DataFrame, key: str, stats: tuple[KeyStats, KeyStats]
+) -> int:
+    """Into how many blocks two tables with these statistics are cut by their keys, so that at
+    most some ``ROWS_AT_ONCE`` rows of them are shuffled at a time."""
+    kinds = {df.schema[key].dataType.simpleString() for df in (left, right)}
+    if len(kinds) > 1 or not kinds <= set(HASHED_TYPES):
+        return 1
+    return max(1, math.ceil((stats[0].n + stats[1].n) / ROWS_AT_ONCE))
+
+
+def in_block(df: DataFrame, key: str, i: int, n: int) -> DataFrame:
+    """Rows of the ``i``-th of ``n`` blocks of keys; those without a key are in one of them."""
+    return df if n == 1 else df.where(F.pmod(F.xxhash64(key), F.lit(n)) == i)
+
+
 def null_salt(key: str) -> Column:
     """0 for rows with a key; rows without one get their input partition's number.
 

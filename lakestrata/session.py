@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from contextvars import ContextVar, copy_context
+from threading import Lock
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -95,8 +97,33 @@ def working_tables(spark: SparkSession, folder: str | None = None) -> Iterator[N
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_freeing: Counter[int] = Counter()  # by session
+_freeing_lock = Lock()
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of DataFrames made and run inside are deleted when their query ends, unless
+    the session was told otherwise; else they stay until the driver's memory is collected.  Who
+    runs such a DataFrame once more makes them again."""
+    with _freeing_lock:
+        ours = _freeing[id(spark)] > 0 or spark.conf.get(FREE_SHUFFLES, None) is None
+        if ours:
+            _freeing[id(spark)] += 1
+            spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        with _freeing_lock:
+            if ours:
+                _freeing[id(spark)] -= 1
+                if not _freeing[id(spark)]:
+                    spark.conf.unset(FREE_SHUFFLES)
+
+
 def materialize(
-    df: DataFrame,
+    df: DataFrame | Sequence[DataFrame],
     partition_by: str | None = None,
     path: str | None = None,
     compression: str = "snappy",
@@ -106,20 +133,24 @@ def materialize(
     Used where one expensive result feeds several later plans, or where row
     numbers must not change when a task is run again.  Unlike a cache it does not
     die with an executor.  ``path`` puts it where the caller wants to keep it; without it, the
-    files are compressed by ``compression``, else as the session says.
+    files are compressed by ``compression``, else as the session says.  Several tables of one
+    schema are written one after the other, into one; the shuffle files of each go with its end.
     """
-    spark = df.sparkSession
+    blocks = [df] if isinstance(df, DataFrame) else df
+    df, spark = blocks[0], blocks[0].sparkSession
     temporary = path is None
     if temporary:
         path = f"{shared_dir(spark)}/work/{uuid.uuid4().hex}"
         if _open.get():
             _open.get()[-1].append(path)
-    writer = df.write.mode("errorifexists")
-    if temporary:
-        writer = writer.option("compression", compression)
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    for i, block in enumerate(blocks):
+        writer = block.write.mode("append" if i else "errorifexists")
+        if temporary:
+            writer = writer.option("compression", compression)
+        if partition_by:
+            writer = writer.partitionBy(partition_by)
+        with shuffles_freed(spark):
+            writer.parquet(path)
     names = df.columns
     return spark.read.schema(df.schema).parquet(path).select(*names)
 

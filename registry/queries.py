@@ -757,7 +757,7 @@ def _fact_cycle(data: Data, new_songs: str) -> DataFrame:
     )
     after = {"dim_artists": artists, "dim_albums": albums}
     return fact.fact_apply(
-        before, staged, after, FACT_SONGS, SECOND, order_by=["song_id"]
+        before, staged, after, FACT_SONGS, SECOND, order_by=["song_id"], stored=False
     ).table
 
 

@@ -3,6 +3,7 @@
 import pytest
 
 from check_oracle import compare
+from lakestrata.operators import keyed
 from registry.oracle import ORACLE
 from registry.queries import QUERIES
 
@@ -16,3 +17,9 @@ def test_every_query_has_a_twin():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, name):
     assert compare(spark, SF, name) is None
+
+
+@pytest.mark.parametrize("name", ["fact_cycle", "fact_cycle_null_keys"])
+def test_query_in_blocks_of_keys(spark, name, monkeypatch):
+    monkeypatch.setattr(keyed, "ROWS_AT_ONCE", 5000)
+    assert compare(spark, SF, name) is None

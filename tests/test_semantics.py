@@ -1,6 +1,7 @@
 """Operators against a literal, row-by-row reading of the statements they stand for."""
 
 import random
+import time
 from collections import Counter
 from dataclasses import replace
 from datetime import date, datetime, timedelta
@@ -9,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakestrata import session
 from lakestrata.config import Dimension, Fact, Lookup
 from lakestrata.functions import scalar
 from lakestrata.functions.quality import valid_rows
@@ -746,3 +748,55 @@ def test_fact_changes_take_known_key_statistics(spark, monkeypatch):
     monkeypatch.setattr(keyed, "key_stats", None)
     got = fact.fact_changes(table, later, {}, SONG, CLOCK, stats=known)
     assert sorted(map(str, got.collect())) == want
+
+
+@pytest.fixture
+def few_rows_at_once(monkeypatch):
+    monkeypatch.setattr(keyed, "ROWS_AT_ONCE", 20)
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_fact_cycle_in_blocks_is_the_literal_statements(spark, seed, few_rows_at_once):
+    """Each block of keys by itself, with the key statistics of all."""
+    test_fact_cycle_is_the_literal_statements(spark, seed)
+
+
+def test_fact_cycle_shuffles_a_block_of_keys_at_a_time(spark, few_rows_at_once):
+    """Fact rows and staged rows in blocks that hold each row once, written one by one."""
+    table = [(i, f"k{i}", "x", None, OLD, True) for i in range(40)]
+    facts = spark.createDataFrame([*table, (99, None, "x", None, OLD, True)], FACT)
+    staged = spark.createDataFrame([(f"k{i}", "y", None, "VALID") for i in range(20, 60)], STAGED)
+    for stored in (True, False):
+        blocks = fact.fact_blocks(facts, staged, {}, SONG, CLOCK, stored=stored)
+        assert len(blocks) == 5
+        assert all(0 < b.count() < 30 for b in blocks)
+        got = fact.fact_apply(facts, staged, {}, SONG, CLOCK, order_by=["k"], stored=stored)
+        new = {r.k: r.sk for r in got.new_rows.collect()}
+        assert new == {f"k{i}": 60 + i for i in range(40, 60)}
+        assert got.table.count() == 61 and got.table.where("is_valid").count() == 41
+
+
+def shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    names = [p.rpartition("/")[2] for p in disk.getAllFiles().mkString("\n").splitlines()]
+    return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+
+def test_shuffle_files_go_with_the_query_that_made_them(spark):
+    moved = spark.range(1000).repartition(3).selectExpr("cast(id as string) k")
+    before = shuffle_files(spark)
+    kept = session.materialize([moved, moved.where("k > '5'")])
+    keyed.key_stats(kept, moved, "k")
+    until = time.time() + 20  # they are deleted in the background
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    assert kept.count() == moved.count() + moved.where("k > '5'").count()
+    assert spark.conf.get(session.FREE_SHUFFLES, None) is None
+    spark.conf.set(session.FREE_SHUFFLES, "false")  # as somebody chose
+    try:
+        session.materialize(moved)
+        assert shuffle_files(spark) - before
+        assert spark.conf.get(session.FREE_SHUFFLES) == "false"
+    finally:
+        spark.conf.unset(session.FREE_SHUFFLES)
