@@ -24,7 +24,7 @@ from lakestrata.operators.keyed import (
     split_on_duplicates,
 )
 from lakestrata.operators.keys import COPY, assign_keys, highest, with_place
-from lakestrata.operators.merge import INSERT, KEEP, OP, UPDATE, all_new, merge
+from lakestrata.operators.merge import INSERT, KEEP, OP, UPDATE, all_new, merge, merge_blocks
 from lakestrata.operators.scd2 import Clock, current_rows
 from lakestrata.operators.sets import distinct_keys, join_once, mark_members
 from lakestrata.session import materialize
@@ -315,8 +315,8 @@ def fact_initial(
     """First load: only ``initial_compare`` decides an update."""
     if start_key is None:
         start_key = highest(fact, spec.surrogate)
-    changes = initial_changes(fact, staged, dims, spec, clock, load_time_as_source)
-    return key_new_rows([changes], spec, fact.columns, start_key, order_by, path, kept, watch)
+    changes = initial_blocks(fact, staged, dims, spec, clock, load_time_as_source)
+    return key_new_rows(changes, spec, fact.columns, start_key, order_by, path, kept, watch)
 
 
 def initial_changes(
@@ -339,6 +339,22 @@ def initial_changes(
     return merge(fact, source, spec.key, **options)
 
 
+def initial_blocks(
+    fact: DataFrame,
+    staged: DataFrame,
+    dims: Mapping[str, DataFrame],
+    spec: Fact,
+    clock: Clock,
+    load_time_as_source: bool = True,
+) -> list[DataFrame]:
+    """``initial_changes`` of a stored table, as one DataFrame for each block of keys; the
+    looked-up rows are written first if any can match."""
+    source, options = _first_rows(staged, dims, spec, clock, load_time_as_source)
+    if fact.isEmpty():
+        return [all_new(fact, source, options["defaults"])]
+    return merge_blocks(fact, materialize(source, compression="zstd"), spec.key, **options)
+
+
 def _first_rows(
     staged: DataFrame,
     dims: Mapping[str, DataFrame],

@@ -16,6 +16,9 @@ from lakestrata.operators.keyed import (
     KeyStats,
     count_keys,
     duplicate_keys,
+    in_block,
+    key_blocks,
+    key_stats,
     outer_on_key,
     split_on_duplicates,
 )
@@ -90,6 +93,7 @@ def merge(
     defaults: Mapping[str, Column] | None = None,
     delete_missing: bool = False,
     whole_deletes: bool = True,
+    stats: tuple[KeyStats, KeyStats] | None = None,
 ) -> DataFrame:
     """Next state of ``target`` plus ``_op`` (what happened to the row).
 
@@ -101,6 +105,8 @@ def merge(
     ``whole_deletes=False``: deleted rows need hold no more than their key.  Where the source
     then gives every value that stays, only keys of ``target`` are shuffled.
 
+    ``stats``: key statistics of both sides, or of tables these are blocks of, if known.
+
     Rows without a key never match: target ones stay, source ones are inserted
     each time.  Several source rows updating one target row raise
     ``DuplicateKeyError``; several rows of a new key are all inserted.
@@ -109,7 +115,7 @@ def merge(
     if update is None:
         update = {c: c for c in source.columns if c in columns and c != key}
     defaults = dict(defaults or {})
-    split = split_on_duplicates(target, source, key)
+    split = split_on_duplicates(target, source, key, stats=stats)
     deleting = delete_missing and _may_delete(split.right_stats)
     guard = F.lit(deleting)
 
@@ -157,6 +163,17 @@ def merge(
     return out.unionByName(kept).unionByName(fresh)
 
 
+def merge_blocks(target: DataFrame, source: DataFrame, key: str, **options) -> list[DataFrame]:
+    """``merge`` of two stored tables, as one DataFrame for each block of keys: they are read as
+    often as there are blocks, so that few rows are shuffled at a time."""
+    stats = key_stats(target, source, key)
+    n = key_blocks(target, source, key, stats)
+    return [
+        merge(in_block(target, key, i, n), in_block(source, key, i, n), key, stats=stats, **options)
+        for i in range(n)
+    ]
+
+
 def all_new(target: DataFrame, source: DataFrame, defaults: Mapping[str, Column]) -> DataFrame:
     """Every source row as an inserted row of ``target``: what ``merge`` makes of keys that
     ``target`` lacks, hence of all rows if it is empty."""

@@ -776,6 +776,46 @@ def test_fact_cycle_shuffles_a_block_of_keys_at_a_time(spark, few_rows_at_once):
         assert got.table.count() == 61 and got.table.where("is_valid").count() == 41
 
 
+@pytest.mark.parametrize("seed", [0, 3])
+def test_merge_in_blocks_is_the_merge(spark, seed, few_rows_at_once):
+    rng = random.Random(300 + seed)
+    target = [r[:3] for r in make_rows(rng, 60, 50, seed % 2 == 0)]
+    source = unique([r[:3] for r in make_rows(rng, 60, 70, seed == 3)]) + [("n", "x", "y")] * 2
+    t, s = (spark.createDataFrame(rows, "k string, a string, b string") for rows in (target, source))
+    for call in ({"compare": ("a", "b")}, {"delete_missing": True}):
+        blocks = merge.merge_blocks(t, s, "k", **call)
+        assert len(blocks) > 4
+        got = Counter(tuple(r) for b in blocks for r in b.collect())
+        assert got == Counter(map(tuple, merge.merge(t, s, "k", **call).collect()))
+    stats = keyed.key_stats(t, s, "k")
+    assert keyed.key_blocks(t, s.withColumn("k", F.length("k")), "k", stats) == 1
+
+
+def test_a_block_without_staged_rows_deletes_as_the_whole_does(spark, few_rows_at_once):
+    """Whether missing rows go is decided by the whole snapshot, not by the block."""
+    t = spark.createDataFrame([(f"k{i}", "x") for i in range(60)], "k string, a string")
+    one, none = t.where("k = 'k1'"), t.limit(0)
+    nameless = one.unionByName(spark.createDataFrame([(None, "x")], t.schema))
+    for s, gone in ((one, 59), (none, 0), (nameless, 0)):
+        blocks = merge.merge_blocks(t, s, "k", delete_missing=True)
+        assert len(blocks) > 2
+        assert sum(b.where("_op = 'delete'").count() for b in blocks) == gone
+
+
+def test_first_load_again_in_blocks(spark, few_rows_at_once):
+    """The first-load form on a loaded table, its next keys above those there."""
+    facts = spark.createDataFrame(
+        [(i, f"k{i}", "x", None, OLD, True) for i in range(40)], FACT
+    ).withColumn("_source_file", F.lit("f"))
+    rows = [(f"k{i}", "y", "z", "VALID") for i in range(20, 60)] + [("k1", "y", None, "BAD")]
+    staged = spark.createDataFrame(rows, STAGED).withColumn("_load_timestamp", F.lit(OLD))
+    assert len(fact.initial_blocks(facts, staged, {}, SONG, CLOCK)) == 4
+    got = fact.fact_initial(facts, staged, {}, SONG, CLOCK, order_by=["k"])
+    want = {(i, f"k{i}", "x" if i < 20 else "y", None) for i in range(40)}
+    want |= {(i, f"k{i}", "y", "z") for i in range(40, 60)}
+    assert {tuple(r) for r in got.table.select("sk", "k", "a", "b").collect()} == want
+
+
 def shuffle_files(spark):
     disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
     names = [p.rpartition("/")[2] for p in disk.getAllFiles().mkString("\n").splitlines()]
