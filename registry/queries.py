@@ -577,13 +577,14 @@ def merge_fact(data: Data) -> DataFrame:
         dims,
         FACT_SONGS.lookups,
     ).select("song_id", *FACT_SONGS.attributes)
-    changes = merge.merge(
-        data.songs(dims),
-        source,
+    blocks = merge.merge_blocks(
+        materialize(data.songs(dims), compression="zstd"),
+        materialize(source, compression="zstd"),
         "song_id",
         compare=FACT_SONGS.compare,
         defaults={"is_valid": F.lit(True), "_load_timestamp": SECOND.now},
     )
+    changes = blocks[0] if len(blocks) == 1 else materialize(blocks, compression="zstd")
     return changes.withColumnRenamed(merge.OP, "op")
 
 

@@ -19,7 +19,9 @@ def test_query(spark, name):
     assert compare(spark, SF, name) is None
 
 
-@pytest.mark.parametrize("name", ["fact_cycle", "fact_cycle_null_keys", "fact_initial"])
+@pytest.mark.parametrize(
+    "name", ["fact_cycle", "fact_cycle_null_keys", "fact_initial", "merge_fact"]
+)
 def test_query_in_blocks_of_keys(spark, name, monkeypatch):
     monkeypatch.setattr(keyed, "ROWS_AT_ONCE", 5000)
     assert compare(spark, SF, name) is None
