@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakestrata.functions.scalar import seconds_between, ts
+from lakestrata.session import shuffles_freed
 
 SUCCESS, FAILED, SKIPPED = "SUCCESS", "FAILED", "SKIPPED"
 
@@ -174,6 +175,13 @@ def step_counts(changes: DataFrame, step: Step) -> DataFrame:
     return changes.agg(*count_columns(changes.columns, step))
 
 
+def block_counts(spark: SparkSession, blocks: Iterable[DataFrame], step: Step) -> DataFrame:
+    """The three counts of a step whose changes come block by block, one block at a time."""
+    with shuffles_freed(spark):
+        rows = [step_counts(b, step).first() for b in blocks]
+    return _one_row(spark, {c: sum(r[c] for r in rows) for c in rows[0].asDict()})
+
+
 def _one_row(spark: SparkSession, values: Mapping[str, int]) -> DataFrame:
     return spark.range(1).select(*[F.lit(n).cast("bigint").alias(c) for c, n in values.items()])
 

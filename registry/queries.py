@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Collection
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -872,18 +873,23 @@ def audit_log(data: Data) -> DataFrame:
     )
     results = {spec.table: r for (spec, _, _), r in zip(specs, applied)}
     counted = {t: audit.merge_counts(data.spark, counts) for t, (counts, _) in merged.items()}
-    changes = {table: r.changes for table, r in results.items()}
+    counted |= {t: audit.step_counts(r.changes, STEPS[t]) for t, r in results.items()}
     # The fact table holds a song as often as staging does, or less, unless a lookup repeats it.
     repeats = fact.lookups_fan_out(dims, FACT_SONGS.lookups)
-    changes["fact_songs"] = fact.fact_changes(
-        data.songs(dims),
-        data.delta(feeds.SONGS_V2_KEYED, SONGS),
+    # Written are the columns that decide on a change.
+    spec = replace(FACT_SONGS, attributes=FACT_SONGS.compare)
+    natural = [k.natural for k in spec.lookups]
+    told = [c for c in spec.compare if c not in [k.surrogate for k in spec.lookups]]
+    blocks = fact.fact_blocks(
+        materialize(data.songs(dims).select(spec.key, *spec.compare, "is_valid"), compression="zstd"),
+        data.delta(feeds.SONGS_V2_KEYED, SONGS).select(spec.key, *natural, *told, "data_quality_flag"),
         {table: r.current for table, r in results.items()},
-        FACT_SONGS,
+        spec,
         SECOND,
         stats=None if repeats else merged["stg_songs"][1],
+        stored=False,
     )
-    counted |= {table: audit.step_counts(rows, STEPS[table]) for table, rows in changes.items()}
+    counted["fact_songs"] = audit.block_counts(data.spark, blocks, STEPS["fact_songs"])
     out = None
     for table, counts in counted.items():
         step = STEPS[table]

@@ -20,7 +20,7 @@ def test_query(spark, name):
 
 
 @pytest.mark.parametrize(
-    "name", ["fact_cycle", "fact_cycle_null_keys", "fact_initial", "merge_fact"]
+    "name", ["fact_cycle", "fact_cycle_null_keys", "fact_initial", "merge_fact", "audit_log"]
 )
 def test_query_in_blocks_of_keys(spark, name, monkeypatch):
     monkeypatch.setattr(keyed, "ROWS_AT_ONCE", 5000)

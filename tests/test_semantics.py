@@ -14,9 +14,9 @@ from lakestrata import session
 from lakestrata.config import Dimension, Fact, Lookup
 from lakestrata.functions import scalar
 from lakestrata.functions.quality import valid_rows
-from lakestrata.operators import checks, dedupe, fact, keyed, keys, merge, scd2, sets
+from lakestrata.operators import audit, checks, dedupe, fact, keyed, keys, merge, scd2, sets
 from lakestrata.operators.keyed import DuplicateKeyError
-from lakestrata.plans.music import ALBUMS, SONGS
+from lakestrata.plans.music import ALBUMS, SONGS, STEPS
 from lakestrata.plans.staging import stage_delta, stage_full
 from registry import queries
 
@@ -816,6 +816,20 @@ def test_first_load_again_in_blocks(spark, few_rows_at_once):
     assert {tuple(r) for r in got.table.select("sk", "k", "a", "b").collect()} == want
 
 
+def test_counts_of_blocks_are_those_of_the_whole(spark, few_rows_at_once, folder):
+    facts = spark.createDataFrame([(i, f"k{i}", "x", None, OLD, i % 3 > 0) for i in range(40)], FACT)
+    staged = spark.createDataFrame([(f"k{i}", "y", None, "VALID") for i in range(20, 60)], STAGED)
+    step = STEPS["fact_songs"]
+    whole = tuple(audit.step_counts(fact.fact_changes(facts, staged, {}, SONG, CLOCK), step).first())
+    assert whole == (40, 7, 13)
+    blocks = fact.fact_blocks(facts, staged, {}, SONG, CLOCK)
+    assert len(blocks) == 4
+    assert tuple(audit.block_counts(spark, blocks, step).first()) == whole
+    watched = audit.Watched(step)
+    fact.fact_apply(facts, staged, {}, SONG, CLOCK, path=f"{folder}/t", kept=False, watch=watched)
+    assert watched.counts == whole
+
+
 def shuffle_files(spark):
     disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
     names = [p.rpartition("/")[2] for p in disk.getAllFiles().mkString("\n").splitlines()]
